@@ -83,3 +83,51 @@ def q_dim_date(spark, sf_dir):
 @query("partition_volume")
 def q_partition_volume(spark, sf_dir):
     return ops.partition_volume(fx.payments_orders(spark, sf_dir), oracle.PARTITION_VOLUME_THRESHOLD)
+
+
+# --- dedup / merge / change feed / erasure / restatement over F1 --------------------------------
+from ledgerlake.operators import merge as mg  # noqa: E402
+from ledgerlake.plans import pipeline  # noqa: E402
+
+
+def merged_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    silver = fx.payments_orders(spark, sf_dir)
+    return mg.merge_upsert(silver, fx.late_batch(silver))
+
+
+@query("dedup_latest")
+def q_dedup_latest(spark, sf_dir):
+    silver = fx.payments_orders(spark, sf_dir)
+    return mg.dedup_latest(silver.unionByName(fx.duplicate_batch(silver)))
+
+
+@query("merge_upsert")
+def q_merge_upsert(spark, sf_dir):
+    return merged_f1(spark, sf_dir)
+
+
+@query("merge_idempotent")
+def q_merge_idempotent(spark, sf_dir):
+    silver = fx.payments_orders(spark, sf_dir)
+    late = fx.late_batch(silver)
+    return mg.merge_upsert(mg.merge_upsert(silver, late), late)
+
+
+@query("erase_ids")
+def q_erase_ids(spark, sf_dir):
+    return mg.erase(fx.payments_orders(spark, sf_dir), fx.erasure_ids(spark, sf_dir))
+
+
+@query("change_feed")
+def q_change_feed(spark, sf_dir):
+    old = fx.payments_orders(spark, sf_dir)
+    new = mg.erase(mg.merge_upsert(old, fx.late_batch(old)), fx.erasure_ids(spark, sf_dir))
+    return mg.change_feed(old, new)
+
+
+@query("restate_window")
+def q_restate_window(spark, sf_dir):
+    _, mart = pipeline.restate_window(
+        merged_f1(spark, sf_dir), fx.fx_rates_orders(spark, sf_dir), oracle.RESTATE_DT, oracle.RESTATE_DAYS
+    )
+    return mart

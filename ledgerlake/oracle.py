@@ -166,3 +166,111 @@ SELECT payment_date, COUNT(*) AS row_count,
        CASE WHEN COUNT(*) >= {PARTITION_VOLUME_THRESHOLD} THEN 'spark' ELSE 'lean' END AS tier
 FROM f1 GROUP BY payment_date""",
 )
+
+# --- dedup / merge / change feed / erasure over F1 ---------------------------------------------
+CTE["dup1"] = """
+dup1 AS (
+  SELECT transaction_id, game, payment_date, price, currency,
+         CASE WHEN status = 'success' THEN 'error' ELSE 'success' END AS status,
+         ingest_ts + INTERVAL 1 DAY AS ingest_ts
+  FROM f1 WHERE CAST(transaction_id AS BIGINT) % 10 = 0
+)"""
+
+LATE_TS = "TIMESTAMP '2001-09-01 00:00:00'"
+CTE["late1"] = f"""
+late1 AS (
+  SELECT transaction_id, game, payment_date, price, currency,
+         CASE WHEN status = 'success' THEN 'refunded' ELSE 'success' END AS status, {LATE_TS} AS ingest_ts
+  FROM f1 WHERE CAST(transaction_id AS BIGINT) % 7 = 0
+  UNION ALL
+  SELECT transaction_id, game, payment_date, price, currency, status, {LATE_TS} AS ingest_ts
+  FROM f1 WHERE CAST(transaction_id AS BIGINT) % 7 = 1
+  UNION ALL
+  SELECT 'late-' || transaction_id, game, payment_date + 1, price, currency, status, {LATE_TS} AS ingest_ts
+  FROM f1 WHERE CAST(transaction_id AS BIGINT) % 7 = 2
+)"""
+
+# A plain, explicit formulation of MERGE for DuckDB (t = target, s = deduplicated source).
+MERGE_SQL = """
+  SELECT COALESCE(t.transaction_id, s.transaction_id) AS transaction_id,
+         CASE WHEN t.transaction_id IS NOT NULL THEN t.game ELSE s.game END AS game,
+         CASE WHEN t.transaction_id IS NOT NULL THEN t.payment_date ELSE s.payment_date END AS payment_date,
+         CASE WHEN u.upd THEN s.price WHEN t.transaction_id IS NOT NULL THEN t.price ELSE s.price END AS price,
+         CASE WHEN t.transaction_id IS NOT NULL THEN t.currency ELSE s.currency END AS currency,
+         CASE WHEN u.upd THEN s.status WHEN t.transaction_id IS NOT NULL THEN t.status ELSE s.status END AS status,
+         CASE WHEN u.upd THEN s.ingest_ts WHEN t.transaction_id IS NOT NULL THEN t.ingest_ts ELSE s.ingest_ts END
+           AS ingest_ts
+  FROM {target} t FULL OUTER JOIN {source} s ON t.transaction_id = s.transaction_id,
+       LATERAL (SELECT t.transaction_id IS NOT NULL AND s.transaction_id IS NOT NULL
+                       AND COALESCE(t.status <> s.status OR t.price <> s.price, FALSE) AS upd) u"""
+
+DEDUP_SQL = """
+  SELECT transaction_id, game, payment_date, price, currency, status, ingest_ts FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY transaction_id
+              ORDER BY ingest_ts DESC, game DESC, payment_date DESC, price DESC, currency DESC, status DESC) AS rn
+    FROM {src} WHERE transaction_id IS NOT NULL) d WHERE rn = 1
+  UNION ALL SELECT * FROM {src} WHERE transaction_id IS NULL"""
+
+CTE["dupsrc1"] = "\ndupsrc1 AS (SELECT * FROM f1 UNION ALL SELECT * FROM dup1)"
+CTE["late1d"] = "\nlate1d AS (" + DEDUP_SQL.format(src="late1") + "\n)"
+CTE["merged1"] = "\nmerged1 AS (" + MERGE_SQL.format(target="f1", source="late1d") + "\n)"
+CTE["merged1b"] = "\nmerged1b AS (" + MERGE_SQL.format(target="merged1", source="late1d") + "\n)"
+CTE["erase1"] = """
+erase1 AS (
+  SELECT DISTINCT CAST(o_orderkey AS VARCHAR) AS transaction_id FROM orders WHERE o_custkey % 97 = 0
+)"""
+CTE["new1"] = """
+new1 AS (
+  SELECT m.* FROM merged1 m WHERE NOT EXISTS (SELECT 1 FROM erase1 e WHERE e.transaction_id = m.transaction_id)
+)"""
+DEPENDS.update({
+    "dup1": ["f1"],
+    "late1": ["f1"],
+    "dupsrc1": ["f1", "dup1"],
+    "late1d": ["late1"],
+    "merged1": ["f1", "late1d"],
+    "merged1b": ["merged1"],
+    "new1": ["merged1", "erase1"],
+})
+
+SQL["dedup_latest"] = with_(["dupsrc1"], DEDUP_SQL.format(src="dupsrc1"))
+SQL["merge_upsert"] = with_(["merged1"], "SELECT * FROM merged1")
+SQL["merge_idempotent"] = with_(["merged1b"], "SELECT * FROM merged1b")
+SQL["erase_ids"] = with_(
+    ["f1", "erase1"],
+    "SELECT f.* FROM f1 f WHERE NOT EXISTS (SELECT 1 FROM erase1 e WHERE e.transaction_id = f.transaction_id)",
+)
+
+_CF_COLS = "transaction_id, game, payment_date, price, currency, status, ingest_ts"
+_CF_DIFF = " OR ".join(
+    f"t.{c} IS DISTINCT FROM s.{c}" for c in ("game", "payment_date", "price", "currency", "status", "ingest_ts")
+)
+SQL["change_feed"] = with_(
+    ["f1", "new1"],
+    f"""
+SELECT {', '.join('t.' + c for c in _CF_COLS.split(', '))}, 'update_preimage' AS _change_type
+FROM f1 t JOIN new1 s ON t.transaction_id = s.transaction_id WHERE {_CF_DIFF}
+UNION ALL
+SELECT {', '.join('s.' + c for c in _CF_COLS.split(', '))}, 'update_postimage' AS _change_type
+FROM f1 t JOIN new1 s ON t.transaction_id = s.transaction_id WHERE {_CF_DIFF}
+UNION ALL
+SELECT {', '.join('t.' + c for c in _CF_COLS.split(', '))}, 'delete' AS _change_type
+FROM f1 t WHERE NOT EXISTS (SELECT 1 FROM new1 s WHERE s.transaction_id = t.transaction_id)
+UNION ALL
+SELECT {', '.join('s.' + c for c in _CF_COLS.split(', '))}, 'insert' AS _change_type
+FROM new1 s WHERE NOT EXISTS (SELECT 1 FROM f1 t WHERE s.transaction_id = t.transaction_id)""",
+)
+
+RESTATE_DT = "1998-06-15"
+RESTATE_DAYS = 7
+CTE["restate_fact1"] = (
+    "\nrestate_fact1 AS ("
+    + FACT_SELECT.format(
+        silver=f"(SELECT * FROM merged1 WHERE payment_date >= DATE '{RESTATE_DT}' - {RESTATE_DAYS} "
+        f"AND payment_date < DATE '{RESTATE_DT}')",
+        fx="fx1",
+    )
+    + "\n)"
+)
+DEPENDS["restate_fact1"] = ["merged1", "fx1"]
+SQL["restate_window"] = with_(["restate_fact1"], MART_SELECT.format(fact="restate_fact1"))
