@@ -131,3 +131,46 @@ def q_restate_window(spark, sf_dir):
         merged_f1(spark, sf_dir), fx.fx_rates_orders(spark, sf_dir), oracle.RESTATE_DT, oracle.RESTATE_DAYS
     )
     return mart
+
+
+# --- contract and data quality over F2 ---------------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from ledgerlake.operators import contract, dq  # noqa: E402
+
+
+def checked_f2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contract.with_errors(fx.raw_events(spark, sf_dir), oracle.CONTRACT_AS_OF)
+
+
+@query("contract_errors")
+def q_contract_errors(spark, sf_dir):
+    return contract.error_summary(checked_f2(spark, sf_dir))
+
+
+@query("quarantine_rows")
+def q_quarantine_rows(spark, sf_dir):
+    _, bad = contract.split_contract(fx.raw_events(spark, sf_dir), oracle.CONTRACT_AS_OF)
+    return bad.select("transaction_id", F.array_join("errors", ",").alias("errors"))
+
+
+@query("contract_valid")
+def q_contract_valid(spark, sf_dir):
+    good, _ = contract.split_contract(fx.raw_events(spark, sf_dir), oracle.CONTRACT_AS_OF)
+    return good
+
+
+@query("dq_evaluate")
+def q_dq_evaluate(spark, sf_dir):
+    return dq.evaluate(fx.payments_events_dirty(spark, sf_dir), dq.payment_suite(oracle.DQ_AS_OF))
+
+
+@query("dq_quarantined")
+def q_dq_quarantined(spark, sf_dir):
+    _, quarantined, _ = dq.route(fx.payments_events_dirty(spark, sf_dir), dq.payment_suite(oracle.DQ_AS_OF))
+    return quarantined.select("transaction_id", F.array_join("dq_failed", ",").alias("dq_failed"))
+
+
+@query("dq_bad_ids")
+def q_dq_bad_ids(spark, sf_dir):
+    return dq.bad_ids(fx.payments_events_dirty(spark, sf_dir), dq.payment_suite(oracle.DQ_AS_OF))

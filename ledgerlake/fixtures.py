@@ -43,7 +43,7 @@ def _case(col: Column, pairs, default: Column | None) -> Column:
 
 
 def _pick(values, index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), index + 1)
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
 
 
 # ---------------------------------------------------------------------------------------------

@@ -274,3 +274,136 @@ CTE["restate_fact1"] = (
 )
 DEPENDS["restate_fact1"] = ["merged1", "fx1"]
 SQL["restate_window"] = with_(["restate_fact1"], MART_SELECT.format(fact="restate_fact1"))
+
+# --- F2: payments from events, dirty variant and raw text -----------------------------------------
+_CUR4 = "CASE e.user_id % 4 WHEN 0 THEN 'EUR' WHEN 1 THEN 'USD' WHEN 2 THEN 'GBP' ELSE 'CHF' END"
+_STATUS2 = (
+    "CASE e.event_type WHEN 'purchase' THEN 'success' WHEN 'error' THEN 'error' "
+    "WHEN 'signup' THEN 'pending' WHEN 'click' THEN 'refunded' ELSE e.event_type END"
+)
+CTE["f2"] = f"""
+f2 AS (
+  SELECT CAST(e.event_id AS VARCHAR) AS transaction_id, 'g' || CAST(e.user_id % 5 AS VARCHAR) AS game,
+         CAST(e.ts AS DATE) AS payment_date, CAST(e.value AS DECIMAL(18,4)) AS price,
+         {_CUR4} AS currency, {_STATUS2} AS status, e.ts AS ingest_ts
+  FROM events e
+)"""
+_SLOT = "CASE WHEN e.event_id % 11 = 0 THEN (e.event_id // 11) % 5 END"
+CTE["d2k"] = f"""
+d2k AS (
+  SELECT e.event_id AS _id,
+         CASE WHEN {_SLOT} = 4 THEN NULL ELSE CAST(e.event_id AS VARCHAR) END AS transaction_id,
+         'g' || CAST(e.user_id % 5 AS VARCHAR) AS game,
+         CASE WHEN {_SLOT} = 3 THEN NULL ELSE CAST(e.ts AS DATE) END AS payment_date,
+         CASE WHEN {_SLOT} = 0 THEN NULL WHEN e.event_id % 19 = 0 THEN -CAST(e.value AS DECIMAL(18,4))
+              ELSE CAST(e.value AS DECIMAL(18,4)) END AS price,
+         CASE WHEN {_SLOT} = 2 THEN NULL WHEN e.event_id % 13 = 0 THEN lower({_CUR4}) ELSE {_CUR4} END AS currency,
+         CASE WHEN {_SLOT} = 1 THEN NULL ELSE {_STATUS2} END AS status,
+         e.ts AS ingest_ts
+  FROM events e
+)"""
+CTE["d2"] = "\nd2 AS (SELECT transaction_id, game, payment_date, price, currency, status, ingest_ts FROM d2k)"
+CTE["raw2"] = """
+raw2 AS (
+  SELECT _id,
+         CASE WHEN _id % 41 = 0 THEN repeat('x', 65) ELSE transaction_id END AS transaction_id,
+         CASE WHEN _id % 43 = 0 THEN '' ELSE game END AS game,
+         CASE WHEN _id % 31 = 0 THEN concat_ws('-', CAST(year(payment_date) AS VARCHAR),
+                   CAST(month(payment_date) AS VARCHAR), CAST(day(payment_date) AS VARCHAR))
+              WHEN _id % 37 = 0 THEN CAST(payment_date AS VARCHAR) || 'T00:00:00'
+              ELSE CAST(payment_date AS VARCHAR) END AS payment_date,
+         CASE WHEN _id % 23 = 0 THEN CAST(price AS VARCHAR) || '7'
+              WHEN _id % 29 = 0 THEN CAST(price AS VARCHAR) || '0000'
+              WHEN _id % 53 = 0 THEN '1e2'
+              WHEN _id % 59 = 0 THEN '99999999999999999999'
+              WHEN _id % 61 = 0 THEN 'NaN'
+              ELSE CAST(price AS VARCHAR) END AS price,
+         CASE WHEN _id % 67 = 0 THEN currency || chr(10) ELSE currency END AS currency,
+         status, ingest_ts, _id % 47 = 0 AS has_extra
+  FROM d2k
+)"""
+DEPENDS.update({"d2": ["d2k"], "raw2": ["d2k"]})
+
+CONTRACT_AS_OF = "2024-01-25"
+
+
+def contract_checked(src: str, as_of: str) -> str:
+    """SQL twin of ``contract.with_errors``: ``src`` columns plus ``errors`` (comma-joined)."""
+    return f"""
+  SELECT *, concat_ws(',',
+      CASE WHEN transaction_id IS NULL OR length(transaction_id) < 1 THEN 'transaction_id_missing' END,
+      CASE WHEN length(transaction_id) > 64 THEN 'transaction_id_too_long' END,
+      CASE WHEN game IS NULL OR length(game) < 1 THEN 'game_missing' END,
+      CASE WHEN length(game) > 128 THEN 'game_too_long' END,
+      CASE WHEN NOT (d_ok AND d IS NOT NULL) THEN 'payment_date_invalid' END,
+      CASE WHEN d_ok AND d IS NOT NULL AND d > DATE '{as_of}' THEN 'payment_date_future' END,
+      CASE WHEN NOT p_ok THEN 'price_invalid' END,
+      CASE WHEN p_ok AND (num IS NULL OR TRY_CAST(num AS DECIMAL(18,4)) IS NULL) THEN 'price_out_of_range' END,
+      CASE WHEN p_ok AND COALESCE(num <= 0, FALSE) THEN 'price_not_positive' END,
+      CASE WHEN p_ok AND num IS NOT NULL AND COALESCE(
+             (NOT contains(lower(p), 'e') AND regexp_matches(p, '\\.[0-9]{{4}}[0-9]*[1-9]')) OR num <> round(num, 4),
+             FALSE) THEN 'price_too_precise' END,
+      CASE WHEN NOT COALESCE(regexp_full_match(currency, '[A-Z]{{3}}'), FALSE) THEN 'currency_invalid' END,
+      CASE WHEN NOT COALESCE(status IN ('success', 'error', 'pending', 'refunded'), FALSE) THEN 'status_invalid' END,
+      CASE WHEN has_extra THEN 'extra_fields' END) AS errors
+  FROM (
+    SELECT *, trim(price) AS p, TRY_CAST(trim(price) AS DECIMAL(38,18)) AS num,
+           COALESCE(regexp_full_match(trim(price), '[+-]?([0-9]+(\\.[0-9]*)?|\\.[0-9]+)([eE][+-]?[0-9]+)?'), FALSE) AS p_ok,
+           COALESCE(regexp_full_match(payment_date, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}([T ]00:00(:00(\\.0+)?)?)?'), FALSE) AS d_ok,
+           TRY_CAST(substr(payment_date, 1, 10) AS DATE) AS d
+    FROM {src}) c0"""
+
+
+CTE["chk2"] = "\nchk2 AS (" + contract_checked("raw2", CONTRACT_AS_OF) + "\n)"
+DEPENDS["chk2"] = ["raw2"]
+
+SQL["contract_errors"] = with_(
+    ["chk2"],
+    """
+SELECT error, COUNT(*) AS n_rows
+FROM (SELECT unnest(string_split(errors, ',')) AS error FROM chk2 WHERE errors <> '') s
+GROUP BY error""",
+)
+SQL["quarantine_rows"] = with_(["chk2"], "SELECT transaction_id, errors FROM chk2 WHERE errors <> ''")
+SQL["contract_valid"] = with_(
+    ["chk2"],
+    """
+SELECT transaction_id, game, TRY_CAST(substr(payment_date, 1, 10) AS DATE) AS payment_date,
+       CAST(TRY_CAST(trim(price) AS DECIMAL(38,18)) AS DECIMAL(18,4)) AS price, currency, status, ingest_ts
+FROM chk2 WHERE errors = ''""",
+)
+
+DQ_AS_OF = "2024-01-25"
+DQ_RULES = (
+    ("transaction_id_not_null", "fail", "transaction_id IS NOT NULL"),
+    ("price_positive", "quarantine", "price > 0"),
+    ("status_in_enum", "quarantine", "status IN ('success', 'error', 'pending', 'refunded')"),
+    ("currency_iso", "quarantine", "regexp_matches(currency, '^[A-Z]{3}$')"),
+    ("payment_date_not_future", "fail", f"payment_date <= DATE '{DQ_AS_OF}'"),
+    ("price_sane_upper", "warn", "price < 100000"),
+)
+SQL["dq_evaluate"] = with_(
+    ["d2"],
+    "\nUNION ALL\n".join(
+        f"SELECT '{n}' AS expectation, '{s}' AS severity, COUNT(*) FILTER (WHERE NOT ({p})) AS violations FROM d2"
+        for n, s, p in DQ_RULES
+    ),
+)
+_FAILED = "concat_ws(',', " + ", ".join(
+    f"CASE WHEN NOT COALESCE({p}, FALSE) THEN '{n}' END" for n, s, p in DQ_RULES
+) + ")"
+_HARD = " OR ".join(f"NOT COALESCE({p}, FALSE)" for n, s, p in DQ_RULES if s != "warn")
+SQL["dq_quarantined"] = with_(
+    ["d2"], f"SELECT transaction_id, {_FAILED} AS dq_failed FROM d2 WHERE {_HARD}"
+)
+SQL["dq_bad_ids"] = with_(
+    ["d2"],
+    "SELECT DISTINCT transaction_id FROM (\n"
+    + "\nUNION ALL\n".join(
+        f"SELECT transaction_id, '{n}' AS rule, ROW_NUMBER() OVER (ORDER BY transaction_id ASC NULLS FIRST) AS rn "
+        f"FROM d2 WHERE NOT ({p})"
+        for n, s, p in DQ_RULES
+        if s != "warn"
+    )
+    + "\n) h WHERE rn <= 1000",
+)
