@@ -174,3 +174,130 @@ def q_dq_quarantined(spark, sf_dir):
 @query("dq_bad_ids")
 def q_dq_bad_ids(spark, sf_dir):
     return dq.bad_ids(fx.payments_events_dirty(spark, sf_dir), dq.payment_suite(oracle.DQ_AS_OF))
+
+
+# --- retry queue over F2 rejects ---------------------------------------------------------------
+from ledgerlake.operators import retry  # noqa: E402
+
+QUEUE_COLS = ("queue_id", "transaction_id", "attempt_count", "last_error", "eligible_at")
+
+
+@query("retry_enqueue")
+def q_retry_enqueue(spark, sf_dir):
+    checked = contract.with_errors(fx.raw_events(spark, sf_dir), oracle.RETRY_ENQUEUE_AS_OF)
+    bad = checked.where(F.size("errors") > 0).select(
+        "transaction_id", "game", "payment_date", "price", "currency", "status", "raw_line",
+        F.array_join("errors", ",").alias("_err"),
+    )
+    q = retry.enqueue(bad, F.col("_err"), oracle.ENQUEUE_NOW)
+    return q.select(*QUEUE_COLS)
+
+
+@query("retry_due")
+def q_retry_due(spark, sf_dir):
+    return retry.due(fx.retry_queue(spark, sf_dir), oracle.RETRY_NOW).select(*QUEUE_COLS)
+
+
+def _rescheduled(spark, sf_dir):
+    queue = fx.retry_queue(spark, sf_dir)
+    return retry.reschedule(queue, retry.due(queue, oracle.RETRY_NOW), oracle.RETRY_NOW)
+
+
+@query("retry_reschedule")
+def q_retry_reschedule(spark, sf_dir):
+    return _rescheduled(spark, sf_dir)[0].select(*QUEUE_COLS)
+
+
+@query("dead_letter")
+def q_dead_letter(spark, sf_dir):
+    return _rescheduled(spark, sf_dir)[1].select(*QUEUE_COLS)
+
+
+@query("replay")
+def q_replay(spark, sf_dir):
+    silver = contract.split_contract(fx.raw_events(spark, sf_dir), oracle.RETRY_ENQUEUE_AS_OF)[0]
+    out = retry.replay(fx.retry_queue(spark, sf_dir), silver, oracle.RETRY_NOW, oracle.RETRY_REPLAY_AS_OF)
+    return out["outcomes"].select("queue_id", "transaction_id", "attempt_count", "outcome")
+
+
+# --- dimensions, SCD2, joins, reconciliation over F1 ------------------------------------------------
+from ledgerlake.operators import joins, scd2  # noqa: E402
+
+
+def scd_f1(spark, sf_dir):
+    return scd2.scd2_apply(fx.dim_game(spark, sf_dir), fx.game_updates(spark, sf_dir), oracle.SCD2_AS_OF)
+
+
+@query("scd2_apply")
+def q_scd2_apply(spark, sf_dir):
+    return scd_f1(spark, sf_dir)
+
+
+@query("scd2_asof")
+def q_scd2_asof(spark, sf_dir):
+    fact = fact_f1(spark, sf_dir).select("transaction_id", "game_key", "payment_date")
+    return scd2.scd2_asof(fact, scd_f1(spark, sf_dir))
+
+
+@query("salted_join")
+def q_salted_join(spark, sf_dir):
+    fact = fact_f1(spark, sf_dir).select("transaction_id", "game_key")
+    dim = fx.dim_game(spark, sf_dir).select("game_key", "genre", "is_current")
+    return joins.salted_join(fact, dim, "game_key", n_salt=16)
+
+
+@query("orphans_game")
+def q_orphans_game(spark, sf_dir):
+    return joins.orphans(fact_f1(spark, sf_dir), fx.dim_game(spark, sf_dir), "game_key", "game_key")
+
+
+@query("orphans_currency")
+def q_orphans_currency(spark, sf_dir):
+    return joins.orphans(fact_f1(spark, sf_dir), fx.dim_currency(spark, sf_dir), "currency_key", "currency_code")
+
+
+@query("referential_summary")
+def q_referential_summary(spark, sf_dir):
+    return dq.referential_summary(fact_f1(spark, sf_dir), fx.dim_game(spark, sf_dir), fx.dim_currency(spark, sf_dir))
+
+
+@query("reconciliation")
+def q_reconciliation(spark, sf_dir):
+    silver = fx.payments_orders(spark, sf_dir)
+    fact = gold.build_fact(silver, fx.fx_rates_orders(spark, sf_dir))
+    return marts.reconciliation(silver, fact, gold.build_agg_game_daily(fact))
+
+
+@query("silver_to_gold")
+def q_silver_to_gold(spark, sf_dir):
+    _, mart = pipeline.silver_to_gold(
+        fx.payments_orders(spark, sf_dir), fx.fx_rates_orders(spark, sf_dir), oracle.SILVER_TO_GOLD_DT
+    )
+    return mart
+
+
+# --- metrics, SLO views and alarms over F2; manifests over F1 ---------------------------------
+@query("completeness")
+def q_completeness(spark, sf_dir):
+    return marts.completeness(fx.pipeline_metrics(spark, sf_dir))
+
+
+@query("row_balance")
+def q_row_balance(spark, sf_dir):
+    return ops.row_balance(fx.pipeline_metrics(spark, sf_dir))
+
+
+@query("quarantine_spike")
+def q_quarantine_spike(spark, sf_dir):
+    return ops.slo_alarms(fx.pipeline_metrics(spark, sf_dir), quarantine_threshold=oracle.QUARANTINE_SPIKE_ROWS)
+
+
+@query("batch_manifest")
+def q_batch_manifest(spark, sf_dir):
+    return fx.manifests(fx.payments_orders(spark, sf_dir))
+
+
+@query("new_batches")
+def q_new_batches(spark, sf_dir):
+    manifest = fx.manifests(fx.payments_orders(spark, sf_dir))
+    return ops.new_batches(manifest, fx.ingestion_state(manifest))

@@ -344,3 +344,35 @@ def ingestion_state(manifest: DataFrame) -> DataFrame:
 
 RETRY_ENQUEUE_AS_OF = "2024-01-10"
 RETRY_NOW = "2024-01-20 00:00:00"
+
+
+def retry_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contract rejects of F2 (checked as of ``RETRY_ENQUEUE_AS_OF``) with attempts 1..5 and
+    ``eligible_at`` at their event time, so some are due at ``RETRY_NOW`` and some are not."""
+    from ledgerlake.operators import contract, retry
+
+    checked = contract.with_errors(raw_events(spark, sf_dir), RETRY_ENQUEUE_AS_OF)
+    bad = checked.where(F.size("errors") > 0)
+    return bad.select(
+        retry.queue_id().alias(retry.QUEUE_KEY),
+        "transaction_id",
+        "game",
+        "payment_date",
+        "price",
+        "currency",
+        "status",
+        "raw_line",
+        (F.pmod("_id", F.lit(5)) + 1).cast("int").alias("attempt_count"),
+        F.array_join("errors", ",").alias("last_error"),
+        F.col("ingest_ts").alias("eligible_at"),
+    )
+
+
+def resent_raw(raw: DataFrame) -> DataFrame:
+    """Raw records plus a re-send of every tenth id one hour later with a flipped status."""
+    k = F.col("_id")
+    flipped = F.when(F.col("status") == "success", F.lit("error")).otherwise(F.lit("success"))
+    again = raw.where(F.pmod(k, F.lit(10)) == 0).withColumn("status", flipped).withColumn(
+        "ingest_ts", F.col("ingest_ts") + F.expr("INTERVAL 1 HOURS")
+    )
+    return raw.unionByName(again)

@@ -407,3 +407,216 @@ SQL["dq_bad_ids"] = with_(
     )
     + "\n) h WHERE rn <= 1000",
 )
+
+
+def sk_sql(*cols: str) -> str:
+    """SQL twin of ``row_digest``: 60-bit prefix of SHA-256 over the canonical row text."""
+    parts = ", ".join(f"COALESCE(CAST({c} AS VARCHAR), '\\N')" for c in cols)
+    return f"CAST(('0x' || substr(sha256(concat_ws('|', {parts})), 1, 15)) AS BIGINT)"
+
+
+# --- retry queue over F2 rejects -------------------------------------------------------------------
+RETRY_ENQUEUE_AS_OF = "2024-01-10"
+RETRY_NOW = "2024-01-20 00:00:00"
+RETRY_REPLAY_AS_OF = "2024-01-20"
+ENQUEUE_NOW = "2024-01-10 06:00:00"
+_PAY = ("transaction_id", "game", "payment_date", "price", "currency", "status")
+CTE["chk2q"] = "\nchk2q AS (" + contract_checked("raw2", RETRY_ENQUEUE_AS_OF) + "\n)"
+CTE["q2"] = f"""
+q2 AS (
+  SELECT {sk_sql(*_PAY)} AS queue_id, transaction_id, game, payment_date, price, currency, status, has_extra,
+         CAST(_id % 5 + 1 AS INTEGER) AS attempt_count, errors AS last_error, ingest_ts AS eligible_at
+  FROM chk2q WHERE errors <> ''
+)"""
+CTE["due2"] = f"""
+due2 AS (SELECT * FROM q2 WHERE eligible_at <= TIMESTAMP '{RETRY_NOW}' AND attempt_count < 5)"""
+CTE["bump2"] = f"""
+bump2 AS (
+  SELECT * REPLACE (attempt_count + 1 AS attempt_count,
+         TIMESTAMP '{RETRY_NOW}' + to_hours(CAST(pow(2, attempt_count + 1) AS BIGINT)) AS eligible_at)
+  FROM due2
+)"""
+DEPENDS.update({"chk2q": ["raw2"], "q2": ["chk2q"], "due2": ["q2"], "bump2": ["due2"]})
+_QCOLS = "queue_id, transaction_id, attempt_count, last_error, eligible_at"
+SQL["retry_enqueue"] = with_(
+    ["chk2q"],
+    f"""
+SELECT {sk_sql(*_PAY)} AS queue_id, transaction_id, CAST(1 AS INTEGER) AS attempt_count, errors AS last_error,
+       TIMESTAMP '{ENQUEUE_NOW}' AS eligible_at
+FROM chk2q WHERE errors <> ''""",
+)
+SQL["retry_due"] = with_(["due2"], f"SELECT {_QCOLS} FROM due2")
+SQL["retry_reschedule"] = with_(
+    ["bump2"],
+    f"""
+SELECT {_QCOLS} FROM bump2 WHERE attempt_count < 5
+UNION ALL
+SELECT {_QCOLS} FROM q2 WHERE queue_id NOT IN (SELECT queue_id FROM due2)""",
+)
+SQL["dead_letter"] = with_(["bump2"], f"SELECT {_QCOLS} FROM bump2 WHERE attempt_count >= 5")
+CTE["rechk2"] = "\nrechk2 AS (" + contract_checked("due2", RETRY_REPLAY_AS_OF) + "\n)"
+DEPENDS["rechk2"] = ["due2"]
+SQL["replay"] = with_(
+    ["rechk2"],
+    """
+SELECT queue_id, transaction_id, attempt_count,
+       CASE WHEN errors = '' THEN 'merged' WHEN attempt_count + 1 >= 5 THEN 'dead' ELSE 'requeued' END AS outcome
+FROM rechk2""",
+)
+
+# --- dimensions, SCD2 and joins over F1 --------------------------------------------------------
+SCD2_AS_OF = "1998-01-01 00:00:00"
+CTE["games"] = "\ngames AS (SELECT DISTINCT c_mktsegment AS game_key FROM customer)"
+CTE["dimg"] = f"""
+dimg AS (
+  SELECT {sk_sql('game_key', "TIMESTAMP '1990-01-01 00:00:00'")} AS game_sk, game_key, lower(game_key) AS game_name,
+         'genre_' || CAST(length(game_key) % 3 AS VARCHAR) AS genre, 'studio_' || substr(game_key, 1, 2) AS studio,
+         TIMESTAMP '1990-01-01 00:00:00' AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to, TRUE AS is_current
+  FROM games WHERE game_key <> 'MACHINERY'
+  UNION ALL
+  SELECT {sk_sql('game_key', "TIMESTAMP '1980-01-01 00:00:00'")}, game_key, lower(game_key), 'legacy',
+         'studio_' || substr(game_key, 1, 2), TIMESTAMP '1980-01-01 00:00:00', TIMESTAMP '1990-01-01 00:00:00', FALSE
+  FROM games WHERE game_key = 'AUTOMOBILE'
+)"""
+CTE["gupd"] = """
+gupd AS (
+  SELECT game_key, lower(game_key) AS game_name,
+         CASE WHEN length(game_key) % 2 = 0 THEN 'genre_new' ELSE 'genre_' || CAST(length(game_key) % 3 AS VARCHAR) END
+           AS genre,
+         'studio_' || substr(game_key, 1, 2) AS studio
+  FROM games
+)"""
+_GDIFF = "(c.game_name IS DISTINCT FROM u.game_name OR c.genre IS DISTINCT FROM u.genre OR c.studio IS DISTINCT FROM u.studio)"
+CTE["scd"] = f"""
+scd AS (
+  SELECT * FROM dimg WHERE NOT is_current
+  UNION ALL
+  SELECT c.* FROM dimg c LEFT JOIN gupd u ON c.game_key = u.game_key
+  WHERE c.is_current AND (u.game_key IS NULL OR NOT {_GDIFF})
+  UNION ALL
+  SELECT c.game_sk, c.game_key, c.game_name, c.genre, c.studio, c.valid_from, TIMESTAMP '{SCD2_AS_OF}', FALSE
+  FROM dimg c JOIN gupd u ON c.game_key = u.game_key WHERE c.is_current AND {_GDIFF}
+  UNION ALL
+  SELECT {sk_sql('u.game_key', f"TIMESTAMP '{SCD2_AS_OF}'")}, u.game_key, u.game_name, u.genre, u.studio,
+         TIMESTAMP '{SCD2_AS_OF}', CAST(NULL AS TIMESTAMP), TRUE
+  FROM gupd u LEFT JOIN (SELECT * FROM dimg WHERE is_current) c ON c.game_key = u.game_key
+  WHERE c.game_key IS NULL OR {_GDIFF}
+)"""
+CTE["dimc"] = "\ndimc AS (SELECT DISTINCT currency_code FROM fx1)"
+DEPENDS.update({"dimg": ["games"], "gupd": ["games"], "scd": ["dimg", "gupd"], "dimc": ["fx1"]})
+
+SQL["scd2_apply"] = with_(["scd"], "SELECT * FROM scd")
+SQL["scd2_asof"] = with_(
+    ["fact1", "scd"],
+    """
+SELECT f.transaction_id, f.game_key, f.payment_date, d.game_sk, d.genre
+FROM fact1 f LEFT JOIN scd d ON f.game_key = d.game_key AND d.valid_from <= CAST(f.payment_date AS TIMESTAMP)
+     AND CAST(f.payment_date AS TIMESTAMP) < COALESCE(d.valid_to, TIMESTAMP '9999-12-31 00:00:00')""",
+)
+SQL["salted_join"] = with_(
+    ["fact1", "dimg"],
+    "SELECT f.transaction_id, f.game_key, d.genre, d.is_current FROM fact1 f LEFT JOIN dimg d ON f.game_key = d.game_key",
+)
+SQL["orphans_game"] = with_(
+    ["fact1", "dimg"],
+    "SELECT f.* FROM fact1 f WHERE NOT EXISTS (SELECT 1 FROM dimg d WHERE d.is_current AND d.game_key = f.game_key)",
+)
+SQL["orphans_currency"] = with_(
+    ["fact1", "dimc"],
+    "SELECT f.* FROM fact1 f WHERE NOT EXISTS (SELECT 1 FROM dimc d WHERE d.currency_code = f.currency_key)",
+)
+SQL["referential_summary"] = with_(
+    ["fact1", "dimg", "dimc"],
+    """
+SELECT COUNT(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM dimg d WHERE d.is_current AND d.game_key = f.game_key))
+         AS fact_game_orphans,
+       COUNT(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM dimc d WHERE d.currency_code = f.currency_key))
+         AS fact_currency_orphans
+FROM fact1 f""",
+)
+SQL["reconciliation"] = with_(
+    ["f1", "fact1", "mart1"],
+    """
+SELECT payment_date,
+       COALESCE(silver_revenue, 0)::DECIMAL(28,4) AS silver_revenue,
+       COALESCE(gold_revenue_eur, 0)::DECIMAL(28,4) AS gold_revenue_eur,
+       COALESCE(silver_success_count, 0)::BIGINT AS silver_success_count,
+       COALESCE(gold_success_count, 0)::BIGINT AS gold_success_count,
+       abs(COALESCE(silver_revenue, 0) - COALESCE(gold_revenue_eur, 0))::DECIMAL(28,4) AS revenue_drift,
+       abs(COALESCE(silver_revenue, 0) - COALESCE(gold_revenue_eur, 0)) <= 1000000 AS revenue_ok,
+       COALESCE(silver_success_count, 0) = COALESCE(gold_success_count, 0) AS count_ok,
+       COALESCE(fact_revenue_eur, 0) = COALESCE(gold_revenue_eur, 0) AS eur_ok
+FROM (SELECT payment_date, SUM(price)::DECIMAL(28,4) AS silver_revenue, COUNT(*) AS silver_success_count
+      FROM f1 WHERE status = 'success' GROUP BY payment_date) s
+FULL OUTER JOIN (SELECT payment_date, SUM(price_eur)::DECIMAL(28,4) AS fact_revenue_eur
+      FROM fact1 WHERE status = 'success' GROUP BY payment_date) f USING (payment_date)
+FULL OUTER JOIN (SELECT payment_date, SUM(gross_revenue_eur)::DECIMAL(28,4) AS gold_revenue_eur,
+      SUM(txn_success_count)::BIGINT AS gold_success_count FROM mart1 GROUP BY payment_date) g USING (payment_date)""",
+)
+
+# --- pipeline metrics, SLO views and alarms over F2 -----------------------------------------------
+QUARANTINE_SPIKE_ROWS = 5
+CTE["met2"] = """
+met2 AS (
+  SELECT 'payments_etl' AS dag_id, 'bronze_to_silver' AS task_id, 'run_' || strftime(run_hour, '%Y%m%d%H') AS run_id,
+         CAST(CAST(run_hour AS DATE) AS VARCHAR) AS payment_date, input_rows,
+         input_rows - quarantined_rows - CASE WHEN run_hour = TIMESTAMP '2024-01-15 13:00:00' THEN 1 ELSE 0 END
+           AS output_rows,
+         CAST(0 AS BIGINT) AS rejected_rows, quarantined_rows, run_hour + INTERVAL 59 MINUTE AS recorded_at
+  FROM (SELECT date_trunc('hour', ts) AS run_hour, COUNT(*) AS input_rows,
+               COUNT(*) FILTER (WHERE event_type = 'view') AS quarantined_rows
+        FROM events GROUP BY 1) h
+  UNION ALL
+  SELECT 'payments_etl', 'bronze_to_silver', 'run_' || strftime(run_hour, '%Y%m%d%H') || '_noop',
+         CAST(CAST(run_hour AS DATE) AS VARCHAR), 0, 0, 0, 0, run_hour + INTERVAL 60 MINUTE
+  FROM (SELECT DISTINCT date_trunc('hour', ts) AS run_hour FROM events) h0 WHERE hour(run_hour) = 0
+)"""
+SQL["completeness"] = with_(
+    ["met2"],
+    """
+SELECT payment_date, run_id, input_rows, output_rows, rejected_rows, quarantined_rows, completeness_ratio,
+       CASE WHEN completeness_ratio >= 0.999 THEN 'OK' ELSE 'BREACH' END AS completeness_status
+FROM (SELECT payment_date, run_id, SUM(input_rows)::BIGINT AS input_rows, SUM(output_rows)::BIGINT AS output_rows,
+             SUM(rejected_rows)::BIGINT AS rejected_rows, SUM(quarantined_rows)::BIGINT AS quarantined_rows,
+             CAST(SUM(output_rows) AS DOUBLE) / NULLIF(CAST(SUM(input_rows) AS DOUBLE), 0) AS completeness_ratio
+      FROM met2 GROUP BY payment_date, run_id) a""",
+)
+SQL["row_balance"] = with_(
+    ["met2"],
+    """
+SELECT run_id, payment_date, input_rows, output_rows, rejected_rows, quarantined_rows,
+       input_rows - (output_rows + rejected_rows + quarantined_rows) AS leaked_rows
+FROM met2 WHERE input_rows <> output_rows + rejected_rows + quarantined_rows""",
+)
+SQL["quarantine_spike"] = with_(
+    ["met2"],
+    f"""
+SELECT w AS window_start, w + INTERVAL 1 HOUR AS window_end, quarantined_rows, min_completeness,
+       quarantined_rows > {QUARANTINE_SPIKE_ROWS} AS quarantine_alarm,
+       COALESCE(min_completeness < 0.999, FALSE) AS completeness_alarm
+FROM (SELECT date_trunc('hour', recorded_at) AS w, SUM(quarantined_rows)::BIGINT AS quarantined_rows,
+             MIN(CAST(output_rows AS DOUBLE) / NULLIF(CAST(input_rows AS DOUBLE), 0)) AS min_completeness
+      FROM met2 GROUP BY 1) a""",
+)
+
+# --- batch manifests and ingestion state over F1 ---------------------------------------------------
+_F1COLS = ("transaction_id", "game", "payment_date", "price", "currency", "status", "ingest_ts")
+CTE["man1"] = f"""
+man1 AS (
+  SELECT payment_date AS report_date,
+         'run_' || CAST(year(payment_date) * 10000 + month(payment_date) * 100 + day(payment_date) AS VARCHAR) AS run_id,
+         COUNT(*) AS rows, CAST(SUM(CAST({sk_sql(*_F1COLS)} AS DECIMAL(38,0))) AS VARCHAR) AS checksum
+  FROM f1 GROUP BY payment_date
+)"""
+DEPENDS["man1"] = ["f1"]
+SQL["batch_manifest"] = with_(["man1"], "SELECT * FROM man1")
+SQL["new_batches"] = with_(
+    ["man1"],
+    """
+SELECT m.* FROM man1 m WHERE NOT EXISTS (
+  SELECT 1 FROM man1 s WHERE s.report_date = m.report_date AND s.checksum = m.checksum
+         AND day(s.report_date) % 2 = 0 AND day(s.report_date) <> 1)""",
+)
+
+SILVER_TO_GOLD_DT = "1996-03-15"
+SQL["silver_to_gold"] = with_(["mart1"], f"SELECT * FROM mart1 WHERE payment_date = DATE '{SILVER_TO_GOLD_DT}'")
