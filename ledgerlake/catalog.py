@@ -301,3 +301,60 @@ def q_batch_manifest(spark, sf_dir):
 def q_new_batches(spark, sf_dir):
     manifest = fx.manifests(fx.payments_orders(spark, sf_dir))
     return ops.new_batches(manifest, fx.ingestion_state(manifest))
+
+
+# --- bronze landing, lean tier, bronze -> silver batch and stream over F2 --------------------------
+import datetime as _dt  # noqa: E402
+
+from ledgerlake.session import shared_dir  # noqa: E402
+from ledgerlake.sources import bronze  # noqa: E402
+from ledgerlake.streaming import runners  # noqa: E402
+
+
+def _landed(spark, sf_dir) -> str:
+    """Land the F2 raw records (with re-sends) into a fresh bronze folder in the shared dir."""
+    path = shared_dir(spark, "bronze")
+    bronze.land_bronze(fx.raw_events(spark, sf_dir, resend=True), path)
+    return path
+
+
+@query("bronze_scan")
+def q_bronze_scan(spark, sf_dir):
+    raw = bronze.read_bronze(spark, _landed(spark, sf_dir))
+    return raw.select("transaction_id", "game", "payment_date", "price", "currency", "status", "dt", "run_id")
+
+
+@query("lean_transform")
+def q_lean_transform(spark, sf_dir):
+    raw = contract.with_errors(fx.raw_events(spark, sf_dir, resend=True), oracle.CONTRACT_AS_OF)
+    valid = raw.where(F.size("errors") == 0).drop("errors")
+    return pipeline.lean_transform(valid, oracle.LEAN_DT)
+
+
+@query("bronze_to_silver")
+def q_bronze_to_silver(spark, sf_dir):
+    landed = _landed(spark, sf_dir)
+    silver = shared_dir(spark, "silver")
+    day = _dt.date.fromisoformat(oracle.B2S_DT)
+    for dt in (day - _dt.timedelta(days=1), day):
+        pipeline.bronze_to_silver(spark, landed, silver, dt, oracle.CONTRACT_AS_OF, fx.landing_ts())
+    return spark.read.parquet(silver)
+
+
+@query("stream_upsert")
+def q_stream_upsert(spark, sf_dir):
+    landed = _landed(spark, sf_dir)
+    silver = shared_dir(spark, "silver")
+    runners.run_bronze_stream(
+        spark, landed, silver, shared_dir(spark, "ckpt"), oracle.CONTRACT_AS_OF, fx.landing_ts(),
+        max_files_per_trigger=16,
+    )
+    return spark.read.parquet(silver)
+
+
+@query("stream_quarantine_spike")
+def q_stream_quarantine_spike(spark, sf_dir):
+    out = shared_dir(spark, "alarm")
+    views = fx.events_stream(spark, sf_dir).where(F.col("event_type") == "view")
+    runners.quarantine_spike_stream(views, out, shared_dir(spark, "ckpt"), oracle.QUARANTINE_SPIKE_ROWS)
+    return spark.read.parquet(out)

@@ -113,9 +113,25 @@ def payments_events_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payments_events_dirty_keyed(spark, sf_dir).drop("_id")
 
 
-def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze-shaped raw rows (all STRING plus the JSON line) with contract corruptions."""
-    return _raw_from_dirty(payments_events_dirty_keyed(spark, sf_dir))
+def raw_events(spark: SparkSession, sf_dir: str, resend: bool = False) -> DataFrame:
+    """Bronze-shaped raw rows (all STRING plus the JSON line) with contract corruptions.
+
+    Adds the landing day ``dt`` (date of ``ingest_ts``) and ``run_id``: originals land in run
+    ``a``; with ``resend`` every tenth id is sent again one hour later with a flipped status,
+    in run ``b`` of its own landing day.
+    """
+    raw = _raw_from_dirty(payments_events_dirty_keyed(spark, sf_dir)).withColumn("run_id", F.lit("a"))
+    if resend:
+        k = F.col("_id")
+        flipped = F.when(F.col("status") == "success", F.lit("error")).otherwise(F.lit("success"))
+        again = (
+            raw.where(F.pmod(k, F.lit(10)) == 0)
+            .withColumn("status", flipped)
+            .withColumn("ingest_ts", F.col("ingest_ts") + F.expr("INTERVAL 1 HOURS"))
+            .withColumn("run_id", F.lit("b"))
+        )
+        raw = raw.unionByName(again)
+    return _with_raw_line(raw.withColumn("dt", F.col("ingest_ts").cast("date")))
 
 
 def _raw_from_dirty(d: DataFrame) -> DataFrame:
@@ -151,12 +167,17 @@ def _raw_from_dirty(d: DataFrame) -> DataFrame:
         "status",
         "ingest_ts",
     )
+    return raw
+
+
+def _with_raw_line(raw: DataFrame) -> DataFrame:
+    """The record as a JSON line; every 47th id also carries a key outside the contract."""
     cols = ["transaction_id", "game", "payment_date", "price", "currency", "status"]
     line = F.to_json(F.struct(*[F.col(c) for c in cols]))
     with_extra = F.concat(F.expr("substring(_line, 1, length(_line) - 1)"), F.lit(',"extra_field":"boom"}'))
     return (
         raw.withColumn("_line", line)
-        .withColumn("raw_line", F.when(F.pmod(k, F.lit(47)) == 0, with_extra).otherwise(F.col("_line")))
+        .withColumn("raw_line", F.when(F.pmod(F.col("_id"), F.lit(47)) == 0, with_extra).otherwise(F.col("_line")))
         .drop("_line")
     )
 
@@ -368,11 +389,22 @@ def retry_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def resent_raw(raw: DataFrame) -> DataFrame:
-    """Raw records plus a re-send of every tenth id one hour later with a flipped status."""
-    k = F.col("_id")
-    flipped = F.when(F.col("status") == "success", F.lit("error")).otherwise(F.lit("success"))
-    again = raw.where(F.pmod(k, F.lit(10)) == 0).withColumn("status", flipped).withColumn(
-        "ingest_ts", F.col("ingest_ts") + F.expr("INTERVAL 1 HOURS")
+# Landing time of a bronze run: run ``a`` lands at 06:00 and run ``b`` at 18:00 of its day.
+RUN_LANDING_HOURS = (("a", 6), ("b", 18))
+
+
+def landing_ts() -> Column:
+    """Arrival time of a bronze record, from its ``dt``/``run_id`` partition values."""
+    hours = _case(F.col("run_id"), RUN_LANDING_HOURS, F.lit(0))
+    return F.col("dt").cast("timestamp_ntz") + F.make_interval(hours=hours.cast("int"))
+
+
+def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``events`` table read as a file stream (the table file is the only match)."""
+    schema = table(spark, sf_dir, "events").schema
+    return (
+        spark.readStream.schema(schema)
+        .option("pathGlobFilter", "events.parquet")
+        .option("maxFilesPerTrigger", "1")
+        .parquet(sf_dir)
     )
-    return raw.unionByName(again)

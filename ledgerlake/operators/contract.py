@@ -103,9 +103,17 @@ def with_errors(df: DataFrame, as_of, raw_line_col: str | None = "raw_line") ->
     return df.withColumn("errors", contract_errors(df, as_of, raw_line_col))
 
 
-def typed(df: DataFrame, ingest_ts=None) -> DataFrame:
-    """Convert contract-valid raw rows to the silver schema."""
-    ts = ts_lit(ingest_ts) if ingest_ts is not None else F.col("ingest_ts").cast("timestamp_ntz")
+def typed(df: DataFrame, ingest_ts=None, keep=()) -> DataFrame:
+    """Convert contract-valid raw rows to the silver schema (plus the ``keep`` columns).
+
+    ``ingest_ts`` is a literal time, a Column, or None to use the row's own ``ingest_ts``.
+    """
+    if ingest_ts is None:
+        ts = F.col("ingest_ts").cast("timestamp_ntz")
+    elif isinstance(ingest_ts, Column):
+        ts = ingest_ts
+    else:
+        ts = ts_lit(ingest_ts)
     return df.select(
         "transaction_id",
         "game",
@@ -114,16 +122,17 @@ def typed(df: DataFrame, ingest_ts=None) -> DataFrame:
         "currency",
         "status",
         ts.alias("ingest_ts"),
+        *keep,
     )
 
 
 def split_contract(
-    raw: DataFrame, as_of, ingest_ts=None, raw_line_col: str | None = "raw_line"
+    raw: DataFrame, as_of, ingest_ts=None, raw_line_col: str | None = "raw_line", keep=()
 ) -> tuple[DataFrame, DataFrame]:
     """``(good, bad)``: good rows typed to the silver schema; bad rows keep their raw fields,
     the JSON of the record and the ``errors`` array."""
     checked = with_errors(raw, as_of, raw_line_col)
-    good = typed(checked.where(F.size("errors") == 0), ingest_ts)
+    good = typed(checked.where(F.size("errors") == 0), ingest_ts, keep)
     record = F.to_json(F.struct(*[F.col(c) for c in PAYMENT_COLUMNS]))
     keep = [c for c in checked.columns if c not in ("errors",)]
     bad = checked.where(F.size("errors") > 0).select(*keep, record.alias("record"), "errors")

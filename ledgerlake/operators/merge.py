@@ -79,6 +79,7 @@ def merge_upsert(
     null_safe: bool = False,
     dedup_source: bool = True,
     source_order: Sequence[str] = ("ingest_ts",),
+    newer_only: str | None = None,
     with_action: bool = False,
 ) -> DataFrame:
     """New target after ``MERGE INTO target USING source ON keys``.
@@ -89,8 +90,10 @@ def merge_upsert(
     * not matched -> the source row is inserted (a NULL-key source row is always inserted).
 
     With the default ``null_safe=False`` a NULL on either side of a compare column counts as
-    "no change", as in SQL ``<>``. ``with_action`` adds ``_merge_action`` (``update``,
-    ``insert``, ``none``).
+    "no change", as in SQL ``<>``. ``newer_only`` names an arrival-time column: a matched row
+    is then only updated by a source row that is not older, so out-of-order delivery (e.g.
+    stream micro-batches) converges to the same table. ``with_action`` adds
+    ``_merge_action`` (``update``, ``insert``, ``none``).
     """
     keys = list(keys)
     cols = list(target.columns)
@@ -109,6 +112,8 @@ def merge_upsert(
     in_t = F.col("_t._ll_t").isNotNull()
     in_s = F.col("_s._ll_s").isNotNull()
     upd = in_t & in_s & _changed(compare_cols, null_safe)
+    if newer_only:
+        upd = upd & F.coalesce(F.col(f"_s.{newer_only}") >= F.col(f"_t.{newer_only}"), F.lit(True))
 
     out = []
     for c in cols:

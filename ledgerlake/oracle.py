@@ -620,3 +620,55 @@ SELECT m.* FROM man1 m WHERE NOT EXISTS (
 
 SILVER_TO_GOLD_DT = "1996-03-15"
 SQL["silver_to_gold"] = with_(["mart1"], f"SELECT * FROM mart1 WHERE payment_date = DATE '{SILVER_TO_GOLD_DT}'")
+
+# --- bronze landing, lean tier, bronze -> silver (batch and stream) over F2 -------------------------
+CTE["land2"] = """
+land2 AS (
+  SELECT _id, transaction_id, game, payment_date, price, currency, status, has_extra,
+         CAST(ingest_ts AS DATE) AS dt, 'a' AS run_id
+  FROM raw2
+  UNION ALL
+  SELECT _id, transaction_id, game, payment_date, price, currency,
+         CASE WHEN status = 'success' THEN 'error' ELSE 'success' END, has_extra,
+         CAST(ingest_ts + INTERVAL 1 HOUR AS DATE), 'b'
+  FROM raw2 WHERE _id % 10 = 0
+)"""
+CTE["chkland"] = "\nchkland AS (" + contract_checked("land2", CONTRACT_AS_OF) + "\n)"
+CTE["validland"] = """
+validland AS (
+  SELECT transaction_id, game, TRY_CAST(substr(payment_date, 1, 10) AS DATE) AS payment_date,
+         CAST(TRY_CAST(trim(price) AS DECIMAL(38,18)) AS DECIMAL(18,4)) AS price, currency, status,
+         CAST(dt AS TIMESTAMP) + CASE run_id WHEN 'a' THEN INTERVAL 6 HOUR WHEN 'b' THEN INTERVAL 18 HOUR
+                                    ELSE INTERVAL 0 HOUR END AS ingest_ts,
+         dt, run_id
+  FROM chkland WHERE errors = ''
+)"""
+DEPENDS.update({"land2": ["raw2"], "chkland": ["land2"], "validland": ["chkland"]})
+
+LATEST_VALID = """
+  SELECT transaction_id, game, payment_date, price, currency, status, ingest_ts FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY transaction_id ORDER BY ingest_ts DESC) AS rn
+    FROM validland WHERE {where}) v WHERE rn = 1"""
+
+SQL["bronze_scan"] = with_(
+    ["land2"], "SELECT transaction_id, game, payment_date, price, currency, status, dt, run_id FROM land2"
+)
+LEAN_DT = "2024-01-15"
+SQL["lean_transform"] = with_(
+    ["validland"],
+    f"""
+SELECT transaction_id, game, payment_date, price, currency, status FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY transaction_id ORDER BY run_id DESC) AS rn
+  FROM validland WHERE dt = DATE '{LEAN_DT}') v WHERE rn = 1""",
+)
+B2S_DT = "2024-01-15"
+SQL["bronze_to_silver"] = with_(
+    ["validland"], LATEST_VALID.format(where=f"dt IN (DATE '{B2S_DT}' - 1, DATE '{B2S_DT}')")
+)
+SQL["stream_upsert"] = with_(["validland"], LATEST_VALID.format(where="TRUE"))
+SQL["stream_quarantine_spike"] = f"""
+SELECT w AS window_start, w + INTERVAL 1 HOUR AS window_end, COUNT(*) AS quarantined_rows,
+       COUNT(*) > {QUARANTINE_SPIKE_ROWS} AS quarantine_alarm
+FROM (SELECT date_trunc('hour', ts) AS w FROM events WHERE event_type = 'view') v
+GROUP BY w
+HAVING w + INTERVAL 1 HOUR <= (SELECT MAX(ts) FROM events WHERE event_type = 'view') - INTERVAL 1 HOUR"""

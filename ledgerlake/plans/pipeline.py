@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import contract, dq, gold
@@ -26,7 +26,8 @@ def restate_window(silver: DataFrame, fx: DataFrame, dt, days: int = 7) -> tuple
     """Fact and mart for the ``days`` days before ``dt`` in one job (``[dt - days, dt)``).
 
     Late status flips merged into silver are absorbed by rebuilding these days; the range is
-    one half-open typed filter, so the scan prunes to exactly those partitions.
+    one half-open typed filter, so the scan prunes to exactly those partitions, and the days
+    are rebuilt by one job instead of one job per day.
     """
     end = _date(dt)
     start = end - _dt.timedelta(days=days)
@@ -34,13 +35,64 @@ def restate_window(silver: DataFrame, fx: DataFrame, dt, days: int = 7) -> tuple
     return fact, gold.build_agg_game_daily(fact)
 
 
+def silver_to_gold(silver: DataFrame, fx: DataFrame, dt) -> tuple[DataFrame, DataFrame]:
+    """Fact and mart of one day; the day filter comes before the FX join."""
+    fact = gold.build_fact(gold.filter_day(silver, dt), fx)
+    return fact, gold.build_agg_game_daily(fact)
+
+
+def lean_transform(raw: DataFrame, dt, day_column: str = "dt", order_by=("run_id",)) -> DataFrame:
+    """Typed, deduplicated records of one landing day (bronze -> silver shape, no MERGE).
+
+    The later run wins for a re-sent id. Written by ``write_lean`` as ZSTD Parquet.
+    """
+    day = raw.where(F.col(day_column) == F.lit(_date(dt)))
+    latest = dedup_latest(day, order_by=list(order_by))
+    return contract.typed(latest).drop("ingest_ts")
+
+
+def write_lean(df: DataFrame, path: str) -> None:
+    tables.overwrite_partitions(df, path, "payment_date", compression="zstd")
+
+
+def bronze_to_silver(
+    spark: SparkSession,
+    bronze_path: str,
+    silver_path: str,
+    dt,
+    as_of,
+    ingest_ts: Column,
+    quarantine_path: str | None = None,
+) -> dict:
+    """Read a landing day's bronze, split it by contract, dedup the good rows and MERGE them
+    into the silver table (rewriting only touched partitions).
+
+    The contract runs on the whole batch, so late rows whose payment_date differs from ``dt``
+    are validated like any other. ``ingest_ts`` is the arrival time per row (e.g. derived
+    from the run); the MERGE only lets newer arrivals overwrite.
+    """
+    raw = bronze.read_bronze(spark, bronze_path, dt).persist()
+    try:
+        good, bad = contract.split_contract(raw, as_of, ingest_ts=ingest_ts)
+        good = dedup_latest(good, order_by=("ingest_ts",))
+        touched = tables.merge_into_table(spark, silver_path, good, newer_only="ingest_ts")
+        n_bad = 0
+        if quarantine_path is not None:
+            bad = bad.checkpoint(eager=True)
+            n_bad = bad.count()
+            if n_bad:
+                contract.write_quarantine(bad, quarantine_path, dt, run_id=f"b2s_{_date(dt).isoformat()}")
+        return {"touched": touched, "quarantined": n_bad}
+    finally:
+        raw.unpersist()
+
+
 @dataclass
 class Paths:
     bronze: str
     silver: str
     gold: str
     quarantine: str
-    fx: str | None = None
 
     @property
     def fact(self) -> str:
@@ -56,63 +108,46 @@ class DayResult:
     dt: str
     merged_partitions: list = field(default_factory=list)
     quarantined_rows: int = 0
-    dq_failures: dict = field(default_factory=dict)
-    gold_partitions: list = field(default_factory=list)
-
-
-def bronze_to_silver(
-    spark: SparkSession, paths: Paths, dt, ingest_ts, as_of=None, run_id: str | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """Read the day's bronze, split by contract, dedup the good rows.
-
-    Returns ``(good, quarantined)``; the contract runs on the whole batch, so late rows
-    whose payment_date differs from ``dt`` are validated like any other row.
-    """
-    raw = bronze.read_bronze(spark, paths.bronze, dt, run_id=run_id)
-    good, bad = contract.split_contract(raw, as_of or dt, ingest_ts=ingest_ts)
-    return dedup_latest(good), bad
+    gold_days: list = field(default_factory=list)
+    orphans: dict = field(default_factory=dict)
 
 
 def run_day(
     spark: SparkSession,
     paths: Paths,
     dt,
-    ingest_ts,
     fx: DataFrame,
+    ingest_ts: Column,
     *,
     as_of=None,
     restate_days: int = 7,
+    dim_game: DataFrame | None = None,
+    dim_currency: DataFrame | None = None,
 ) -> DayResult:
-    """One daily run over Parquet tables: bronze -> silver MERGE -> DQ gate -> gold."""
-    dt_s = str(dt)
-    result = DayResult(dt=dt_s)
-    good, bad = bronze_to_silver(spark, paths, dt, ingest_ts, as_of=as_of)
-    bad = bad.checkpoint(eager=True)
-    result.quarantined_rows = bad.count()
-    if result.quarantined_rows:
-        contract.write_quarantine(bad, paths.quarantine, dt_s, run_id=f"run_{dt_s}")
-
-    failures = dq.hard_failures(good, as_of or dt)
-    result.dq_failures = failures
-    if failures:
-        raise dq.DQError(f"hard DQ failures: {failures}")
-    result.merged_partitions = tables.merge_into_table(spark, paths.silver, good)
+    """One daily run over Parquet tables.
+
+    bronze(dt) -> contract split (bad rows to quarantine) -> dedup -> silver MERGE of touched
+    partitions -> FAIL-severity DQ gate on the merged days -> fact and mart for ``dt`` and the
+    ``restate_days`` days before it, in one job, overwriting those partitions -> optional
+    referential check against the dimensions.
+    """
+    day = _date(dt)
+    as_of = as_of or day
+    result = DayResult(dt=day.isoformat())
+    b2s = bronze_to_silver(spark, paths.bronze, paths.silver, day, as_of, ingest_ts, paths.quarantine)
+    result.merged_partitions = b2s["touched"]
+    result.quarantined_rows = b2s["quarantined"]
 
     silver = spark.read.parquet(paths.silver)
-    end = _date(dt) + _dt.timedelta(days=1)
-    fact, mart = restate_window(silver, fx, end, days=restate_days + 1)
+    if result.merged_partitions:
+        dq.assert_silver(silver.where(F.col("payment_date").isin(result.merged_partitions)), as_of)
+
+    fact, _ = restate_window(silver, fx, day + _dt.timedelta(days=1), days=restate_days + 1)
     fact = fact.checkpoint(eager=True)
     tables.overwrite_partitions(fact, paths.fact)
     tables.overwrite_partitions(gold.build_agg_game_daily(fact), paths.mart)
-    result.gold_partitions = sorted(r[0] for r in fact.select("payment_date").distinct().collect())
+    result.gold_days = sorted(r[0] for r in fact.select("payment_date").distinct().collect())
+    if dim_game is not None and dim_currency is not None:
+        summary = dq.referential_summary(fact, dim_game, dim_currency).first()
+        result.orphans = summary.asDict()
     return result
-
-
-def silver_to_gold(silver: DataFrame, fx: DataFrame, dt) -> tuple[DataFrame, DataFrame]:
-    """Fact and mart of one day; the day filter comes before the FX join."""
-    fact = gold.build_fact(gold.filter_day(silver, dt), fx)
-    return fact, gold.build_agg_game_daily(fact)
-
-
-def day_filter_column(dt) -> F.Column:
-    return F.col("payment_date") == F.lit(_date(dt))

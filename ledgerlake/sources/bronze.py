@@ -1,84 +1,104 @@
 """Bronze layer: raw payment records as gzipped JSON lines under ``dt=<day>/run_id=<id>/``.
 
-Landing writes the records with the DataFrame writer (one file set per task, compressed), and
-a manifest table of row count and content checksum per batch next to (not inside) the data
-folder, so a scan of the data never picks the manifest up as a record.
+Landing writes each record's JSON line exactly as received (unknown keys included) with the
+DataFrame writer, gzip-compressed, one file set per task. The batch manifest (row count and
+content checksum per ``dt``/``run_id``) is returned as a DataFrame for the caller to append to
+its own manifest table, outside the data folder, so scans never read it as a record.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from ledgerlake.operators.ops import batch_manifest
 from ledgerlake.schemas import PAYMENT_COLUMNS, RAW_PAYMENT
 
-DATA_GLOB = "*.json.gz"
+DATA_GLOB = "part-*"
+LINE_SCHEMA = StructType(
+    [
+        StructField("value", StringType(), True),
+        StructField("dt", DateType(), True),
+        StructField("run_id", StringType(), True),
+    ]
+)
 
 
 def _day(dt) -> str:
     return dt.isoformat() if isinstance(dt, _dt.date) else str(dt)
 
 
+def record_line(df: DataFrame) -> Column:
+    """The JSON line of a record: ``raw_line`` when present, else the six fields as JSON."""
+    if "raw_line" in df.columns:
+        return F.col("raw_line")
+    return F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in PAYMENT_COLUMNS]))
+
+
 def land_bronze(raw: DataFrame, path: str, dt=None, run_id: str | None = None) -> DataFrame:
-    """Write raw records as gzipped JSON lines partitioned by ``dt``/``run_id``.
+    """Append records as gzipped JSON lines partitioned by ``dt``/``run_id``.
 
-    ``raw`` carries the six payment fields (strings) and either ``dt``/``run_id`` columns or
-    the ``dt``/``run_id`` arguments. Returns the manifest of what was written (one row per
-    batch), which the caller appends to the manifest table.
+    ``raw`` carries the payment fields (or ``raw_line``) and either ``dt``/``run_id`` columns
+    or the ``dt``/``run_id`` arguments. Returns the manifest of the landed batches.
     """
     df = raw
     if dt is not None:
-        df = df.withColumn("dt", F.lit(_day(dt)))
+        df = df.withColumn("dt", F.lit(_day(dt)).cast("date"))
     if run_id is not None:
         df = df.withColumn("run_id", F.lit(run_id))
-    records = df.select(*PAYMENT_COLUMNS, "dt", "run_id")
+    lines = df.select(record_line(df).alias("value"), F.col("dt").cast("date").alias("dt"), "run_id")
     (
-        records.write.mode("append")
+        lines.write.mode("append")
         .partitionBy("dt", "run_id")
         .option("compression", "gzip")
-        .option("ignoreNullFields", "false")
-        .json(path)
+        .text(path)
     )
-    return manifest_of(records)
-
+    return manifest_of(lines)
 
-def manifest_of(records: DataFrame) -> DataFrame:
-    m = batch_manifest(records, ["dt", "run_id"], list(PAYMENT_COLUMNS))
-    return m.select(F.col("dt").cast("date").alias("report_date"), "run_id", "rows", "checksum")
 
+def manifest_of(lines: DataFrame) -> DataFrame:
+    m = batch_manifest(lines, ["dt", "run_id"], ["value"])
+    return m.select(F.col("dt").alias("report_date"), "run_id", "rows", "checksum")
 
-def read_bronze(
-    spark: SparkSession,
-    path: str,
-    dt=None,
-    run_id: str | None = None,
-    with_raw_line: bool = True,
-) -> DataFrame:
-    """Scan bronze records (all fields STRING) for one day, or all days when ``dt`` is None.
 
-    The enforced STRING schema keeps the text for the contract; ``raw_line`` is the record
-    re-serialised from *all* its keys (read as ``text`` would also work) so unknown keys are
-    visible to the extra-field rule. ``dt`` prunes to one directory partition.
-    """
-    base = path.rstrip("/")
-    reader = spark.read.option("pathGlobFilter", DATA_GLOB).option("basePath", base)
-    target = base if dt is None else f"{base}/dt={_day(dt)}"
-    if run_id is not None and dt is not None:
-        target = f"{target}/run_id={run_id}"
-    if not with_raw_line:
-        return reader.schema(RAW_PAYMENT).json(target)
-    lines = reader.text(target)
+def parse_lines(lines: DataFrame) -> DataFrame:
+    """JSON lines -> raw records: the six fields as STRING, the line kept as ``raw_line``."""
+    extra = [c for c in lines.columns if c != "value"]
     parsed = lines.select(
-        F.from_json("value", RAW_PAYMENT, {"mode": "PERMISSIVE"}).alias("r"),
-        F.col("value").alias("raw_line"),
-        *[c for c in lines.columns if c in ("dt", "run_id")],
+        F.from_json("value", RAW_PAYMENT).alias("r"), F.col("value").alias("raw_line"), *extra
     )
-    return parsed.select("r.*", "raw_line", *[c for c in parsed.columns if c in ("dt", "run_id")])
+    return parsed.select("r.*", "raw_line", *extra)
+
 
+def read_bronze(spark: SparkSession, path: str, dt=None, run_id: str | None = None) -> DataFrame:
+    """Scan raw records of one landing day (or all days when ``dt`` is None).
 
-def raw_from_silver(df: DataFrame) -> DataFrame:
-    """String-typed raw records from typed rows (re-landing, tests)."""
-    return df.select(*[F.col(c).cast("string").alias(c) for c in PAYMENT_COLUMNS])
+    The day is a directory-partition filter, so only that day's files are listed and read.
+    The STRING schema keeps each field's text for the contract.
+    """
+    base = path.rstrip("/")
+    lines = (
+        spark.read.schema(LINE_SCHEMA)
+        .option("pathGlobFilter", DATA_GLOB)
+        .option("basePath", base)
+        .format("text")
+        .load(base)
+    )
+    if dt is not None:
+        lines = lines.where(F.col("dt") == F.lit(_day(dt)).cast("date"))
+    if run_id is not None:
+        lines = lines.where(F.col("run_id") == F.lit(run_id))
+    return parse_lines(lines)
+
+
+def stream_bronze(spark: SparkSession, path: str, max_files_per_trigger: int | None = None, archive_dir: str | None = None):
+    """Streaming scan of bronze lines (file source); partition columns come from the paths."""
+    reader = spark.readStream.schema(LINE_SCHEMA).option("pathGlobFilter", DATA_GLOB)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+    return reader.format("text").load(path.rstrip("/"))
