@@ -109,7 +109,8 @@ def typed(df: DataFrame, ingest_ts=None, keep=()) -> DataFrame:
     ``ingest_ts`` is a literal time, a Column, or None to use the row's own ``ingest_ts``.
     """
     if ingest_ts is None:
-        ts = F.col("ingest_ts").cast("timestamp_ntz")
+        ts = F.col("ingest_ts") if "ingest_ts" in df.columns else F.lit(None)
+        ts = ts.cast("timestamp_ntz")
     elif isinstance(ingest_ts, Column):
         ts = ingest_ts
     else:
