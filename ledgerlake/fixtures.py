@@ -31,8 +31,15 @@ F1_INGEST_OFFSET_HOURS = 6
 LATE_BATCH_TS = "2001-09-01 00:00:00"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+def table(spark: SparkSession, sf_dir: str, name: str, spread_small: bool = True) -> DataFrame:
+    """One of the driver's tables. Each is a single Parquet file with one row group, so it is
+    spread over the cores when it would otherwise be scanned by a single task."""
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    if not spread_small:
+        return df
+    from ledgerlake.sources.tables import spread
+
+    return spread(df)
 
 
 def _case(col: Column, pairs, default: Column | None) -> Column:

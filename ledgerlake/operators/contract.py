@@ -93,14 +93,37 @@ def error_flags(as_of, raw_line_col: str | None = "raw_line", columns=None) -> l
     return flags
 
 
+def error_text(df: DataFrame, as_of, raw_line_col: str | None = "raw_line") -> Column:
+    """Comma-joined names of broken rules in ``ERROR_NAMES`` order ('' for a good row).
+
+    ``concat_ws`` skips NULLs, so unbroken rules vanish without a lambda: the expression stays
+    inside whole-stage code generation (``array_compact`` would compile to an interpreted
+    higher-order ``filter``).
+    """
+    flags = error_flags(as_of, raw_line_col, df.columns)
+    return F.concat_ws(",", *[F.when(cond, F.lit(name)) for name, cond in flags])
+
+
 def contract_errors(df: DataFrame, as_of, raw_line_col: str | None = "raw_line") -> Column:
     """``array<string>`` of broken rules in ``ERROR_NAMES`` order (empty for a good row)."""
-    flags = error_flags(as_of, raw_line_col, df.columns)
-    return F.array_compact(F.array(*[F.when(cond, F.lit(name)) for name, cond in flags]))
+    text = error_text(df, as_of, raw_line_col)
+    return F.when(text == F.lit(""), F.array().cast("array<string>")).otherwise(F.split(text, ","))
 
 
 def with_errors(df: DataFrame, as_of, raw_line_col: str | None = "raw_line") -> DataFrame:
-    return df.withColumn("errors", contract_errors(df, as_of, raw_line_col))
+    """``df`` plus ``errors`` (array of broken rule names), each rule evaluated once per row.
+
+    The rule text is produced inside ``inline(array(struct(...)))``: a filter on ``errors``
+    (e.g. good vs bad rows) cannot be pushed below that generator, so Catalyst does not
+    substitute the whole contract expression into the filter and evaluate it twice; it also
+    keeps the generated code of the stage small enough to compile.
+    """
+    packed = F.struct(*[F.col(c) for c in df.columns], error_text(df, as_of, raw_line_col).alias("_ll_err"))
+    checked = df.select(F.inline(F.array(packed)))
+    errors = F.when(F.col("_ll_err") == F.lit(""), F.array().cast("array<string>")).otherwise(
+        F.split(F.col("_ll_err"), ",")
+    )
+    return checked.withColumn("errors", errors).drop("_ll_err")
 
 
 def typed(df: DataFrame, ingest_ts=None, keep=()) -> DataFrame:

@@ -50,8 +50,11 @@ def land_bronze(raw: DataFrame, path: str, dt=None, run_id: str | None = None) -
     if run_id is not None:
         df = df.withColumn("run_id", F.lit(run_id))
     lines = df.select(record_line(df).alias("value"), F.col("dt").cast("date").alias("dt"), "run_id")
+    # Cluster by the output folders so each (dt, run_id) gets few large files; adaptive
+    # execution still splits a hot day over several tasks.
     (
-        lines.write.mode("append")
+        lines.hint("rebalance", "dt", "run_id")
+        .write.mode("append")
         .partitionBy("dt", "run_id")
         .option("compression", "gzip")
         .text(path)

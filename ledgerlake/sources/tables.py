@@ -25,6 +25,21 @@ def _fs_path(spark: SparkSession, path: str):
     return fs, p
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin an input that has fewer partitions than the cluster has cores.
+
+    A single large unsplittable file (a gzip JSON batch, a one-row-group Parquet file) is read
+    by one task, and every narrow operator after it (contract checks, hashing) would run on
+    one core. A table of many files already has enough splits, and is returned unchanged, so
+    this adds a shuffle only where the input is too coarse to use the cluster.
+    """
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     fs, p = _fs_path(spark, path)
     return bool(fs.exists(p))
