@@ -125,22 +125,31 @@ def merge_into_table(
     only the key and partition columns of the target. The first write of a missing table is a
     plain partitioned write. Returns the rewritten partition values.
     """
-    if not table_exists(spark, path):
-        src = merge_upsert(source.limit(0), source, keys, **merge_kwargs)
-        overwrite_partitions(src, path, partition_col)
-        return _values(src, partition_col)
-    target = spark.read.parquet(path)
-    src_keys = source.select(*keys).where(F.col(keys[0]).isNotNull()).distinct()
-    hit = target.select(*keys, partition_col).join(src_keys, list(keys), "left_semi")
-    touched = sorted(set(_values(hit, partition_col)) | set(_values(source, partition_col)) - {None})
-    if not touched:
-        return []
-    part = target.where(F.col(partition_col).isin(touched))
-    merged = merge_upsert(part, source.select(*target.columns), keys, **merge_kwargs)
-    # Materialise before overwriting the partitions it was read from.
-    merged = merged.checkpoint(eager=True)
-    overwrite_partitions(merged, path, partition_col)
-    return touched
+    # The batch feeds three jobs (touched partitions, merge, first write): compute it once.
+    # Persisted blocks lost with an executor are recomputed from the lineage.
+    src = source.persist()
+    try:
+        if not table_exists(spark, path):
+            if src.isEmpty():
+                return []
+            first = merge_upsert(src.limit(0), src, keys, **merge_kwargs)
+            overwrite_partitions(first, path, partition_col)
+            return _values(src, partition_col)
+        target = spark.read.parquet(path)
+        src_keys = src.select(*keys).where(F.col(keys[0]).isNotNull())
+        hit = target.select(*keys, partition_col).join(src_keys, list(keys), "left_semi")
+        # One job: partitions of matched target rows plus partitions of the batch rows.
+        touched = sorted(set(_values(hit.select(partition_col).unionByName(src.select(partition_col)), partition_col)) - {None})
+        if not touched:
+            return []
+        part = target.where(F.col(partition_col).isin(touched))
+        merged = merge_upsert(part, src.select(*target.columns), keys, **merge_kwargs)
+        # Dynamic overwrite writes into a staging folder and swaps the partitions in only at
+        # job commit, after every task has finished reading the old files.
+        overwrite_partitions(merged, path, partition_col)
+        return touched
+    finally:
+        src.unpersist()
 
 
 def erase_from_table(
