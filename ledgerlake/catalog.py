@@ -358,3 +358,8 @@ def q_stream_quarantine_spike(spark, sf_dir):
     views = fx.events_stream(spark, sf_dir).where(F.col("event_type") == "view")
     runners.quarantine_spike_stream(views, out, shared_dir(spark, "ckpt"), oracle.QUARANTINE_SPIKE_ROWS)
     return spark.read.parquet(out)
+
+
+@query("dim_currency")
+def q_dim_currency(spark, sf_dir):
+    return gold.dim_currency(fx.payments_orders(spark, sf_dir), column="currency")

@@ -97,3 +97,45 @@ def freshness_alarm(freshness: DataFrame, max_days_behind: int = FRESHNESS_ALARM
     return freshness.withColumn(
         "freshness_alarm", F.coalesce(F.col("days_behind") > F.lit(max_days_behind), F.lit(True))
     )
+
+
+class RowLeakError(RuntimeError):
+    pass
+
+
+def observed(df: DataFrame, name: str):
+    """Attach a row counter to ``df`` that is filled by whatever action runs it next.
+
+    Counting through ``DataFrame.observe`` piggybacks on the job that writes the data, so
+    metrics need no second scan. Returns ``(df, observation)``; read
+    ``observation.get["rows"]`` after the action.
+    """
+    from pyspark.sql import Observation
+
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
+def task_metrics(spark, dag_id: str, task_id: str, run_id: str, payment_date: str,
+                 input_rows: int, output_rows: int, rejected_rows: int, quarantined_rows: int,
+                 recorded_at) -> DataFrame:
+    """One metrics row (a handful of scalars gathered by observations) as a DataFrame."""
+    from ledgerlake.schemas import PIPELINE_METRICS
+    import datetime as _dt
+
+    ts = recorded_at if isinstance(recorded_at, _dt.datetime) else _dt.datetime.fromisoformat(str(recorded_at))
+    row = (dag_id, task_id, run_id, payment_date, int(input_rows), int(output_rows),
+           int(rejected_rows), int(quarantined_rows), ts)
+    return spark.createDataFrame([row], PIPELINE_METRICS)
+
+
+def emit_metrics(metrics: DataFrame, path: str) -> None:
+    """Append metrics rows, then raise if any of them leaks rows."""
+    metrics.write.mode("append").parquet(path)
+    leaks = row_balance(metrics)
+    if not leaks.isEmpty():
+        first = leaks.first()
+        raise RowLeakError(
+            f"row leak {first['run_id']} dt={first['payment_date']}: in={first['input_rows']} "
+            f"out={first['output_rows']} rej={first['rejected_rows']} quar={first['quarantined_rows']}"
+        )

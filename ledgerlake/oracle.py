@@ -672,3 +672,5 @@ SELECT w AS window_start, w + INTERVAL 1 HOUR AS window_end, COUNT(*) AS quarant
 FROM (SELECT date_trunc('hour', ts) AS w FROM events WHERE event_type = 'view') v
 GROUP BY w
 HAVING w + INTERVAL 1 HOUR <= (SELECT MAX(ts) FROM events WHERE event_type = 'view') - INTERVAL 1 HOUR"""
+
+SQL["dim_currency"] = with_(["f1"], "SELECT DISTINCT currency AS currency_code FROM f1 WHERE currency IS NOT NULL")

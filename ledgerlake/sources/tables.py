@@ -110,12 +110,22 @@ def _values(df: DataFrame, column: str) -> list:
     return [r[0] for r in df.select(column).distinct().collect()]
 
 
+def _write_merged(df: DataFrame, path: str, partition_col: str, layout: bool) -> None:
+    """Rewrite partitions with the silver layout: few files per day, rows sorted by game,
+    and a Parquet bloom filter on the key for point lookups."""
+    if layout:
+        df = write_layout(df, partition_col, sort_cols=("game",))
+    blooms = [c for c in DEFAULT_KEYS if c in df.columns] if layout else []
+    overwrite_partitions(df, path, partition_col, bloom_filter_cols=blooms)
+
+
 def merge_into_table(
     spark: SparkSession,
     path: str,
     source: DataFrame,
     keys: Sequence[str] = DEFAULT_KEYS,
     partition_col: str = PARTITION_COLUMN,
+    layout: bool = True,
     **merge_kwargs,
 ) -> list:
     """MERGE ``source`` into the Parquet table at ``path``, rewriting only touched partitions.
@@ -133,7 +143,7 @@ def merge_into_table(
             if src.isEmpty():
                 return []
             first = merge_upsert(src.limit(0), src, keys, **merge_kwargs)
-            overwrite_partitions(first, path, partition_col)
+            _write_merged(first, path, partition_col, layout)
             return _values(src, partition_col)
         target = spark.read.parquet(path)
         src_keys = src.select(*keys).where(F.col(keys[0]).isNotNull())
@@ -146,7 +156,7 @@ def merge_into_table(
         merged = merge_upsert(part, src.select(*target.columns), keys, **merge_kwargs)
         # Dynamic overwrite writes into a staging folder and swaps the partitions in only at
         # job commit, after every task has finished reading the old files.
-        overwrite_partitions(merged, path, partition_col)
+        _write_merged(merged, path, partition_col, layout)
         return touched
     finally:
         src.unpersist()

@@ -98,3 +98,22 @@ def test_stream_second_run_processes_nothing(spark):
     args = (spark, landed, silver, ckpt, oracle.CONTRACT_AS_OF, fx.landing_ts())
     assert runners.run_bronze_stream(*args) >= 1
     assert runners.run_bronze_stream(*args) == 0
+
+
+def test_observed_metrics_and_leak_detection(spark):
+    import pytest
+
+    from ledgerlake.operators import ops
+
+    silver = fx.payments_orders(spark, SF_SMALL)
+    counted, obs = ops.observed(silver, "silver_rows")
+    counted.write.format("noop").mode("overwrite").save()
+    n = obs.get["rows"]
+    assert n == silver.count()
+    path = shared_dir(spark, "metrics")
+    ok = ops.task_metrics(spark, "d", "t", "r1", "2025-01-01", n, n - 2, 1, 1, "2025-01-02T00:00:00")
+    ops.emit_metrics(ok, path)
+    bad = ops.task_metrics(spark, "d", "t", "r2", "2025-01-01", n, n - 3, 1, 1, "2025-01-02T00:00:00")
+    with pytest.raises(ops.RowLeakError):
+        ops.emit_metrics(bad, path)
+    assert spark.read.parquet(path).count() == 2
