@@ -33,11 +33,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     one core. A table of many files already has enough splits, and is returned unchanged, so
     this adds a shuffle only where the input is too coarse to use the cluster.
     """
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. Spark Connect): leave the plan as it is
         return df
-    return df.repartition(target)
+    return df if current >= target else df.repartition(target)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:

@@ -54,11 +54,34 @@ def canonical_rows(columns: list[str], rows) -> Counter:
     return Counter(tuple(_norm(r[i]) for i in order) for r in rows)
 
 
+# Spark simpleString -> DuckDB type name for the types the queries produce.
+TYPE_NAMES = {
+    "string": "VARCHAR",
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
+}
+
+
+def type_mismatches(sdf, rel) -> list:
+    d_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    out = []
+    for f in sdf.schema.fields:
+        st = f.dataType.simpleString()
+        if d_types.get(f.name) != TYPE_NAMES.get(st, st.upper()):
+            out.append((f.name, st, d_types.get(f.name)))
+    return out
+
+
 def compare(spark, name: str, query, sql: str, sf_dir: str) -> dict:
     sdf = query(spark, sf_dir)
     s_cols = list(sdf.columns)
     s_rows = [tuple(r) for r in sdf.collect()]
     con = duck_connect(sf_dir)
+    types_bad = type_mismatches(sdf, con.sql(sql))
     cur = con.execute(sql)
     d_cols = [d[0] for d in cur.description]
     d_rows = cur.fetchall()
@@ -74,6 +97,7 @@ def compare(spark, name: str, query, sql: str, sf_dir: str) -> dict:
         "spark_columns": s_cols,
         "oracle_columns": d_cols,
         "values_match": not diff_s and not diff_d,
+        "type_mismatches": types_bad,
         "only_spark": list(diff_s.elements())[:3],
         "only_oracle": list(diff_d.elements())[:3],
     }

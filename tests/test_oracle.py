@@ -15,6 +15,7 @@ def test_query_matches_oracle(spark, name):
         return
     r = compare(spark, name, queries()[name], sql, SF_SMALL)
     assert r["columns_match"], (r["spark_columns"], r["oracle_columns"])
+    assert not r["type_mismatches"], r["type_mismatches"]
     assert r["spark_rows"] == r["oracle_rows"]
     assert r["values_match"], (r["only_spark"], r["only_oracle"])
 
