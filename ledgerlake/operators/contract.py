@@ -43,6 +43,7 @@ ERROR_NAMES = (
 )
 PRICE_PATTERN = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 PRICE_EXCESS_FRACTION = r"\.[0-9]{4}[0-9]*[1-9]"
+PRICE_ZERO = r"^[+-]?(0+\.?0*|\.0+)([eE][+-]?[0-9]+)?$"
 DATE_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ]00:00(:00(\.0+)?)?)?$"
 CURRENCY_PATTERN = r"\A[A-Z]{3}\z"
 WIDE_DECIMAL = "decimal(38,18)"
@@ -71,7 +72,12 @@ def error_flags(as_of, raw_line_col: str | None = "raw_line", columns=None) -> l
     d = parsed_date()
     date_valid = d_ok & d.isNotNull()
     narrow = num.try_cast(MONEY)
-    excess = (~p.contains("e") & ~p.contains("E") & p.rlike(PRICE_EXCESS_FRACTION)) | (num != F.round(num, 4))
+    zero = F.coalesce(p.rlike(PRICE_ZERO), F.lit(False))
+    # Compare at scale 18 on both sides: a plain ``num != round(num, 4)`` is widened by Spark
+    # to DECIMAL(38,17) and would round an 18th-decimal digit away.
+    excess = (~p.contains("e") & ~p.contains("E") & p.rlike(PRICE_EXCESS_FRACTION)) | (
+        num != F.round(num, 4).cast(WIDE_DECIMAL)
+    )
     flags = [
         ("transaction_id_missing", tid.isNull() | (F.length(tid) < 1)),
         ("transaction_id_too_long", F.coalesce(F.length(tid) > MAX_TRANSACTION_ID_LEN, F.lit(False))),
@@ -80,8 +86,9 @@ def error_flags(as_of, raw_line_col: str | None = "raw_line", columns=None) -> l
         ("payment_date_invalid", ~date_valid),
         ("payment_date_future", date_valid & (d > date_lit(as_of))),
         ("price_invalid", ~syntax_ok),
-        ("price_out_of_range", syntax_ok & (num.isNull() | narrow.isNull())),
-        ("price_not_positive", syntax_ok & F.coalesce(num <= 0, F.lit(False))),
+        # A zero with a large exponent ("0e38") does not parse as DECIMAL(38,18) but is zero.
+        ("price_out_of_range", syntax_ok & ~zero & (num.isNull() | narrow.isNull())),
+        ("price_not_positive", syntax_ok & (zero | F.coalesce(num <= 0, F.lit(False)))),
         ("price_too_precise", syntax_ok & num.isNotNull() & F.coalesce(excess, F.lit(False))),
         ("currency_invalid", ~F.coalesce(F.col("currency").rlike(CURRENCY_PATTERN), F.lit(False))),
         ("status_invalid", ~F.coalesce(F.col("status").isin(*VALID_STATUS), F.lit(False))),

@@ -338,10 +338,11 @@ def contract_checked(src: str, as_of: str) -> str:
       CASE WHEN NOT (d_ok AND d IS NOT NULL) THEN 'payment_date_invalid' END,
       CASE WHEN d_ok AND d IS NOT NULL AND d > DATE '{as_of}' THEN 'payment_date_future' END,
       CASE WHEN NOT p_ok THEN 'price_invalid' END,
-      CASE WHEN p_ok AND (num IS NULL OR TRY_CAST(num AS DECIMAL(18,4)) IS NULL) THEN 'price_out_of_range' END,
-      CASE WHEN p_ok AND COALESCE(num <= 0, FALSE) THEN 'price_not_positive' END,
+      CASE WHEN p_ok AND NOT p_zero AND (num IS NULL OR TRY_CAST(num AS DECIMAL(18,4)) IS NULL)
+           THEN 'price_out_of_range' END,
+      CASE WHEN p_ok AND (p_zero OR COALESCE(num <= 0, FALSE)) THEN 'price_not_positive' END,
       CASE WHEN p_ok AND num IS NOT NULL AND COALESCE(
-             (NOT contains(lower(p), 'e') AND regexp_matches(p, '\\.[0-9]{{4}}[0-9]*[1-9]')) OR num <> round(num, 4),
+             (NOT contains(lower(p), 'e') AND regexp_matches(p, '\\.[0-9]{{4}}[0-9]*[1-9]')) OR num <> CAST(round(num, 4) AS DECIMAL(38,18)),
              FALSE) THEN 'price_too_precise' END,
       CASE WHEN NOT COALESCE(regexp_full_match(currency, '[A-Z]{{3}}'), FALSE) THEN 'currency_invalid' END,
       CASE WHEN NOT COALESCE(status IN ('success', 'error', 'pending', 'refunded'), FALSE) THEN 'status_invalid' END,
@@ -349,6 +350,7 @@ def contract_checked(src: str, as_of: str) -> str:
   FROM (
     SELECT *, trim(price) AS p, TRY_CAST(trim(price) AS DECIMAL(38,18)) AS num,
            COALESCE(regexp_full_match(trim(price), '[+-]?([0-9]+(\\.[0-9]*)?|\\.[0-9]+)([eE][+-]?[0-9]+)?'), FALSE) AS p_ok,
+           COALESCE(regexp_full_match(trim(price), '[+-]?(0+\\.?0*|\\.0+)([eE][+-]?[0-9]+)?'), FALSE) AS p_zero,
            COALESCE(regexp_full_match(payment_date, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}([T ]00:00(:00(\\.0+)?)?)?'), FALSE) AS d_ok,
            TRY_CAST(substr(payment_date, 1, 10) AS DATE) AS d
     FROM {src}) c0"""
