@@ -283,26 +283,20 @@ def duplicate_batch(silver: DataFrame) -> DataFrame:
 
 
 def late_batch(silver: DataFrame) -> DataFrame:
-    """Update (k%7=0, flipped status), no-op (k%7=1) and insert (k%7=2, new ids) branches."""
-    k = F.col("transaction_id").cast("bigint")
-    ts = ts_lit(LATE_BATCH_TS)
+    """Update (k%7=0, flipped status), no-op (k%7=1) and insert (k%7=2, new ids) branches,
+    derived in one pass over ``silver``."""
+    k = F.pmod(F.col("transaction_id").cast("bigint"), F.lit(7))
     flipped = F.when(F.col("status") == "success", F.lit("refunded")).otherwise(F.lit("success"))
-    upd = silver.where(F.pmod(k, F.lit(7)) == 0).select(
-        "transaction_id", "game", "payment_date", "price", "currency", flipped.alias("status"), ts.alias("ingest_ts")
-    )
-    same = silver.where(F.pmod(k, F.lit(7)) == 1).select(
-        "transaction_id", "game", "payment_date", "price", "currency", "status", ts.alias("ingest_ts")
-    )
-    new = silver.where(F.pmod(k, F.lit(7)) == 2).select(
-        F.concat(F.lit("late-"), F.col("transaction_id")).alias("transaction_id"),
+    is_new = k == 2
+    return silver.where(k.isin(0, 1, 2)).select(
+        F.when(is_new, F.concat(F.lit("late-"), F.col("transaction_id"))).otherwise(F.col("transaction_id")).alias("transaction_id"),
         "game",
-        F.date_add("payment_date", 1).alias("payment_date"),
+        F.when(is_new, F.date_add("payment_date", 1)).otherwise(F.col("payment_date")).alias("payment_date"),
         "price",
         "currency",
-        "status",
-        ts.alias("ingest_ts"),
+        F.when(k == 0, flipped).otherwise(F.col("status")).alias("status"),
+        ts_lit(LATE_BATCH_TS).alias("ingest_ts"),
     )
-    return upd.unionByName(same).unionByName(new)
 
 
 def erasure_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -45,13 +45,19 @@ def dedup_latest(
     identifiable and are passed through unchanged.
     """
     keys = list(keys)
+    return _latest_per_key(df.where(~_any_null(keys)), keys, order_by, latest).unionByName(
+        df.where(_any_null(keys))
+    )
+
+
+def _latest_per_key(df: DataFrame, keys: list, order_by: Sequence[str], latest: bool = True) -> DataFrame:
+    """``dedup_latest`` for rows whose keys are all non-NULL."""
     order_by = list(order_by)
     rest = [c for c in df.columns if c not in keys and c not in order_by]
     packed = F.struct(*[F.col(c) for c in order_by + rest])
     pick = F.max(packed) if latest else F.min(packed)
-    good = df.where(~_any_null(keys)).groupBy(*keys).agg(pick.alias("_ll_row"))
-    good = good.select(*keys, *[F.col(f"_ll_row.{c}").alias(c) for c in order_by + rest]).select(*df.columns)
-    return good.unionByName(df.where(_any_null(keys)))
+    agg = df.groupBy(*keys).agg(pick.alias("_ll_row"))
+    return agg.select(*keys, *[F.col(f"_ll_row.{c}").alias(c) for c in order_by + rest]).select(*df.columns)
 
 
 def assert_unique_keys(df: DataFrame, keys: Sequence[str] = DEFAULT_KEYS) -> None:
@@ -97,13 +103,16 @@ def merge_upsert(
     """
     keys = list(keys)
     cols = list(target.columns)
-    src = dedup_latest(source, keys, source_order) if dedup_source else source
-    if not dedup_source:
-        assert_unique_keys(src, keys)
-    src = src.select(*cols)
+    source = source.select(*cols)
+    # The source is split once: keyed rows (deduplicated) join, NULL-key rows are inserted.
+    keyed = source.where(~_any_null(keys))
+    if dedup_source:
+        keyed = _latest_per_key(keyed, keys, source_order)
+    else:
+        assert_unique_keys(keyed, keys)
 
     t = target.where(~_any_null(keys)).withColumn("_ll_t", F.lit(True)).alias("_t")
-    s = src.where(~_any_null(keys)).withColumn("_ll_s", F.lit(True)).alias("_s")
+    s = keyed.withColumn("_ll_s", F.lit(True)).alias("_s")
     cond = None
     for k in keys:
         c = F.col(f"_t.{k}") == F.col(f"_s.{k}")
@@ -129,7 +138,7 @@ def merge_upsert(
     merged = j.select(*out)
 
     t_null = target.where(_any_null(keys))
-    s_null = src.where(_any_null(keys))
+    s_null = source.where(_any_null(keys))
     if with_action:
         t_null = t_null.withColumn("_merge_action", F.lit("none"))
         s_null = s_null.withColumn("_merge_action", F.lit("insert"))
