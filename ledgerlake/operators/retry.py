@@ -75,22 +75,24 @@ def reschedule(
 
 def replay(
     queue: DataFrame,
-    silver: DataFrame,
+    silver: DataFrame | None,
     now,
     as_of,
     max_attempts: int = MAX_ATTEMPTS,
 ) -> dict[str, DataFrame]:
     """Re-attempt due entries: re-validate them against the contract as of ``as_of``.
 
-    Valid ones are merged into ``silver`` (ingested at ``now``), the rest are rescheduled.
-    Returns ``silver``, ``queue``, ``dead`` and ``outcomes`` (one row per due entry with
+    Valid ones become silver rows ingested at ``now`` (``good``; merged into ``silver`` as
+    ``silver`` when a silver DataFrame is given), the rest are rescheduled. Also returns the
+    new ``queue``, the ``dead`` entries and ``outcomes`` (one row per due entry with
     ``merged``, ``requeued`` or ``dead``).
     """
     ready = due(queue, now, max_attempts)
     checked = contract.with_errors(ready, as_of)
     ok = checked.where(F.size("errors") == 0)
     failed = checked.where(F.size("errors") > 0)
-    new_silver = merge_upsert(silver, contract.typed(ok, ingest_ts=now))
+    good = contract.typed(ok, ingest_ts=now)
+    new_silver = merge_upsert(silver, good) if silver is not None else None
     new_queue, dead = reschedule(queue.join(ok.select(QUEUE_KEY), QUEUE_KEY, "left_anti"), failed, now, max_attempts)
     outcome = (
         checked.select(QUEUE_KEY, "transaction_id", "attempt_count", F.size("errors").alias("_n_err"))
@@ -102,4 +104,4 @@ def replay(
         )
         .drop("_n_err")
     )
-    return {"silver": new_silver, "queue": new_queue, "dead": dead, "outcomes": outcome}
+    return {"silver": new_silver, "good": good, "queue": new_queue, "dead": dead, "outcomes": outcome}

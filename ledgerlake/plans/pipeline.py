@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.operators import contract, dq, gold
+from ledgerlake.operators import contract, dq, gold, marts
 from ledgerlake.operators.merge import dedup_latest
 from ledgerlake.sources import bronze, tables
 
@@ -63,26 +63,31 @@ def bronze_to_silver(
     as_of,
     ingest_ts: Column,
     quarantine_path: str | None = None,
+    gate: bool = True,
 ) -> dict:
-    """Read a landing day's bronze, split it by contract, dedup the good rows and MERGE them
-    into the silver table (rewriting only touched partitions).
-
-    The contract runs on the whole batch, so late rows whose payment_date differs from ``dt``
-    are validated like any other. ``ingest_ts`` is the arrival time per row (e.g. derived
-    from the run); the MERGE only lets newer arrivals overwrite.
+    """Read a landing day's bronze, split it by contract, dedup the good rows, gate them on the
+    FAIL-severity expectations and MERGE them into the silver table (rewriting only touched
+    partitions).
+
+    The contract and the gate run on the whole batch *before* the MERGE, so late rows whose
+    payment_date differs from ``dt`` are checked like any other and a failing batch never
+    reaches silver. ``ingest_ts`` is the arrival time per row (e.g. derived from the run); the
+    MERGE only lets newer arrivals overwrite. Returns the touched partitions and the rejected
+    rows (checkpointed, for quarantine and the retry queue).
     """
     raw = bronze.read_bronze(spark, bronze_path, dt).persist()
     try:
         good, bad = contract.split_contract(raw, as_of, ingest_ts=ingest_ts)
-        good = dedup_latest(good, order_by=("ingest_ts",))
+        good = dedup_latest(good, order_by=("ingest_ts",)).persist()
+        if gate:
+            dq.assert_silver(good, as_of)
         touched = tables.merge_into_table(spark, silver_path, good, newer_only="ingest_ts")
-        n_bad = 0
-        if quarantine_path is not None:
-            bad = bad.checkpoint(eager=True)
-            n_bad = bad.count()
-            if n_bad:
-                contract.write_quarantine(bad, quarantine_path, dt, run_id=f"b2s_{_date(dt).isoformat()}")
-        return {"touched": touched, "quarantined": n_bad}
+        good.unpersist()
+        bad = bad.checkpoint(eager=True)
+        n_bad = bad.count()
+        if quarantine_path is not None and n_bad:
+            contract.write_quarantine(bad, quarantine_path, dt, run_id=f"b2s_{_date(dt).isoformat()}")
+        return {"touched": touched, "quarantined": n_bad, "rejected": bad}
     finally:
         raw.unpersist()
 
@@ -93,6 +98,8 @@ class Paths:
     silver: str
     gold: str
     quarantine: str
+    retry_queue: str | None = None
+    dead_letter: str | None = None
 
     @property
     def fact(self) -> str:
@@ -110,6 +117,8 @@ class DayResult:
     quarantined_rows: int = 0
     gold_days: list = field(default_factory=list)
     orphans: dict = field(default_factory=dict)
+    reconciliation: dict = field(default_factory=dict)
+    replay: dict = field(default_factory=dict)
 
 
 def run_day(
@@ -123,13 +132,15 @@ def run_day(
     restate_days: int = 7,
     dim_game: DataFrame | None = None,
     dim_currency: DataFrame | None = None,
+    now=None,
 ) -> DayResult:
     """One daily run over Parquet tables.
 
-    bronze(dt) -> contract split (bad rows to quarantine) -> dedup -> silver MERGE of touched
-    partitions -> FAIL-severity DQ gate on the merged days -> fact and mart for ``dt`` and the
-    ``restate_days`` days before it, in one job, overwriting those partitions -> optional
-    referential check against the dimensions.
+    bronze(dt) -> contract split (bad rows to quarantine) -> dedup -> FAIL-severity DQ gate ->
+    silver MERGE of touched partitions -> fact and mart for ``dt`` and the ``restate_days``
+    days before it, in one job, overwriting those partitions -> referential check (when
+    dimensions are given) and reconciliation of ``dt`` -> replay of the retry queue (when
+    ``paths.retry_queue`` is set; ``now`` is the run time).
     """
     day = _date(dt)
     as_of = as_of or day
@@ -139,15 +150,49 @@ def run_day(
     result.quarantined_rows = b2s["quarantined"]
 
     silver = spark.read.parquet(paths.silver)
-    if result.merged_partitions:
-        dq.assert_silver(silver.where(F.col("payment_date").isin(result.merged_partitions)), as_of)
-
     fact, _ = restate_window(silver, fx, day + _dt.timedelta(days=1), days=restate_days + 1)
     fact = fact.checkpoint(eager=True)
+    mart = gold.build_agg_game_daily(fact)
     tables.overwrite_partitions(fact, paths.fact)
-    tables.overwrite_partitions(gold.build_agg_game_daily(fact), paths.mart)
+    tables.overwrite_partitions(mart, paths.mart)
     result.gold_days = sorted(r[0] for r in fact.select("payment_date").distinct().collect())
+
     if dim_game is not None and dim_currency is not None:
-        summary = dq.referential_summary(fact, dim_game, dim_currency).first()
-        result.orphans = summary.asDict()
+        result.orphans = dq.referential_summary(fact, dim_game, dim_currency).first().asDict()
+    rec = marts.reconciliation(gold.filter_day(silver, day), gold.filter_day(fact, day), gold.filter_day(mart, day))
+    row = rec.first()
+    result.reconciliation = row.asDict() if row is not None else {}
+    if row is not None and not (row["revenue_ok"] and row["count_ok"] and row["eur_ok"]):
+        raise dq.DQError(f"reconciliation drift dt={day}: {result.reconciliation}")
+
+    if paths.retry_queue is not None:
+        run_time = now or f"{(day + _dt.timedelta(days=1)).isoformat()} 00:00:00"
+        result.replay = replay_quarantine(spark, paths, b2s["rejected"], run_time, as_of)
     return result
+
+
+def replay_quarantine(spark: SparkSession, paths: Paths, rejected: DataFrame, now, as_of) -> dict:
+    """Enqueue this run's contract rejects, then re-attempt every due entry of the queue.
+
+    Valid entries are merged into silver (touched partitions only), failures are rescheduled
+    with backoff, exhausted ones are appended to the dead letter. The queue is rebuilt from its
+    previous version, so the new queue is written as the next version folder instead of over
+    the one being read.
+    """
+    from ledgerlake.operators import retry
+    from ledgerlake.schemas import PAYMENT_COLUMNS
+
+    src = rejected.select(*PAYMENT_COLUMNS, "raw_line", F.array_join("errors", ",").alias("_ll_err"))
+    fresh = retry.enqueue(src, F.col("_ll_err"), now).drop("_ll_err")
+    queue = tables.read_latest_version(spark, paths.retry_queue, fresh.schema).unionByName(fresh)
+    queue = queue.checkpoint(eager=True)  # one consistent snapshot for every consumer below
+    out = retry.replay(queue, None, now, as_of)
+    merged = tables.merge_into_table(spark, paths.silver, out["good"])
+    version = tables.write_next_version(spark, paths.retry_queue, out["queue"])
+    if paths.dead_letter is not None:
+        day = str(now)[:10]
+        dead = out["dead"].withColumn("dt", F.lit(day))
+        if not dead.isEmpty():
+            tables.append(dead, paths.dead_letter, ["dt"])
+    outcomes = out["outcomes"].groupBy("outcome").agg(F.count(F.lit(1)).alias("n")).collect()
+    return {"queue_version": version, "merged_partitions": merged, "outcomes": {r["outcome"]: r["n"] for r in outcomes}}

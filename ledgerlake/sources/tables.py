@@ -186,3 +186,37 @@ def erase_from_table(
     if survivors:
         overwrite_partitions(kept, path, partition_col)
     return touched
+
+
+VERSION_PREFIX = "v="
+
+
+def _version_numbers(spark: SparkSession, base: str) -> list[int]:
+    fs, p = _fs_path(spark, base)
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(VERSION_PREFIX) and name[len(VERSION_PREFIX):].isdigit():
+            if fs.exists(st.getPath().suffix("/_SUCCESS")):
+                out.append(int(name[len(VERSION_PREFIX):]))
+    return sorted(out)
+
+
+def read_latest_version(spark: SparkSession, base: str, schema: StructType) -> DataFrame:
+    """The newest complete version of a self-rewriting table (typed empty if none)."""
+    versions = _version_numbers(spark, base)
+    if not versions:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{base}/{VERSION_PREFIX}{versions[-1]}")
+
+
+def write_next_version(spark: SparkSession, base: str, df: DataFrame) -> str:
+    """Write ``df`` as the next version of a table that is rebuilt from its own previous
+    version (e.g. the retry queue): never overwrite the folder being read. Readers only see
+    versions whose ``_SUCCESS`` marker exists, so a failed write is invisible."""
+    versions = _version_numbers(spark, base)
+    path = f"{base}/{VERSION_PREFIX}{(versions[-1] + 1) if versions else 0}"
+    df.write.mode("overwrite").parquet(path)
+    return path

@@ -60,12 +60,21 @@ def test_run_day_end_to_end(spark):
         silver=shared_dir(spark, "rd-silver"),
         gold=shared_dir(spark, "rd-gold"),
         quarantine=shared_dir(spark, "rd-quarantine"),
+        retry_queue=shared_dir(spark, "rd-queue"),
+        dead_letter=shared_dir(spark, "rd-dead"),
     )
     bronze.land_bronze(raw, paths.bronze)
     fxr = fx.fx_rates_events(spark, SF_SMALL)
+    results = []
     for day in ("2024-01-14", "2024-01-15"):
         res = pipeline.run_day(spark, paths, day, fxr, fx.landing_ts(), as_of="2024-01-25")
         assert res.merged_partitions and res.quarantined_rows > 0
+        assert res.reconciliation["count_ok"] and res.reconciliation["eur_ok"]
+        results.append(res)
+    # Day 1 enqueued its rejects (eligible at the run time), day 2 replayed them.
+    assert results[0].replay["queue_version"].endswith("v=0")
+    assert results[1].replay["queue_version"].endswith("v=1")
+    assert sum(results[1].replay["outcomes"].values()) > 0
     silver = spark.read.parquet(paths.silver)
     mart = spark.read.parquet(paths.mart)
     assert silver.groupBy("transaction_id").count().where(F.col("count") > 1).count() == 0
