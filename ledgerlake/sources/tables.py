@@ -25,7 +25,7 @@ def _fs_path(spark: SparkSession, path: str):
     return fs, p
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def spread(df: DataFrame, min_partitions: int | None = None, known_partitions: int | None = None) -> DataFrame:
     """Round-robin an input that has fewer partitions than the cluster has cores.
 
     A single large unsplittable file (a gzip JSON batch, a one-row-group Parquet file) is read
@@ -35,7 +35,7 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """
     try:
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
+        current = known_partitions if known_partitions is not None else df.rdd.getNumPartitions()
     except Exception:  # no RDD view (e.g. Spark Connect): leave the plan as it is
         return df
     return df if current >= target else df.repartition(target)
