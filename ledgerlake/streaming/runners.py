@@ -82,6 +82,21 @@ def run_bronze_stream(
     return sum(1 for p in q.recentProgress if p.get("numInputRows", 0) > 0)
 
 
+def ntz_as_utc(c: Column) -> Column:
+    """TIMESTAMP_NTZ wall-clock -> the TIMESTAMP instant with that wall-clock in UTC."""
+    c = c.cast("timestamp_ntz")
+    return F.make_timestamp(
+        F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c),
+        F.date_part(F.lit("SECOND"), c), F.lit("UTC"),
+    )
+
+
+def utc_as_ntz(c: Column) -> Column:
+    """Inverse of ``ntz_as_utc``: the UTC wall-clock of an instant, as TIMESTAMP_NTZ."""
+    secs = (F.unix_micros(c) / F.lit(1_000_000)).cast("decimal(18,6)")
+    return F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")) + F.make_dt_interval(secs=secs)
+
+
 def quarantine_spike_stream(
     events: DataFrame,
     out_path: str,
@@ -97,16 +112,18 @@ def quarantine_spike_stream(
     ``events`` is a streaming DataFrame of quarantined rows. State is one counter per open
     window; the watermark bounds it and closes a window ``delay`` after its end.
     """
-    t = F.col(time_column).cast("timestamp")
+    # The watermark needs a TIMESTAMP. Read the wall-clock time as UTC explicitly (and map the
+    # window bounds back the same way) so windows fall on wall-clock hours whatever the session
+    # time zone is; a plain cast would shift them by the session's offset.
     agg = (
-        events.withColumn("_ll_t", t)
+        events.withColumn("_ll_t", ntz_as_utc(F.col(time_column)))
         .withWatermark("_ll_t", delay)
         .groupBy(F.window("_ll_t", period).alias("w"))
         .agg(F.count(F.lit(1)).alias("quarantined_rows"))
     )
     out = agg.select(
-        F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-        F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+        utc_as_ntz(F.col("w.start")).alias("window_start"),
+        utc_as_ntz(F.col("w.end")).alias("window_end"),
         "quarantined_rows",
         (F.col("quarantined_rows") > F.lit(threshold)).alias("quarantine_alarm"),
     )

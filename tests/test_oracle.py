@@ -24,3 +24,14 @@ def test_entry_smoke(spark):
     df = entry(spark)
     assert df.count() > 0
     assert df.columns[:2] == ["game_key", "payment_date"]
+
+
+@pytest.mark.parametrize("name", ["stream_quarantine_spike", "quarantine_spike", "completeness", "fact_payment", "scd2_asof"])
+def test_results_do_not_depend_on_session_time_zone(spark, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        r = compare(spark, name, queries()[name], oracle_sql()[name], SF_SMALL)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert r["values_match"], (r["only_spark"], r["only_oracle"])
