@@ -82,3 +82,19 @@ def test_referential_summary_matches_orphans(spark):
         dq.assert_referential(
             dq.referential_summary(fact, fx.dim_game(spark, SF_SMALL), fx.dim_currency(spark, SF_SMALL))
         )
+
+
+def test_salted_join_spreads_a_hot_key(spark):
+    """One game holds a third of the fact rows; salting spreads it evenly over the salts."""
+    n = 30_000
+    fact = spark.range(n).select(
+        F.col("id").cast("string").alias("transaction_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("g"), (F.col("id") % 97).cast("string"))).alias("game_key"),
+    ).repartition(8)
+    dim = spark.createDataFrame([("HOT", "x")] + [(f"g{i}", "y") for i in range(97)], "game_key string, genre string")
+    salt = "_ll_salt"
+    fact_s = fact.withColumn(salt, F.pmod(F.monotonically_increasing_id(), F.lit(16)))
+    per_salt = [r["count"] for r in fact_s.where(F.col("game_key") == "HOT").groupBy(salt).count().collect()]
+    assert len(per_salt) == 16 and max(per_salt) <= 2 * min(per_salt)
+    out = joins.salted_join(fact, dim, "game_key", n_salt=16)
+    assert out.count() == n and out.where(F.col("genre").isNull()).count() == 0
