@@ -23,15 +23,33 @@ DEFAULT_CONF = {
 }
 
 
+# Profile for a large cluster reading ~100 TB: start shuffles with many partitions and let
+# adaptive execution coalesce them to ~128 MB each, so no reducer holds (and spills) a
+# multi-GB partition; split skewed join partitions above 512 MB; let runtime bloom filters
+# prune the big side of selective joins. Sized for roughly 10-50 TB of shuffle per stage.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+}
+
+
 def build_session(
     app_name: str = "ledgerlake",
     master: str | None = None,
     conf: dict[str, str] | None = None,
+    profile: str = "default",
 ) -> SparkSession:
+    """Session with the engine defaults; ``profile="cluster"`` adds ``CLUSTER_CONF``."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULT_CONF, **(conf or {})}.items():
+    base = {**DEFAULT_CONF, **(CLUSTER_CONF if profile == "cluster" else {})}
+    for key, value in {**base, **(conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     ensure_checkpoint_dir(spark)
