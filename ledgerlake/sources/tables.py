@@ -111,6 +111,18 @@ def _values(df: DataFrame, column: str) -> list:
     return [r[0] for r in df.select(column).distinct().collect()]
 
 
+def _in_partitions(column: str, values: list):
+    """Partition filter for ``values``; a NULL value selects the default (NULL) partition too."""
+    known = [v for v in values if v is not None]
+    cond = F.col(column).isin(known) if known else F.lit(False)
+    return cond | F.col(column).isNull() if None in values else cond
+
+
+def _sorted_values(values) -> list:
+    known = sorted(v for v in set(values) if v is not None)
+    return known + ([None] if None in set(values) else [])
+
+
 def _write_merged(df: DataFrame, path: str, partition_col: str, layout: bool) -> None:
     """Rewrite partitions with the silver layout: few files per day, rows sorted by game,
     and a Parquet bloom filter on the key for point lookups."""
@@ -150,10 +162,10 @@ def merge_into_table(
         src_keys = src.select(*keys).where(F.col(keys[0]).isNotNull())
         hit = target.select(*keys, partition_col).join(src_keys, list(keys), "left_semi")
         # One job: partitions of matched target rows plus partitions of the batch rows.
-        touched = sorted(set(_values(hit.select(partition_col).unionByName(src.select(partition_col)), partition_col)) - {None})
+        touched = _sorted_values(_values(hit.select(partition_col).unionByName(src.select(partition_col)), partition_col))
         if not touched:
             return []
-        part = target.where(F.col(partition_col).isin(touched))
+        part = target.where(_in_partitions(partition_col, touched))
         merged = merge_upsert(part, src.select(*target.columns), keys, **merge_kwargs)
         # Dynamic overwrite writes into a staging folder and swaps the partitions in only at
         # job commit, after every task has finished reading the old files.
@@ -177,12 +189,13 @@ def erase_from_table(
     """
     target = spark.read.parquet(path)
     hit = target.select(*keys, partition_col).join(ids.select(*keys).distinct(), list(keys), "left_semi")
-    touched = sorted(set(_values(hit, partition_col)) - {None})
+    touched = _sorted_values(_values(hit, partition_col))
     if not touched:
         return []
-    kept = erase(target.where(F.col(partition_col).isin(touched)), ids, keys).checkpoint(eager=True)
+    kept = erase(target.where(_in_partitions(partition_col, touched)), ids, keys).checkpoint(eager=True)
     survivors = set(_values(kept, partition_col))
-    _delete_partition_dirs(spark, path, partition_col, [v for v in touched if v not in survivors])
+    emptied = [v if v is not None else "__HIVE_DEFAULT_PARTITION__" for v in touched if v not in survivors]
+    _delete_partition_dirs(spark, path, partition_col, emptied)
     if survivors:
         overwrite_partitions(kept, path, partition_col)
     return touched

@@ -126,3 +126,19 @@ def test_observed_metrics_and_leak_detection(spark):
     with pytest.raises(ops.RowLeakError):
         ops.emit_metrics(bad, path)
     assert spark.read.parquet(path).count() == 2
+
+
+def test_merge_into_table_keeps_null_partition_rows(spark, tmp_path):
+    from decimal import Decimal
+
+    from ledgerlake.schemas import SILVER_PAYMENT
+
+    def row(tid, day, status="success"):
+        return (tid, "g", day, Decimal("1.0000"), "EUR", status, dt.datetime(2025, 1, 1))
+
+    path = str(tmp_path / "silver")
+    tables.overwrite_partitions(spark.createDataFrame([row("a", None), row("b", dt.date(2025, 1, 1))], SILVER_PAYMENT), path)
+    batch = spark.createDataFrame([row("c", None), row("b", dt.date(2025, 1, 1), "error")], SILVER_PAYMENT)
+    tables.merge_into_table(spark, path, batch)
+    got = {r["transaction_id"]: r["status"] for r in spark.read.parquet(path).collect()}
+    assert got == {"a": "success", "b": "error", "c": "success"}
