@@ -61,16 +61,25 @@ def reschedule(
     ``max_attempts`` leave for the dead letter. Entries not in ``failed`` are kept as they
     are (none is lost).
     """
-    ids = failed.select(QUEUE_KEY).distinct()
-    again = queue.join(ids, QUEUE_KEY, "left_semi")
-    bumped = again.withColumn("attempt_count", (F.col("attempt_count") + 1).cast("int"))
-    bumped = bumped.withColumn("eligible_at", ts_lit(now) + backoff(F.col("attempt_count")))
-    if error is not None:
-        bumped = bumped.withColumn("last_error", error)
-    dead = bumped.where(F.col("attempt_count") >= max_attempts)
-    alive = bumped.where(F.col("attempt_count") < max_attempts)
-    kept = queue.join(ids, QUEUE_KEY, "left_anti")
-    return alive.unionByName(kept), dead
+    # One pass over the queue: a left join with the distinct failed ids flags the entries to
+    # bump, instead of a semi join for the failed ones plus an anti join for the rest.
+    ids = failed.select(QUEUE_KEY).distinct().withColumn("_ll_failed", F.lit(True))
+    flagged = queue.join(ids, QUEUE_KEY, "left")
+    hit = F.col("_ll_failed").isNotNull()
+    attempt = F.when(hit, F.col("attempt_count") + 1).otherwise(F.col("attempt_count")).cast("int")
+    cols = []
+    for c in queue.columns:
+        if c == "attempt_count":
+            cols.append(attempt.alias(c))
+        elif c == "eligible_at":
+            cols.append(F.when(hit, ts_lit(now) + backoff(attempt)).otherwise(F.col(c)).alias(c))
+        elif c == "last_error" and error is not None:
+            cols.append(F.when(hit, error).otherwise(F.col(c)).alias(c))
+        else:
+            cols.append(F.col(c))
+    out = flagged.select(*cols, hit.alias("_ll_hit"))
+    exhausted = F.col("_ll_hit") & (F.col("attempt_count") >= max_attempts)
+    return out.where(~exhausted).drop("_ll_hit"), out.where(exhausted).drop("_ll_hit")
 
 
 def replay(
