@@ -153,6 +153,7 @@ def raw_events(spark: SparkSession, sf_dir: str, resend: bool = False) -> DataFr
 
 
 def _raw_from_dirty(d: DataFrame) -> DataFrame:
+    """Text form of the dirty rows, with one contract corruption per key formula."""
     k = F.col("_id")
     price_txt = F.col("price").cast("string")
     date_txt = F.col("payment_date").cast("string")
