@@ -64,6 +64,7 @@ def bronze_to_silver(
     ingest_ts: Column,
     quarantine_path: str | None = None,
     gate: bool = True,
+    keep_rejected: bool = False,
 ) -> dict:
     """Read a landing day's bronze, split it by contract, dedup the good rows, gate them on the
     FAIL-severity expectations and MERGE them into the silver table (rewriting only touched
@@ -72,8 +73,9 @@ def bronze_to_silver(
     The contract and the gate run on the whole batch *before* the MERGE, so late rows whose
     payment_date differs from ``dt`` are checked like any other and a failing batch never
     reaches silver. ``ingest_ts`` is the arrival time per row (e.g. derived from the run); the
-    MERGE only lets newer arrivals overwrite. Returns the touched partitions and the rejected
-    rows (checkpointed, for quarantine and the retry queue).
+    MERGE only lets newer arrivals overwrite. Returns the touched partitions and, when a
+    quarantine sink is given or ``keep_rejected`` is set, the rejected rows (checkpointed once
+    for the quarantine sink and the retry queue) and their count.
     """
     raw = bronze.read_bronze(spark, bronze_path, dt).persist()
     try:
@@ -83,6 +85,8 @@ def bronze_to_silver(
             dq.assert_silver(good, as_of)
         touched = tables.merge_into_table(spark, silver_path, good, newer_only="ingest_ts")
         good.unpersist()
+        if quarantine_path is None and not keep_rejected:
+            return {"touched": touched, "quarantined": None, "rejected": None}
         bad = bad.checkpoint(eager=True)
         n_bad = bad.count()
         if quarantine_path is not None and n_bad:
@@ -145,7 +149,9 @@ def run_day(
     day = _date(dt)
     as_of = as_of or day
     result = DayResult(dt=day.isoformat())
-    b2s = bronze_to_silver(spark, paths.bronze, paths.silver, day, as_of, ingest_ts, paths.quarantine)
+    b2s = bronze_to_silver(
+        spark, paths.bronze, paths.silver, day, as_of, ingest_ts, paths.quarantine, keep_rejected=True
+    )
     result.merged_partitions = b2s["touched"]
     result.quarantined_rows = b2s["quarantined"]
 
