@@ -186,11 +186,16 @@ def error_summary(checked: DataFrame) -> DataFrame:
 
 
 def write_quarantine(bad: DataFrame, path: str, dt, run_id: str) -> None:
-    """Append bad rows as JSON lines ``{record, errors}`` under ``dt=/run_id=``."""
+    """Write bad rows as JSON lines ``{record, errors}`` under ``dt=/run_id=``.
+
+    Dynamic partition overwrite replaces only this run's folder, so re-running a day rewrites
+    its quarantine output instead of appending duplicates.
+    """
     day = dt.isoformat() if isinstance(dt, _dt.date) else str(dt)
     (
         bad.select("record", "errors", F.lit(day).alias("dt"), F.lit(run_id).alias("run_id"))
-        .write.mode("append")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("dt", "run_id")
         .json(path)
     )
