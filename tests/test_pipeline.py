@@ -142,3 +142,27 @@ def test_merge_into_table_keeps_null_partition_rows(spark, tmp_path):
     tables.merge_into_table(spark, path, batch)
     got = {r["transaction_id"]: r["status"] for r in spark.read.parquet(path).collect()}
     assert got == {"a": "success", "b": "error", "c": "success"}
+
+
+def test_run_day_rerun_is_idempotent(spark):
+    raw = fx.raw_events(spark, SF_SMALL, resend=True)
+    paths = pipeline.Paths(
+        bronze=shared_dir(spark, "ri-bronze"),
+        silver=shared_dir(spark, "ri-silver"),
+        gold=shared_dir(spark, "ri-gold"),
+        quarantine=shared_dir(spark, "ri-quarantine"),
+    )
+    bronze.land_bronze(raw, paths.bronze)
+    fxr = fx.fx_rates_events(spark, SF_SMALL)
+    cols = ["transaction_id", "game", "payment_date", "price", "currency", "status", "ingest_ts"]
+    snapshots = []
+    for _ in range(2):
+        pipeline.run_day(spark, paths, "2024-01-15", fxr, fx.landing_ts(), as_of="2024-01-25")
+        snapshots.append(
+            (
+                rows(spark.read.parquet(paths.silver).select(*cols)),
+                spark.read.json(paths.quarantine).count(),
+                rows(spark.read.parquet(paths.mart)),
+            )
+        )
+    assert snapshots[0] == snapshots[1]
