@@ -46,3 +46,19 @@ def test_scan_prunes_columns(spark):
     df = fx.payments_orders(spark, SF_SMALL).select("transaction_id")
     plan = _plan(df)
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in plan
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SIDE_EFFECT))
+def test_no_cartesian_or_nested_loop_join(spark, name):
+    plan = _plan(QUERIES[name](spark, SF_SMALL))
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_bad_id_cap_is_a_map_side_group_limit(spark):
+    plan = _plan(QUERIES["dq_bad_ids"](spark, SF_SMALL))
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_dedup_combines_map_side(spark):
+    plan = _plan(QUERIES["dedup_latest"](spark, SF_SMALL))
+    assert "partial_max" in plan and "Window" not in plan
