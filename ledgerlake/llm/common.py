@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import math
+import os
+import shutil
+import tempfile
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import ledgerlake
 from ledgerlake.session import shared_dir
 
 #: Rows of one Arrow batch sent to Python. Batches are the unit of memory of the Python
@@ -19,8 +23,21 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def short_batches(spark: SparkSession) -> None:
-    """Bound the rows of an Arrow batch for the session (never raises a lower setting)."""
+_shipped: set[str] = set()
+
+
+def prepare_workers(spark: SparkSession) -> None:
+    """Before a query that runs Python: let the workers import this package and bound Arrow batches.
+
+    The package goes to the executors as ``--py-files`` would send it, once an application. The
+    batch setting is never raised.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        root = os.path.dirname(os.path.dirname(os.path.abspath(ledgerlake.__file__)))
+        archive = os.path.join(tempfile.mkdtemp(prefix="ledgerlake-"), "ledgerlake")
+        sc.addPyFile(shutil.make_archive(archive, "zip", root, "ledgerlake"))  # Spark serves it from here
+        _shipped.add(sc.applicationId)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key, "10000"))
     if now <= 0 or now > ARROW_ROWS:

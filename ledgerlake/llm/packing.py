@@ -66,7 +66,7 @@ def _cut(path: str, cap: int, separator: int):
 def pieces(docs: DataFrame, tokenizer: str | None = None, cap: int = CAP, separator: int = SEPARATOR) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32``: every document's tokens and a separator, cut."""
     path = tokenizer or public_tokenizers.path(TOKENIZER)
-    common.short_batches(docs.sparkSession)
+    common.prepare_workers(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
         _cut(path, cap, separator), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long"

@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.llm.packing import op8_best_fit_packing
+from ledgerlake.llm.quality_classifier import op7_quality_classifier
+from ledgerlake.llm.quality_rules import op4_quality_rules
 from ledgerlake.llm.token_counts import op1_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op4_quality_rules": op4_quality_rules,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_best_fit_packing": op8_best_fit_packing,
 }
 

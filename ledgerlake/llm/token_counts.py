@@ -158,7 +158,7 @@ def token_counts(
     pass over the two columns, no shuffle; a worker holds the offsets of one chunk at a time.
     """
     path = tokenizer or public_tokenizers.path(TOKENIZER)
-    common.short_batches(docs.sparkSession)
+    common.prepare_workers(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "text")
     got = rows.mapInArrow(_count(path, chunk_chars, overlap_chars), f"doc_id {kind}, n_bytes long, n_tokens long")
