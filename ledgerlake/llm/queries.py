@@ -6,16 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlake.llm import chat_snapshots
 from ledgerlake.llm.packing import op8_best_fit_packing
 from ledgerlake.llm.quality_classifier import op7_quality_classifier
 from ledgerlake.llm.quality_rules import op4_quality_rules
 from ledgerlake.llm.token_counts import op1_token_counts
+from ledgerlake.llm.url_filters import op2_url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_url_filters": op2_url_filters,
     "op4_quality_rules": op4_quality_rules,
+    "op5_chat_formatting": chat_snapshots.op5_chat_formatting,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_best_fit_packing": op8_best_fit_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op5_chat_formatting": chat_snapshots.ORACLE}
