@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.llm import chat_snapshots
+from ledgerlake.llm.fingerprints import op3_document_fingerprints
+from ledgerlake.llm.near_dedup import op6_minhash_near_dedup
 from ledgerlake.llm.packing import op8_best_fit_packing
 from ledgerlake.llm.quality_classifier import op7_quality_classifier
 from ledgerlake.llm.quality_rules import op4_quality_rules
@@ -16,8 +18,10 @@ from ledgerlake.llm.url_filters import op2_url_filters
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_url_filters": op2_url_filters,
+    "op3_document_fingerprints": op3_document_fingerprints,
     "op4_quality_rules": op4_quality_rules,
     "op5_chat_formatting": chat_snapshots.op5_chat_formatting,
+    "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_best_fit_packing": op8_best_fit_packing,
 }
