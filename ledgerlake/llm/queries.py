@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.llm import chat_snapshots
 from ledgerlake.llm.fingerprints import op3_document_fingerprints
+from ledgerlake.llm.language_id import op9_language_id
+from ledgerlake.llm.nbest_pieces import op10_nbest_pieces
 from ledgerlake.llm.near_dedup import op6_minhash_near_dedup
 from ledgerlake.llm.packing import op8_best_fit_packing
 from ledgerlake.llm.quality_classifier import op7_quality_classifier
@@ -24,6 +26,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_language_id": op9_language_id,
+    "op10_nbest_pieces": op10_nbest_pieces,
 }
 
 ORACLE_SQL: dict[str, str] = {"op5_chat_formatting": chat_snapshots.ORACLE}
