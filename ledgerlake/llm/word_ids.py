@@ -17,8 +17,8 @@ from collections.abc import Callable
 
 import numpy as np
 
-#: Words and pre-tokens a worker remembers at most; beyond, it forgets all and starts anew.
-WORDS, PRETOKENS = 250_000, 250_000
+#: Words a worker remembers in each of two generations; pre-tokens it remembers before it starts anew.
+WORDS, PRETOKENS = 400_000, 400_000
 #: Text bytes handed to the library at once when whole texts are encoded.
 ENCODE_BYTES = 1 << 18
 
@@ -56,34 +56,57 @@ def separable(path: str) -> bool:
 
 
 class WordIds:
-    """Ids of texts given as UTF-8 bytes, as little-endian unsigned 32-bit bytes."""
+    """Ids of texts given as UTF-8 bytes, as little-endian unsigned 32-bit bytes.
+
+    What a worker remembers is kept in two generations: once the newer is full it becomes the
+    older, so words that keep coming back stay known.
+    """
 
     def __init__(self, path: str) -> None:
         self.library = load_tokenizer(path)
         self.by_word = separable(path)
         self.words: dict[bytes, bytes] = {}
+        self.older_words: dict[bytes, bytes] = {}
         self.pretokens: dict[str, bytes] = {}
+        if self.by_word:
+            vocabulary = self.library.get_vocab()
+            self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
 
     def _library(self, texts: list[str]) -> list[bytes]:
         got = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in got]
 
-    def _learn(self, words: list[bytes]) -> None:
+    def _pretokens(self, parts: list[str]) -> list[bytes]:
+        """Ids of pre-tokens, encoded as one text and cut where a token ends a pre-token."""
+        ids = np.array(self.library.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids, "<u4")
+        cuts = (np.flatnonzero(self.ends[ids]) + 1) * 4
+        if len(cuts) != len(parts):
+            return self._library(parts)
+        raw, cuts = ids.tobytes(), cuts.tolist()
+        return [raw[a:b] for a, b in zip([0, *cuts], cuts)]
+
+    def _learn(self, words: set[bytes]) -> None:
+        old = words & self.older_words.keys()
+        self.words.update((w, self.older_words[w]) for w in old)
         cut: dict[bytes, list[str]] = {}
         whole: list[bytes] = []
-        for w in words:
+        for w in words - old:
             s = w.decode("utf-8", "replace")
-            if PLAIN.match(s) and "<|" not in s:
+            if s.isascii() and s.isalpha():
+                cut[w] = [s]
+            elif PLAIN.match(s) and "<|" not in s:
                 cut[w] = PRETOKEN.findall(s.lower())
             else:
                 whole.append(w)
         if len(self.pretokens) > PRETOKENS:
             self.pretokens.clear()
-        new = list({p for parts in cut.values() for p in parts if p not in self.pretokens})
-        for i in range(0, len(new), 1024):
-            self.pretokens.update(zip(new[i : i + 1024], self._library(new[i : i + 1024])))
-        for w, parts in cut.items():
-            self.words[w] = b"".join([self.pretokens[p] for p in parts])
+        new = list({p for parts in cut.values() for p in parts}.difference(self.pretokens))
+        for i in range(0, len(new), 2048):
+            some = new[i : i + 2048]
+            self.pretokens.update(zip(some, self._pretokens(some)))
+        ids = self.pretokens
+        self.words.update((w, ids[p[0]] if len(p) == 1 else b"".join([ids[x] for x in p])) for w, p in cut.items())
         for i in range(0, len(whole), 1024):
             some = whole[i : i + 1024]
             self.words.update(zip(some, self._library([w.decode("utf-8", "replace") for w in some])))
@@ -92,11 +115,11 @@ class WordIds:
         if not self.by_word:
             return [x for t in texts for x in self._library([t.decode("utf-8", "replace")])]
         if len(self.words) > WORDS:
-            self.words.clear()
+            self.older_words, self.words = self.words, {}
         cut = [t.lower().split() for t in texts]
         new = set().union(*cut).difference(self.words)
         if new:
-            self._learn(list(new))
+            self._learn(new)
         get: Callable[[bytes], bytes] = self.words.__getitem__
         return [b"".join(map(get, words)) for words in cut]
 
