@@ -59,8 +59,10 @@ def offset_encoder(path: str) -> Encode:
             raise ValueError(f"{path}: pieces cross word starts, so chunks cannot be spliced")
 
         def encode(text: str) -> Tokens:
-            got = sp.encode(text, out_type="immutable_proto").pieces
-            return _tokens([p.id for p in got], [p.begin for p in got], [p.end for p in got])
+            got = sp.encode(text, return_type="proto").pieces
+            raw = np.frombuffer(text.encode("utf-8"), np.uint8)
+            chars = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])  # the library's offsets count bytes
+            return _tokens([p.id for p in got], chars[[p.begin for p in got]], chars[[p.end for p in got]])
 
         return encode
     library = load_tokenizer(path)
