@@ -220,6 +220,31 @@ def q_replay(spark, sf_dir):
     return out["outcomes"].select("queue_id", "transaction_id", "attempt_count", "outcome")
 
 
+def _replayed(spark, sf_dir):
+    silver = contract.split_contract(fx.raw_events(spark, sf_dir), oracle.RETRY_ENQUEUE_AS_OF)[0]
+    return retry.replay(fx.retry_queue(spark, sf_dir), silver, oracle.RETRY_NOW, oracle.RETRY_REPLAY_AS_OF)
+
+
+@query("replay_silver")
+def q_replay_silver(spark, sf_dir):
+    return _replayed(spark, sf_dir)["silver"]
+
+
+@query("replay_queue")
+def q_replay_queue(spark, sf_dir):
+    return _replayed(spark, sf_dir)["queue"].select(*QUEUE_COLS)
+
+
+@query("quarantine_sink")
+def q_quarantine_sink(spark, sf_dir):
+    """The stored quarantine of all landing days, read back: records as received and their errors."""
+    _, bad = contract.split_contract(fx.raw_events(spark, sf_dir), oracle.CONTRACT_AS_OF)
+    path = shared_dir(spark, "quarantine")
+    contract.write_quarantine(bad, path, oracle.B2S_DT, "all")
+    back = spark.read.schema("record string, errors array<string>").json(path)
+    return back.select("record", F.array_join("errors", ",").alias("errors"))
+
+
 # --- dimensions, SCD2, joins, reconciliation over F1 ------------------------------------------------
 from ledgerlake.operators import joins, scd2  # noqa: E402
 
@@ -356,8 +381,8 @@ def q_stream_upsert(spark, sf_dir):
 def q_stream_quarantine_spike(spark, sf_dir):
     out = shared_dir(spark, "alarm")
     views = fx.events_stream(spark, sf_dir).where(F.col("event_type") == "view")
-    runners.quarantine_spike_stream(views, out, shared_dir(spark, "ckpt"), oracle.QUARANTINE_SPIKE_ROWS)
-    return spark.read.parquet(out)
+    runners.quarantine_spike_stream(views, out, shared_dir(spark, "ckpt"))
+    return runners.spike_alarms(spark, out, oracle.QUARANTINE_SPIKE_ROWS)
 
 
 @query("dim_currency")

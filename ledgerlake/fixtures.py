@@ -333,7 +333,7 @@ def pipeline_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     run_hour = F.col("run_hour").cast("timestamp_ntz")
     leak = F.when(run_hour == ts_lit(LEAK_HOUR), F.lit(1)).otherwise(F.lit(0))
     runs = hourly.select(
-        F.lit("payments_etl").alias("dag_id"),
+        F.lit("daily_payments").alias("dag_id"),
         F.lit("bronze_to_silver").alias("task_id"),
         F.concat(F.lit("run_"), F.date_format(run_hour, "yyyyMMddHH")).alias("run_id"),
         run_hour.cast("date").cast("string").alias("payment_date"),
@@ -400,6 +400,7 @@ def retry_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.pmod("_id", F.lit(5)) + 1).cast("int").alias("attempt_count"),
         F.array_join("errors", ",").alias("last_error"),
         F.col("ingest_ts").alias("eligible_at"),
+        F.col("ingest_ts").alias("arrived_at"),
     )
 
 

@@ -60,6 +60,13 @@ def canonical_text(cols: list[str | Column]) -> Column:
     return F.concat_ws(FIELD_SEP, *parts)
 
 
+def content_key(cols: list[str | Column]) -> Column:
+    """SHA-256 (hex) of a row. Every value is written with its length, so no two rows share a text."""
+    texts = [col_of(c).cast("string") for c in cols]
+    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+    return F.sha2(F.concat_ws(FIELD_SEP, *parts), 256)
+
+
 def hex60(hex_col: Column) -> Column:
     """First 15 hex digits of a digest as a non-negative BIGINT (60 bits)."""
     return F.conv(F.substring(hex_col, 1, 15), 16, 10).cast("bigint")

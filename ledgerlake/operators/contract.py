@@ -6,8 +6,9 @@ sees the text the provider sent. Each rule yields an error name; a row is good w
 
 * ``transaction_id`` 1..64 and ``game`` 1..128 characters (code points; blank allowed);
 * ``payment_date`` ISO ``yyyy-MM-dd``, optionally with a midnight time, not after ``as_of``;
-* ``price`` a decimal number (sign, fraction, exponent, surrounding spaces allowed) > 0 with
-  at most 4 significant decimals (trailing zeros do not count), fitting DECIMAL(18,4);
+* ``price`` a decimal number (sign, fraction, exponent, surrounding white space allowed; no
+  ``_`` between digits) > 0 with at most 4 significant decimals (trailing zeros do not count),
+  fitting DECIMAL(18,4);
 * ``currency`` exactly three capital letters (a trailing newline is *not* accepted);
 * ``status`` one of the enum values; no keys beyond the six fields in the raw line.
 
@@ -44,13 +45,13 @@ ERROR_NAMES = (
 PRICE_PATTERN = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 PRICE_EXCESS_FRACTION = r"\.[0-9]{4}[0-9]*[1-9]"
 PRICE_ZERO = r"^[+-]?(0+\.?0*|\.0+)([eE][+-]?[0-9]+)?$"
-DATE_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ]00:00(:00(\.0+)?)?)?$"
+DATE_PATTERN = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}([T ]00:00(:00(\.0+)?)?)?\z"
 CURRENCY_PATTERN = r"\A[A-Z]{3}\z"
 WIDE_DECIMAL = "decimal(38,18)"
 
 
 def _price_text() -> Column:
-    return F.trim(F.col("price"))
+    return F.trim(F.col("price"), F.lit(" \t\n\r\f\x0b"))
 
 
 def parsed_price() -> Column:
@@ -160,11 +161,13 @@ def typed(df: DataFrame, ingest_ts=None, keep=()) -> DataFrame:
 def split_contract(
     raw: DataFrame, as_of, ingest_ts=None, raw_line_col: str | None = "raw_line", keep=()
 ) -> tuple[DataFrame, DataFrame]:
-    """``(good, bad)``: good rows typed to the silver schema; bad rows keep their raw fields,
-    the JSON of the record and the ``errors`` array."""
+    """``(good, bad)``: good rows typed to the silver schema; bad rows keep their raw fields, the
+    record as received (the raw line, or the fields as JSON if there is none) and ``errors``."""
     checked = with_errors(raw, as_of, raw_line_col)
     good = typed(checked.where(F.size("errors") == 0), ingest_ts, keep)
     record = F.to_json(F.struct(*[F.col(c) for c in PAYMENT_COLUMNS]))
+    if raw_line_col and raw_line_col in raw.columns:
+        record = F.coalesce(F.col(raw_line_col), record)
     keep = [c for c in checked.columns if c not in ("errors",)]
     bad = checked.where(F.size("errors") > 0).select(*keep, record.alias("record"), "errors")
     return good, bad

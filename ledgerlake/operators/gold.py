@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.exprs import MONEY, RATE, date_key, date_lit, decimal_lit
-from ledgerlake.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_bounded
 
 FACT_COLUMNS = (
     "transaction_id",
@@ -28,13 +27,12 @@ def build_fact(
     silver: DataFrame,
     fx: DataFrame,
     *,
-    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
     with_fx_flag: bool = False,
 ) -> DataFrame:
     """Fact rows: renamed keys, ``yyyyMMdd`` date key and EUR price.
 
-    The FX table is one row per (currency, day), so it is bounded by calendar x currencies and
-    is broadcast after a row-count check: the fact side is never shuffled. A missing rate
+    The FX table is one row per (currency, day). No hint: adaptive execution broadcasts it when
+    its measured bytes allow, and splits a skewed day otherwise. A missing rate
     converts at 1.0 (the price is taken as EUR); ``with_fx_flag`` adds ``fx_missing`` so a
     caller can count or reject such rows. The product is cast once to DECIMAL(18,4)
     (half-up), keeping the fact in exact decimal arithmetic.
@@ -44,7 +42,6 @@ def build_fact(
         F.col("rate_date").alias("_fx_date"),
         F.col("rate_to_eur").cast(RATE).alias("_fx_rate"),
     )
-    rates = broadcast_if_bounded(rates, broadcast_max_rows)
     joined = silver.join(
         rates,
         (silver["currency"] == rates["_fx_code"]) & (silver["payment_date"] == rates["_fx_date"]),

@@ -1,24 +1,24 @@
-"""Join helpers: size-checked broadcast, salted skew join, orphan (anti) joins."""
+"""Join helpers: salted skew join, orphan (anti) joins."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A broadcast side is copied to every executor and held in memory there, so it is only
-# hinted after its row count has been checked against this bound.
-DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+#: A key is hot if it holds more than this share of the rows, so there are fewer than 1 / share.
+HOT_SHARE = 0.005
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint ``broadcast`` only when ``df`` has at most ``max_rows`` rows.
+def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
+    """The keys that hold more than ``share`` of all rows: fewer than ``1 / share`` of them.
 
-    The check is a ``limit(max_rows + 1).count()`` job, so it stops early on a large input.
-    Beyond the bound the plain DataFrame is returned and Catalyst/AQE pick a shuffle join
-    (sort-merge, with skewed partitions split at run time).
+    One aggregation (pre-reduced on the map side) and a scalar subquery for the total.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_ll_n"))
+    total = df.agg(F.count(F.lit(1)).cast("double").alias("_ll_total")).scalar()
+    return counts.where(F.col("_ll_n") > F.lit(share) * total).select(key)
 
 
 def salted_join(
@@ -27,21 +27,25 @@ def salted_join(
     key: str,
     n_salt: int = 16,
     how: str = "left",
+    salt_cols: Sequence[str] | None = None,
+    share: float = HOT_SHARE,
 ) -> DataFrame:
-    """Spread each join key of ``fact`` over ``n_salt`` reducers; ``dim`` is replicated.
+    """A shuffle join in which every hot key of ``fact`` is dealt over ``n_salt`` reducers.
 
-    The result equals ``fact.join(dim, key, how)`` as a multiset (the salt only decides which
-    reducer a fact row visits; every salt value sees every dim row for that key). The salt is
-    a round robin over the row position in the scan, so it is stable under task retry for a
-    deterministic input and spreads even a group of identical rows. No broadcast hint: a
-    broadcast join has no reducer skew to begin with.
+    The result equals ``fact.join(dim, key, how)`` as a multiset. A fact row with a hot key gets
+    a salt from the hash of ``salt_cols`` (default: all columns), which a retried task repeats;
+    only the hot keys' dim rows are copied, once for each salt. Other keys join as they are.
+    The hot keys are broadcast (fewer than ``1 / share`` rows); the dim never is.
     """
     if how not in ("left", "inner"):
         raise ValueError("salted_join supports left and inner joins")
-    salt = "_ll_salt"
-    fact_s = fact.withColumn(salt, F.pmod(F.monotonically_increasing_id(), F.lit(n_salt)).cast("int"))
-    dim_s = dim.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(n_salt - 1))))
-    return fact_s.join(dim_s, [key, salt], how).drop(salt)
+    salt, is_hot = "_ll_salt", F.col("_ll_hot").isNotNull()
+    hot = F.broadcast(hot_keys(fact, key, share).withColumn("_ll_hot", F.lit(True)))
+    spread = F.pmod(F.xxhash64(*(salt_cols or fact.columns)), F.lit(n_salt)).cast("int")
+    fact_s = fact.join(hot, key, "left").withColumn(salt, F.when(is_hot, spread).otherwise(F.lit(0))).drop("_ll_hot")
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(n_salt - 1))).otherwise(F.array(F.lit(0)))
+    dim_s = dim.join(hot, key, "left").withColumn(salt, F.explode(copies)).drop("_ll_hot")
+    return fact_s.join(dim_s.hint("merge"), [key, salt], how).drop(salt)
 
 
 def current_rows(dim: DataFrame) -> DataFrame:
@@ -54,9 +58,7 @@ def orphans(
     dim: DataFrame,
     key: str,
     dim_key: str,
-    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Fact rows whose ``key`` has no current row in ``dim`` (NULL keys are orphans)."""
     cur = current_rows(dim).select(F.col(dim_key).alias("_ll_dim_key")).distinct()
-    cur = broadcast_if_bounded(cur, broadcast_max_rows)
     return fact.join(cur, fact[key] == cur["_ll_dim_key"], "left_anti")

@@ -72,15 +72,15 @@ def kpi_anomalies(mart: DataFrame, digits: int = 6) -> DataFrame:
     rev = F.col("gross_revenue_eur").cast("double")
     mu = F.avg(rev).over(w)
     sigma = F.stddev_samp(rev).over(w)
-    z = F.round((rev - mu) / F.nullif(sigma, F.lit(0.0)), digits)
-    return mart.select(
-        "game_key", "payment_date", "gross_revenue_eur", z.alias("z_score")
-    ).withColumn(
-        "severity",
+    z = (rev - mu) / F.nullif(sigma, F.lit(0.0))
+    scored = mart.select("game_key", "payment_date", "gross_revenue_eur", z.alias("z_score"))
+    # The severity is taken from the exact score; only the reported score is rounded.
+    severity = (
         F.when(F.abs("z_score") > SEVERITY_ALERT_Z, "ALERT")
         .when(F.abs("z_score") > SEVERITY_WARN_Z, "WARN")
-        .otherwise("OK"),
+        .otherwise("OK")
     )
+    return scored.withColumn("severity", severity).withColumn("z_score", F.round("z_score", digits))
 
 
 def data_freshness(mart: DataFrame, as_of: str | _dt.date) -> DataFrame:

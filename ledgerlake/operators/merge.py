@@ -5,8 +5,9 @@ Design notes for scale:
 * Dedup is a grouped ``max(struct(order..., rest...))``: an aggregate, so Spark combines
   map-side and a key with millions of copies is reduced in every map task before the shuffle
   (a ``row_number`` window would drag the whole hot group into one task).
-* Rows with a NULL key can never match, so they bypass the joins instead of all hashing to
-  one reducer.
+* Rows with a NULL key can never match. They go through the same join and aggregation as the
+  others, under a second key (``_spread``) that deals them over all reducers, so every input is
+  read once.
 * The upsert itself is one full-outer join; the Parquet sink restricts the target to the
   partitions the batch touches, so a daily batch rewrites days, not the table.
 """
@@ -18,8 +19,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_bounded
-
 DEFAULT_KEYS = ("transaction_id",)
 DEFAULT_UPDATE_COLS = ("status", "price", "ingest_ts")
 DEFAULT_COMPARE_COLS = ("status", "price")
@@ -33,6 +32,14 @@ def _any_null(keys: Sequence[str]) -> Column:
     return cond
 
 
+_SPREAD = "_ll_spread"
+
+
+def _spread(cols: Sequence[str], keys: Sequence[str]) -> Column:
+    """0 for a row with all its keys, else a number from its hash: NULL keys meet in no one reducer."""
+    return F.when(_any_null(keys), F.pmod(F.xxhash64(*cols), F.lit(1 << 20)) + 1).otherwise(0)
+
+
 def dedup_latest(
     df: DataFrame,
     keys: Sequence[str] = DEFAULT_KEYS,
@@ -42,22 +49,25 @@ def dedup_latest(
     """One row per key: the greatest (``latest=True``) by ``order_by``, ties by the other columns.
 
     Deterministic superset of ``dropDuplicates(keys)``. Rows with a NULL key are not
-    identifiable and are passed through unchanged.
+    identifiable: all of them are kept. Equal ones are counted within their scan task and
+    written out again that many times, which costs no second read of the input.
     """
-    keys = list(keys)
-    return _latest_per_key(df.where(~_any_null(keys)), keys, order_by, latest).unionByName(
-        df.where(_any_null(keys))
-    )
-
-
-def _latest_per_key(df: DataFrame, keys: list, order_by: Sequence[str], latest: bool = True) -> DataFrame:
-    """``dedup_latest`` for rows whose keys are all non-NULL."""
-    order_by = list(order_by)
-    rest = [c for c in df.columns if c not in keys and c not in order_by]
+    keys, order_by = list(keys), list(order_by)
+    cols = list(df.columns)
+    rest = [c for c in cols if c not in keys and c not in order_by]
     packed = F.struct(*[F.col(c) for c in order_by + rest])
-    pick = F.max(packed) if latest else F.min(packed)
-    agg = df.groupBy(*keys).agg(pick.alias("_ll_row"))
-    return agg.select(*keys, *[F.col(f"_ll_row.{c}").alias(c) for c in order_by + rest]).select(*df.columns)
+    no_key = _any_null(keys)
+    rows = df.select(
+        *keys,
+        packed.alias("_ll_row"),
+        F.when(no_key, packed).alias("_ll_own"),
+        F.when(no_key, F.spark_partition_id()).otherwise(-1).alias("_ll_task"),
+    )
+    pick = F.max("_ll_row") if latest else F.min("_ll_row")
+    agg = rows.groupBy(*keys, "_ll_own", "_ll_task").agg(pick.alias("_ll_row"), F.count(F.lit(1)).alias("_ll_n"))
+    copies = F.when(no_key, F.col("_ll_n")).otherwise(F.lit(1)).cast("int")
+    agg = agg.withColumn("_ll_copy", F.explode(F.sequence(F.lit(1), copies)))
+    return agg.select(*keys, *[F.col(f"_ll_row.{c}").alias(c) for c in order_by + rest]).select(*cols)
 
 
 def assert_unique_keys(df: DataFrame, keys: Sequence[str] = DEFAULT_KEYS) -> None:
@@ -104,20 +114,11 @@ def merge_upsert(
     keys = list(keys)
     cols = list(target.columns)
     source = source.select(*cols)
-    # The source is split once: keyed rows (deduplicated) join, NULL-key rows are inserted.
-    keyed = source.where(~_any_null(keys))
     if dedup_source:
-        keyed = _latest_per_key(keyed, keys, source_order)
+        source = dedup_latest(source, keys, source_order)
     else:
-        assert_unique_keys(keyed, keys)
-
-    t = target.where(~_any_null(keys)).withColumn("_ll_t", F.lit(True)).alias("_t")
-    s = keyed.withColumn("_ll_s", F.lit(True)).alias("_s")
-    cond = None
-    for k in keys:
-        c = F.col(f"_t.{k}") == F.col(f"_s.{k}")
-        cond = c if cond is None else cond & c
-    j = t.join(s, cond, "full_outer")
+        assert_unique_keys(source, keys)
+    j = _full_join(target, source, keys)
     in_t = F.col("_t._ll_t").isNotNull()
     in_s = F.col("_s._ll_s").isNotNull()
     upd = in_t & in_s & _changed(compare_cols, null_safe)
@@ -135,14 +136,21 @@ def merge_upsert(
             out.append(F.when(in_t, tc).otherwise(sc).alias(c))
     if with_action:
         out.append(F.when(upd, "update").when(in_t, "none").otherwise("insert").alias("_merge_action"))
-    merged = j.select(*out)
+    return j.select(*out)
 
-    t_null = target.where(_any_null(keys))
-    s_null = source.where(_any_null(keys))
-    if with_action:
-        t_null = t_null.withColumn("_merge_action", F.lit("none"))
-        s_null = s_null.withColumn("_merge_action", F.lit("insert"))
-    return merged.unionByName(t_null).unionByName(s_null)
+
+def _full_join(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    """Full outer join of ``_t`` and ``_s`` on the keys; rows with a NULL key stay unmatched.
+
+    Equality never holds for a NULL key, and the spread of such a row differs from 0, so the
+    join keeps it as a row of its own side while dealing it by its hash.
+    """
+    t = target.withColumn(_SPREAD, _spread(target.columns, keys)).withColumn("_ll_t", F.lit(True)).alias("_t")
+    s = source.withColumn(_SPREAD, _spread(source.columns, keys)).withColumn("_ll_s", F.lit(True)).alias("_s")
+    cond = F.col(f"_t.{_SPREAD}") == F.col(f"_s.{_SPREAD}")
+    for k in keys:
+        cond = cond & (F.col(f"_t.{k}") == F.col(f"_s.{k}"))
+    return t.join(s, cond, "full_outer")
 
 
 def change_feed(
@@ -161,13 +169,7 @@ def change_feed(
     keys = list(keys)
     cols = list(old.columns)
     compare = list(compare_cols) if compare_cols is not None else [c for c in cols if c not in keys]
-    t = old.where(~_any_null(keys)).withColumn("_ll_t", F.lit(True)).alias("_t")
-    s = new.select(*cols).where(~_any_null(keys)).withColumn("_ll_s", F.lit(True)).alias("_s")
-    cond = None
-    for k in keys:
-        c = F.col(f"_t.{k}") == F.col(f"_s.{k}")
-        cond = c if cond is None else cond & c
-    j = t.join(s, cond, "full_outer")
+    j = _full_join(old, new.select(*cols), keys)
     in_t = F.col("_t._ll_t").isNotNull()
     in_s = F.col("_s._ll_s").isNotNull()
     changed = _changed(compare, null_safe=True)
@@ -181,10 +183,7 @@ def change_feed(
         .when(in_t & ~in_s, F.array(side("_t", "delete")))
         .when(~in_t & in_s, F.array(side("_s", "insert")))
     )
-    feed = j.select(F.explode(changes).alias("_c")).select("_c.*")
-    orphans_old = old.where(_any_null(keys)).withColumn("_change_type", F.lit("delete"))
-    orphans_new = new.select(*cols).where(_any_null(keys)).withColumn("_change_type", F.lit("insert"))
-    return feed.unionByName(orphans_old).unionByName(orphans_new)
+    return j.select(F.explode(changes).alias("_c")).select("_c.*")
 
 
 def apply_change_feed(old: DataFrame, feed: DataFrame, keys: Sequence[str] = DEFAULT_KEYS) -> DataFrame:
@@ -201,10 +200,11 @@ def erase(
     df: DataFrame,
     ids: DataFrame,
     keys: Sequence[str] = DEFAULT_KEYS,
-    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
 ) -> DataFrame:
-    """Remove every row whose key is in ``ids`` (right-to-erasure)."""
+    """Remove every row whose key is in ``ids`` (right-to-erasure).
+
+    No hint: the ids grow with the data, so adaptive execution decides by their measured bytes.
+    """
     keys = list(keys)
     req = ids.select(*keys).where(~_any_null(keys)).distinct()
-    req = broadcast_if_bounded(req, broadcast_max_rows)
     return df.join(req, keys, "left_anti")

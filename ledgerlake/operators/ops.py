@@ -25,7 +25,7 @@ def tier_for_day(df: DataFrame, dt, threshold: int = SPARK_TIER_THRESHOLD, colum
     """Tier label of one day; a missing day (or table) counts as zero rows."""
     from ledgerlake.operators.gold import filter_day
 
-    n = filter_day(df, dt, column).limit(threshold).count()
+    n = filter_day(df, dt, column).count()
     return "spark" if n >= threshold else "lean"
 
 
@@ -134,8 +134,5 @@ def emit_metrics(metrics: DataFrame, path: str) -> None:
     metrics.write.mode("append").parquet(path)
     leaks = row_balance(metrics)
     if not leaks.isEmpty():
-        first = leaks.first()
-        raise RowLeakError(
-            f"row leak {first['run_id']} dt={first['payment_date']}: in={first['input_rows']} "
-            f"out={first['output_rows']} rej={first['rejected_rows']} quar={first['quarantined_rows']}"
-        )
+        worst = leaks.orderBy(F.abs("leaked_rows").desc(), "run_id").first()
+        raise RowLeakError(f"{worst['leaked_rows']} rows of run {worst['run_id']}, day {worst['payment_date']}, are unaccounted for")

@@ -1,8 +1,9 @@
 """Row-level retry queue: enqueue, due, exponential backoff, dead letter, replay.
 
-The queue is a table of rejected records plus ``queue_id`` (a content digest, so rows with a
-NULL transaction id are still addressable), ``attempt_count``, ``last_error`` and
-``eligible_at``. Every operator returns DataFrames; the caller writes the new queue to a new
+The queue is a table of rejected records plus ``queue_id`` (SHA-256 of the fields and the
+received line, so malformed lines and rows with a NULL transaction id are addressable),
+``attempt_count``, ``last_error``, ``eligible_at`` and ``arrived_at`` (when the record first
+arrived, which decides whether a replayed row may overwrite a newer one). Every operator returns DataFrames; the caller writes the new queue to a new
 versioned folder instead of overwriting the folder it is reading from.
 """
 
@@ -13,29 +14,47 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.exprs import row_digest, ts_lit
+from ledgerlake.functions.exprs import content_key, ts_lit
 from ledgerlake.operators import contract
-from ledgerlake.operators.merge import merge_upsert
+from ledgerlake.operators.merge import dedup_latest, merge_upsert
 from ledgerlake.schemas import PAYMENT_COLUMNS
 
 MAX_ATTEMPTS = 5
 QUEUE_KEY = "queue_id"
 
 
-def queue_id(cols: Sequence[str] = PAYMENT_COLUMNS) -> F.Column:
-    return row_digest(list(cols))
+KEY_COLUMNS = (*PAYMENT_COLUMNS, "raw_line")
 
 
-def enqueue(df: DataFrame, error: str | F.Column, now, key_cols: Sequence[str] = PAYMENT_COLUMNS) -> DataFrame:
-    """First queue entry for failed rows: attempt 1, eligible immediately (at ``now``)."""
+def queue_id(cols: Sequence[str] = KEY_COLUMNS) -> F.Column:
+    return content_key(list(cols))
+
+
+def enqueue(
+    df: DataFrame,
+    error: str | F.Column,
+    now,
+    key_cols: Sequence[str] = KEY_COLUMNS,
+    queue: DataFrame | None = None,
+) -> DataFrame:
+    """First queue entries for failed rows: attempt 1, eligible immediately (at ``now``).
+
+    A row without ``arrived_at`` is taken to have arrived at ``now``. With ``queue``, rows that it
+    already holds are left out, and equal rows enter once: enqueueing a run again adds nothing.
+    """
     err = error if isinstance(error, F.Column) else F.lit(error)
-    return df.select(
+    arrived = F.col("arrived_at") if "arrived_at" in df.columns else ts_lit(now)
+    fresh = df.select(
         queue_id(key_cols).alias(QUEUE_KEY),
-        *df.columns,
+        *[c for c in df.columns if c != "arrived_at"],
         F.lit(1).cast("int").alias("attempt_count"),
         err.cast("string").alias("last_error"),
         ts_lit(now).alias("eligible_at"),
+        arrived.cast("timestamp_ntz").alias("arrived_at"),
     )
+    if queue is None:
+        return fresh
+    return dedup_latest(fresh, [QUEUE_KEY], ["arrived_at"], latest=False).join(queue.select(QUEUE_KEY), QUEUE_KEY, "left_anti")
 
 
 def due(queue: DataFrame, now, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
@@ -91,8 +110,8 @@ def replay(
 ) -> dict[str, DataFrame]:
     """Re-attempt due entries: re-validate them against the contract as of ``as_of``.
 
-    Valid ones become silver rows ingested at ``now`` (``good``; merged into ``silver`` as
-    ``silver`` when a silver DataFrame is given), the rest are rescheduled. Also returns the
+    Valid ones become silver rows of their first arrival (``good``; merged into ``silver`` as
+    ``silver`` when a silver DataFrame is given, never over a newer row), the rest are rescheduled. Also returns the
     new ``queue``, the ``dead`` entries and ``outcomes`` (one row per due entry with
     ``merged``, ``requeued`` or ``dead``).
     """
@@ -100,8 +119,8 @@ def replay(
     checked = contract.with_errors(ready, as_of)
     ok = checked.where(F.size("errors") == 0)
     failed = checked.where(F.size("errors") > 0)
-    good = contract.typed(ok, ingest_ts=now)
-    new_silver = merge_upsert(silver, good) if silver is not None else None
+    good = contract.typed(ok, ingest_ts=F.col("arrived_at"))
+    new_silver = merge_upsert(silver, good, newer_only="ingest_ts") if silver is not None else None
     new_queue, dead = reschedule(queue.join(ok.select(QUEUE_KEY), QUEUE_KEY, "left_anti"), failed, now, max_attempts)
     outcome = (
         checked.select(QUEUE_KEY, "transaction_id", "attempt_count", F.size("errors").alias("_n_err"))

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.exprs import row_digest, ts_lit
-from ledgerlake.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_bounded
 
 SK = "game_sk"
 FAR_FUTURE = "9999-12-31 00:00:00"
@@ -82,13 +81,11 @@ def scd2_asof(
     fact_time: str = "payment_date",
     key: str = "game_key",
     attrs: Sequence[str] = (SK, "genre"),
-    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Attach the dimension version valid at each fact's time (``valid_from <= t < valid_to``).
 
-    Equi-join on the key plus a range condition. The dimension (bounded by keys x versions) is
-    broadcast after a size check, so a hot key on the fact side causes no reducer skew; above
-    the bound it is a shuffle join whose skewed partitions adaptive execution splits.
+    Equi-join on the key plus a range condition. Adaptive execution broadcasts the dimension
+    when its measured bytes allow; else it is a shuffle join whose skewed partitions it splits.
     """
     d = dim.select(
         F.col(key).alias("_ll_k"),
@@ -96,7 +93,6 @@ def scd2_asof(
         F.coalesce(F.col("valid_to"), ts_lit(FAR_FUTURE)).alias("_ll_to"),
         *[F.col(a) for a in attrs],
     )
-    d = broadcast_if_bounded(d, broadcast_max_rows)
     t = F.col(fact_time).cast("timestamp_ntz")
     cond = (F.col(fact_key) == F.col("_ll_k")) & (F.col("_ll_from") <= t) & (t < F.col("_ll_to"))
     return fact.join(d, cond, "left").drop("_ll_k", "_ll_from", "_ll_to")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.operators import contract, dq, gold, marts
 from ledgerlake.operators.merge import dedup_latest
+from ledgerlake.session import shared_dir
 from ledgerlake.sources import bronze, tables
 
 
@@ -80,6 +81,7 @@ def bronze_to_silver(
     raw = bronze.read_bronze(spark, bronze_path, dt).persist()
     try:
         good, bad = contract.split_contract(raw, as_of, ingest_ts=ingest_ts)
+        bad = bad.withColumn("ingest_ts", ingest_ts)
         good = dedup_latest(good, order_by=("ingest_ts",)).persist()
         if gate:
             dq.assert_silver(good, as_of)
@@ -141,10 +143,12 @@ def run_day(
     """One daily run over Parquet tables.
 
     bronze(dt) -> contract split (bad rows to quarantine) -> dedup -> FAIL-severity DQ gate ->
-    silver MERGE of touched partitions -> fact and mart for ``dt`` and the ``restate_days``
-    days before it, in one job, overwriting those partitions -> referential check (when
-    dimensions are given) and reconciliation of ``dt`` -> replay of the retry queue (when
-    ``paths.retry_queue`` is set; ``now`` is the run time).
+    silver MERGE of touched partitions -> replay of the due retry entries, then enqueueing of
+    this run's rejects (when ``paths.retry_queue`` is set; ``now`` is the run time) -> fact and
+    mart for ``dt``, the ``restate_days`` days before it and every other day that the MERGE or the
+    replay touched -> referential check (when dimensions are given) and reconciliation of all
+    these days, both on the stored rows and both raising -> publication to gold, in which a day
+    left without rows is emptied.
     """
     day = _date(dt)
     as_of = as_of or day
@@ -154,51 +158,61 @@ def run_day(
     )
     result.merged_partitions = b2s["touched"]
     result.quarantined_rows = b2s["quarantined"]
-
-    silver = spark.read.parquet(paths.silver)
-    fact, _ = restate_window(silver, fx, day + _dt.timedelta(days=1), days=restate_days + 1)
-    fact = fact.checkpoint(eager=True)
-    mart = gold.build_agg_game_daily(fact)
-    tables.overwrite_partitions(fact, paths.fact)
-    tables.overwrite_partitions(mart, paths.mart)
-    result.gold_days = sorted(r[0] for r in fact.select("payment_date").distinct().collect())
-
-    if dim_game is not None and dim_currency is not None:
-        result.orphans = dq.referential_summary(fact, dim_game, dim_currency).first().asDict()
-    rec = marts.reconciliation(gold.filter_day(silver, day), gold.filter_day(fact, day), gold.filter_day(mart, day))
-    row = rec.first()
-    result.reconciliation = row.asDict() if row is not None else {}
-    if row is not None and not (row["revenue_ok"] and row["count_ok"] and row["eur_ok"]):
-        raise dq.DQError(f"reconciliation drift dt={day}: {result.reconciliation}")
-
+    touched = set(b2s["touched"])
     if paths.retry_queue is not None:
         run_time = now or f"{(day + _dt.timedelta(days=1)).isoformat()} 00:00:00"
         result.replay = replay_quarantine(spark, paths, b2s["rejected"], run_time, as_of)
+        touched |= set(result.replay["merged_partitions"])
+
+    window = {day - _dt.timedelta(days=k) for k in range(restate_days + 1)}
+    days = sorted(window | {d for d in touched if d is not None})
+    if not tables.table_exists(spark, paths.silver):  # nothing has ever passed the contract
+        return result
+    silver = spark.read.parquet(paths.silver).where(F.col("payment_date").isin(days))
+    staged = shared_dir(spark, "gold-staging")
+    gold.build_fact(silver, fx).write.parquet(f"{staged}/fact")
+    fact = spark.read.parquet(f"{staged}/fact")
+    gold.build_agg_game_daily(fact).write.parquet(f"{staged}/mart")
+    mart = spark.read.parquet(f"{staged}/mart")
+
+    if dim_game is not None and dim_currency is not None:
+        summary = dq.referential_summary(fact, dim_game, dim_currency)
+        result.orphans = summary.first().asDict()
+        dq.assert_referential(summary)
+    per_day = marts.reconciliation(silver, fact, mart).collect()  # one row a rebuilt day
+    drift = [r.asDict() for r in per_day if not (r["revenue_ok"] and r["count_ok"] and r["eur_ok"])]
+    result.reconciliation = next((r.asDict() for r in per_day if r["payment_date"] == day), {})
+    if drift:
+        raise dq.DQError(f"gold does not reconcile with silver on {len(drift)} days, first {drift[0]}")
+    tables.replace_days(fact, paths.fact, days)
+    tables.replace_days(mart, paths.mart, days)
+    result.gold_days = days
     return result
 
 
 def replay_quarantine(spark: SparkSession, paths: Paths, rejected: DataFrame, now, as_of) -> dict:
-    """Enqueue this run's contract rejects, then re-attempt every due entry of the queue.
+    """Re-attempt every due entry of the queue, then enqueue this run's contract rejects.
 
-    Valid entries are merged into silver (touched partitions only), failures are rescheduled
-    with backoff, exhausted ones are appended to the dead letter. The queue is rebuilt from its
-    previous version, so the new queue is written as the next version folder instead of over
-    the one being read.
+    Valid entries are merged into silver (touched partitions only, never over a newer arrival),
+    failures are rescheduled with backoff. Exhausted entries are written to the dead letter
+    before the queue without them becomes visible, under this run's time, so a run repeated
+    after a crash rewrites them. Rejects that the queue already holds are not added again. The
+    queue is rebuilt from its previous version, which stays readable meanwhile.
     """
     from ledgerlake.operators import retry
     from ledgerlake.schemas import PAYMENT_COLUMNS
 
-    src = rejected.select(*PAYMENT_COLUMNS, "raw_line", F.array_join("errors", ",").alias("_ll_err"))
-    fresh = retry.enqueue(src, F.col("_ll_err"), now).drop("_ll_err")
-    queue = tables.read_latest_version(spark, paths.retry_queue, fresh.schema).unionByName(fresh)
-    queue = queue.checkpoint(eager=True)  # one consistent snapshot for every consumer below
+    src = rejected.select(
+        *PAYMENT_COLUMNS, "raw_line", F.col("ingest_ts").alias("arrived_at"), F.array_join("errors", ",").alias("_ll_err")
+    )
+    shape = retry.enqueue(src, F.col("_ll_err"), now).drop("_ll_err")
+    queue = tables.read_latest_version(spark, paths.retry_queue, shape.schema)
+    fresh = retry.enqueue(src, F.col("_ll_err"), now, queue=queue).drop("_ll_err")
     out = retry.replay(queue, None, now, as_of)
-    merged = tables.merge_into_table(spark, paths.silver, out["good"])
-    version = tables.write_next_version(spark, paths.retry_queue, out["queue"])
-    if paths.dead_letter is not None:
-        day = str(now)[:10]
-        dead = out["dead"].withColumn("dt", F.lit(day))
-        if not dead.isEmpty():
-            tables.append(dead, paths.dead_letter, ["dt"])
+    merged = tables.merge_into_table(spark, paths.silver, out["good"], newer_only="ingest_ts")
     outcomes = out["outcomes"].groupBy("outcome").agg(F.count(F.lit(1)).alias("n")).collect()
+    if paths.dead_letter is not None:
+        run = F.date_format(F.lit(str(now)).cast("timestamp_ntz"), "yyyyMMdd'T'HHmmss")
+        tables.overwrite_partitions(out["dead"].withColumn("run", run), paths.dead_letter, "run")
+    version = tables.write_next_version(spark, paths.retry_queue, out["queue"].unionByName(fresh.select(*queue.columns)))
     return {"queue_version": version, "merged_partitions": merged, "outcomes": {r["outcome"]: r["n"] for r in outcomes}}

@@ -16,8 +16,10 @@ from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from ledgerlake.operators.ops import batch_manifest
 from ledgerlake.schemas import PAYMENT_COLUMNS, RAW_PAYMENT
+from ledgerlake.sources.tables import table_exists
 
-DATA_GLOB = "part-*"
+# Batch manifests that a landing may leave beside its data files; every other file is data.
+MANIFEST_SUFFIX = ".manifest.json"
 LINE_SCHEMA = StructType(
     [
         StructField("value", StringType(), True),
@@ -79,29 +81,30 @@ def parse_lines(lines: DataFrame) -> DataFrame:
 def read_bronze(spark: SparkSession, path: str, dt=None, run_id: str | None = None) -> DataFrame:
     """Scan raw records of one landing day (or all days when ``dt`` is None).
 
-    The day is a directory-partition filter, so only that day's files are listed and read.
-    The STRING schema keeps each field's text for the contract.
+    A day is loaded from its own folder, so the listing does not grow with the days landed
+    before; a day without a folder has no rows. The STRING schema keeps each field's text for
+    the contract.
     """
     base = path.rstrip("/")
-    lines = (
-        spark.read.schema(LINE_SCHEMA)
-        .option("pathGlobFilter", DATA_GLOB)
-        .option("basePath", base)
-        .format("text")
-        .load(base)
-    )
-    if dt is not None:
-        lines = lines.where(F.col("dt") == F.lit(_day(dt)).cast("date"))
+    folder = base if dt is None else f"{base}/dt={_day(dt)}"
+    if dt is not None and not table_exists(spark, folder):
+        return parse_lines(spark.createDataFrame([], LINE_SCHEMA))
+    lines = spark.read.schema(LINE_SCHEMA).option("basePath", base).format("text").load(folder)
     if run_id is not None:
         lines = lines.where(F.col("run_id") == F.lit(run_id))
-    return parse_lines(lines)
+    return parse_lines(_data_lines(lines))
+
+
+def _data_lines(lines: DataFrame) -> DataFrame:
+    """Lines of data files only: a manifest beside them is not a record."""
+    return lines.where(~F.col("_metadata.file_name").endswith(MANIFEST_SUFFIX))
 
 
 def stream_bronze(spark: SparkSession, path: str, max_files_per_trigger: int | None = None, archive_dir: str | None = None):
     """Streaming scan of bronze lines (file source); partition columns come from the paths."""
-    reader = spark.readStream.schema(LINE_SCHEMA).option("pathGlobFilter", DATA_GLOB)
+    reader = spark.readStream.schema(LINE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    return reader.format("text").load(path.rstrip("/"))
+    return _data_lines(reader.format("text").load(path.rstrip("/")))

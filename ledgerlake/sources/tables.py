@@ -92,6 +92,18 @@ def overwrite_partitions(
     w.save(path)
 
 
+def replace_days(df: DataFrame, path: str, days: Sequence, partition_col: str = PARTITION_COLUMN) -> None:
+    """Make ``df`` the whole content of the given partitions: a day without rows is emptied.
+
+    ``df`` is read twice, so it should be a stored table.
+    """
+    filled = set(_values(df, partition_col))
+    if filled - set(days):
+        raise ValueError(f"rows outside the days to replace: {sorted(map(str, filled - set(days)))}")
+    overwrite_partitions(df, path, partition_col)
+    _delete_partition_dirs(df.sparkSession, path, partition_col, [d for d in days if d not in filled])
+
+
 def append(df: DataFrame, path: str, partition_cols: Sequence[str] = (), fmt: str = "parquet") -> None:
     w = df.write.format(fmt).mode("append")
     if partition_cols:

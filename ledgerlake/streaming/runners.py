@@ -8,7 +8,8 @@ arrival time, so the at-least-once ``foreachBatch`` contract and any micro-batch
 to the same silver table.
 
 ``quarantine_spike_stream`` is the alarm rule "more than N quarantined rows in an hour" as an
-event-time tumbling window with a watermark, emitted in append mode once a window closes.
+event-time tumbling window with a watermark. Every micro-batch writes the running counts of the
+windows it changed, so the last hours are there as soon as their rows are.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.operators import contract
+from ledgerlake.operators import contract, dq
 from ledgerlake.operators.merge import dedup_latest
 from ledgerlake.sources import bronze, tables
 
@@ -35,6 +36,7 @@ def upsert_batch(
     try:
         good, bad = contract.split_contract(raw, as_of, ingest_ts=ingest_ts)
         good = dedup_latest(good, order_by=("ingest_ts",))
+        dq.assert_silver(good, as_of)
         tables.merge_into_table(spark, silver_path, good, newer_only="ingest_ts")
         if quarantine_path is not None:
             out = bad.select(
@@ -101,16 +103,16 @@ def quarantine_spike_stream(
     events: DataFrame,
     out_path: str,
     checkpoint_path: str,
-    threshold: int,
     *,
     time_column: str = "ts",
     period: str = "1 hour",
     delay: str = "1 hour",
 ) -> None:
-    """Hourly count of quarantined rows from a stream, with the alarm flag, appended to Parquet.
+    """Hourly count of quarantined rows from a stream, written to Parquet by micro-batch.
 
     ``events`` is a streaming DataFrame of quarantined rows. State is one counter per open
-    window; the watermark bounds it and closes a window ``delay`` after its end.
+    window; the watermark bounds it: a row later than ``delay`` no longer counts. A repeated
+    micro-batch rewrites its own folder. ``spike_alarms`` reads the result.
     """
     # The watermark needs a TIMESTAMP. Read the wall-clock time as UTC explicitly (and map the
     # window bounds back the same way) so windows fall on wall-clock hours whatever the session
@@ -125,14 +127,27 @@ def quarantine_spike_stream(
         utc_as_ntz(F.col("w.start")).alias("window_start"),
         utc_as_ntz(F.col("w.end")).alias("window_end"),
         "quarantined_rows",
-        (F.col("quarantined_rows") > F.lit(threshold)).alias("quarantine_alarm"),
     )
+
+    def on_batch(df: DataFrame, epoch_id: int) -> None:
+        tables.overwrite_partitions(df.withColumn("epoch", F.lit(epoch_id)), out_path, "epoch")
+
     q = (
-        out.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", out_path)
+        out.writeStream.foreachBatch(on_batch)
+        .outputMode("update")
         .option("checkpointLocation", checkpoint_path)
         .trigger(availableNow=True)
         .start()
     )
     q.awaitTermination()
+
+
+def spike_alarms(spark: SparkSession, out_path: str, threshold: int) -> DataFrame:
+    """Each window's latest count (counts only grow) and whether it is over ``threshold``."""
+    schema = "window_start timestamp_ntz, window_end timestamp_ntz, quarantined_rows long, epoch long"
+    if not tables.table_exists(spark, out_path):
+        rows = spark.createDataFrame([], schema)
+    else:
+        rows = spark.read.schema(schema).parquet(out_path)
+    latest = rows.groupBy("window_start", "window_end").agg(F.max("quarantined_rows").alias("quarantined_rows"))
+    return latest.withColumn("quarantine_alarm", F.col("quarantined_rows") > F.lit(threshold))

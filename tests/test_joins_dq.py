@@ -24,13 +24,9 @@ def test_orphans_count_null_keys(spark):
     assert sorted(r[0] for r in joins.orphans(fact, dim, "game_key", "game_key").collect()) == ["b", "c"]
 
 
-def test_broadcast_only_when_bounded(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    j_small = spark.range(100).join(joins.broadcast_if_bounded(small, 50), "id")
-    j_big = spark.range(100).join(joins.broadcast_if_bounded(big, 50), "id")
-    assert "BroadcastHashJoin" in j_small._jdf.queryExecution().executedPlan().toString()
-    assert j_big.count() == 100 and j_small.count() == 10
+def test_hot_keys_are_bounded_by_their_share(spark):
+    df = spark.range(1000).selectExpr("CASE WHEN id < 400 THEN 1 WHEN id < 500 THEN 2 ELSE id END AS k")
+    assert sorted(r["k"] for r in joins.hot_keys(df, "k", 0.05).collect()) == [1, 2]
 
 
 def _null_batch(spark):
