@@ -366,6 +366,21 @@ def q_bronze_to_silver(spark, sf_dir):
     return spark.read.parquet(silver)
 
 
+@query("run_day_gold")
+def q_run_day_gold(spark, sf_dir):
+    """The stored mart after two daily runs, the second with rows of the first day, 13 days late."""
+    raw = fx.raw_events(spark, sf_dir, resend=True)
+    late = (F.col("dt") == F.lit(oracle.LATE_FROM_DT).cast("date")) & (F.pmod("_id", F.lit(7)) == 3)
+    raw = raw.withColumn("dt", F.when(late, F.lit(oracle.B2S_DT).cast("date")).otherwise(F.col("dt")))
+    folders = {name: shared_dir(spark, f"day-{name}") for name in ("bronze", "silver", "gold", "quarantine")}
+    paths = pipeline.Paths(**folders)
+    bronze.land_bronze(raw, paths.bronze)
+    rates = fx.fx_rates_events(spark, sf_dir)
+    for dt in (oracle.LATE_FROM_DT, oracle.B2S_DT):
+        pipeline.run_day(spark, paths, dt, rates, fx.landing_ts(), as_of=oracle.CONTRACT_AS_OF)
+    return spark.read.parquet(paths.mart)
+
+
 @query("stream_upsert")
 def q_stream_upsert(spark, sf_dir):
     landed = _landed(spark, sf_dir)

@@ -700,3 +700,27 @@ FROM (SELECT date_trunc('hour', ts) AS w FROM events WHERE event_type = 'view')
 GROUP BY w"""
 
 SQL["dim_currency"] = with_(["f1"], "SELECT DISTINCT currency AS currency_code FROM f1 WHERE currency IS NOT NULL")
+
+# --- two daily runs; the second one brings rows of the first day, 13 days late -----------------------
+LATE_FROM_DT = "2024-01-02"
+CTE["fx2"] = CTE["fx1"].replace("fx1 AS", "fx2 AS").replace("CAST(o_orderdate AS DATE)", "CAST(ts AS DATE)").replace(
+    "FROM orders", "FROM events"
+).replace("o_orderdate IS NOT NULL", "ts IS NOT NULL")
+CTE["lateland2"] = f"""
+lateland2 AS (
+  SELECT * REPLACE (CASE WHEN dt = DATE '{LATE_FROM_DT}' AND _id % 7 = 3 THEN DATE '{B2S_DT}' ELSE dt END AS dt) FROM land2
+)"""
+CTE["chklate"] = "\nchklate AS (" + contract_checked("lateland2", CONTRACT_AS_OF) + "\n)"
+CTE["validlate"] = CTE["validland"].replace("validland AS", "validlate AS").replace("chkland", "chklate")
+CTE["factlate"] = (
+    "\nfactlate AS ("
+    + FACT_SELECT.format(
+        silver="("
+        + LATEST_VALID.format(where=f"dt IN (DATE '{LATE_FROM_DT}', DATE '{B2S_DT}')").replace("validland", "validlate")
+        + ")",
+        fx="fx2",
+    )
+    + "\n)"
+)
+DEPENDS.update({"lateland2": ["land2"], "chklate": ["lateland2"], "validlate": ["chklate"], "factlate": ["validlate", "fx2"]})
+SQL["run_day_gold"] = with_(["factlate"], MART_SELECT.format(fact="factlate"))

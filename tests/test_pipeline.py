@@ -166,3 +166,105 @@ def test_run_day_rerun_is_idempotent(spark):
             )
         )
     assert snapshots[0] == snapshots[1]
+
+
+def test_bronze_reads_any_data_file_and_no_manifest(spark, tmp_path):
+    import gzip
+
+    folder = tmp_path / "bronze" / "dt=2025-01-01" / "run_id=a"
+    folder.mkdir(parents=True)
+    lines = ['{"transaction_id":"1"}', '{"transaction_id":"2","more":1}', "not json"]
+    (folder / "payments.jsonl.gz").write_bytes(gzip.compress("\n".join(lines).encode()))
+    (folder / "payments.jsonl.gz.manifest.json").write_text('{"rows": 3}')
+    base = str(tmp_path / "bronze")
+    for df in (bronze.read_bronze(spark, base, "2025-01-01"), bronze.read_bronze(spark, base)):
+        assert sorted(r["raw_line"] for r in df.collect()) == sorted(lines)
+        assert {(str(r["dt"]), r["run_id"]) for r in df.collect()} == {("2025-01-01", "a")}
+    assert bronze.read_bronze(spark, base, "2025-01-02").count() == 0
+
+
+def _line(tid, day, price="1.5", status="success", **more):
+    import json
+
+    return json.dumps({"transaction_id": tid, "game": "g", "payment_date": day, "price": price, "currency": "EUR", "status": status, **more})
+
+
+def _land(spark, paths, dt_, lines, run="a"):
+    bronze.land_bronze(spark.createDataFrame([(x,) for x in lines], "raw_line string"), paths.bronze, dt_, run)
+
+
+def _day_paths(spark, name, queue=True):
+    parts = ["bronze", "silver", "gold", "quarantine"] + ["retry_queue", "dead_letter"] * queue
+    return pipeline.Paths(**{p: shared_dir(spark, f"{name}-{p}") for p in parts})
+
+
+def _rates(spark):
+    return spark.createDataFrame([("EUR", dt.date(2025, 1, 1), 1)], "currency_code string, rate_date date, rate_to_eur int")
+
+
+def test_late_rows_reach_gold_and_an_emptied_day_goes(spark):
+    paths = _day_paths(spark, "late", queue=False)
+    _land(spark, paths, "2025-01-20", [_line("1", "2025-01-01"), _line("2", "2025-01-20"), _line("3", "2025-01-19")])
+    pipeline.run_day(spark, paths, "2025-01-20", _rates(spark), fx.landing_ts())
+    days = {str(r[0]) for r in spark.read.parquet(paths.mart).select("payment_date").collect()}
+    assert days == {"2025-01-01", "2025-01-19", "2025-01-20"}
+    tables.erase_from_table(spark, paths.silver, spark.createDataFrame([("3",)], "transaction_id string"))
+    _land(spark, paths, "2025-01-21", [_line("4", "2025-01-21")])
+    pipeline.run_day(spark, paths, "2025-01-21", _rates(spark), fx.landing_ts())
+    for path in (paths.fact, paths.mart):
+        days = {str(r[0]) for r in spark.read.parquet(path).select("payment_date").collect()}
+        assert days == {"2025-01-01", "2025-01-20", "2025-01-21"}
+
+
+def test_an_orphan_stops_the_run_before_gold(spark):
+    import pytest
+
+    from ledgerlake.operators.dq import DQError
+
+    paths = _day_paths(spark, "orphan", queue=False)
+    _land(spark, paths, "2025-01-01", [_line("1", "2025-01-01")])
+    games = spark.createDataFrame([("other", True)], "game_key string, is_current boolean")
+    codes = spark.createDataFrame([("EUR",)], "currency_code string")
+    with pytest.raises(DQError, match="fact_game_orphans=1"):
+        pipeline.run_day(spark, paths, "2025-01-01", _rates(spark), fx.landing_ts(), dim_game=games, dim_currency=codes)
+    assert not tables.table_exists(spark, paths.fact)
+
+
+def test_quarantine_keeps_the_received_line(spark):
+    paths = _day_paths(spark, "kept", queue=False)
+    bad = [_line("1", "2025-01-01", extra="x"), "broken {", _line("2", "2025-01-01", price="-1")]
+    _land(spark, paths, "2025-01-01", [*bad, _line("3", "2025-01-01")])
+    pipeline.run_day(spark, paths, "2025-01-01", _rates(spark), fx.landing_ts())
+    stored = spark.read.json(paths.quarantine)
+    assert sorted(r["record"] for r in stored.collect()) == sorted(bad)
+    assert stored.where(F.size("errors") == 0).count() == 0
+
+
+def test_replay_order_rerun_and_newer_rows(spark):
+    paths = _day_paths(spark, "queue")
+    future = _line("1", "2025-01-03")  # not valid before its day
+    _land(spark, paths, "2025-01-01", [future, "broken a", "broken b", _line("9", "2025-01-01")])
+    first = pipeline.run_day(spark, paths, "2025-01-01", _rates(spark), fx.landing_ts())
+    queue = spark.read.parquet(first.replay["queue_version"])
+    assert first.replay["outcomes"] == {} and queue.count() == 3  # replayed before it was filled; broken lines stay apart
+    assert {r["attempt_count"] for r in queue.collect()} == {1}
+    again = pipeline.run_day(spark, paths, "2025-01-01", _rates(spark), fx.landing_ts())
+    assert spark.read.parquet(again.replay["queue_version"]).select("queue_id").distinct().count() == 3
+    assert spark.read.parquet(again.replay["queue_version"]).count() == 3
+    _land(spark, paths, "2025-01-03", [_line("1", "2025-01-03", status="refunded")])
+    last = pipeline.run_day(spark, paths, "2025-01-03", _rates(spark), fx.landing_ts(), now="2025-01-09 00:00:00")
+    assert last.replay["outcomes"]["merged"] == 1
+    status = {r["transaction_id"]: r["status"] for r in spark.read.parquet(paths.silver).collect()}
+    assert status == {"1": "refunded", "9": "success"}  # the older arrival did not overwrite the newer one
+
+
+def test_dead_letter_is_keyed_by_run(spark):
+    paths = _day_paths(spark, "dead")
+    _land(spark, paths, "2025-01-01", ["broken"])
+    now = dt.datetime(2025, 1, 2)
+    for k in range(8):
+        b2s = bronze.read_bronze(spark, paths.bronze, "2025-01-01").withColumn("ingest_ts", F.lit(None).cast("timestamp_ntz"))
+        rejected = b2s.withColumn("errors", F.array(F.lit("price_invalid"))).where(F.lit(k == 0))
+        pipeline.replay_quarantine(spark, paths, rejected, str(now + dt.timedelta(days=10 * k)), "2025-01-02")
+    dead = spark.read.parquet(paths.dead_letter)
+    assert [(r["attempt_count"], r["raw_line"]) for r in dead.collect()] == [(5, "broken")]
