@@ -10,13 +10,14 @@ one shingle). Two documents are linked if the Jaccard similarity of their sets i
    registers. Two signatures agree on a share of registers that estimates the probability
    Jaccard similarity. ``ROWS`` registers make a band.
 2. *Nodes*. Texts with the same words are one node, so exact copies never meet in a bucket.
-3. *Rounds of stars*. In every bucket of a band that holds nodes of several components, one node
+3. *Stars* (``ROUNDS`` times). In every bucket of a band that holds nodes of several components, one node
    leads; every node is compared with the one leader, of another component, that it meets in
    most buckets. Each comparison is verified on the shingle sets. Large groups of near copies
-   grow together with a few comparisons a node. The last round is followed by
+   grow together with a few comparisons a node. They are followed by
 4. *the exact rest*: among the nodes whose buckets still hold several components, rare shingles
-   first, two sets of similarity s share a shingle among the first ``n - ceil(s n) + 1``. Nodes of
-   different components that do are compared. So no link between bucket mates is lost.
+   first, two sets of similarity s share a shingle among the first ``n - ceil(s n) + 1``, and from
+   their first shared shingle on both still hold the overlap that s asks for. Nodes of different
+   components of which that holds are compared. So no link between bucket mates is lost.
 
 Components are found by alternating large and small stars on written tables.
 
@@ -41,7 +42,7 @@ from ledgerlake.llm import common
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 32, 6
 REGISTERS = BANDS * ROWS
-ROUNDS = 3
+ROUNDS = 1
 #: Word hashes a worker remembers at most.
 REMEMBERED = 500_000
 #: Shingles whose signatures are drawn together.
@@ -254,8 +255,17 @@ def _open_buckets(mates: DataFrame, parts: DataFrame) -> DataFrame:
 
 
 def _star_pairs(rows: DataFrame, turn: int) -> DataFrame:
-    """For each node the bucket leader of another component that it meets most often."""
-    leaders = rows.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "comp")).alias("lead"))
+    """For each node the bucket leader of another component that it meets most often.
+
+    First the node with the most bucket mates leads, as the likeliest middle of a group; then
+    every turn draws other leaders.
+    """
+    rank = F.xxhash64("node", F.lit(turn))
+    if not turn:
+        sizes = rows.groupBy("key").agg(F.count("*").alias("size"))
+        weights = rows.join(sizes, "key").groupBy("node").agg((-F.sum("size")).alias("weight"))
+        rows, rank = rows.join(weights, "node"), F.col("weight")
+    leaders = rows.groupBy("key").agg(F.min(F.struct(rank.alias("h"), "node", "comp")).alias("lead"))
     met = rows.join(leaders, "key").where(F.col("comp") != F.col("lead.comp"))
     met = met.groupBy("node", F.col("lead.node").alias("b")).agg(F.count("*").alias("times"))
     best = met.groupBy(F.col("node").alias("a")).agg(F.max(F.struct("times", "b"))["b"].alias("b"))
@@ -270,13 +280,18 @@ def _rest_pairs(nodes: DataFrame, sets: DataFrame, similarity: float) -> DataFra
     shared = rows.join(counts, "s").groupBy("node", "comp", "n")
     lists = shared.agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("shared"))
     prefix = (F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1).cast("int")
-    left = F.greatest(F.lit(0), prefix - (F.col("n").cast("int") - F.size("shared")))
-    keyed = lists.select("node", "comp", "n", F.explode(F.slice(F.col("shared.s"), F.lit(1), left)).alias("s"))
+    alone = F.col("n").cast("int") - F.size("shared")
+    kept = F.slice(F.col("shared.s"), F.lit(1), F.greatest(F.lit(0), prefix - alone))
+    keyed = lists.select("node", "comp", "n", alone.alias("alone"), F.posexplode(kept).alias("at", "s"))
+    # Shingles of the set from this one on, in the common order.
+    keyed = keyed.withColumn("rest", F.col("n") - F.col("alone") - F.col("at")).drop("alone", "at")
     keyed = common.saved(keyed, "prefixes")
-    x = keyed.select("s", F.col("node").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"))
-    y = keyed.select("s", F.col("node").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"))
-    near = F.least("na", "nb") >= similarity * F.greatest("na", "nb") - 1e-9
-    return x.join(y, "s").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & near).select("a", "b").distinct()
+    x = keyed.select("s", F.col("node").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"), F.col("rest").alias("ra"))
+    y = keyed.select("s", F.col("node").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"), F.col("rest").alias("rb"))
+    # At the first shingle they share, the sets must still hold the overlap that they need.
+    overlap = similarity / (1 + similarity) * (F.col("na") + F.col("nb")) - 1e-9
+    enough = F.least("ra", "rb") >= overlap
+    return x.join(y, "s").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & enough).select("a", "b").distinct()
 
 
 def _hash_list(hashes):
