@@ -4,8 +4,9 @@ A text's UTF-8 bytes are cut into segments of ``SEGMENT`` bytes, all of which ar
 recurrent layers of ``HIDDEN`` units, one from the left and one from the right, give every byte
 position a probability for each language; a document's probabilities are the mean over its
 positions. The network is trained on the driver in numpy, by back-propagation through time and
-Adam, on at most ``DOCS`` documents a language and ``PIECES`` segments of each; the documents
-are those first in the order of the id's hash. Their ids' crc32 fold (of 4) is never 2.
+Adam, on at most ``DOCS`` documents a language (fewer if there are so many languages that they
+would exceed ``ALL_DOCS``) and ``PIECES`` segments of each; the documents are those first in the
+order of the id's hash. Their ids' crc32 fold (of 4) is never 2.
 
 Null texts and texts without a letter are ``und`` with score 0; so is every text if nothing was
 learned. Languages are the non-null values of ``lang`` found in the training folds. Repeated rows
@@ -27,7 +28,8 @@ from ledgerlake.llm import common
 
 FOLDS, HELD_OUT = 4, 2
 SEGMENT, HIDDEN = 96, 8
-DOCS, PIECES = 300, 6
+#: Training documents a language and altogether, and segments of each.
+DOCS, ALL_DOCS, PIECES = 300, 20_000, 6
 EPOCHS, BATCH, RATE, CLIP, SEED = 8, 96, 0.02, 1.0, 5
 #: Segments read side by side.
 LANES = 2048
@@ -273,11 +275,14 @@ def learn(docs: DataFrame, per_language: int = DOCS) -> Network | None:
     """Train on at most ``per_language * PIECES`` segments of each language of the training folds."""
     common.prepare_workers(docs.sparkSession)
     known = docs.where(F.col("lang").isNotNull() & (common.fold(F.col("doc_id"), FOLDS) != HELD_OUT))
+    languages = known.select("lang").distinct().count()
+    per_language = max(1, min(per_language, ALL_DOCS // max(1, languages)))
     ids = known.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).where(F.col("text").isNotNull())
     first = Window.partitionBy("lang").orderBy("h", "doc_id")
-    ids = ids.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= per_language).select("doc_id", "h").distinct()
+    ids = ids.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= per_language)
+    ids = ids.orderBy("nth", "lang").limit(ALL_DOCS).select("doc_id", "h").distinct()
     rows = known.select("doc_id", "lang", "text").join(F.broadcast(ids), "doc_id").select("lang", "h", "text")
-    got = rows.mapInArrow(_segments, "lang string, bytes binary").orderBy("lang", "bytes").collect()
+    got = rows.mapInArrow(_segments, "lang string, bytes binary").orderBy("lang", "bytes").limit(ALL_DOCS * PIECES).collect()
     langs = sorted({r["lang"] for r in got})
     if not langs:
         return None
