@@ -333,17 +333,24 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
 
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` (all columns), one for each class: its smallest id."""
-    found = classes(docs, similarity)
-    firsts = found.select(F.col("class_id").alias("first_id"), "rep_node").distinct()
+    found = common.saved(classes(docs, similarity), "classes")
+    same = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("node") == F.col("rep_node"))
+    firsts = found.where(same).groupBy(F.col("class_id").alias("first_id"), "rep_node").agg(F.count("*").alias("copies"))
 
     def own_words(batches):
         for batch in batches:
             keep = [node_of(w) == n for w, n in zip(_words(batch), batch.column("rep_node").to_pylist())]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    rows = docs.join(firsts, F.col("doc_id").eqNullSafe(F.col("first_id"))).select(*docs.columns, "rep_node")
-    rows = rows.mapInArrow(own_words, rows.schema)
-    return rows.dropDuplicates(["doc_id", "rep_node"]).drop("rep_node")
+    def chosen(firsts: DataFrame) -> DataFrame:
+        rows = docs.join(firsts, F.col("doc_id").eqNullSafe(F.col("first_id"))).select(*docs.columns, "rep_node")
+        return rows.mapInArrow(own_words, rows.schema)
+
+    rows = chosen(firsts.where("copies = 1"))
+    several = firsts.where("copies > 1")
+    if not several.isEmpty():  # repeated rows: only these are shuffled once more
+        rows = rows.union(chosen(several).dropDuplicates(["doc_id", "rep_node"]))
+    return rows.drop("rep_node")
 
 
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
