@@ -11,8 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake import fixtures as fx
-from ledgerlake import oracle
+from ledgerlake import oracle, schemas
 from ledgerlake.operators import gold, marts, ops
+from ledgerlake.session import shared_dir
+from ledgerlake.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -328,10 +330,30 @@ def q_new_batches(spark, sf_dir):
     return ops.new_batches(manifest, fx.ingestion_state(manifest))
 
 
+@query("ingestion_record")
+def q_ingestion_record(spark, sf_dir):
+    return ops.ingestion_record(fx.manifests(fx.payments_orders(spark, sf_dir)), "OK", oracle.RECORDED_AT)
+
+
+@query("schema_evolve")
+def q_schema_evolve(spark, sf_dir):
+    """Rows of an older shape (no currency, price as text) brought to the silver schema."""
+    older = fx.payments_orders(spark, sf_dir).drop("currency").withColumn("price", F.col("price").cast("string"))
+    return schemas.evolve(older, schemas.SILVER_PAYMENT)
+
+
+@query("table_layout")
+def q_table_layout(spark, sf_dir):
+    """Silver written in its layout (days, sorted, bloom filter on the key) and scanned again."""
+    path = shared_dir(spark, "layout")
+    rows = fx.payments_orders(spark, sf_dir)
+    tables.overwrite_partitions(tables.write_layout(rows), path, bloom_filter_cols=("transaction_id",))
+    return tables.read_table(spark, path).select(*rows.columns)
+
+
 # --- bronze landing, lean tier, bronze -> silver batch and stream over F2 --------------------------
 import datetime as _dt  # noqa: E402
 
-from ledgerlake.session import shared_dir  # noqa: E402
 from ledgerlake.sources import bronze  # noqa: E402
 from ledgerlake.streaming import runners  # noqa: E402
 

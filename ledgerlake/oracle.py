@@ -645,6 +645,17 @@ SELECT m.* FROM man1 m WHERE NOT EXISTS (
          AND day(s.report_date) % 2 = 0 AND day(s.report_date) <> 1)""",
 )
 
+RECORDED_AT = "2001-09-01 00:00:00"
+SQL["ingestion_record"] = with_(
+    ["man1"],
+    f"SELECT report_date, run_id, rows, checksum, 'OK' AS status, TIMESTAMP '{RECORDED_AT}' AS recorded_at FROM man1",
+)
+SQL["schema_evolve"] = with_(
+    ["f1"],
+    "SELECT transaction_id, game, payment_date, price, CAST(NULL AS VARCHAR) AS currency, status, ingest_ts FROM f1",
+)
+SQL["table_layout"] = with_(["f1"], "SELECT * FROM f1")
+
 SILVER_TO_GOLD_DT = "1996-03-15"
 SQL["silver_to_gold"] = with_(["mart1"], f"SELECT * FROM mart1 WHERE payment_date = DATE '{SILVER_TO_GOLD_DT}'")
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 MART_VIEW = "agg_game_daily_revenue"
 METRICS_VIEW = "pipeline_metrics"
 
+# View names, emitted columns and frames are those of the published analyst views.
 VIEW_SQL = {
     "v_game_daily_kpis": f"""
 SELECT game_key, payment_date, gross_revenue_eur, success_rate, txn_success_count, avg_txn_value_eur,
@@ -25,12 +26,12 @@ SELECT game_key, payment_date, gross_revenue_eur, success_rate, txn_success_coun
          - 1.0 AS wow_growth
 FROM {MART_VIEW}""",
     "kpi_anomalies": f"""
-SELECT game_key, payment_date, gross_revenue_eur, z_score,
+SELECT game_key, payment_date, gross_revenue_eur, ROUND(z_score, 6) AS z_score,
        CASE WHEN ABS(z_score) > 3 THEN 'ALERT' WHEN ABS(z_score) > 2 THEN 'WARN' ELSE 'OK' END AS severity
 FROM (
   SELECT game_key, payment_date, gross_revenue_eur,
-         ROUND((CAST(gross_revenue_eur AS DOUBLE) - AVG(CAST(gross_revenue_eur AS DOUBLE)) OVER w)
-               / NULLIF(STDDEV_SAMP(CAST(gross_revenue_eur AS DOUBLE)) OVER w, 0), 6) AS z_score
+         (CAST(gross_revenue_eur AS DOUBLE) - AVG(CAST(gross_revenue_eur AS DOUBLE)) OVER w)
+               / NULLIF(STDDEV_SAMP(CAST(gross_revenue_eur AS DOUBLE)) OVER w, 0) AS z_score
   FROM {MART_VIEW}
   WINDOW w AS (PARTITION BY game_key ORDER BY payment_date ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING)
 ) s""",

@@ -8,7 +8,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Defaults a caller may override: adaptive execution re-plans joins and partition counts from
+# Fixed values where they are Spark's own names and defaults; sizes follow from 4-core executors
+# with some 8 GB of heap. Defaults a caller may override: adaptive execution re-plans joins and partition counts from
 # runtime sizes, splits skewed join partitions, and keeps scan splits large enough for a
 # cluster reading many terabytes.
 DEFAULT_CONF = {

@@ -30,7 +30,7 @@ PATTERNS = {
     "map-side group limits": r"WindowGroupLimit .* Partial",
 }
 # Their plan here is the scan of the table that they have written.
-WRITERS = {"bronze_scan", "bronze_to_silver", "stream_upsert", "stream_quarantine_spike", "quarantine_sink", "run_day_gold"}
+WRITERS = {"bronze_scan", "bronze_to_silver", "stream_upsert", "stream_quarantine_spike", "quarantine_sink", "run_day_gold", "table_layout"}
 RED_FLAGS = {
     "cartesian product": r"CartesianProduct",
     "nested-loop join": r"BroadcastNestedLoopJoin",

@@ -10,7 +10,7 @@ from ledgerlake.operators import merge as mg
 from ledgerlake.sources import tables
 
 # Queries that write their inputs first (landing, streams) are exercised in test_pipeline.
-SIDE_EFFECT = {"bronze_scan", "bronze_to_silver", "stream_upsert", "stream_quarantine_spike", "quarantine_sink", "run_day_gold"}
+SIDE_EFFECT = {"bronze_scan", "bronze_to_silver", "stream_upsert", "stream_quarantine_spike", "quarantine_sink", "run_day_gold", "table_layout"}
 
 
 def _final_plan(df) -> str:
