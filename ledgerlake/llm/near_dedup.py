@@ -44,7 +44,7 @@ BANDS, ROWS = 32, 6
 REGISTERS = BANDS * ROWS
 ROUNDS = 1
 #: Word hashes a worker remembers at most.
-REMEMBERED = 500_000
+REMEMBERED = 150_000
 #: Shingles whose signatures are drawn together.
 BATCH_SHINGLES = 50_000
 
@@ -154,6 +154,7 @@ def _sign(batches):
             [batch.column("doc_id"), pa.array([node_of(w) for w in words], pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
             ["doc_id", "node", "bands"],
         )
+    _word_hashes().clear()  # a worker keeps nothing between tasks
 
 
 def signed(docs: DataFrame) -> DataFrame:
@@ -171,6 +172,7 @@ def _sets(batches):
             [pa.array([n for _, n in rows], pa.binary()), pa.array([shingles(w)[0].tobytes() for w, _ in rows], pa.binary())],
             ["node", "hashes"],
         )
+    _word_hashes().clear()
 
 
 def shingle_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:

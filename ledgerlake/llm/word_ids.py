@@ -18,7 +18,7 @@ from collections.abc import Callable
 import numpy as np
 
 #: Words a worker remembers in each of two generations; pre-tokens it remembers before it starts anew.
-WORDS, PRETOKENS = 400_000, 400_000
+WORDS, PRETOKENS = 400_000, 300_000
 #: Text bytes handed to the library at once when whole texts are encoded.
 ENCODE_BYTES = 1 << 18
 
@@ -102,10 +102,14 @@ class WordIds:
         if len(self.pretokens) > PRETOKENS:
             self.pretokens.clear()
         new = list({p for parts in cut.values() for p in parts}.difference(self.pretokens))
+        fresh: dict[str, bytes] = {}
         for i in range(0, len(new), 2048):
             some = new[i : i + 2048]
-            self.pretokens.update(zip(some, self._pretokens(some)))
-        ids = self.pretokens
+            fresh.update(zip(some, self._pretokens(some)))
+        # A word that is one pre-token is remembered as a word alone.
+        parts = {x for p in cut.values() if len(p) > 1 for x in p}
+        self.pretokens.update((x, fresh[x]) for x in parts & fresh.keys())
+        ids = fresh | {x: self.pretokens[x] for p in cut.values() for x in p if x not in fresh}
         self.words.update((w, ids[p[0]] if len(p) == 1 else b"".join([ids[x] for x in p])) for w, p in cut.items())
         for i in range(0, len(whole), 1024):
             some = whole[i : i + 1024]
