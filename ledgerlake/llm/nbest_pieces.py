@@ -4,6 +4,7 @@ The pieces of a ``.model`` vocabulary that match a normalised text are the edges
 segmentation is a path, its score the sum of its pieces' scores. A forward Viterbi pass gives
 every place the best score of a path up to it. These scores are exact heuristics for an A*
 search from the end: the first ``n`` complete paths it takes from its queue are the ``n`` best.
+No place is expanded more than ``n`` times, so long units and ties stay linear in their edges.
 
 No piece has a space mark after another character (checked on loading), so a text's lattice is
 a chain of lattices, one for each run of marks and the word after it (a unit). Workers remember
@@ -112,26 +113,47 @@ class Lattices:
         return struct.pack(f"<{len(ids)}I", *ids), best[-1], loss
 
     def nbest(self, unit: str, n: int) -> list[Path]:
-        """The ``n`` best paths of a unit, best first: A* from its end with forward scores as heuristics."""
+        """The ``n`` best paths of a unit, best first: A* from its end with forward scores as heuristics.
+
+        Every place is expanded at most ``n`` times: the ``n`` best paths use no more of its ways to
+        the end. Entries are linked to the expanded one they come from, so the search needs memory for at
+        most ``n`` entries an edge. Among equal scores the place nearest to the start goes first.
+        """
         into: list[list[tuple[int, float, int]]] = [[] for _ in range(len(unit) + 1)]
         forward = [0.0] + [-np.inf] * len(unit)
         for last, edge in self.edges(unit):
             into[last + 1].append(edge)
             forward[last + 1] = max(forward[last + 1], forward[last + 1 - edge[0]] + edge[1])
-        queue = [(-forward[-1], 0, (), len(unit), 0.0)]
+        # Entries: -(best score through here), place, order of entry, score from here, parent, length, piece.
+        queue = [(-forward[-1], len(unit), 0, 0.0, -1, 0, 0)]
+        expanded: list[tuple[int, int, int, int]] = []  # place, parent, length and piece of the edge after it
+        times = [0] * (len(unit) + 1)
+        entered = 0
         found: list[Path] = []
-        while queue and (len(found) < n or -queue[0][0] >= found[-1][0]):
-            _, _, suffix, place, score = heapq.heappop(queue)
+        while queue and len(found) < n:
+            _, place, _, score, parent, length, piece = heapq.heappop(queue)
+            if times[place] == n:
+                continue
+            times[place] += 1
             if not place:
-                found.append((score, suffix))
+                found.append((score, self._ids_from(unit, expanded, (place, parent, length, piece))))
                 continue
+            expanded.append((place, parent, length, piece))
             for length, s, piece in into[place]:
-                path = self.ids(unit, place, length, piece) + suffix
                 start = place - length
-                heapq.heappush(queue, (-(forward[start] + s + score), len(path), path, start, s + score))
-            if len(found) >= 8 * n:  # many ties: their order below is by length and ids of those found
-                break
-        return sorted(found, key=lambda p: (-p[0], len(p[1]), p[1]))[:n]
+                if times[start] < n:
+                    entered += 1
+                    total = s + score
+                    heapq.heappush(queue, (-(forward[start] + total), start, entered, total, len(expanded) - 1, length, piece))
+        return sorted(found, key=lambda p: (-p[0], len(p[1]), p[1]))
+
+    def _ids_from(self, unit: str, expanded: list[tuple[int, int, int, int]], at: tuple[int, int, int, int]) -> tuple[int, ...]:
+        ids: list[int] = []
+        place, parent, length, piece = at
+        while parent >= 0:
+            ids += self.ids(unit, place + length, length, piece)
+            place, parent, length, piece = expanded[parent]
+        return tuple(ids)
 
     def best(self, unit: str) -> tuple[bytes, float, float]:
         got = self.known.get(unit)

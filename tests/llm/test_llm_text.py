@@ -167,6 +167,36 @@ def test_astar_order_and_long_unit(lattices):
     assert lattices.segmentations("q" * 5000, 2)[0][0] >= lattices.segmentations("q" * 5000, 2)[1][0]
 
 
+def test_astar_of_long_ties_and_blobs(lattices):
+    rng = np.random.default_rng(5)
+    blob = "".join(rng.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"), 100_000))
+    for text in ("-" * 5000, blob):
+        got = lattices.segmentations(text, 4)
+        assert len({ids for _, ids in got}) == 4
+        assert [s for s, _ in got] == sorted((s for s, _ in got), reverse=True)
+        for score, ids in got:
+            ids = np.frombuffer(ids, "<u4").tolist()
+            assert lattices.decode(ids) == text
+            assert score == sum(lattices.pieces[lattices.model.id_to_piece(i)][0] for i in ids)
+
+
+def nbest_by_place(lat, unit, n):
+    """Scores of the n best paths, keeping the n best of every place."""
+    kept = [[0.0]] + [[] for _ in unit]
+    for last, (length, score, _) in lat.edges(unit):
+        kept[last + 1] = sorted(kept[last + 1] + [s + score for s in kept[last + 1 - length]], reverse=True)[:n]
+    return kept[-1]
+
+
+def test_astar_equals_nbest_by_place(lattices):
+    rng = np.random.default_rng(6)
+    for letters in ("-", "ab", "aeinrst", "the=-☃"):
+        for size in (1, 7, 60, 300):
+            unit = "▁" + "".join(rng.choice(list(letters), size))
+            for n in (1, 4, 9):
+                assert [s for s, _ in lattices.nbest(unit, n)] == nbest_by_place(lattices, unit, n)
+
+
 def test_decode_agrees_with_the_library(lattices):
     for t in ("  two  spaces ", "tab\tnew\nline", "日本☃ é", "plain words"):
         ids = lattices.model.encode(t)
