@@ -15,6 +15,8 @@ search runs over those units alone, and their lists are combined.
 A character without a piece becomes its UTF-8 byte pieces (or the unknown piece, if the model
 has none) at a score below all pieces. Segmentations of equal score come in a fixed order, the
 Viterbi path first.
+``segment`` gives the ids, ``decode`` the texts, counts and digests of ids it is given.
+
 Null texts count as empty: one segmentation without pieces, score 0. A text with fewer than
 ``n`` segmentations gives fewer rows. Repeated rows each give rows; other columns are ignored.
 """
@@ -33,6 +35,7 @@ import public_tokenizers
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlake.llm import common
 
@@ -40,6 +43,8 @@ MODEL, BEST = "piece_bpe_32k.model", 4
 #: Units a worker remembers in each of two generations, and the longest unit remembered.
 REMEMBERED, LONGEST = 300_000, 64
 UNKNOWN_PENALTY = 10.0
+#: Ids (at most) that a worker hands on at once, unless one text has more.
+BATCH_IDS = 1 << 21
 MARK = "▁"
 UNIT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
@@ -47,6 +52,23 @@ UNIT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 Path = tuple[float, tuple[int, ...]]
 
 
+class Decoder:
+    """Texts of segmentations: pieces joined, byte pieces read as UTF-8, marks as spaces, the first one dropped."""
+
+    def __init__(self, sp: sentencepiece.SentencePieceProcessor) -> None:
+        table = [sp.id_to_piece(i) for i in range(sp.get_piece_size())]
+        self.table = pa.array(
+            [bytes([int(p[3:5], 16)]) if sp.is_byte(i) else p.encode() for i, p in enumerate(table)], pa.large_binary()
+        )
+
+    def texts(self, ids: np.ndarray, ends: list[int]) -> list[str]:
+        """The texts of ``ids[ends[k]:ends[k + 1]]``."""
+        joined = self.table.take(pa.array(ids))  # its data are the pieces of all ids, one after another
+        at = np.frombuffer(joined.buffers()[1], np.int64)[: len(ids) + 1][ends].tolist()
+        raw = memoryview(joined.buffers()[2] or b"")
+        return [str(raw[a:b], "utf-8", "replace").replace(MARK, " ").removeprefix(" ") for a, b in zip(at, at[1:])]
+
+
 class Lattices:
     """The vocabulary of one model and what this worker has met."""
 
@@ -62,6 +84,7 @@ class Lattices:
             raise ValueError(f"{path}: pieces cross word starts")
         self.unknown = min(s for s, _ in self.pieces.values()) - UNKNOWN_PENALTY
         self.bytes = {sp.id_to_piece(i): i for i in range(sp.get_piece_size()) if sp.is_byte(i)}
+        self.decoder = Decoder(sp)
         self.single = {p for p in self.pieces if len(p) == 1}
         self.matcher = ahocorasick.Automaton()
         for p, (score, i) in self.pieces.items():
@@ -206,11 +229,8 @@ class Lattices:
         return out
 
     def decode(self, ids) -> str:
-        """The text of a segmentation: pieces joined, byte pieces read as UTF-8, marks as spaces, the first one dropped."""
-        raw = bytearray()
-        for i in ids:
-            raw += bytes([int(self.model.id_to_piece(int(i))[3:5], 16)]) if self.model.is_byte(int(i)) else self.model.id_to_piece(int(i)).encode()
-        return raw.decode("utf-8", "replace").replace(MARK, " ").removeprefix(" ")
+        """The text of a segmentation."""
+        return self.decoder.texts(np.asarray(ids, np.int64), [0, len(ids)])[0]
 
 
 def _smallest(loss: np.ndarray, k: int) -> np.ndarray:
@@ -232,39 +252,85 @@ def _segment(path: str, n: int):
     def run(batches):
         found = lattices(path)
         for batch in batches:
-            rows, rank, score, pieces, crc = [], [], [], [], []
-            for i, text in enumerate(common.texts_of(batch)):
-                for k, (s, ids) in enumerate(found.segmentations(text, n)):
-                    rows.append(i)
-                    rank.append(k + 1)
-                    score.append(s)
-                    pieces.append(len(ids) // 4)
-                    crc.append(zlib.crc32(ids))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id").take(pa.array(rows, pa.int64())),
-                    pa.array(rank, pa.int32()),
-                    pa.array(score, pa.float64()),
-                    pa.array(pieces, pa.int64()),
-                    pa.array(crc, pa.int64()),
-                ],
-                ["doc_id", "rank", "score", "n_pieces", "ids_crc32"],
-            )
+            texts = common.texts_of(batch)
+            for some in common.slices(range(len(texts)), [n * len(t) for t in texts], BATCH_IDS):
+                rows, rank, score, parts = [], [], [], []
+                for i in some:
+                    for k, (s, ids) in enumerate(found.segmentations(texts[i], n)):
+                        rows.append(i)
+                        rank.append(k + 1)
+                        score.append(s)
+                        parts.append(ids)
+                ends = np.cumsum([0, *(len(x) // 4 for x in parts)])
+                ids = pa.array(np.frombuffer(b"".join(parts), "<i4"), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("doc_id").take(pa.array(rows, pa.int64())),
+                        pa.array(rank, pa.int32()),
+                        pa.array(score, pa.float64()),
+                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), ids),
+                    ],
+                    ["doc_id", "rank", "score", "ids"],
+                )
 
     return run
 
 
 def segment(docs: DataFrame, model: str | None = None, n: int = BEST) -> DataFrame:
-    """``doc_id, rank, score, n_pieces, ids_crc32``: the ``n`` best segmentations of every text.
-
-    ``ids_crc32`` is over the ids as little-endian unsigned 32-bit numbers. A narrow pass.
-    """
+    """``doc_id, rank, score, ids, n_pieces``: the ``n`` best segmentations of every text. A narrow pass."""
     path = model or public_tokenizers.path(MODEL)
     common.prepare_workers(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, rank int, score double, n_pieces long, ids_crc32 long"
-    return docs.select("doc_id", "text").mapInArrow(_segment(path, n), schema)
+    schema = f"doc_id {kind}, rank int, score double, ids array<int>"
+    rows = docs.select("doc_id", "text").mapInArrow(_segment(path, n), schema)
+    return rows.withColumn("n_pieces", F.size("ids").cast("long"))
+
+
+@functools.lru_cache(maxsize=2)
+def decoder(path: str) -> Decoder:
+    """One instance a worker process and model."""
+    return Decoder(sentencepiece.SentencePieceProcessor(model_file=path))
+
+
+def _decode(path: str):
+    def run(batches):
+        found = decoder(path)
+        for batch in batches:
+            ids = batch.column("ids")
+            sizes = np.diff(ids.offsets.to_numpy())
+            for some in common.slices(range(len(batch)), sizes.tolist(), BATCH_IDS):
+                part = batch.slice(some[0], len(some))
+                lists = part.column("ids")
+                flat = lists.flatten().to_numpy().astype("<u4", copy=False)
+                ends = np.cumsum([0, *sizes[some[0] : some[-1] + 1]]).tolist()
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id"),
+                        part.column("rank"),
+                        part.column("score"),
+                        pa.array(sizes[some[0] : some[-1] + 1], pa.int64()),
+                        pa.array([zlib.crc32(flat[a:b]) for a, b in zip(ends, ends[1:])], pa.int64()),
+                        pa.array(found.texts(flat, ends), pa.string()),
+                    ],
+                    ["doc_id", "rank", "score", "n_pieces", "ids_crc32", "text"],
+                )
+
+    return run
+
+
+def decode(segments: DataFrame, model: str | None = None) -> DataFrame:
+    """``doc_id, rank, score, n_pieces, ids_crc32, text`` of rows ``doc_id, rank, score, ids``.
+
+    ``text`` is read from the ids alone, as is ``ids_crc32``, over them as little-endian unsigned
+    32-bit numbers. A narrow pass.
+    """
+    path = model or public_tokenizers.path(MODEL)
+    common.prepare_workers(segments.sparkSession)
+    kind = segments.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, rank int, score double, n_pieces long, ids_crc32 long, text string"
+    return segments.select("doc_id", "rank", "score", "ids").mapInArrow(_decode(path), schema)
 
 
 def op10_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return segment(common.load(spark, sf_dir, "documents"))
+    found = decode(segment(common.load(spark, sf_dir, "documents")))
+    return found.withColumn("text_crc32", F.crc32(F.col("text").cast("binary"))).drop("text")

@@ -215,3 +215,24 @@ def test_op10_rows(spark, odd):
         by_doc.setdefault(r["doc_id"], []).append(r["score"])
     assert all(s == sorted(s, reverse=True) for s in by_doc.values())
     assert nbest_pieces.segment(odd.limit(0)).count() == 0
+
+
+def test_ids_leave_the_workers_and_decode_to_the_texts(spark, odd, lattices):
+    docs = odd.union(spark.createDataFrame([(100, "-" * 3000), (101, "x " * 2000), (102, "\0 \u2581a")], odd.schema))
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    segments = nbest_pieces.segment(docs)
+    assert segments.schema["ids"].dataType.simpleString() == "array<int>"
+    ids = {(r["doc_id"], r["rank"]): r["ids"] for r in segments.collect()}
+    rows = nbest_pieces.decode(segments.withColumn("text", F.lit(0))).collect()
+    assert len(rows) == len(ids)
+    for r in rows:
+        own = ids[r["doc_id"], r["rank"]]
+        assert (r["n_pieces"], r["ids_crc32"]) == (len(own), zlib.crc32(np.array(own, "<u4").tobytes()))
+        assert r["text"] == lattices.model.normalize(texts[r["doc_id"]]).replace("\u2581", " ").removeprefix(" ") == lattices.model.decode(own)
+
+
+def test_op10_decodes_every_document(spark):
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
+    rows = nbest_pieces.op10_nbest_pieces(spark, SF_SMALL).collect()
+    assert {r["doc_id"] for r in rows} == set(texts)
+    assert all(r["text_crc32"] == zlib.crc32(texts[r["doc_id"]].encode()) for r in rows)
