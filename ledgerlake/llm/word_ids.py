@@ -2,8 +2,8 @@
 
 For a tokenizer whose pre-tokenizer drops white space, the ids of a text are the ids of its
 words one after another, because no token, normalisation step or special token spans an ASCII
-white space character. A worker therefore keeps the ids of the words it has met; new words are
-cut into pre-tokens and only new pre-tokens go to the library. Tokenizers for which that does
+white space character. A worker therefore keeps the ids of the words it has met, in lower case
+(ASCII letters) unless they may hold a special string, which is matched as it is written; new words are cut into pre-tokens and only new pre-tokens go to the library. Tokenizers for which that does
 not hold encode whole texts with the library.
 """
 
@@ -55,6 +55,13 @@ def separable(path: str) -> bool:
     )
 
 
+def words_of(text: bytes) -> list[bytes]:
+    """The words of a text; those without the start of a special string (``separable``) in lower case."""
+    if b"<|" not in text:
+        return text.lower().split()
+    return [w if b"<|" in w else w.lower() for w in text.split()]
+
+
 class WordIds:
     """Ids of texts given as UTF-8 bytes, as little-endian unsigned 32-bit bytes.
 
@@ -120,7 +127,7 @@ class WordIds:
             return [x for t in texts for x in self._library([t.decode("utf-8", "replace")])]
         if len(self.words) > WORDS:
             self.older_words, self.words = self.words, {}
-        cut = [t.lower().split() for t in texts]
+        cut = [words_of(t) for t in texts]
         new = set().union(*cut).difference(self.words)
         if new:
             self._learn(new)

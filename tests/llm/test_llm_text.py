@@ -44,6 +44,18 @@ def test_counts_equal_the_library(odd, name):
     assert [got[i]["n_bytes"] for i in range(len(texts))] == [len((t or "").encode()) for t in texts]
 
 
+def test_special_strings_are_matched_as_written(spark):
+    parts = ["<|ENDOFTEXT|>", "<|StartOfText|> hi", "<|endoftext|>", "Mixed<|EndOfText|>Case <|endoftext|>UP", "<|STARTOFTEXT|><|startoftext|>", "< |ENDOFTEXT|>"]
+    texts = [*parts, " Plain WORDS ".join(parts), " ".join(parts * 400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["n_tokens"] for r in token_counts.token_counts(docs, WORD_BPE).collect()}
+    assert [got[i] for i in range(len(texts))] == library_counts(WORD_BPE, texts)
+    lib = word_ids.load_tokenizer(WORD_BPE)
+    for t, ids in zip(texts, word_ids.WordIds(WORD_BPE).encode([t.encode() for t in texts])):
+        assert np.frombuffer(ids, "<u4").tolist() == lib.encode(t, add_special_tokens=False).ids
+    check_packing(packing.pack(packing.pieces(docs, cap=16), cap=16).collect(), dict(enumerate(texts)), 16)
+
+
 def test_op1_whole_table_and_chunks(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
