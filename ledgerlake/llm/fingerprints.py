@@ -6,7 +6,8 @@ paragraphs have equal fingerprints in any order, and a paragraph is inserted or
 adding or subtracting its vector (``combine``). A vector has
 
 * ``DENSE`` lanes modulo 2^32 from the paragraph's SHA-256, which decide equality;
-* one lane that counts the paragraph's pieces (of ``PIECE`` words, counted from its start) and
+* one lane that counts the paragraph's pieces (every run of ``PIECE`` words; a shorter paragraph
+  is one piece) and
   ``SIGNS`` lanes modulo 2^16, lane j counting the pieces whose hash has bit j set.
 
 ``2 * count_j - pieces`` are sums of random signs, so the cosine of two such vectors estimates
@@ -35,8 +36,14 @@ RANGE_ROWS, RANGES = 1024, 20_000
 LANES = DENSE + 1 + SIGNS
 #: Bits of each lane, in order.
 BITS = [32] * (DENSE + 1) + [16] * SIGNS
-WORD = r"[^\x20\x09-\x0D]+"
-SPACE = r"[\x20\x09\x0B-\x0D]+"
+WORD = r"[^\x20\x09-\x0D]++"
+SPACE = r"[\x20\x09\x0B-\x0D]++"
+#: A word that starts a piece (group 1): the first of a short paragraph or one with enough words after it.
+STARTS = (
+    rf"(?:^(?:{SPACE})?(?={WORD}(?:{SPACE}{WORD}){{0,{PIECE - 2}}}(?:{SPACE})?$)"
+    rf"|(?<![^\x20\x09-\x0D])(?={WORD}(?:{SPACE}{WORD}){{{PIECE - 1}}}))"
+    rf"(?=({WORD}(?:{SPACE}{WORD}){{0,{PIECE - 1}}})){WORD}"
+)
 
 
 def paragraphs(text: Column) -> Column:
@@ -45,8 +52,8 @@ def paragraphs(text: Column) -> Column:
 
 
 def pieces(paragraph: Column) -> Column:
-    """The paragraph's words, ``PIECE`` at a time."""
-    return F.regexp_extract_all(paragraph, F.lit(f"{WORD}(?:{SPACE}{WORD}){{0,{PIECE - 1}}}"), F.lit(0))
+    """The paragraph's words, ``PIECE`` at a time, from every word that has so many; one piece if none has."""
+    return F.regexp_extract_all(paragraph, F.lit(STARTS), F.lit(1))
 
 
 def _dense(paragraph: Column) -> list[Column]:

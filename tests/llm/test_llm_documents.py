@@ -87,6 +87,32 @@ def test_fingerprints_are_homomorphic(spark):
     assert (r["sum"], r["less"]) == (got[0], got[2])
 
 
+def windows(text):
+    out = Counter()
+    for line in text.split("\n"):
+        spans = [m.span() for m in re.finditer(r"[^\x20\x09-\x0D]+", line)]
+        last = max(0, len(spans) - 3)
+        out.update(line[a : spans[min(k + 2, len(spans) - 1)][1]] for k, (a, _) in enumerate(spans[: last + 1]))
+    return out
+
+
+def test_pieces_are_sliding_windows(spark, docs):
+    lines = ["a", "a b", " a b ", "a b c", "  a  b\tc d\x0be ", "x" * 50_000 + " y", "y " + "x" * 50_000, " \t", "", "é\x85z ü\xa0q r s"]
+    lines += [line for r in docs.limit(20).collect() for line in r["text"].split("\n")]
+    rows = spark.createDataFrame(list(enumerate(lines)), "k long, line string").select("k", fingerprints.pieces(F.col("line")).alias("p"))
+    assert {r["k"]: Counter(r["p"]) for r in rows.collect()} == {k: windows(line) for k, line in enumerate(lines)}
+
+
+def test_likeness_after_one_inserted_word(spark):
+    rng = np.random.default_rng(8)
+    words = [[f"w{rng.integers(5000)}" for _ in range(150)] for _ in range(40)]
+    both = [(" ".join(w), " ".join([*w[:k], "new", *w[k:]])) for w, k in zip(words, [0, 1, 70, 150] * 10)]
+    a, b = (lanes(spark, [x[i] for x in both]) for i in (0, 1))
+    rows = spark.createDataFrame([(a[k], b[k], a[(k + 1) % 40]) for k in a], "a array<long>, b array<long>, c array<long>")
+    got = rows.select(fingerprints.likeness(F.col("a"), F.col("b")).alias("near"), fingerprints.likeness(F.col("a"), F.col("c")).alias("far")).collect()
+    assert min(r["near"] for r in got) > 0.9 and np.mean([r["far"] for r in got]) < 0.15
+
+
 def test_fingerprints_of_odd_rows(spark, odd):
     rows = fingerprints.fingerprints(odd, range_rows=3).collect()
     assert len(rows) == len(ODD)
