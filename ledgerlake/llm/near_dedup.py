@@ -8,7 +8,10 @@ one shingle). Two documents are linked if the Jaccard similarity of their sets i
    whose points land on random registers; a register keeps the shingle of its earliest point. A
    shingle stops drawing points once its next point is later than all of its document's
    registers. Two signatures agree on a share of registers that estimates the probability
-   Jaccard similarity. ``ROWS`` registers make a band.
+   Jaccard similarity. ``ROWS`` registers make a band. That similarity falls below the sets' where
+   counts differ, so a document that repeats a shingle also has the bands of the same process with
+   all weights 1, whose signatures agree by the sets' similarity alone. Without a repeated shingle the
+   two are the same.
 2. *Nodes*. Texts with the same words are one node, so exact copies never meet in a bucket.
 3. *Stars* (``ROUNDS`` times). In every bucket of a band that holds nodes of several components, one node
    leads; every node is compared with the one leader, of another component, that it meets in
@@ -138,6 +141,18 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def document_keys(sets: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+    """The distinct band keys of every set ``(hashes, counts)``: of its weighted and its unit-weight signature."""
+    keys = [np.empty(0, np.int64)] * len(sets)
+    full = [i for i, s in enumerate(sets) if len(s[0])]
+    for i, row in zip(full, band_keys(prob_minhash([(sets[i][0], 1 + np.log(sets[i][1])) for i in full]))):
+        keys[i] = row
+    repeated = [i for i in full if sets[i][1].max() > 1]
+    for i, row in zip(repeated, band_keys(prob_minhash([(sets[i][0], np.ones(len(sets[i][0]))) for i in repeated]))):
+        keys[i] = np.union1d(keys[i], row)
+    return keys
+
+
 def _words(batch: pa.RecordBatch) -> list[list[str]]:
     return [t.lower().split() for t in common.texts_of(batch)]
 
@@ -146,10 +161,7 @@ def _sign(batches):
     for batch in batches:
         words = _words(batch)
         sets = [shingles(w) for w in words]
-        full = [i for i, s in enumerate(sets) if len(s[0])]
-        keys: list = [[] for _ in sets]
-        for i, row in zip(full, band_keys(prob_minhash([(sets[i][0], 1 + np.log(sets[i][1])) for i in full]))):
-            keys[i] = row
+        keys = document_keys(sets)
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array([node_of(w) for w in words], pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
             ["doc_id", "node", "bands"],

@@ -287,6 +287,21 @@ def test_rest_pairs_alone_find_every_link(spark):
     assert {r["doc_id"]: r["class_id"] for r in got.collect()} == brute_classes(rows)
 
 
+def test_near_copies_with_a_repeated_passage(spark):
+    rng = np.random.default_rng(9)
+    texts = []
+    for k in range(40):  # set similarity 181 / 215, counts of half the shingles 1 against 100
+        words = [f"d{k}_{j}" for j in range(200)]
+        edited = list(words)
+        for j in 110 + 25 * np.arange(3) + rng.integers(0, 15, 3):
+            edited[j] = f"e{k}_{j}"
+        texts += [" ".join(words), " ".join(words[:100] * 100 + edited[100:])]
+    rows = list(enumerate(texts))
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r["doc_id"]: r["class_id"] for r in got.collect()}
+    assert got == brute_classes(rows) == {i: i - i % 2 for i, _ in rows}
+
+
 def test_signatures_estimate_probability_jaccard():
     rng = np.random.default_rng(5)
     keys = near_dedup.mix(rng.integers(0, 2**62, 300).astype(np.uint64))
