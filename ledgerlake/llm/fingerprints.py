@@ -1,14 +1,14 @@
 """Document fingerprints by a homomorphic multiset hash (operator 3).
 
 Every paragraph (line with a word) is hashed to a wide vector; a document's fingerprint is the
-sum of its paragraphs' vectors, each lane modulo a power of two. So equal multisets of
+sum of its paragraphs' vectors, each lane modulo 2^32. So equal multisets of
 paragraphs have equal fingerprints in any order, and a paragraph is inserted or deleted by
 adding or subtracting its vector (``combine``). A vector has
 
-* ``DENSE`` lanes modulo 2^32 from the paragraph's SHA-256, which decide equality;
+* ``DENSE`` lanes from the paragraph's SHA-256, which decide equality;
 * one lane that counts the paragraph's pieces (every run of ``PIECE`` words; a shorter paragraph
   is one piece) and
-  ``SIGNS`` lanes modulo 2^16, lane j counting the pieces whose hash has bit j set.
+  ``SIGNS`` lanes, lane j counting the pieces whose hash has bit j set.
 
 ``2 * count_j - pieces`` are sums of random signs, so the cosine of two such vectors estimates
 that of the multisets of pieces: the ``likeness``, 1 for equal fingerprints, 0 for unrelated ones.
@@ -34,8 +34,8 @@ DENSE, SIGNS, PIECE = 8, 64, 3
 #: Documents in a range of ids, and the most ranges.
 RANGE_ROWS, RANGES = 1024, 20_000
 LANES = DENSE + 1 + SIGNS
-#: Bits of each lane, in order.
-BITS = [32] * (DENSE + 1) + [16] * SIGNS
+#: Bits of each lane.
+BITS = 32
 WORD = r"[^\x20\x09-\x0D]++"
 SPACE = r"[\x20\x09\x0B-\x0D]++"
 #: A word that starts a piece (group 1): the first of a short paragraph or one with enough words after it.
@@ -87,19 +87,18 @@ def summed(texts: DataFrame, keys: list[str]) -> DataFrame:
     low = [F.col(f"s{j}").bitwiseAND(F.lit((1 << 32) - 1)) for j in range(half)]
     high = [F.shiftrightunsigned(f"s{j}", 32) for j in range(half)]
     values = [*dense, F.col("n"), *low, *high]
-    lanes = [x.bitwiseAND(F.lit((1 << b) - 1)).cast("long") for x, b in zip(values, BITS)]
+    lanes = [x.bitwiseAND(F.lit((1 << BITS) - 1)).cast("long") for x in values]
     return sums.select(*keys, F.array(*lanes).alias("lanes"))
 
 
 def combine(a: Column, b: Column, sign: int = 1) -> Column:
     """The lanes of the multiset sum (``sign`` 1) or difference (-1) of two fingerprints' lanes."""
-    limits = F.array(*(F.lit(1 << n) for n in BITS))
-    return F.transform(F.arrays_zip(a.alias("a"), b.alias("b"), limits.alias("m")), lambda x: F.pmod(x["a"] + sign * x["b"], x["m"]))
+    return F.zip_with(a, b, lambda x, y: F.pmod(x + sign * y, F.lit(1 << BITS)))
 
 
 def to_text(lanes: Column) -> Column:
     """Lower-case hexadecimal, every lane in full width."""
-    hexed = F.transform(lanes, lambda x, i: F.lpad(F.lower(F.hex(x)), F.when(i <= DENSE, 8).otherwise(4), "0"))
+    hexed = F.transform(lanes, lambda x: F.lpad(F.lower(F.hex(x)), BITS // 4, "0"))
     return F.array_join(hexed, "")
 
 
@@ -109,9 +108,9 @@ def likeness(a: Column, b: Column) -> Column:
     def signed(x: Column) -> Column:
         n = x[DENSE].cast("double")
 
-        def around(v: Column) -> Column:  # the residue modulo 2^16 nearest to 0
-            d = F.pmod(2 * v - n, F.lit(65536.0))
-            return F.when(d >= 32768, d - 65536).otherwise(d)
+        def around(v: Column) -> Column:  # the residue modulo 2^32 nearest to 0
+            d = F.pmod(2 * v - n, F.lit(2.0**BITS))
+            return F.when(d >= 2.0 ** (BITS - 1), d - 2.0**BITS).otherwise(d)
 
         return F.transform(F.slice(x, DENSE + 2, SIGNS), around)
 

@@ -113,6 +113,12 @@ def test_likeness_after_one_inserted_word(spark):
     assert min(r["near"] for r in got) > 0.9 and np.mean([r["far"] for r in got]) < 0.15
 
 
+def test_likeness_of_a_piece_repeated_often(spark):
+    got = lanes(spark, ["red green blue\n" * 40_000, "red green blue\n" * 20_000])
+    row = spark.createDataFrame([(got[0], got[1])], "a array<long>, b array<long>")
+    assert row.select(fingerprints.likeness(F.col("a"), F.col("b")).alias("x")).first()["x"] == 0.9999
+
+
 def test_fingerprints_of_odd_rows(spark, odd):
     rows = fingerprints.fingerprints(odd, range_rows=3).collect()
     assert len(rows) == len(ODD)
