@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import chat_snapshots
+from ledgerlake.llm import chat_snapshots, shingle_join, source_divergence
 from ledgerlake.llm.fingerprints import op3_document_fingerprints
 from ledgerlake.llm.language_id import op9_language_id
 from ledgerlake.llm.nbest_pieces import op10_nbest_pieces
@@ -15,6 +15,7 @@ from ledgerlake.llm.packing import op8_best_fit_packing
 from ledgerlake.llm.quality_classifier import op7_quality_classifier
 from ledgerlake.llm.quality_rules import op4_quality_rules
 from ledgerlake.llm.token_counts import op1_token_counts
+from ledgerlake.llm.turn_repair import op11_turn_repair
 from ledgerlake.llm.url_filters import op2_url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -28,6 +29,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_language_id": op9_language_id,
     "op10_nbest_pieces": op10_nbest_pieces,
+    "op11_turn_repair": op11_turn_repair,
+    "op12_source_divergence": source_divergence.op12_source_divergence,
+    "op13_shingle_join": shingle_join.op13_shingle_join,
 }
 
-ORACLE_SQL: dict[str, str] = {"op5_chat_formatting": chat_snapshots.ORACLE}
+ORACLE_SQL: dict[str, str] = {
+    "op5_chat_formatting": chat_snapshots.ORACLE,
+    "op12_source_divergence": source_divergence.ORACLE,
+    "op13_shingle_join": shingle_join.ORACLE,
+}
