@@ -242,24 +242,27 @@ SQL["erase_ids"] = with_(
 )
 
 _CF_COLS = "transaction_id, game, payment_date, price, currency, status, ingest_ts"
+
+
+def _row_sql(side: str, kind: str) -> str:
+    """A struct of one side's columns and the change type."""
+    fields = ", ".join(f"{c}: {side}.{c}" for c in _CF_COLS.split(", "))
+    return f"{{{{{fields}, _change_type: '{kind}'}}}}"
+
+
 _CF_DIFF = " OR ".join(
     f"t.{c} IS DISTINCT FROM s.{c}" for c in ("game", "payment_date", "price", "currency", "status", "ingest_ts")
 )
-SQL["change_feed"] = with_(
-    ["f1", "new1"],
-    f"""
-SELECT {', '.join('t.' + c for c in _CF_COLS.split(', '))}, 'update_preimage' AS _change_type
-FROM f1 t JOIN new1 s ON t.transaction_id = s.transaction_id WHERE {_CF_DIFF}
-UNION ALL
-SELECT {', '.join('s.' + c for c in _CF_COLS.split(', '))}, 'update_postimage' AS _change_type
-FROM f1 t JOIN new1 s ON t.transaction_id = s.transaction_id WHERE {_CF_DIFF}
-UNION ALL
-SELECT {', '.join('t.' + c for c in _CF_COLS.split(', '))}, 'delete' AS _change_type
-FROM f1 t WHERE NOT EXISTS (SELECT 1 FROM new1 s WHERE s.transaction_id = t.transaction_id)
-UNION ALL
-SELECT {', '.join('s.' + c for c in _CF_COLS.split(', '))}, 'insert' AS _change_type
-FROM new1 s WHERE NOT EXISTS (SELECT 1 FROM f1 t WHERE s.transaction_id = t.transaction_id)""",
-)
+# Every CTE is computed once, the two versions meet in one join, and a joined row gives its 0 to 2 changes.
+CHANGES_SQL = f"""
+SELECT c.* FROM (
+  SELECT unnest(CASE
+    WHEN t.transaction_id IS NULL THEN [{_row_sql('s', 'insert')}]
+    WHEN s.transaction_id IS NULL THEN [{_row_sql('t', 'delete')}]
+    WHEN {_CF_DIFF} THEN [{_row_sql('t', 'update_preimage')}, {_row_sql('s', 'update_postimage')}]
+    ELSE [] END) AS c
+  FROM {{old}} t FULL JOIN {{new}} s ON t.transaction_id = s.transaction_id)"""
+SQL["change_feed"] = with_(["f1", "new1"], CHANGES_SQL.format(old="f1", new="new1")).replace(" AS (", " AS MATERIALIZED (")
 
 RESTATE_DT = "1998-06-15"
 RESTATE_DAYS = 7
