@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlake import fixtures as fx
 from ledgerlake import oracle, schemas
@@ -135,9 +136,74 @@ def q_restate_window(spark, sf_dir):
     return mart
 
 
-# --- contract and data quality over F2 ---------------------------------------------------------
-from pyspark.sql import functions as F  # noqa: E402
+# --- the table kept up through its key index, and what follows from its changes ----------------------
+from ledgerlake.sources import key_index  # noqa: E402
+
+#: Orders are spread thinly over 2,400 days; the stored tables are partitioned by month.
+MONTH = "payment_month"
+
+
+def _month() -> Column:
+    return F.trunc("payment_date", "month")
 
+
+def _indexed(spark, sf_dir):
+    """Path of silver after a first load, a late batch and an erasure, all through the index, and the two changes."""
+    silver = fx.payments_orders(spark, sf_dir)
+    path = shared_dir(spark, "silver-indexed")
+    index = key_index.index_of(path, partition_col=MONTH, n_buckets=16)
+    key_index.merge_indexed(spark, path, silver.withColumn(MONTH, _month()), index)
+    late = key_index.merge_indexed(spark, path, fx.late_batch(silver).withColumn(MONTH, _month()), index)
+    erased = key_index.erase_indexed(spark, path, fx.erasure_ids(spark, sf_dir), index)
+    return path, (late, erased)
+
+
+@query("merge_indexed")
+def q_merge_indexed(spark, sf_dir):
+    path, _ = _indexed(spark, sf_dir)
+    return spark.read.parquet(path).drop(MONTH)
+
+
+def _kept_up(spark, sf_dir):
+    """The mart before, the mart kept up by the feeds of a MERGE and an erasure, and its changed (game, day)."""
+    rates = fx.fx_rates_orders(spark, sf_dir)
+    fact = gold.build_fact(fx.payments_orders(spark, sf_dir), rates)
+    folder = shared_dir(spark, "mart-kept-up")
+    paths = pipeline.MartPaths(f"{folder}/mart", f"{folder}/state", f"{folder}/journal")
+    tables.overwrite_partitions(gold.mart_state(fact).withColumn(MONTH, _month()), paths.state, MONTH)
+    state = spark.read.parquet(paths.state)
+    tables.overwrite_partitions(gold.mart_of_state(state).withColumn(MONTH, _month()), paths.mart, MONTH)
+    before = tables.stored(spark.read.parquet(paths.mart).drop(MONTH), "mart-before")
+    _, changes = _indexed(spark, sf_dir)
+    changed = None
+    for k, change in enumerate(changes):
+        rows = pipeline.refresh_mart(spark, paths, change.feed(spark).drop(MONTH), rates, f"feed-{k}", MONTH, _month())
+        changed = rows if changed is None else changed.unionByName(rows)
+    return before, spark.read.parquet(paths.mart).drop(MONTH), changed
+
+
+@query("mart_from_changes")
+def q_mart_from_changes(spark, sf_dir):
+    return _kept_up(spark, sf_dir)[1]
+
+
+@query("kpi_refresh")
+def q_kpi_refresh(spark, sf_dir):
+    """Rolling and anomaly views brought to the changed mart: only the ranges that changes reach are computed."""
+    before, mart, changed = _kept_up(spark, sf_dir)
+    views = tables.stored(marts.kpi_views(before), "kpi-views")
+    return marts.refresh_kpis(views, mart, changed)
+
+
+@query("reconcile_rows")
+def q_reconcile_rows(spark, sf_dir):
+    """Silver before against silver after a late batch and an erasure, row by row where digests differ."""
+    old = fx.payments_orders(spark, sf_dir)
+    new = mg.erase(mg.merge_upsert(old, fx.late_batch(old)), fx.erasure_ids(spark, sf_dir))
+    return marts.reconcile_rows(old, new)
+
+
+# --- contract and data quality over F2 ---------------------------------------------------------
 from ledgerlake.operators import contract, dq  # noqa: E402
 
 
@@ -260,6 +326,16 @@ def q_scd2_apply(spark, sf_dir):
     return scd_f1(spark, sf_dir)
 
 
+@query("scd2_backdated")
+def q_scd2_backdated(spark, sf_dir):
+    """Statements recorded out of order, applied in two batches, the later times first."""
+    updates = fx.game_history(spark, sf_dir)
+    timeline = scd2.scd2_timeline(fx.dim_game(spark, sf_dir))
+    for batch in (F.month("at") > 6, F.month("at") <= 6):
+        timeline = scd2.scd2_record(timeline, updates.where(batch))
+    return scd2.scd2_of_timeline(timeline)
+
+
 @query("scd2_asof")
 def q_scd2_asof(spark, sf_dir):
     fact = fact_f1(spark, sf_dir).select("transaction_id", "game_key", "payment_date")

@@ -275,6 +275,26 @@ def game_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def game_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statements about every F1 game's genre, one for each month with orders (and a correction for every
+    fifth month), recorded in another order than the months': odd months soon, even ones a year later."""
+    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate")
+    c = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_mktsegment").alias("game_key"))
+    month = F.to_timestamp_ntz(F.date_format("o_orderdate", "yyyy-MM-01 00:00:00")).alias("at")
+    counts = o.join(c, o["o_custkey"] == c["c_custkey"]).groupBy("game_key", month).agg(F.count(F.lit(1)).alias("n"))
+    number = F.month("at")
+    delay = F.when(number % 2 == 0, F.expr("INTERVAL 400 DAYS")).otherwise(F.expr("INTERVAL 30 DAYS"))
+    first = counts.select(
+        "game_key", "at", (F.col("at") + delay).alias("recorded_at"), F.concat(F.lit("genre_"), F.pmod("n", F.lit(3)).cast("string")).alias("genre")
+    )
+    fixed = counts.where(number % 5 == 0).select("game_key", "at", (F.col("at") + F.expr("INTERVAL 500 DAYS")).alias("recorded_at"), F.lit("fixed").alias("genre"))
+    both = first.unionByName(fixed)
+    return both.select(
+        "game_key", "at", "recorded_at", F.lower("game_key").alias("game_name"), "genre",
+        F.concat(F.lit("studio_"), F.substring("game_key", 1, 2)).alias("studio"),
+    )
+
+
 def dim_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx_rates_orders(spark, sf_dir).select("currency_code").distinct()
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.exprs import MONEY, RATE, date_key, date_lit, decimal_lit
 
+# Columns of the published fact and of its masked projection.
 FACT_COLUMNS = (
     "transaction_id",
     "game_key",
@@ -28,13 +29,14 @@ def build_fact(
     fx: DataFrame,
     *,
     with_fx_flag: bool = False,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Fact rows: renamed keys, ``yyyyMMdd`` date key and EUR price.
 
     The FX table is one row per (currency, day). No hint: adaptive execution broadcasts it when
     its measured bytes allow, and splits a skewed day otherwise. A missing rate
     converts at 1.0 (the price is taken as EUR); ``with_fx_flag`` adds ``fx_missing`` so a
-    caller can count or reject such rows. The product is cast once to DECIMAL(18,4)
+    caller can count or reject such rows; ``keep`` names further columns to carry along. The product is cast once to DECIMAL(18,4)
     (half-up), keeping the fact in exact decimal arithmetic.
     """
     rates = fx.select(
@@ -61,7 +63,7 @@ def build_fact(
     ]
     if with_fx_flag:
         cols.append(F.col("_fx_rate").isNull().alias("fx_missing"))
-    return joined.select(*cols)
+    return joined.select(*cols, *keep)
 
 
 def build_agg_game_daily(fact: DataFrame) -> DataFrame:
@@ -80,6 +82,10 @@ def build_agg_game_daily(fact: DataFrame) -> DataFrame:
         F.count_if(err).alias("txn_error_count"),
         F.count_distinct("currency_key").alias("currency_count"),
     )
+    return _with_ratios(agg)
+
+
+def _with_ratios(agg: DataFrame) -> DataFrame:
     return agg.select(
         "game_key",
         "payment_date",
@@ -96,6 +102,70 @@ def build_agg_game_daily(fact: DataFrame) -> DataFrame:
     )
 
 
+# --- the mart kept up by changes ------------------------------------------------------------------
+#: One row for each game, day and currency: counts and sums from which the mart follows.
+STATE_KEYS = ("game_key", "payment_date", "currency_key")
+STATE_SUMS = ("n_rows", "n_success", "n_error", "revenue_eur")
+_SUM = "decimal(28,4)"
+
+
+def _state_sums(rows: DataFrame, sign: Column) -> DataFrame:
+    ok = F.col("status") == F.lit("success")
+    err = F.col("status") == F.lit("error")
+    zero = F.lit(0).cast(_SUM)
+
+    def counted(cond: Column) -> Column:
+        return F.coalesce(F.sum(F.when(cond, sign)), F.lit(0)).cast("long")
+
+    revenue = F.sum(F.when(ok, (F.col("price_eur") * sign).cast(_SUM)))
+    return rows.groupBy(*STATE_KEYS).agg(
+        counted(F.lit(True)).alias("n_rows"),
+        counted(ok).alias("n_success"),
+        counted(err).alias("n_error"),
+        F.coalesce(revenue, zero).cast(_SUM).alias("revenue_eur"),
+    )
+
+
+def mart_state(fact: DataFrame) -> DataFrame:
+    """What the mart has to remember so that rows can be taken back out of it.
+
+    A revenue is a sum and can be reduced; a distinct count cannot, so rows are counted by
+    currency, and a currency leaves the count with its last row.
+    """
+    return _state_sums(fact, F.lit(1))
+
+
+def mart_deltas(feed: DataFrame, fx: DataFrame) -> DataFrame:
+    """Signed changes of the mart's state from a feed of silver changes.
+
+    Rows that go (preimages, deletes) count -1 and rows that come +1; the feed is converted to
+    EUR with the rates of its days, which must be the ones its rows were first converted with.
+    Groups whose changes cancel out are left out.
+    """
+    gone = F.col("_change_type").isin("update_preimage", "delete")
+    signed = feed.withColumn("_ll_sign", F.when(gone, -1).otherwise(1))
+    sums = _state_sums(build_fact(signed, fx, keep=("_ll_sign",)), F.col("_ll_sign"))
+    return sums.where(" or ".join(f"{c} <> 0" for c in STATE_SUMS))
+
+
+def fold_state(state: DataFrame, deltas: DataFrame) -> DataFrame:
+    """The state after signed changes; a group whose last row went is gone."""
+    both = state.select(*STATE_KEYS, *STATE_SUMS).unionByName(deltas.select(*STATE_KEYS, *STATE_SUMS))
+    kinds = {"revenue_eur": _SUM}
+    return both.groupBy(*STATE_KEYS).agg(*(F.sum(c).cast(kinds.get(c, "long")).alias(c) for c in STATE_SUMS)).where("n_rows <> 0")
+
+
+def mart_of_state(state: DataFrame) -> DataFrame:
+    """The daily mart (``build_agg_game_daily``) from its state."""
+    agg = state.groupBy("game_key", "payment_date").agg(
+        F.sum(F.when(F.col("n_success") > 0, F.col("revenue_eur"))).cast(MONEY).alias("gross_revenue_eur"),
+        F.sum("n_success").alias("txn_success_count"),
+        F.sum("n_error").alias("txn_error_count"),
+        F.count("currency_key").alias("currency_count"),
+    )
+    return _with_ratios(agg)
+
+
 def masked_fact(fact: DataFrame) -> DataFrame:
     """Secure projection for non-finance readers: every row, no price columns."""
     return fact.select(*MASKED_FACT_COLUMNS)

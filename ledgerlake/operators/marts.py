@@ -8,11 +8,12 @@ partitions are bounded by the calendar, not by the payment volume.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.exprs import MONEY, date_lit, safe_ratio
+from ledgerlake.functions.exprs import MONEY, content_key, date_lit, row_digest, safe_ratio
 
 SEVERITY_ALERT_Z = 3.0
 SEVERITY_WARN_Z = 2.0
@@ -62,6 +63,10 @@ def kpi_rolling_calendar(mart: DataFrame) -> DataFrame:
     )
 
 
+def severity_of(z: Column) -> Column:
+    return F.when(F.abs(z) > SEVERITY_ALERT_Z, "ALERT").when(F.abs(z) > SEVERITY_WARN_Z, "WARN").otherwise("OK")
+
+
 def kpi_anomalies(mart: DataFrame, digits: int = 6) -> DataFrame:
     """Trailing 28-row z-score of daily revenue (excluding the day itself) and a severity.
 
@@ -75,12 +80,70 @@ def kpi_anomalies(mart: DataFrame, digits: int = 6) -> DataFrame:
     z = (rev - mu) / F.nullif(sigma, F.lit(0.0))
     scored = mart.select("game_key", "payment_date", "gross_revenue_eur", z.alias("z_score"))
     # The severity is taken from the exact score; only the reported score is rounded.
-    severity = (
-        F.when(F.abs("z_score") > SEVERITY_ALERT_Z, "ALERT")
-        .when(F.abs("z_score") > SEVERITY_WARN_Z, "WARN")
-        .otherwise("OK")
+    return scored.withColumn("severity", severity_of(F.col("z_score"))).withColumn("z_score", F.round("z_score", digits))
+
+
+# --- rolling and anomaly views refreshed where the mart changed --------------------------------------
+#: Rows after a changed one that its value reaches (the z-score's frame is the longest), and rows
+#: before a refreshed one that its frames read.
+REACH = 28
+
+
+def kpi_views(mart: DataFrame, by: tuple[str, ...] = ("game_key",)) -> DataFrame:
+    """The columns of ``kpi_rolling`` and ``kpi_anomalies`` together, in one pass over the mart."""
+    w = Window.partitionBy(*by).orderBy("payment_date")
+    rev = F.col("gross_revenue_eur")
+    before = w.rowsBetween(-REACH, -1)
+    amount = rev.cast("double")
+    z = (amount - F.avg(amount).over(before)) / F.nullif(F.stddev_samp(amount).over(before), F.lit(0.0))
+    scored = mart.select(
+        "*",
+        F.sum(rev).over(w.rowsBetween(-6, 0)).cast(MONEY).alias("revenue_7d"),
+        F.sum(rev).over(w.rowsBetween(-27, 0)).cast(MONEY).alias("revenue_28d"),
+        (safe_ratio(rev, F.lag(rev, 7).over(w)) - F.lit(1.0)).alias("wow_growth"),
+        z.alias("z_score"),
     )
-    return scored.withColumn("severity", severity).withColumn("z_score", F.round("z_score", digits))
+    return scored.withColumn("severity", severity_of(F.col("z_score"))).withColumn("z_score", F.round("z_score", 6))
+
+
+def affected_rows(mart: DataFrame, changed: DataFrame) -> DataFrame:
+    """``game_key, payment_date, island, affected``: the rows of the new mart that a refresh has to read.
+
+    ``changed`` holds the (game, day) whose mart row came, went or changed. Frames count
+    rows, so a change reaches the ``REACH`` rows after it, wherever in the calendar they are, and a row that came
+    or went moves the frames of as many. Ranges and the ``REACH`` rows of context
+    before them that touch one another form an island. Only keys of games with a change are looked at.
+    """
+    marked = changed.select("game_key", "payment_date").distinct()
+    keys = mart.select("game_key", "payment_date").join(marked.select("game_key").distinct(), "game_key", "left_semi")
+    spots = keys.withColumns({"here": F.lit(1), "hit": F.lit(0)}).unionByName(marked.withColumns({"here": F.lit(0), "hit": F.lit(1)}))
+    spots = spots.groupBy("game_key", "payment_date").agg(F.max("here").alias("here"), F.max("hit").alias("hit"))
+    w = _by_game()
+    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    later = w.rowsBetween(1, Window.unboundedFollowing)
+    spots = spots.withColumn("place", F.sum("here").over(so_far))
+    # A row that went starts its range at the next row that is there.
+    spots = spots.withColumn("start", F.when(F.col("hit") == 1, F.col("place") + 1 - F.col("here")))
+    spots = spots.withColumns({"since": F.max("start").over(so_far), "until": F.min("start").over(later)}).where("here = 1")
+    affected = F.coalesce(F.col("place") <= F.col("since") + REACH, F.lit(False))
+    context = F.coalesce(F.col("place") >= F.col("until") - REACH, F.lit(False))
+    spots = spots.withColumn("affected", affected).where(affected | context)
+    # Rows of an island stand one after another.
+    opens = F.when(F.col("place") - F.lag("place").over(w) == 1, 0).otherwise(1)
+    return spots.withColumn("opens", opens).select("game_key", "payment_date", F.sum("opens").over(so_far).alias("island"), "affected")
+
+
+def refresh_kpis(views: DataFrame, mart: DataFrame, changed: DataFrame) -> DataFrame:
+    """``views`` (``kpi_views`` of the mart before) brought to the new ``mart``.
+
+    Only the islands of ``affected_rows`` are computed again, each from its own rows; all other rows
+    of the views stay as they are, and those of rows that went are dropped.
+    """
+    spots = affected_rows(mart, changed)
+    rows = mart.join(spots, ["game_key", "payment_date"])
+    fresh = kpi_views(rows, ("game_key", "island")).where("affected").select(*views.columns)
+    stale = spots.where("affected").select("game_key", "payment_date").unionByName(changed.select("game_key", "payment_date"))
+    return views.join(stale.distinct(), ["game_key", "payment_date"], "left_anti").select(*views.columns).unionByName(fresh)
 
 
 def data_freshness(mart: DataFrame, as_of: str | _dt.date) -> DataFrame:
@@ -153,3 +216,81 @@ def reconciliation(
         (F.coalesce("silver_success_count", F.lit(0)) == F.coalesce("gold_success_count", F.lit(0))).alias("count_ok"),
         (F.coalesce("fact_revenue_eur", zero) == F.coalesce("gold_revenue_eur", zero)).alias("eur_ok"),
     )
+
+
+# --- reconciliation row by row ------------------------------------------------------------------
+BUCKETS = 64
+
+
+def bucket_digests(rows: DataFrame, keys: Sequence[str], columns: Sequence[str], by: str = "payment_date", buckets: int = BUCKETS) -> DataFrame:
+    """Row count and content digest of every (day, key bucket); rows in any order give the same."""
+    digest = row_digest([*keys, by, *columns]).cast("decimal(38,0)")
+    return _bucketed(rows, keys, buckets).groupBy(by, "_ll_bucket").agg(F.count(F.lit(1)).alias("n"), F.sum(digest).alias("digest"))
+
+
+def _bucketed(rows: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    return rows.withColumn("_ll_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+
+
+def differing_buckets(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], columns: Sequence[str], by: str = "payment_date", buckets: int = BUCKETS
+) -> DataFrame:
+    """``(by, bucket)`` whose digests differ or that one side lacks. Only digests are joined: days x buckets rows a side."""
+    a = bucket_digests(left, keys, columns, by, buckets).alias("a")
+    b = bucket_digests(right, keys, columns, by, buckets).alias("b")
+    same = F.col(f"a.{by}").eqNullSafe(F.col(f"b.{by}")) & (F.col("a._ll_bucket") == F.col("b._ll_bucket"))
+    differ = ~(F.col("a.n").eqNullSafe(F.col("b.n")) & F.col("a.digest").eqNullSafe(F.col("b.digest")))
+    return a.join(b, same, "full_outer").where(differ).select(
+        F.coalesce(f"a.{by}", f"b.{by}").alias(by), F.coalesce("a._ll_bucket", "b._ll_bucket").alias("_ll_bucket")
+    )
+
+
+def reconcile_rows(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str] = ("transaction_id",),
+    columns: Sequence[str] | None = None,
+    by: str = "payment_date",
+    buckets: int = BUCKETS,
+) -> DataFrame:
+    """Every key that ``right`` lacks, has too much or holds with other values: ``keys, kind, n_left, n_right, differs``.
+
+    Digests of (day, key bucket) are compared first; rows are fetched from buckets that differ and from
+    no others, so equal data are never joined. ``kind`` is ``missing``, ``extra`` or ``altered``;
+    ``differs`` names the columns whose values differ, in order (the day among them: a row that moved
+    to another day has both its buckets opened). A key with several rows is compared as a multiset.
+    Rows with a NULL key are compared by their content: an unequal number of equal ones is ``altered``.
+    """
+    keys = list(keys)
+    columns = [c for c in (columns or left.columns) if c not in keys and c != by]
+    found = differing_buckets(left, right, keys, columns, by, buckets)
+    values = [by, *columns]
+    own = F.lit(False)
+    for k in keys:
+        own = own | F.col(k).isNull()
+
+    def drilled(side: DataFrame, n: str) -> DataFrame:
+        wanted = found.select(F.col(by).alias("_ll_by"), F.col("_ll_bucket").alias("_ll_b"))
+        rows = _bucketed(side, keys, buckets)
+        rows = rows.join(wanted, F.col(by).eqNullSafe(F.col("_ll_by")) & (F.col("_ll_bucket") == F.col("_ll_b")), "left_semi")
+        # One key may have many rows: their digests are summed for each column before the sides meet.
+        sums = [F.sum(row_digest([c]).cast("decimal(38,0)")).alias(f"_ll_d{i}") for i, c in enumerate(values)]
+        whole = F.sum(row_digest(values).cast("decimal(38,0)")).alias("_ll_all")
+        content = F.when(own, content_key([*keys, *values])).otherwise(F.lit("")).alias("_ll_content")
+        return rows.groupBy(*keys, content).agg(F.count(F.lit(1)).alias(n), whole, *sums)
+
+    a, b = drilled(left, "n_left").alias("a"), drilled(right, "n_right").alias("b")
+    cond = F.col("a._ll_content") == F.col("b._ll_content")
+    for k in keys:
+        cond = cond & F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}"))
+    in_a, in_b = F.col("a.n_left").isNotNull(), F.col("b.n_right").isNotNull()
+    kind = F.when(~in_b, "missing").when(~in_a, "extra").otherwise("altered")
+    parts = [F.when(in_a & in_b & (F.col(f"a._ll_d{i}") != F.col(f"b._ll_d{i}")), F.lit(c)) for i, c in enumerate(values)]
+    same = F.col("a._ll_all").eqNullSafe(F.col("b._ll_all")) & F.col("a.n_left").eqNullSafe(F.col("b.n_right"))
+    return a.join(b, cond, "full_outer").where(~same).select(
+        *[F.coalesce(f"a.{k}", f"b.{k}").alias(k) for k in keys],
+        kind.alias("kind"),
+        F.coalesce("n_left", F.lit(0)).alias("n_left"),
+        F.coalesce("n_right", F.lit(0)).alias("n_right"),
+        F.concat_ws(",", *parts).alias("differs"),
+    )

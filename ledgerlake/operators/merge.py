@@ -153,6 +153,58 @@ def _full_join(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFra
     return t.join(s, cond, "full_outer")
 
 
+def merge_changes(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str] = DEFAULT_KEYS,
+    *,
+    update_cols: Sequence[str] = DEFAULT_UPDATE_COLS,
+    compare_cols: Sequence[str] = DEFAULT_COMPARE_COLS,
+    null_safe: bool = False,
+    newer_only: str | None = None,
+) -> DataFrame:
+    """The change feed that ``merge_upsert`` of a source with one row a key would cause.
+
+    One left join from the source's side: what it emits has the size of the source, however
+    large the target is, and no two versions of the target are compared. An update gives its pre- and
+    its postimage, a source row without a target row (or with a NULL key) an ``insert``.
+    """
+    keys, cols = list(keys), list(target.columns)
+    t = target.where(~_any_null(keys)).withColumn("_ll_t", F.lit(True)).alias("_t")
+    s = source.select(*cols, _spread(cols, keys).alias(_SPREAD)).alias("_s")
+    # A NULL key matches nothing; its spread deals such rows over all reducers.
+    cond = F.col(f"_s.{_SPREAD}") == F.lit(0)
+    for k in keys:
+        cond = cond & (F.col(f"_t.{k}") == F.col(f"_s.{k}"))
+    j = s.join(t, cond, "left")
+    known = F.col("_t._ll_t").isNotNull()
+    update = _changed(compare_cols, null_safe)
+    if newer_only:
+        update = update & F.coalesce(F.col(f"_s.{newer_only}") >= F.col(f"_t.{newer_only}"), F.lit(True))
+
+    def row(kind: str, source_cols: Sequence[str]) -> Column:
+        return F.struct(*[F.col(f"{'_s' if c in source_cols else '_t'}.{c}").alias(c) for c in cols], F.lit(kind).alias("_change_type"))
+
+    images = F.array(row("update_preimage", ()), row("update_postimage", [c for c in update_cols if c not in keys]))
+    changes = F.when(~known, F.array(row("insert", cols))).when(update, images)
+    return j.select(F.explode(changes).alias("_c")).select("_c.*")
+
+
+def erase_changes(target: DataFrame, ids: DataFrame, keys: Sequence[str] = DEFAULT_KEYS) -> DataFrame:
+    """The change feed of ``erase``: a ``delete`` for every row whose key is in ``ids``."""
+    keys = list(keys)
+    wanted = ids.select(*keys).where(~_any_null(keys)).distinct()
+    return target.join(wanted, keys, "left_semi").select(*target.columns, F.lit("delete").alias("_change_type"))
+
+
+def apply_changes(target: DataFrame, feed: DataFrame, keys: Sequence[str] = DEFAULT_KEYS) -> DataFrame:
+    """``target`` after a feed of changes to unique keys: rows of a preimage or a delete go, postimages and inserts come."""
+    keys, cols = list(keys), list(target.columns)
+    gone = feed.where(F.col("_change_type").isin("update_preimage", "delete")).select(*keys)
+    come = feed.where(F.col("_change_type").isin("update_postimage", "insert")).select(*cols)
+    return target.join(gone, keys, "left_anti").unionByName(come)
+
+
 def change_feed(
     old: DataFrame,
     new: DataFrame,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.exprs import row_digest, ts_lit
@@ -74,6 +74,65 @@ def scd2_apply(
     return applied.unionByName(hist.select(*applied.columns))
 
 
+# --- changes in any order of time --------------------------------------------------------------------
+def scd2_timeline(dim: DataFrame, key: str = "game_key", tracked: Sequence[str] = ("game_name", "genre", "studio")) -> DataFrame:
+    """The dimension as points in time: from ``at`` on, a key has these attributes, or none (``open`` is false).
+
+    Each version gives its start, and its end where no other version starts there. ``recorded_at`` is
+    null: any later statement about the same time wins.
+    """
+    recorded = F.lit(None).cast("timestamp_ntz").alias("recorded_at")
+    starts = dim.select(key, F.col("valid_from").alias("at"), F.lit(True).alias("open"), *tracked, recorded)
+    nothing = [F.lit(None).cast(dim.schema[c].dataType).alias(c) for c in tracked]
+    ends = dim.where(F.col("valid_to").isNotNull()).select(key, F.col("valid_to").alias("at"), F.lit(False).alias("open"), *nothing, recorded)
+    return _latest(starts.unionByName(ends), key, tracked)
+
+
+def _latest(points: DataFrame, key: str, tracked: Sequence[str]) -> DataFrame:
+    """One point for each key and time: the last recorded, before any end; ties by the attributes."""
+    rank = F.struct(F.col("recorded_at"), F.col("open"), *[F.col(c) for c in tracked])
+    kept = points.where(F.col(key).isNotNull() & F.col("at").isNotNull()).groupBy(key, "at").agg(F.max(rank).alias("r"))
+    return kept.select(key, "at", "r.open", *[F.col(f"r.{c}").alias(c) for c in tracked], "r.recorded_at")
+
+
+def scd2_record(timeline: DataFrame, updates: DataFrame, key: str = "game_key", tracked: Sequence[str] = ("game_name", "genre", "studio")) -> DataFrame:
+    """The timeline after ``updates`` (``key, at, recorded_at, tracked...``), in whatever order of time they come.
+
+    An update holds from its time until the key's next point, so a back-dated one splits the version
+    it falls into. Of several for one time the last recorded wins, so batches may be
+    applied in any order, or twice. An update without a time or a key says nothing.
+    """
+    rows = updates.select(key, F.col("at").cast("timestamp_ntz").alias("at"), F.lit(True).alias("open"), *tracked, "recorded_at")
+    return _latest(timeline.unionByName(rows), key, tracked)
+
+
+def scd2_of_timeline(timeline: DataFrame, key: str = "game_key", tracked: Sequence[str] = ("game_name", "genre", "studio"), sk: str = SK) -> DataFrame:
+    """The dimension of a timeline: one version for each run of points with the same attributes.
+
+    Points stay in the timeline even where they change nothing, so a later back-dated update between
+    two equal ones still ends at the second.
+    """
+    w = Window.partitionBy(key).orderBy("at")
+    state = F.struct("open", *tracked)
+    same = state.eqNullSafe(F.lag(state).over(w))
+    # Only points at which something changes bound a version.
+    points = timeline.withColumn("_ll_same", F.coalesce(same, F.lit(False))).where(~F.col("_ll_same"))
+    versions = points.withColumn("valid_to", F.lead("at").over(w)).where("open")
+    return versions.select(
+        surrogate_key(F.col(key), F.col("at")).alias(sk),
+        key,
+        *tracked,
+        F.col("at").alias("valid_from"),
+        "valid_to",
+        F.col("valid_to").isNull().alias("is_current"),
+    )
+
+
+def scd2_backdated(dim: DataFrame, updates: DataFrame, key: str = "game_key", tracked: Sequence[str] = ("game_name", "genre", "studio")) -> DataFrame:
+    """The dimension after updates of any times (``scd2_timeline``, ``scd2_record``, ``scd2_of_timeline``)."""
+    return scd2_of_timeline(scd2_record(scd2_timeline(dim, key, tracked), updates, key, tracked), key, tracked)
+
+
 def scd2_asof(
     fact: DataFrame,
     dim: DataFrame,

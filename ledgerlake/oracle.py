@@ -264,6 +264,40 @@ SELECT c.* FROM (
   FROM {{old}} t FULL JOIN {{new}} s ON t.transaction_id = s.transaction_id)"""
 SQL["change_feed"] = with_(["f1", "new1"], CHANGES_SQL.format(old="f1", new="new1")).replace(" AS (", " AS MATERIALIZED (")
 
+SQL["merge_indexed"] = with_(["new1"], "SELECT * FROM new1")
+CTE["factn1"] = "\nfactn1 AS (" + FACT_SELECT.format(silver="new1", fx="fx1") + "\n)"
+CTE["martn1"] = "\nmartn1 AS (" + MART_SELECT.format(fact="factn1") + "\n)"
+DEPENDS.update({"factn1": ["new1", "fx1"], "martn1": ["factn1"]})
+SQL["mart_from_changes"] = with_(["martn1"], "SELECT * FROM martn1")
+SQL["kpi_refresh"] = with_(
+    ["martn1"],
+    """
+SELECT * EXCLUDE (z), ROUND(z, 6) AS z_score,
+       CASE WHEN ABS(z) > 3 THEN 'ALERT' WHEN ABS(z) > 2 THEN 'WARN' ELSE 'OK' END AS severity
+FROM (
+  SELECT *,
+         CAST(SUM(gross_revenue_eur) OVER (o ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS DECIMAL(18,4)) AS revenue_7d,
+         CAST(SUM(gross_revenue_eur) OVER (o ROWS BETWEEN 27 PRECEDING AND CURRENT ROW) AS DECIMAL(18,4)) AS revenue_28d,
+         CAST(gross_revenue_eur AS DOUBLE) / NULLIF(CAST(LAG(gross_revenue_eur, 7) OVER o AS DOUBLE), 0) - 1.0 AS wow_growth,
+         (CAST(gross_revenue_eur AS DOUBLE) - AVG(CAST(gross_revenue_eur AS DOUBLE)) OVER (o ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING))
+           / NULLIF(STDDEV_SAMP(CAST(gross_revenue_eur AS DOUBLE)) OVER (o ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING), 0) AS z
+  FROM martn1 WINDOW o AS (PARTITION BY game_key ORDER BY payment_date)) v""",
+)
+_DIFFERS = ", ".join(
+    f"CASE WHEN a.{c} IS DISTINCT FROM b.{c} THEN '{c}' END" for c in ("payment_date", "game", "price", "currency", "status", "ingest_ts")
+)
+SQL["reconcile_rows"] = with_(
+    ["f1", "new1"],
+    f"""
+SELECT * FROM (
+  SELECT COALESCE(a.transaction_id, b.transaction_id) AS transaction_id,
+         CASE WHEN b.transaction_id IS NULL THEN 'missing' WHEN a.transaction_id IS NULL THEN 'extra' ELSE 'altered' END AS kind,
+         CAST(a.transaction_id IS NOT NULL AS BIGINT) AS n_left, CAST(b.transaction_id IS NOT NULL AS BIGINT) AS n_right,
+         CASE WHEN a.transaction_id IS NULL OR b.transaction_id IS NULL THEN '' ELSE concat_ws(',', {_DIFFERS}) END AS differs
+  FROM f1 a FULL JOIN new1 b ON a.transaction_id = b.transaction_id) r
+WHERE kind <> 'altered' OR differs <> ''""",
+)
+
 RESTATE_DT = "1998-06-15"
 RESTATE_DAYS = 7
 CTE["restate_fact1"] = (
@@ -536,6 +570,38 @@ CTE["dimc"] = "\ndimc AS (SELECT DISTINCT currency_code FROM fx1)"
 DEPENDS.update({"dimg": ["games"], "gupd": ["games"], "scd": ["dimg", "gupd"], "dimc": ["fx1"]})
 
 SQL["scd2_apply"] = with_(["scd"], "SELECT * FROM scd")
+CTE["hist1"] = """
+hist1 AS (
+  SELECT game_key, since, since + CASE WHEN month(since) % 2 = 0 THEN INTERVAL 400 DAY ELSE INTERVAL 30 DAY END AS recorded_at,
+         'genre_' || CAST(n % 3 AS VARCHAR) AS genre
+  FROM (SELECT c.c_mktsegment AS game_key, CAST(date_trunc('month', o.o_orderdate) AS TIMESTAMP) AS since, COUNT(*) AS n
+        FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1, 2) m
+  UNION ALL
+  SELECT DISTINCT c.c_mktsegment, CAST(date_trunc('month', o.o_orderdate) AS TIMESTAMP),
+         CAST(date_trunc('month', o.o_orderdate) AS TIMESTAMP) + INTERVAL 500 DAY, 'fixed'
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey WHERE month(o.o_orderdate) % 5 = 0
+)"""
+# Points in time, the last recorded of each; runs of equal ones; the next run's start ends a version.
+SQL["scd2_backdated"] = with_(
+    ["dimg", "hist1"],
+    f"""
+SELECT {sk_sql('game_key', 'since')} AS game_sk, game_key, game_name, genre, studio, since AS valid_from, valid_to, valid_to IS NULL AS is_current
+FROM (
+  SELECT *, LEAD(since) OVER (PARTITION BY game_key ORDER BY since) AS valid_to FROM (
+    SELECT *, LAG(opened) OVER k AS o, LAG(game_name) OVER k AS gn, LAG(genre) OVER k AS ge, LAG(studio) OVER k AS st,
+           ROW_NUMBER() OVER k AS nth
+    FROM (
+      SELECT * FROM (
+        SELECT *, ROW_NUMBER() OVER (PARTITION BY game_key, since ORDER BY recorded_at DESC NULLS LAST, opened DESC) AS rn
+        FROM (
+          SELECT game_key, valid_from AS since, TRUE AS opened, game_name, genre, studio, CAST(NULL AS TIMESTAMP) AS recorded_at FROM dimg
+          UNION ALL SELECT game_key, valid_to, FALSE, NULL, NULL, NULL, NULL FROM dimg WHERE valid_to IS NOT NULL
+          UNION ALL SELECT game_key, since, TRUE, lower(game_key), genre, 'studio_' || substr(game_key, 1, 2), recorded_at FROM hist1) p) r
+      WHERE rn = 1) l
+    WINDOW k AS (PARTITION BY game_key ORDER BY since)) c
+  WHERE nth = 1 OR opened <> o OR game_name IS DISTINCT FROM gn OR genre IS DISTINCT FROM ge OR studio IS DISTINCT FROM st) v
+WHERE opened""",
+)
 SQL["scd2_asof"] = with_(
     ["fact1", "scd"],
     """

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ledgerlake.operators import contract, dq, gold, marts
 from ledgerlake.operators.merge import dedup_latest
 from ledgerlake.session import shared_dir
-from ledgerlake.sources import bronze, tables
+from ledgerlake.sources import bronze, publication, tables
 
 
 def _date(value) -> _dt.date:
@@ -98,6 +98,51 @@ def bronze_to_silver(
         raw.unpersist()
 
 
+@dataclass(frozen=True)
+class MartPaths:
+    """The mart, the state it is kept up from, and the journal of its publications."""
+
+    mart: str
+    state: str
+    journal: str
+
+
+def refresh_mart(
+    spark: SparkSession,
+    paths: MartPaths,
+    feed: DataFrame,
+    fx: DataFrame,
+    feed_id: str,
+    partition_col: str = "payment_date",
+    partition: Column | None = None,
+) -> DataFrame:
+    """Bring the mart up to date with one feed of silver changes, without reading silver.
+
+    The feed becomes signed changes of the mart's state; only partitions (days, or what
+    ``partition`` makes of a day, e.g. its month) in which one is not zero are read and replaced. A feed
+    is applied once, whatever dies: its results are stored, published together with the
+    mart and marked by ``feed_id``. Returns the (game, day) whose mart row may have changed (stored).
+    """
+    publication.finish(spark, paths.journal)
+
+    def placed(df: DataFrame) -> DataFrame:
+        return df if partition is None else df.withColumn(partition_col, partition)
+
+    deltas = tables.stored(placed(gold.mart_deltas(feed, fx)), "mart-deltas")
+    changed = deltas.select("game_key", "payment_date").distinct()
+    if publication.was_published(spark, paths.journal, feed_id):
+        return changed
+    touched = tables.sorted_values(tables.values_of(deltas, partition_col))
+    if touched:
+        state = deltas.limit(0)
+        if tables.table_exists(spark, paths.state):
+            state = spark.read.parquet(paths.state).where(tables.in_partitions(partition_col, touched))
+        folded = publication.Publication.of(placed(gold.fold_state(state, deltas)), paths.state)
+        mart = publication.Publication.of(placed(gold.mart_of_state(folded.rows(spark))), paths.mart)
+        publication.publish(spark, paths.journal, feed_id, [folded, mart], touched, partition_col)
+    return changed
+
+
 @dataclass
 class Paths:
     bronze: str

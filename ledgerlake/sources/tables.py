@@ -9,16 +9,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerlake.operators.merge import DEFAULT_KEYS, erase, merge_upsert
+from ledgerlake.session import shared_dir
 
 PARTITION_COLUMN = "payment_date"
 
 
-def _fs_path(spark: SparkSession, path: str):
+def fs_path(spark: SparkSession, path: str):
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -42,7 +43,7 @@ def spread(df: DataFrame, min_partitions: int | None = None, known_partitions: i
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs_path(spark, path)
+    fs, p = fs_path(spark, path)
     return bool(fs.exists(p))
 
 
@@ -56,6 +57,13 @@ def read_table(
     return reader.load(path)
 
 
+def stored(df: DataFrame, name: str = "stored", path: str | None = None) -> DataFrame:
+    """``df`` written into the cluster's shared folder and read back: lineage is cut, every reader sees the same rows."""
+    path = path or shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_layout(
     df: DataFrame, partition_col: str = PARTITION_COLUMN, sort_cols: Sequence[str] = ("game",)
 ) -> DataFrame:
@@ -87,21 +95,34 @@ def overwrite_partitions(
         .option("compression", compression)
         .partitionBy(partition_col)
     )
-    for c in bloom_filter_cols:
-        w = w.option(f"parquet.bloom.filter.enabled#{c}", "true")
-    w.save(path)
+    with_blooms(w, bloom_filter_cols).save(path)
+
+
+def with_blooms(writer: DataFrameWriter, columns: Sequence[str]) -> DataFrameWriter:
+    """Parquet Bloom filters on ``columns``, each as large as the values of its file need.
+
+    The writer fills filters of twelve sizes, each half the one before, and stores the smallest
+    that keeps the rate of false hits; without that every row group of every file holds a megabyte.
+    """
+    for c in columns:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    if not columns:
+        return writer
+    return writer.option("parquet.bloom.filter.adaptive.enabled", "true").option("parquet.bloom.filter.candidates.number", "12")
 
 
-def replace_days(df: DataFrame, path: str, days: Sequence, partition_col: str = PARTITION_COLUMN) -> None:
+def replace_days(df: DataFrame, path: str, days: Sequence, partition_col: str = PARTITION_COLUMN, layout: bool = False) -> None:
     """Make ``df`` the whole content of the given partitions: a day without rows is emptied.
 
     ``df`` is read twice, so it should be a stored table.
     """
-    filled = set(_values(df, partition_col))
+    filled = set(values_of(df, partition_col))
     if filled - set(days):
         raise ValueError(f"rows outside the days to replace: {sorted(map(str, filled - set(days)))}")
-    overwrite_partitions(df, path, partition_col)
-    _delete_partition_dirs(df.sparkSession, path, partition_col, [d for d in days if d not in filled])
+    if filled:
+        write_merged(df, path, partition_col, layout)
+    emptied = ["__HIVE_DEFAULT_PARTITION__" if d is None else d for d in days if d not in filled]
+    _delete_partition_dirs(df.sparkSession, path, partition_col, emptied)
 
 
 def append(df: DataFrame, path: str, partition_cols: Sequence[str] = (), fmt: str = "parquet") -> None:
@@ -113,29 +134,29 @@ def append(df: DataFrame, path: str, partition_cols: Sequence[str] = (), fmt: st
 
 def _delete_partition_dirs(spark: SparkSession, path: str, partition_col: str, values) -> None:
     for v in values:
-        fs, p = _fs_path(spark, f"{path}/{partition_col}={v}")
+        fs, p = fs_path(spark, f"{path}/{partition_col}={v}")
         if fs.exists(p):
             fs.delete(p, True)
 
 
-def _values(df: DataFrame, column: str) -> list:
+def values_of(df: DataFrame, column: str) -> list:
     """Distinct partition values (bounded by the calendar) for building partition filters."""
     return [r[0] for r in df.select(column).distinct().collect()]
 
 
-def _in_partitions(column: str, values: list):
+def in_partitions(column: str, values: list):
     """Partition filter for ``values``; a NULL value selects the default (NULL) partition too."""
     known = [v for v in values if v is not None]
     cond = F.col(column).isin(known) if known else F.lit(False)
     return cond | F.col(column).isNull() if None in values else cond
 
 
-def _sorted_values(values) -> list:
+def sorted_values(values) -> list:
     known = sorted(v for v in set(values) if v is not None)
     return known + ([None] if None in set(values) else [])
 
 
-def _write_merged(df: DataFrame, path: str, partition_col: str, layout: bool) -> None:
+def write_merged(df: DataFrame, path: str, partition_col: str, layout: bool) -> None:
     """Rewrite partitions with the silver layout: few files per day, rows sorted by game,
     and a Parquet bloom filter on the key for point lookups."""
     if layout:
@@ -168,20 +189,20 @@ def merge_into_table(
             if src.isEmpty():
                 return []
             first = merge_upsert(src.limit(0), src, keys, **merge_kwargs)
-            _write_merged(first, path, partition_col, layout)
-            return _values(src, partition_col)
+            write_merged(first, path, partition_col, layout)
+            return values_of(src, partition_col)
         target = spark.read.parquet(path)
         src_keys = src.select(*keys).where(F.col(keys[0]).isNotNull())
         hit = target.select(*keys, partition_col).join(src_keys, list(keys), "left_semi")
         # One job: partitions of matched target rows plus partitions of the batch rows.
-        touched = _sorted_values(_values(hit.select(partition_col).unionByName(src.select(partition_col)), partition_col))
+        touched = sorted_values(values_of(hit.select(partition_col).unionByName(src.select(partition_col)), partition_col))
         if not touched:
             return []
-        part = target.where(_in_partitions(partition_col, touched))
+        part = target.where(in_partitions(partition_col, touched))
         merged = merge_upsert(part, src.select(*target.columns), keys, **merge_kwargs)
         # Dynamic overwrite writes into a staging folder and swaps the partitions in only at
         # job commit, after every task has finished reading the old files.
-        _write_merged(merged, path, partition_col, layout)
+        write_merged(merged, path, partition_col, layout)
         return touched
     finally:
         src.unpersist()
@@ -201,11 +222,11 @@ def erase_from_table(
     """
     target = spark.read.parquet(path)
     hit = target.select(*keys, partition_col).join(ids.select(*keys).distinct(), list(keys), "left_semi")
-    touched = _sorted_values(_values(hit, partition_col))
+    touched = sorted_values(values_of(hit, partition_col))
     if not touched:
         return []
-    kept = erase(target.where(_in_partitions(partition_col, touched)), ids, keys).checkpoint(eager=True)
-    survivors = set(_values(kept, partition_col))
+    kept = erase(target.where(in_partitions(partition_col, touched)), ids, keys).checkpoint(eager=True)
+    survivors = set(values_of(kept, partition_col))
     emptied = [v if v is not None else "__HIVE_DEFAULT_PARTITION__" for v in touched if v not in survivors]
     _delete_partition_dirs(spark, path, partition_col, emptied)
     if survivors:
@@ -217,7 +238,7 @@ VERSION_PREFIX = "v="
 
 
 def _version_numbers(spark: SparkSession, base: str) -> list[int]:
-    fs, p = _fs_path(spark, base)
+    fs, p = fs_path(spark, base)
     if not fs.exists(p):
         return []
     out = []
