@@ -395,6 +395,18 @@ def q_quarantine_spike(spark, sf_dir):
     return ops.slo_alarms(fx.pipeline_metrics(spark, sf_dir), quarantine_threshold=oracle.QUARANTINE_SPIKE_ROWS)
 
 
+@query("freshness_alarm")
+def q_freshness_alarm(spark, sf_dir):
+    return ops.freshness_alarm(marts.data_freshness(mart_f1(spark, sf_dir), oracle.STALE_AS_OF))
+
+
+@query("reconciliation_alarm")
+def q_reconciliation_alarm(spark, sf_dir):
+    """Silver after a late batch against the fact and mart from before it: the days that have drifted."""
+    fact = fact_f1(spark, sf_dir)
+    return ops.reconciliation_alarm(marts.reconciliation(merged_f1(spark, sf_dir), fact, gold.build_agg_game_daily(fact)))
+
+
 @query("batch_manifest")
 def q_batch_manifest(spark, sf_dir):
     return fx.manifests(fx.payments_orders(spark, sf_dir))
@@ -430,7 +442,7 @@ def q_table_layout(spark, sf_dir):
 # --- bronze landing, lean tier, bronze -> silver batch and stream over F2 --------------------------
 import datetime as _dt  # noqa: E402
 
-from ledgerlake.sources import bronze  # noqa: E402
+from ledgerlake.sources import bronze, schema_history  # noqa: E402
 from ledgerlake.streaming import runners  # noqa: E402
 
 
@@ -454,6 +466,14 @@ def q_lean_transform(spark, sf_dir):
     return pipeline.lean_transform(valid, oracle.LEAN_DT)
 
 
+@query("lean_stored")
+def q_lean_stored(spark, sf_dir):
+    """The lean tier's day as its ZSTD table holds it."""
+    path = shared_dir(spark, "lean")
+    pipeline.write_lean(q_lean_transform(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
 @query("bronze_to_silver")
 def q_bronze_to_silver(spark, sf_dir):
     landed = _landed(spark, sf_dir)
@@ -492,12 +512,74 @@ def q_stream_upsert(spark, sf_dir):
 
 @query("stream_quarantine_spike")
 def q_stream_quarantine_spike(spark, sf_dir):
+    """Contract rejects of the landed lines by hour of arrival, counted by a stream."""
     out = shared_dir(spark, "alarm")
-    views = fx.events_stream(spark, sf_dir).where(F.col("event_type") == "view")
-    runners.quarantine_spike_stream(views, out, shared_dir(spark, "ckpt"))
+    rejects = runners.rejected_stream(spark, _landed(spark, sf_dir), oracle.CONTRACT_AS_OF, fx.landing_ts())
+    runners.quarantine_spike_stream(rejects, out, shared_dir(spark, "ckpt"))
     return runners.spike_alarms(spark, out, oracle.QUARANTINE_SPIKE_ROWS)
 
 
+@query("stream_dedup")
+def q_stream_dedup(spark, sf_dir):
+    """Landed lines, each sent twice, without the copies that arrive within two days."""
+    raw = fx.raw_events(spark, sf_dir)
+    path, out = shared_dir(spark, "bronze-twice"), shared_dir(spark, "resent")
+    bronze.land_bronze(raw.unionByName(raw.withColumn("run_id", F.lit("b"))), path)
+    lines = runners.without_resends(bronze.stream_bronze(spark, path), fx.landing_ts(), "2 days")
+    runners.drain(lines.select("value", "dt"), out, shared_dir(spark, "ckpt"))
+    return spark.read.parquet(out).select("value", "dt")
+
+
+@query("run_metrics")
+def q_run_metrics(spark, sf_dir):
+    """The metrics that two daily runs with all their parts wrote, as their tables hold them."""
+    paths = _full_runs(spark, sf_dir)
+    return spark.read.parquet(paths.metrics)
+
+
+def _full_runs(spark, sf_dir):
+    """Two daily runs with retry queue, dead letter, dimensions, metrics and ingestion state."""
+    names = ("bronze", "silver", "gold", "quarantine", "retry_queue", "dead_letter", "metrics", "state")
+    paths = pipeline.Paths(**{name: shared_dir(spark, f"full-{name}") for name in names})
+    raw = fx.raw_events(spark, sf_dir, resend=True)
+    bronze.land_bronze(raw, paths.bronze)
+    rates = fx.fx_rates_events(spark, sf_dir)
+    games = fx.payments_events(spark, sf_dir).select(F.col("game").alias("game_key")).distinct().withColumn("is_current", F.lit(True))
+    day = _dt.date.fromisoformat(oracle.B2S_DT)
+    for dt in (day - _dt.timedelta(days=1), day):
+        pipeline.run_day(
+            spark, paths, dt, rates, fx.landing_ts(), as_of=dt, dim_game=games, dim_currency=gold.dim_currency(rates)
+        )
+    return paths
+
+
+@query("retry_cycle")
+def q_retry_cycle(spark, sf_dir):
+    """Queue and dead letter after six daily replays, each of which also brings new rejects."""
+    names = ("bronze", "silver", "gold", "quarantine", "retry_queue", "dead_letter")
+    paths = pipeline.Paths(**{name: shared_dir(spark, f"cycle-{name}") for name in names})
+    first = _dt.date.fromisoformat(fx.RETRY_CYCLE_FROM)
+    for k in range(fx.RETRY_CYCLE_RUNS):
+        now = f"{first + _dt.timedelta(days=k)} 00:00:00"
+        as_of = _dt.date.fromisoformat(oracle.RETRY_ENQUEUE_AS_OF) + _dt.timedelta(days=k)
+        pipeline.replay_quarantine(spark, paths, fx.retry_rejects(spark, sf_dir, k), now, as_of)
+    dead = spark.read.parquet(paths.dead_letter)
+    place = lambda df, name: df.select("queue_id", "transaction_id", "attempt_count", "eligible_at", F.lit(name).alias("place"))
+    return place(spark.read.parquet(paths.retry_queue), "queue").unionByName(place(dead, "dead"))
+
+
+@query("schema_history_scan")
+def q_schema_history_scan(spark, sf_dir):
+    """Payments of three schema versions (currency came in 1994, its arrival time in 1997), read in the newest."""
+    path = shared_dir(spark, "versions")
+    rows = fx.payments_orders(spark, sf_dir).withColumn("payment_year", F.year("payment_date"))
+    year = F.col("payment_year")
+    schema_history.write_versioned(rows.where(year < 1994).drop("currency", "ingest_ts"), path, "payment_year")
+    schema_history.write_versioned(rows.where((year >= 1994) & (year < 1997)).drop("ingest_ts"), path, "payment_year")
+    schema_history.write_versioned(rows.where(year >= 1997), path, "payment_year")
+    return schema_history.scan(spark, path, "payment_year").drop("payment_year")
+
+
 @query("dim_currency")
 def q_dim_currency(spark, sf_dir):
     return gold.dim_currency(fx.payments_orders(spark, sf_dir), column="currency")

@@ -428,6 +428,18 @@ def retry_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
 RUN_LANDING_HOURS = (("a", 6), ("b", 18))
 
 
+RETRY_CYCLE_RUNS = 6
+RETRY_CYCLE_FROM = "2024-01-20"
+
+
+def retry_rejects(spark: SparkSession, sf_dir: str, run: int) -> DataFrame:
+    """Contract rejects of F2 as of ``RETRY_ENQUEUE_AS_OF`` that run ``run`` of the retry cycle meets."""
+    from ledgerlake.operators import contract
+
+    checked = contract.with_errors(raw_events(spark, sf_dir), RETRY_ENQUEUE_AS_OF)
+    return checked.where((F.size("errors") > 0) & (F.pmod("_id", F.lit(RETRY_CYCLE_RUNS)) == run))
+
+
 def landing_ts() -> Column:
     """Arrival time of a bronze record, from its ``dt``/``run_id`` partition values."""
     hours = _case(F.col("run_id"), RUN_LANDING_HOURS, F.lit(0))

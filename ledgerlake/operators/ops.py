@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.exprs import row_digest
@@ -99,12 +99,19 @@ def freshness_alarm(freshness: DataFrame, max_days_behind: int = FRESHNESS_ALARM
     )
 
 
+def reconciliation_alarm(reconciled: DataFrame) -> DataFrame:
+    """Each day of a reconciliation with the checks that failed (comma-joined) and whether any did."""
+    checks = ("revenue_ok", "count_ok", "eur_ok")
+    failed = F.concat_ws(",", *[F.when(~F.coalesce(F.col(c), F.lit(False)), F.lit(c.removesuffix("_ok"))) for c in checks])
+    return reconciled.select("payment_date", failed.alias("failed"), (failed != "").alias("reconciliation_alarm"))
+
+
 class RowLeakError(RuntimeError):
     pass
 
 
-def observed(df: DataFrame, name: str):
-    """Attach a row counter to ``df`` that is filled by whatever action runs it next.
+def observed(df: DataFrame, name: str, **counts: Column):
+    """Attach a row counter (and further aggregates) to ``df``, filled by whatever action runs it next.
 
     Counting through ``DataFrame.observe`` piggybacks on the job that writes the data, so
     metrics need no second scan. Returns ``(df, observation)``; read
@@ -113,7 +120,7 @@ def observed(df: DataFrame, name: str):
     from pyspark.sql import Observation
 
     obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in counts.items()]), obs
 
 
 def task_metrics(spark, dag_id: str, task_id: str, run_id: str, payment_date: str,

@@ -3,8 +3,8 @@
 The queue is a table of rejected records plus ``queue_id`` (SHA-256 of the fields and the
 received line, so malformed lines and rows with a NULL transaction id are addressable),
 ``attempt_count``, ``last_error``, ``eligible_at`` and ``arrived_at`` (when the record first
-arrived, which decides whether a replayed row may overwrite a newer one). Every operator returns DataFrames; the caller writes the new queue to a new
-versioned folder instead of overwriting the folder it is reading from.
+arrived, which decides whether a replayed row may overwrite a newer one). Every operator returns
+DataFrames; ``sources.calendar_queue`` stores the queue by eligible day.
 """
 
 from __future__ import annotations

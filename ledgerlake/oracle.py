@@ -650,6 +650,26 @@ FULL OUTER JOIN (SELECT payment_date, SUM(gross_revenue_eur)::DECIMAL(28,4) AS g
       SUM(txn_success_count)::BIGINT AS gold_success_count FROM mart1 GROUP BY payment_date) g USING (payment_date)""",
 )
 
+STALE_AS_OF = "2001-08-09"
+SQL["freshness_alarm"] = with_(
+    ["mart1"],
+    f"""
+SELECT MAX(payment_date) AS latest_partition, CAST(DATE '{STALE_AS_OF}' - MAX(payment_date) AS INTEGER) AS days_behind,
+       CASE WHEN MAX(payment_date) >= DATE '{STALE_AS_OF}' - INTERVAL 1 DAY THEN 'OK' ELSE 'STALE' END AS freshness_status,
+       CAST(DATE '{STALE_AS_OF}' - MAX(payment_date) AS INTEGER) > 1 AS freshness_alarm
+FROM mart1""",
+)
+SQL["reconciliation_alarm"] = with_(
+    ["merged1", "mart1"],
+    """
+SELECT payment_date, concat_ws(',', CASE WHEN NOT abs(COALESCE(s.r, 0) - COALESCE(g.r, 0)) <= 1000000 THEN 'revenue' END,
+         CASE WHEN COALESCE(s.n, 0) <> COALESCE(g.n, 0) THEN 'count' END) AS failed,
+       abs(COALESCE(s.r, 0) - COALESCE(g.r, 0)) > 1000000 OR COALESCE(s.n, 0) <> COALESCE(g.n, 0) AS reconciliation_alarm
+FROM (SELECT payment_date, SUM(price) AS r, COUNT(*) AS n FROM merged1 WHERE status = 'success' GROUP BY payment_date) s
+FULL OUTER JOIN (SELECT payment_date, SUM(gross_revenue_eur) AS r, SUM(txn_success_count) AS n FROM mart1 GROUP BY payment_date) g
+  USING (payment_date)""",
+)
+
 # --- pipeline metrics, SLO views and alarms over F2 -----------------------------------------------
 QUARANTINE_SPIKE_ROWS = 5
 CTE["met2"] = """
@@ -768,16 +788,75 @@ SELECT transaction_id, game, payment_date, price, currency, status FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY transaction_id ORDER BY run_id DESC) AS rn
   FROM validland WHERE dt = DATE '{LEAN_DT}') v WHERE rn = 1""",
 )
+SQL["lean_stored"] = SQL["lean_transform"]
 B2S_DT = "2024-01-15"
 SQL["bronze_to_silver"] = with_(
     ["validland"], LATEST_VALID.format(where=f"dt IN (DATE '{B2S_DT}' - 1, DATE '{B2S_DT}')")
 )
 SQL["stream_upsert"] = with_(["validland"], LATEST_VALID.format(where="TRUE"))
-SQL["stream_quarantine_spike"] = f"""
+SQL["stream_quarantine_spike"] = with_(
+    ["chkland"],
+    f"""
 SELECT w AS window_start, w + INTERVAL 1 HOUR AS window_end, COUNT(*) AS quarantined_rows,
        COUNT(*) > {QUARANTINE_SPIKE_ROWS} AS quarantine_alarm
-FROM (SELECT date_trunc('hour', ts) AS w FROM events WHERE event_type = 'view') v
-GROUP BY w"""
+FROM (SELECT CAST(dt AS TIMESTAMP) + CASE run_id WHEN 'a' THEN INTERVAL 6 HOUR ELSE INTERVAL 18 HOUR END AS w
+      FROM chkland WHERE errors <> '') v
+GROUP BY w""",
+)
+SQL["stream_dedup"] = with_(["land2"], f"SELECT DISTINCT {_RAW_LINE} AS value, dt FROM land2 WHERE run_id = 'a'")
+
+# Two daily runs: what was landed, what passed, what was sent twice, what was set aside.
+CTE["chkrun"] = """
+chkrun AS (
+  SELECT * FROM (""" + contract_checked("land2", B2S_DT) + f""") a WHERE dt = DATE '{B2S_DT}'
+  UNION ALL
+  SELECT * FROM (""" + contract_checked("land2", "2024-01-14") + f""") b WHERE dt = DATE '{B2S_DT}' - 1
+)"""
+DEPENDS["chkrun"] = ["land2"]
+SQL["run_metrics"] = with_(
+    ["chkrun"],
+    """
+SELECT 'daily_payments' AS dag_id, 'bronze_to_silver' AS task_id, 'run_' || CAST(dt AS VARCHAR) AS run_id,
+       CAST(dt AS VARCHAR) AS payment_date, COUNT(*) AS input_rows,
+       COUNT(DISTINCT transaction_id) FILTER (WHERE errors = '') AS output_rows,
+       COUNT(*) FILTER (WHERE errors = '') - COUNT(DISTINCT transaction_id) FILTER (WHERE errors = '') AS rejected_rows,
+       COUNT(*) FILTER (WHERE errors <> '') AS quarantined_rows, CAST(dt + 1 AS TIMESTAMP) AS recorded_at
+FROM chkrun GROUP BY dt""",
+)
+
+# The retry cycle in closed form: a reject of run k fails at the replays k + 1, k + 2, ... unless its only
+# fault is a day that the replay's as-of day has reached; its fourth failure is its fifth attempt.
+CTE["chkever"] = "\nchkever AS (" + contract_checked("raw2", "2999-01-01") + "\n)"
+CTE["cycle"] = f"""
+cycle AS (
+  SELECT DISTINCT ON (queue_id) * FROM (
+    SELECT {_QUEUE_ID} AS queue_id, transaction_id, CAST(_id % 6 AS INTEGER) AS k, errors,
+           greatest(0, d - DATE '{RETRY_ENQUEUE_AS_OF}') AS ripe
+    FROM chkever WHERE errors <> '' OR d > DATE '{RETRY_ENQUEUE_AS_OF}') c
+  ORDER BY queue_id, k
+)"""
+CTE["cycled"] = """
+cycled AS (
+  SELECT *, CASE WHEN errors = '' AND greatest(ripe, k + 1) <= least(k + 4, 5) THEN -1 ELSE least(k + 4, 5) - k END AS failures
+  FROM cycle
+)"""
+DEPENDS.update({"chkever": ["raw2"], "cycle": ["chkever"], "cycled": ["cycle"]})
+SQL["retry_cycle"] = with_(
+    ["cycled"],
+    """
+SELECT queue_id, transaction_id, CAST(1 + failures AS INTEGER) AS attempt_count,
+       TIMESTAMP '2024-01-20 00:00:00' + to_days(k + CAST(failures AS INTEGER))
+         + CASE WHEN failures = 0 THEN INTERVAL 0 HOUR ELSE to_hours(CAST(pow(2, 1 + failures) AS BIGINT)) END AS eligible_at,
+       CASE WHEN failures = 4 THEN 'dead' ELSE 'queue' END AS place
+FROM cycled WHERE failures >= 0""",
+)
+SQL["schema_history_scan"] = with_(
+    ["f1"],
+    """
+SELECT transaction_id, game, payment_date, price, CASE WHEN year(payment_date) >= 1994 THEN currency END AS currency, status,
+       CASE WHEN year(payment_date) >= 1997 THEN ingest_ts END AS ingest_ts
+FROM f1""",
+)
 
 SQL["dim_currency"] = with_(["f1"], "SELECT DISTINCT currency AS currency_code FROM f1 WHERE currency IS NOT NULL")
 

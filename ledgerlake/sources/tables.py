@@ -1,4 +1,4 @@
-"""Parquet table I/O: scans, partition overwrite, appends, MERGE and erasure sinks.
+"""Parquet table I/O: scans, partition overwrite, appends. ``key_index`` has the MERGE and erasure sinks.
 
 A table is a Parquet directory partitioned by a date column. Writes use dynamic partition
 overwrite, which replaces exactly the partitions present in the written DataFrame; a single
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ledgerlake.operators.merge import DEFAULT_KEYS, erase, merge_upsert
+from ledgerlake.operators.merge import DEFAULT_KEYS
 from ledgerlake.session import shared_dir
 
 PARTITION_COLUMN = "payment_date"
@@ -105,10 +105,8 @@ def with_blooms(writer: DataFrameWriter, columns: Sequence[str]) -> DataFrameWri
     that keeps the rate of false hits; without that every row group of every file holds a megabyte.
     """
     for c in columns:
-        writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
-    if not columns:
-        return writer
-    return writer.option("parquet.bloom.filter.adaptive.enabled", "true").option("parquet.bloom.filter.candidates.number", "12")
+        writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true").option(f"parquet.bloom.filter.candidates.number#{c}", "12")
+    return writer.option("parquet.bloom.filter.adaptive.enabled", "true") if columns else writer
 
 
 def replace_days(df: DataFrame, path: str, days: Sequence, partition_col: str = PARTITION_COLUMN, layout: bool = False) -> None:
@@ -163,106 +161,3 @@ def write_merged(df: DataFrame, path: str, partition_col: str, layout: bool) ->
         df = write_layout(df, partition_col, sort_cols=("game",))
     blooms = [c for c in DEFAULT_KEYS if c in df.columns] if layout else []
     overwrite_partitions(df, path, partition_col, bloom_filter_cols=blooms)
-
-
-def merge_into_table(
-    spark: SparkSession,
-    path: str,
-    source: DataFrame,
-    keys: Sequence[str] = DEFAULT_KEYS,
-    partition_col: str = PARTITION_COLUMN,
-    layout: bool = True,
-    **merge_kwargs,
-) -> list:
-    """MERGE ``source`` into the Parquet table at ``path``, rewriting only touched partitions.
-
-    Touched = partitions holding a target row whose key is in the source (matched rows keep
-    the target's partition value) plus the partitions of the source rows. Finding them reads
-    only the key and partition columns of the target. The first write of a missing table is a
-    plain partitioned write. Returns the rewritten partition values.
-    """
-    # The batch feeds three jobs (touched partitions, merge, first write): compute it once.
-    # Persisted blocks lost with an executor are recomputed from the lineage.
-    src = source.persist()
-    try:
-        if not table_exists(spark, path):
-            if src.isEmpty():
-                return []
-            first = merge_upsert(src.limit(0), src, keys, **merge_kwargs)
-            write_merged(first, path, partition_col, layout)
-            return values_of(src, partition_col)
-        target = spark.read.parquet(path)
-        src_keys = src.select(*keys).where(F.col(keys[0]).isNotNull())
-        hit = target.select(*keys, partition_col).join(src_keys, list(keys), "left_semi")
-        # One job: partitions of matched target rows plus partitions of the batch rows.
-        touched = sorted_values(values_of(hit.select(partition_col).unionByName(src.select(partition_col)), partition_col))
-        if not touched:
-            return []
-        part = target.where(in_partitions(partition_col, touched))
-        merged = merge_upsert(part, src.select(*target.columns), keys, **merge_kwargs)
-        # Dynamic overwrite writes into a staging folder and swaps the partitions in only at
-        # job commit, after every task has finished reading the old files.
-        write_merged(merged, path, partition_col, layout)
-        return touched
-    finally:
-        src.unpersist()
-
-
-def erase_from_table(
-    spark: SparkSession,
-    path: str,
-    ids: DataFrame,
-    keys: Sequence[str] = DEFAULT_KEYS,
-    partition_col: str = PARTITION_COLUMN,
-) -> list:
-    """Delete rows by key and rewrite only the partitions that held them.
-
-    A partition left empty is removed explicitly: dynamic overwrite never writes an empty
-    partition, so its old files would otherwise survive.
-    """
-    target = spark.read.parquet(path)
-    hit = target.select(*keys, partition_col).join(ids.select(*keys).distinct(), list(keys), "left_semi")
-    touched = sorted_values(values_of(hit, partition_col))
-    if not touched:
-        return []
-    kept = erase(target.where(in_partitions(partition_col, touched)), ids, keys).checkpoint(eager=True)
-    survivors = set(values_of(kept, partition_col))
-    emptied = [v if v is not None else "__HIVE_DEFAULT_PARTITION__" for v in touched if v not in survivors]
-    _delete_partition_dirs(spark, path, partition_col, emptied)
-    if survivors:
-        overwrite_partitions(kept, path, partition_col)
-    return touched
-
-
-VERSION_PREFIX = "v="
-
-
-def _version_numbers(spark: SparkSession, base: str) -> list[int]:
-    fs, p = fs_path(spark, base)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(VERSION_PREFIX) and name[len(VERSION_PREFIX):].isdigit():
-            if fs.exists(st.getPath().suffix("/_SUCCESS")):
-                out.append(int(name[len(VERSION_PREFIX):]))
-    return sorted(out)
-
-
-def read_latest_version(spark: SparkSession, base: str, schema: StructType) -> DataFrame:
-    """The newest complete version of a self-rewriting table (typed empty if none)."""
-    versions = _version_numbers(spark, base)
-    if not versions:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{base}/{VERSION_PREFIX}{versions[-1]}")
-
-
-def write_next_version(spark: SparkSession, base: str, df: DataFrame) -> str:
-    """Write ``df`` as the next version of a table that is rebuilt from its own previous
-    version (e.g. the retry queue): never overwrite the folder being read. Readers only see
-    versions whose ``_SUCCESS`` marker exists, so a failed write is invisible."""
-    versions = _version_numbers(spark, base)
-    path = f"{base}/{VERSION_PREFIX}{(versions[-1] + 1) if versions else 0}"
-    df.write.mode("overwrite").parquet(path)
-    return path

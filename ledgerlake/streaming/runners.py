@@ -17,9 +17,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.operators import contract, dq
+from ledgerlake.operators import contract, dq, ops
 from ledgerlake.operators.merge import dedup_latest
-from ledgerlake.sources import bronze, tables
+from ledgerlake.sources import bronze, key_index, tables
 
 
 def upsert_batch(
@@ -29,28 +29,40 @@ def upsert_batch(
     ingest_ts: Column,
     quarantine_path: str | None = None,
     batch_tag: str | None = None,
-) -> None:
-    """Contract split + dedup + MERGE of one batch of bronze lines (``value, dt, run_id``)."""
+    metrics_path: str | None = None,
+    recorded_at="1970-01-01 00:00:00",
+) -> dict:
+    """Contract split + dedup + MERGE of one batch of bronze lines (``value, dt, run_id``).
+
+    Returns its row counts, observed by the jobs that do the work; with ``metrics_path`` they are
+    written as metrics rows of the batch (a repeated batch rewrites its own).
+    """
     spark = batch.sparkSession
-    raw = bronze.parse_lines(batch).persist()
-    try:
-        good, bad = contract.split_contract(raw, as_of, ingest_ts=ingest_ts)
-        good = dedup_latest(good, order_by=("ingest_ts",))
-        dq.assert_silver(good, as_of)
-        tables.merge_into_table(spark, silver_path, good, newer_only="ingest_ts")
-        if quarantine_path is not None:
-            out = bad.select(
-                "record",
-                "errors",
-                F.col("dt").cast("string").alias("dt"),
-                F.lit(batch_tag or "batch").alias("batch"),
-            )
-            # Dynamic overwrite of (dt, batch): replaying the same micro-batch rewrites, not appends.
-            out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-                "dt", "batch"
-            ).json(quarantine_path)
-    finally:
-        raw.unpersist()
+    raw = bronze.parse_lines(batch)
+    good, bad = contract.split_contract(raw, as_of, ingest_ts=ingest_ts)
+    rows = good.select(F.struct(*good.columns).alias("good"), F.lit(None).cast("struct<record:string,errors:array<string>,dt:string>").alias("bad"))
+    out = bad.select(F.struct("record", "errors", F.col("dt").cast("string").alias("dt")).alias("bad"))
+    rows, sides = ops.observed(rows.unionByName(out, allowMissingColumns=True), "sides", good=F.count("good"), bad=F.count("bad"))
+    rows = tables.stored(rows, "micro-batch")
+    unique, kept = ops.observed(dedup_latest(rows.where("good is not null").select("good.*"), order_by=("ingest_ts",)), "unique")
+    unique = tables.stored(unique, "micro-unique")
+    dq.assert_silver(unique, as_of, null_is_bad=True)
+    key_index.merge_indexed(spark, silver_path, unique, newer_only="ingest_ts")
+    tag = batch_tag or "batch"
+    if quarantine_path is not None:
+        # Dynamic overwrite of (dt, batch): replaying the same micro-batch rewrites, not appends.
+        rejected = rows.where("bad is not null").select("bad.*", F.lit(tag).alias("batch"))
+        rejected.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt", "batch").json(quarantine_path)
+    counts = {
+        "input_rows": sides.get["rows"],
+        "output_rows": kept.get["rows"],
+        "rejected_rows": sides.get["good"] - kept.get["rows"],
+        "quarantined_rows": sides.get["bad"],
+    }
+    if metrics_path is not None:
+        row = ops.task_metrics(spark, "bronze_stream", "upsert", tag, str(as_of), **counts, recorded_at=recorded_at)
+        tables.overwrite_partitions(row, metrics_path, "run_id")
+    return counts
 
 
 def run_bronze_stream(
@@ -64,15 +76,21 @@ def run_bronze_stream(
     quarantine_path: str | None = None,
     max_files_per_trigger: int | None = None,
     archive_dir: str | None = None,
+    metrics_path: str | None = None,
+    resend_within: str | None = None,
 ) -> int:
     """Drain all available bronze files into silver (``Trigger.AvailableNow``) and stop.
 
-    Returns the number of micro-batches that carried data.
+    Returns the number of micro-batches that carried data. With ``metrics_path`` every micro-batch writes its
+    counts there; with ``resend_within`` equal lines that arrive again within that time
+    are dropped before the MERGE (``without_resends``); later ones are absorbed by it.
     """
     lines = bronze.stream_bronze(spark, bronze_path, max_files_per_trigger, archive_dir)
+    if resend_within is not None:
+        lines = without_resends(lines, ingest_ts, resend_within)
 
     def on_batch(df: DataFrame, epoch_id: int) -> None:
-        upsert_batch(df, silver_path, as_of, ingest_ts, quarantine_path, batch_tag=f"e{epoch_id:08d}")
+        upsert_batch(df, silver_path, as_of, ingest_ts, quarantine_path, f"e{epoch_id:08d}", metrics_path)
 
     q = (
         lines.writeStream.foreachBatch(on_batch)
@@ -84,6 +102,34 @@ def run_bronze_stream(
     return sum(1 for p in q.recentProgress if p.get("numInputRows", 0) > 0)
 
 
+def without_resends(lines: DataFrame, arrival: Column, within: str, keys: tuple[str, ...] = ("value",)) -> DataFrame:
+    """A stream of lines without the copies of a line that arrive within ``within`` of it.
+
+    State is one entry for each distinct line (by ``keys``, by hash) that the watermark still covers, so it is bounded by the
+    traffic of that time and not by the history. A copy beyond it passes and meets the MERGE, for which
+    an equal row changes nothing. ``arrival`` is the row's arrival time (TIMESTAMP_NTZ).
+    """
+    named = [F.coalesce(F.concat(F.length(k), F.lit(":"), F.col(k)), F.lit("-")) for k in keys]
+    rows = lines.withColumn("_ll_t", ntz_as_utc(arrival)).withColumn("_ll_key", F.unhex(F.sha2(F.concat(*named), 256)))
+    return rows.withWatermark("_ll_t", within).dropDuplicatesWithinWatermark(["_ll_key"]).drop("_ll_t", "_ll_key")
+
+
+def drain(stream: DataFrame, out_path: str, checkpoint_path: str) -> None:
+    """Write everything a stream has now to Parquet, each micro-batch to a folder of its own (a repeated one rewrites it)."""
+
+    def on_batch(df: DataFrame, epoch_id: int) -> None:
+        tables.overwrite_partitions(df.withColumn("epoch", F.lit(epoch_id)), out_path, "epoch")
+
+    stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint_path).trigger(availableNow=True).start().awaitTermination()
+
+
+def rejected_stream(spark: SparkSession, bronze_path: str, as_of, arrival: Column, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Stream of the landed lines that break the contract: ``ts`` (arrival), ``errors``."""
+    lines = bronze.parse_lines(bronze.stream_bronze(spark, bronze_path, max_files_per_trigger))
+    _, bad = contract.split_contract(lines, as_of)
+    return bad.select(arrival.alias("ts"), "errors")
+
+
 def ntz_as_utc(c: Column) -> Column:
     """TIMESTAMP_NTZ wall-clock -> the TIMESTAMP instant with that wall-clock in UTC."""
     c = c.cast("timestamp_ntz")
