@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import math
 import os
 import shutil
 import tempfile
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,17 +48,73 @@ def prepare_workers(spark: SparkSession) -> None:
         spark.conf.set(key, str(ARROW_ROWS))
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, settle: bool = False) -> DataFrame:
     """Write ``df`` as Parquet into the cluster's shared folder and read it back.
 
-    The written table cuts the lineage: executors lost later cost a reread, not a recompute.
+    The written table cuts the lineage: executors lost later cost a reread, not a recompute. Shuffle files
+    behind it are only removed once the driver's JVM has collected the plans that led to them; ``settle``
+    asks for that at once, after a step that shuffled much (compare ``spark.cleaner.periodicGC.interval``).
     """
     spark = df.sparkSession
     path = shared_dir(spark, "llm", name)
     df.write.parquet(path)
+    if settle:
+        gc.collect()
+        spark.sparkContext._jvm.java.lang.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: What a worker process remembers from task to task, by the operator that uses it.
+_memories: list[tuple[str, Callable[[], None]]] = []
+_current: list[str] = []
+
+
+def remembered(owner: str, maxsize: int = 2):
+    """Like ``functools.lru_cache``, for what tasks of one operator share in a worker process."""
+
+    def deco(make):
+        cached = functools.lru_cache(maxsize=maxsize)(make)
+        _memories.append((owner, cached.cache_clear))
+        return cached
+
+    return deco
+
+
+def release() -> None:
+    """Give memory that is free, but held by Arrow's pool or the C library, back to the machine."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: it keeps what it has
+        pass
+
+
+def _enter(owner: str) -> None:
+    if _current != [owner]:
+        for who, clear in _memories:
+            if who != owner:
+                clear()
+        _current[:] = [owner]
+
+
+def worker(owner: str):
+    """For functions over Arrow batches: before a task, forget what other operators' tasks remembered
+    in this process, and release free memory after it. Workers live longer than a query."""
+
+    def deco(run):
+        @functools.wraps(run)
+        def batches_of(batches):
+            _enter(owner)
+            try:
+                yield from run(batches)
+            finally:
+                release()
+
+        return batches_of
+
+    return deco
+
+
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id's decimal text, modulo ``folds``; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(folds)

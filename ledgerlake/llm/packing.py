@@ -11,7 +11,9 @@
    groups, whose sizes give each group its first number.
 
 Null texts count as empty (one piece, the separator alone). Repeated rows are packed each by
-itself. Other columns of the input are ignored.
+itself. An empty table gives no rows; a text of any length is cut whole. Among equally full
+combinations the bitset's first one, of longer pieces, is taken; equal rows of equal length are
+interchangeable. Other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -37,6 +39,7 @@ BATCH_CHARS = 1 << 20
 def _cut(path: str, cap: int, separator: int):
     end = np.array([separator], "<u4").tobytes()
 
+    @common.worker("word_ids")
     def run(batches):
         for batch in batches:
             raw = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]

@@ -70,6 +70,7 @@ def _matrix(batch: pa.RecordBatch) -> np.ndarray:
     return batch.column("x").flatten().to_numpy().reshape(-1, len(FEATURES))
 
 
+@common.worker("quality")
 def _measure(batches):
     for batch in batches:
         _, x = batch_stats(batch)
@@ -87,6 +88,7 @@ def measured(docs: DataFrame) -> DataFrame:
 def _normal_equations(kernel: Kernel):
     upper = np.triu_indices(DIMENSION + 2)
 
+    @common.worker("quality")
     def run(batches):
         total = np.zeros((DIMENSION + 2, DIMENSION + 2))
         for batch in batches:
@@ -99,6 +101,7 @@ def _normal_equations(kernel: Kernel):
 
 
 def _binned(model: Model):
+    @common.worker("quality")
     def run(batches):
         for batch in batches:
             at = np.clip(np.floor((model.raw(_matrix(batch)) + 0.5) / 2 * BINS), 0, BINS - 1).astype(np.int64)
@@ -147,6 +150,7 @@ def fit(stats: DataFrame, labels: DataFrame) -> Model | None:
 
 
 def _scored(model: Model | None):
+    @common.worker("quality")
     def run(batches):
         for batch in batches:
             x = _matrix(batch)
@@ -168,6 +172,7 @@ def keep_good(docs: DataFrame, model: Model | None) -> DataFrame:
     """The rows of ``docs`` (all columns) that the classifier predicts as class 1."""
     common.prepare_workers(docs.sparkSession)
 
+    @common.worker("quality")
     def run(batches):
         for batch in batches:
             _, x = batch_stats(batch)

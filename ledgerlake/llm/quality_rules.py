@@ -130,6 +130,7 @@ def label_means(labels: DataFrame, target: str) -> DataFrame:
     return known.groupBy("doc_id").agg(F.avg(target).alias("y"))
 
 
+@common.worker("quality")
 def _features(batches):
     for batch in batches:
         _, x = batch_stats(batch)
@@ -157,6 +158,7 @@ def verdicts(forest: Forest | None, base: np.ndarray, x: np.ndarray) -> tuple[np
 
 
 def _judge(forest: Forest | None):
+    @common.worker("quality")
     def run(batches):
         for batch in batches:
             base, x = batch_stats(batch)
@@ -183,6 +185,7 @@ def keep_good(docs: DataFrame, forest: Forest | None) -> DataFrame:
     """The rows of ``docs`` (all columns) that are kept."""
     common.prepare_workers(docs.sparkSession)
 
+    @common.worker("quality")
     def run(batches):
         for batch in batches:
             yield batch.filter(pa.array(verdicts(forest, *batch_stats(batch))[2]))

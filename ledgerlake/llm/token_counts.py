@@ -20,7 +20,6 @@ of the input are ignored.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -47,7 +46,7 @@ def _tokens(ids, starts, ends) -> Tokens:
     return np.asarray(ids, np.int64), np.asarray(starts, np.int64), np.asarray(ends, np.int64)
 
 
-@functools.lru_cache(maxsize=4)
+@common.remembered("word_ids")
 def offset_encoder(path: str) -> Encode:
     """Encoder with character offsets for a ``.json`` (tokenizers) or ``.model`` (sentencepiece) file."""
     if path.endswith(".model"):
@@ -122,6 +121,7 @@ def spliced(text: str, encode: Encode, chunk: int = CHUNK_CHARS, overlap: int =
 
 
 def _count(path: str, chunk: int, overlap: int):
+    @common.worker("word_ids")
     def run(batches):
         for batch in batches:
             raw = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]

@@ -9,7 +9,6 @@ not hold encode whole texts with the library.
 
 from __future__ import annotations
 
-import functools
 import json
 import os
 import re
@@ -17,8 +16,11 @@ from collections.abc import Callable
 
 import numpy as np
 
-#: Words a worker remembers in each of two generations; pre-tokens it remembers before it starts anew.
-WORDS, PRETOKENS = 400_000, 300_000
+from ledgerlake.llm import common
+
+#: Words a worker remembers in each of two generations, and their bytes with those of their ids;
+#: pre-tokens it remembers before it starts anew.
+WORDS, WORD_BYTES, PRETOKENS = 400_000, 12_000_000, 200_000
 #: Text bytes handed to the library at once when whole texts are encoded.
 ENCODE_BYTES = 1 << 18
 
@@ -73,6 +75,7 @@ class WordIds:
         self.library = load_tokenizer(path)
         self.by_word = separable(path)
         self.words: dict[bytes, bytes] = {}
+        self.held = 0
         self.older_words: dict[bytes, bytes] = {}
         self.pretokens: dict[str, bytes] = {}
         if self.by_word:
@@ -125,17 +128,18 @@ class WordIds:
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_word:
             return [x for t in texts for x in self._library([t.decode("utf-8", "replace")])]
-        if len(self.words) > WORDS:
-            self.older_words, self.words = self.words, {}
+        if len(self.words) > WORDS or self.held > WORD_BYTES:
+            self.older_words, self.words, self.held = self.words, {}, 0
         cut = [words_of(t) for t in texts]
         new = set().union(*cut).difference(self.words)
         if new:
             self._learn(new)
+            self.held += sum(map(len, new)) + sum(map(len, map(self.words.__getitem__, new)))
         get: Callable[[bytes], bytes] = self.words.__getitem__
         return [b"".join(map(get, words)) for words in cut]
 
 
-@functools.lru_cache(maxsize=4)
+@common.remembered("word_ids")
 def word_ids(path: str) -> WordIds:
     """One instance a worker process and tokenizer, so that tasks share what it remembers."""
     return WordIds(path)
