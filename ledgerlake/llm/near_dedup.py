@@ -25,13 +25,12 @@ one shingle). Two documents are linked if the Jaccard similarity of their sets i
 Components are found by alternating large and small stars on written tables.
 
 Null texts count as empty; all empty texts are one class. Repeated rows each give a row. Null ids
-take part; the class id is the smallest id of the class, null if it has none. Other columns are
-ignored.
+take part; the class id is the smallest id of the class, null if it has none. An empty table gives
+no rows; very long texts are cut one at a time. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
-import functools
 import hashlib
 
 import numpy as np
@@ -41,6 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import common
+from ledgerlake.operators.joins import salted_join
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 32, 6
@@ -48,8 +48,8 @@ REGISTERS = BANDS * ROWS
 ROUNDS = 1
 #: Word hashes a worker remembers at most.
 REMEMBERED = 150_000
-#: Shingles whose signatures are drawn together.
-BATCH_SHINGLES = 50_000
+#: Shingles whose signatures are drawn together; characters of the texts cut into words at once.
+BATCH_SHINGLES, BATCH_CHARS = 50_000, 1 << 19
 
 _M1, _M2, _STEP, _FOLD = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15, 0x100000001B3))
 
@@ -69,7 +69,7 @@ class _WordHashes(dict):
         return h
 
 
-@functools.lru_cache(maxsize=1)
+@common.remembered("near_dedup")
 def _word_hashes() -> _WordHashes:
     return _WordHashes()
 
@@ -153,18 +153,21 @@ def document_keys(sets: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]
     return keys
 
 
-def _words(batch: pa.RecordBatch) -> list[list[str]]:
-    return [t.lower().split() for t in common.texts_of(batch)]
+def _words(text: str) -> list[str]:
+    return text.lower().split()
 
 
+@common.worker("near_dedup")
 def _sign(batches):
     for batch in batches:
-        words = _words(batch)
-        sets = [shingles(w) for w in words]
-        keys = document_keys(sets)
+        texts = common.texts_of(batch)
+        nodes, keys = [], []
+        for some in common.slices(texts, [len(t) for t in texts], BATCH_CHARS):
+            words = [_words(t) for t in some]
+            nodes += map(node_of, words)
+            keys += document_keys([shingles(w) for w in words])
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array([node_of(w) for w in words], pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-            ["doc_id", "node", "bands"],
+            [batch.column("doc_id"), pa.array(nodes, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "node", "bands"]
         )
     _word_hashes().clear()  # a worker keeps nothing between tasks
 
@@ -177,13 +180,16 @@ def signed(docs: DataFrame) -> DataFrame:
     return common.saved(rows, "signatures")
 
 
+@common.worker("near_dedup")
 def _sets(batches):
     for batch in batches:
-        rows = [(w, n) for w, n in zip(_words(batch), batch.column("node").to_pylist()) if node_of(w) == n]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([n for _, n in rows], pa.binary()), pa.array([shingles(w)[0].tobytes() for w, _ in rows], pa.binary())],
-            ["node", "hashes"],
-        )
+        nodes, sets = [], []
+        for text, node in zip(common.texts_of(batch), batch.column("node").to_pylist()):
+            words = _words(text)
+            if node_of(words) == node:
+                nodes.append(node)
+                sets.append(shingles(words)[0].tobytes())
+        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(sets, pa.binary())], ["node", "hashes"])
     _word_hashes().clear()
 
 
@@ -195,6 +201,7 @@ def shingle_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _similar(similarity: float):
+    @common.worker("near_dedup")
     def run(batches):
         for batch in batches:
             left, right = (batch.column(c).to_pylist() for c in ("left", "right"))
@@ -334,9 +341,11 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, rounds: int = ROUND
     links = verified(_rest_pairs(rest, sets, similarity), sets, similarity)
     if not links.isEmpty():
         parts = _grown(parts, links)
-    named = rows.select("doc_id", "node").join(parts, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    # A text of very many copies and a class of very many documents are dealt over several reducers.
+    named = salted_join(rows.select("doc_id", "node"), parts, "node").withColumn("comp", F.coalesce("comp", "node"))
+    named = common.saved(named, "named")
     ids = named.groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("first"))
-    out = named.join(ids, "comp")
+    out = salted_join(named, ids, "comp", how="inner")
     return out.select("doc_id", "node", F.col("first.doc_id").alias("class_id"), F.col("first.node").alias("rep_node"))
 
 
@@ -345,26 +354,36 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     return classes(docs, similarity).select("doc_id", "class_id")
 
 
+def _unused(name: str, columns: list[str]) -> str:
+    """``name``, with underscores before it until no column is called so (letter case aside)."""
+    taken = {c.lower() for c in columns}
+    while name in taken:
+        name = "_" + name
+    return name
+
+
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of ``docs`` (all columns), one for each class: its smallest id."""
+    """The rows of ``docs`` (all columns, whatever their names), one for each class: its smallest id."""
     found = common.saved(classes(docs, similarity), "classes")
     same = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("node") == F.col("rep_node"))
-    firsts = found.where(same).groupBy(F.col("class_id").alias("first_id"), "rep_node").agg(F.count("*").alias("copies"))
+    first, node, copies = (_unused(c, docs.columns) for c in ("first_id", "rep_node", "copies"))
+    firsts = found.where(same).groupBy(F.col("class_id").alias(first), F.col("rep_node").alias(node)).agg(F.count("*").alias(copies))
 
+    @common.worker("near_dedup")
     def own_words(batches):
         for batch in batches:
-            keep = [node_of(w) == n for w, n in zip(_words(batch), batch.column("rep_node").to_pylist())]
+            keep = [node_of(_words(t)) == n for t, n in zip(common.texts_of(batch), batch.column(node).to_pylist())]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     def chosen(firsts: DataFrame) -> DataFrame:
-        rows = docs.join(firsts, F.col("doc_id").eqNullSafe(F.col("first_id"))).select(*docs.columns, "rep_node")
+        rows = docs.join(firsts, F.col("doc_id").eqNullSafe(F.col(first))).select(*docs.columns, node)
         return rows.mapInArrow(own_words, rows.schema)
 
-    rows = chosen(firsts.where("copies = 1"))
-    several = firsts.where("copies > 1")
+    rows = chosen(firsts.where(F.col(copies) == 1))
+    several = firsts.where(F.col(copies) > 1)
     if not several.isEmpty():  # repeated rows: only these are shuffled once more
-        rows = rows.union(chosen(several).dropDuplicates(["doc_id", "rep_node"]))
-    return rows.drop("rep_node")
+        rows = rows.union(chosen(several).dropDuplicates(["doc_id", node]))
+    return rows.drop(node)
 
 
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
