@@ -10,17 +10,18 @@ order of the id's hash. Their ids' crc32 fold (of 4) is never 2.
 
 Null texts and texts without a letter are ``und`` with score 0; so is every text if nothing was
 learned. Languages are the non-null values of ``lang`` found in the training folds. Repeated rows
-each give a row; null ids count as not held out and are not learned from. Other columns are
-ignored.
+each give a row; null ids count as not held out and are not learned from. An empty table gives no
+rows; very long texts are read whole, some segments at a time. Of equally probable languages the
+first by name is taken. Other columns are ignored.
 """
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,7 +34,8 @@ DOCS, ALL_DOCS, PIECES = 300, 20_000, 6
 EPOCHS, BATCH, RATE, CLIP, SEED = 8, 96, 0.02, 1.0, 5
 #: Segments read side by side.
 LANES = 2048
-LETTER = re.compile(r"[^\W\d_]")
+#: Unicode category L: number signs such as ² or Ⅷ are no letters.
+LETTER = regex.compile(r"\p{L}")
 UNKNOWN = "und"
 
 
@@ -236,6 +238,7 @@ class Reader:
 
 
 def _judge(net: Network | None):
+    @common.worker("language")
     def run(batches):
         reader = Reader(net) if net else None
         for batch in batches:
