@@ -5,8 +5,8 @@ prefixes of longer ones. Every conversation gets rolling hashes of its turn pref
 whole hash is a proper prefix hash of a longer conversation is dropped by an anti-join. Equal
 conversations are represented by the one with the smallest id. The rest is rendered.
 
-The rolling hash of the first k turns is the sum of k hashes of (place, role, text), kept in
-``LANES`` lanes of 40 bits, so that a running sum gives it for any place. Places and sums are
+The rolling hash of the first k turns is the sum of k hashes of (place, role, text) modulo 2^40, in
+``LANES`` lanes, so that a running sum gives it for any place. Places and sums are
 built in two steps, within blocks of ``BLOCK`` turns and over the blocks, so a conversation of
 any length is dealt over many groups. Prefix hashes are made distinct before the anti-join, so a
 first turn that many conversations share is one row.
@@ -30,8 +30,14 @@ START, END = "<|im_start|>", "<|im_end|>"
 TOTAL = [f"lane{i}" for i in range(LANES)]
 
 
+def _added(lane: str, window) -> Column:
+    """A running sum modulo 2^40, taken over decimals: no number of turns overflows it."""
+    total = F.sum(F.col(lane).cast("decimal(20,0)")).over(window)
+    return F.pmod(total, F.lit(1 << 40).cast("decimal(20,0)")).cast("long")
+
+
 def _lanes(place: Column, content: Column) -> list[Column]:
-    """40-bit numbers from the hash of a turn at its place; 2^23 of them add up within a long."""
+    """40-bit numbers from the hash of a turn at its place."""
     digest = F.sha2(F.concat_ws("|", place.cast("string"), content), 256)
     return [F.conv(F.substring(digest, 1 + 10 * i, 10), 16, 10).cast("long") for i in range(LANES)]
 
@@ -70,15 +76,15 @@ def turn_prefixes(turns: DataFrame) -> DataFrame:
     lanes = _lanes(F.col("place"), F.col("content"))
     rows = rows.withColumns({c: x for c, x in zip(TOTAL, lanes)})
     running = within.rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumns({c: F.sum(c).over(running) for c in TOTAL})
+    rows = rows.withColumns({c: _added(c, running) for c in TOTAL})
     sums = rows.groupBy("conv", "span").agg(*(F.max(F.struct("place", c))[c].alias(c) for c in TOTAL))
     sums = sums.select(
         F.col("conv").alias("c"),
         F.col("span").alias("s"),
-        *(F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in TOTAL),
+        *(F.coalesce(_added(c, before), F.lit(0)).alias(f"{c}_before") for c in TOTAL),
     )
     rows = rows.join(sums, (F.col("conv") == F.col("c")) & (F.col("span") == F.col("s")))
-    rows = rows.withColumns({c: F.col(c) + F.col(f"{c}_before") for c in TOTAL})
+    rows = rows.withColumns({c: F.pmod(F.col(c) + F.col(f"{c}_before"), F.lit(1 << 40)) for c in TOTAL})
     return rows.select("conv", "turn", "content", "place", "n_turns", *TOTAL)
 
 
