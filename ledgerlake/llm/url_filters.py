@@ -1,19 +1,24 @@
 """URL filters: rules first, gradient-boosted trees on lexical features for the rest (operator 2).
 
-Everything runs as DataFrame and SQL expressions. Features (length, depth, digit ratio, entropy,
-parameter counts, suffix statistics and the like) are cut into at most ``BINS`` bins at the
-approximate quantiles of the labelled URLs, and equal bin vectors are added up once into a
-written table. Each level of each tree is then one aggregation of that table: gradient sums by
-(node, feature, bin), a number of rows that does not depend on the data. The driver picks the
-best splits from them; a tree is a CASE expression over the bins.
-
-Labelled URLs: a URL that a rule decides carries the rule's verdict; of the others, a host with
-one of ``BLOCK_WORDS`` counts as block, any other as allow. Suffix statistics are the smoothed
-block rate and the frequency of the host's last label among all labelled URLs.
+Everything runs as DataFrame and SQL expressions. ``train`` learns from a table of labelled URLs
+(``url, label``). Features (length, depth, digit ratio, entropy, parameter counts, suffix statistics and
+the like) are cut into at most ``BINS`` bins at the approximate quantiles of the training URLs,
+and equal bin vectors are added up once into a written table. Each level of each tree is then one
+aggregation of that table: gradient sums by (node, feature, bin), a number of rows that does not
+depend on the data. The driver picks the best splits from them; of equal gains the first feature and the
+lowest cut win. A tree is a CASE expression over the bins.
+
+A ``FOLDS``-th of the hosts, by their hash, is held out: their URLs enter neither the suffix statistics
+nor the quantiles nor the trees, and ``held_out_counts`` says how their labels and the trees' verdicts
+agree. Suffix statistics are the smoothed block rate and the frequency of the host's last label
+among the training URLs; an unseen suffix has rate 0.5 and frequency 0.
+
+No table labels URLs, so ``op2_url_filters`` trains on ``seeded_labels``: a URL that a rule decides
+carries the rule's verdict; of the others, a host with one of ``BLOCK_WORDS`` counts as block, any other as allow.
 
 A null URL or one without ``://`` has empty host and path, fits no rule and is judged by the
-trees like any other. Repeated rows each give a row. Other columns are ignored. An empty table
-gives no rows.
+trees like any other. Without labelled URLs every score is 0.5 (block). URLs of any length are read whole. Repeated rows each
+give a row. Other columns are ignored. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,6 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import common
+from ledgerlake.operators.joins import salted_join
 
 #: (verdict, host, path); fixed values of the contract.
 RULES = (
@@ -35,6 +41,7 @@ RULES = (
 )
 #: Host words of advertising, gambling, pharmacy and adult sites.
 BLOCK_WORDS = ("adult", "bets", "casino", "loan", "pills", "poker", "porn", "spam", "viagra", "xxx")
+FOLDS, HELD_OUT = 5, 0
 BINS, TREES, DEPTH, RATE, L2, LEAST_ROWS, SMOOTH = 16, 10, 3, 0.5, 1.0, 1.0, 20.0
 FEATURES = (
     "url_chars",
@@ -84,10 +91,10 @@ def _entropy(text: Column) -> Column:
     return F.when(n > 0, bits).otherwise(0.0)
 
 
-def lexical(pages: DataFrame) -> DataFrame:
-    """``page_id, url, host, path, suffix`` and the lexical features, all doubles."""
+def lexical(pages: DataFrame, *keep: str) -> DataFrame:
+    """The columns ``keep``, ``url, host, path, suffix`` and the lexical features, all doubles."""
     host, path = split_url(F.col("url"))
-    rows = pages.select("page_id", "url", host.alias("host"), path.alias("path"))
+    rows = pages.select(*keep, "url", host.alias("host"), path.alias("path"))
     url = F.coalesce("url", F.lit(""))
     query = F.regexp_extract(url, r"(?s)\?([^#]*)", 1)
     named = {
@@ -107,16 +114,21 @@ def lexical(pages: DataFrame) -> DataFrame:
     return rows.select("*", suffix, *(v.cast("double").alias(k) for k, v in named.items()))
 
 
-def with_suffix_statistics(rows: DataFrame, label: Column) -> DataFrame:
-    """Add the smoothed block rate and log frequency of each suffix among the labelled rows."""
-    overall = F.lit(0.5)
-    stats = rows.groupBy("suffix").agg(F.count(label).alias("n"), F.sum(label).alias("blocked"))
-    stats = stats.select(
-        F.col("suffix").alias("of_suffix"),
-        ((F.coalesce("blocked", F.lit(0)) + overall * SMOOTH) / (F.col("n") + SMOOTH)).alias("suffix_block_rate"),
-        F.log1p(F.col("n").cast("double")).alias("suffix_log_rows"),
+def suffix_statistics(rows: DataFrame) -> DataFrame:
+    """The smoothed block rate and log frequency of each suffix among labelled rows (``label`` 1: block)."""
+    stats = rows.groupBy("suffix").agg(F.count("label").alias("n"), F.sum("label").alias("blocked"))
+    return stats.select(
+        "suffix",
+        ((F.coalesce("blocked", F.lit(0)) + 0.5 * SMOOTH) / (F.col("n") + SMOOTH)).alias("rate"),
+        F.log1p(F.col("n").cast("double")).alias("log_rows"),
     )
-    return rows.join(stats, rows["suffix"] == stats["of_suffix"], "left").drop("of_suffix")
+
+
+def with_suffix_statistics(rows: DataFrame, stats: DataFrame) -> DataFrame:
+    # One suffix may hold most URLs: its rows are dealt over several reducers.
+    rows = salted_join(rows, stats, "suffix")
+    known = {"suffix_block_rate": F.coalesce("rate", F.lit(0.5)), "suffix_log_rows": F.coalesce("log_rows", F.lit(0.0))}
+    return rows.withColumns(known).drop("rate", "log_rows")
 
 
 @dataclass(frozen=True)
@@ -209,29 +221,76 @@ def _built(k: int, splits: dict[int, tuple[int, int]], leaves: dict[int, float])
     return Split(*splits[k], _built(2 * k + 1, splits, leaves), _built(2 * k + 2, splits, leaves))
 
 
-def judge_urls(pages: DataFrame, rules=RULES, block_words=BLOCK_WORDS) -> DataFrame:
-    """``page_id, host, path, rule, verdict, block_score`` for every row of ``pages`` (``page_id, url``).
+@dataclass(frozen=True)
+class Model:
+    """What ``train`` learned: bin edges by feature, trees, and the suffixes' statistics (a written table)."""
 
-    ``block_score`` is the trees' probability of block, given for rows with a rule as well.
-    """
-    rows = lexical(pages)
-    rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
+    edges: list[list[float]]
+    forest: list[Split | float]
+    suffixes: DataFrame
+
+    def binned(self, rows: DataFrame) -> DataFrame:
+        """Rows of ``lexical`` with their suffix statistics and the column ``bin_f`` for every feature f."""
+        rows = with_suffix_statistics(rows, self.suffixes)
+        return rows.select("*", *(_bin(F.col(f), e).alias(f"bin_{f}") for f, e in zip(FEATURES, self.edges)))
+
+    def score(self, rows: DataFrame) -> DataFrame:
+        """Add ``block_score``, the trees' probability of block."""
+        margin = sum((tree_expr(t, [F.col(f"bin_{f}") for f in FEATURES]) for t in self.forest), F.lit(0.0))
+        return self.binned(rows).withColumn("block_score", F.lit(1.0) / (F.lit(1.0) + F.exp(-margin)))
+
+
+def _held_out(host: Column) -> Column:
+    return F.crc32(host.cast("binary")) % FOLDS == HELD_OUT
+
+
+def _labelled(labels: DataFrame) -> DataFrame:
+    """Features and ``label`` 1 or 0 of labelled URLs; other labels are ignored."""
+    rows = lexical(labels.where(F.col("label").isin("block", "allow")), "label")
+    return rows.withColumn("label", (F.col("label") == "block").cast("int"))
+
+
+def seeded_labels(pages: DataFrame, rules=RULES, block_words=BLOCK_WORDS) -> DataFrame:
+    """``url, label`` of every page: the rules' verdict, else block for hosts with a listed word."""
+    host, path = split_url(F.col("url"))
+    rows = pages.select("url", host.alias("host"), path.alias("path"))
+    _, verdict = rule_of(F.col("host"), F.col("path"), rules)
     seeded = F.when(F.col("host").rlike("|".join(block_words)), "block").otherwise("allow")
-    rows = rows.drop("url").withColumns({"rule": rule, "ruled": verdict})
-    label = (F.coalesce("ruled", seeded) == "block").cast("int")
-    rows = rows.withColumn("label", label)
-    rows = common.saved(with_suffix_statistics(rows, F.col("label")), "url_features")
+    return rows.select("url", F.coalesce(verdict, seeded).alias("label"))
+
+
+def train(labels: DataFrame, trees: int = TREES, depth: int = DEPTH) -> Model:
+    """Learn from ``url, label`` (block or allow) of the hosts that are not held out."""
+    rows = common.saved(_labelled(labels).where(~_held_out(F.col("host"))).drop("url", "path"), "url_labels")
+    suffixes = common.saved(suffix_statistics(rows), "url_suffixes")
+    rows = with_suffix_statistics(rows, suffixes)
     shares = [k / BINS for k in range(1, BINS)]
     quantiles = rows.agg(*(F.percentile_approx(f, shares, 1000) for f in FEATURES)).first()
     edges = [sorted(set(q or [])) for q in quantiles]
     bins = [F.col(f"bin_{f}") for f in FEATURES]
-    binned = rows.select("*", *(_bin(F.col(f), e).alias(f"bin_{f}") for f, e in zip(FEATURES, edges)))
+    binned = rows.select("label", *(_bin(F.col(f), e).alias(f"bin_{f}") for f, e in zip(FEATURES, edges)))
     table = binned.groupBy(*bins).agg(F.count("*").alias("n"), F.sum("label").alias("y"))
-    forest = boost(common.saved(table, "url_bins"), bins)
-    margin = sum((tree_expr(t, bins) for t in forest), F.lit(0.0))
-    scored = binned.withColumn("block_score", F.lit(1.0) / (F.lit(1.0) + F.exp(-margin)))
-    verdict = F.coalesce("ruled", F.when(F.col("block_score") >= 0.5, "block").otherwise("allow"))
-    return scored.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "block_score")
+    return Model(edges, boost(common.saved(table, "url_bins"), bins, trees, depth), suffixes)
+
+
+def held_out_counts(labels: DataFrame, model: Model) -> DataFrame:
+    """``label, verdict, n`` of the URLs of held-out hosts: at most four rows."""
+    rows = model.score(_labelled(labels).where(_held_out(F.col("host"))))
+    named = [F.when(c, "block").otherwise("allow").alias(k) for k, c in (("label", F.col("label") == 1), ("verdict", F.col("block_score") >= 0.5))]
+    return rows.select(*named).groupBy("label", "verdict").agg(F.count("*").alias("n"))
+
+
+def judge_urls(pages: DataFrame, rules=RULES, block_words=BLOCK_WORDS, labels: DataFrame | None = None) -> DataFrame:
+    """``page_id, host, path, rule, verdict, block_score`` for every row of ``pages`` (``page_id, url``).
+
+    The trees are trained on ``labels`` (``url, label``), by default ``seeded_labels`` of the pages.
+    ``block_score`` is given for rows with a rule as well.
+    """
+    model = train(labels if labels is not None else seeded_labels(pages, rules, block_words))
+    scored = model.score(lexical(pages, "page_id"))
+    rule, ruled = rule_of(F.col("host"), F.col("path"), rules)
+    verdict = F.coalesce(ruled, F.when(F.col("block_score") >= 0.5, "block").otherwise("allow"))
+    return scored.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("verdict"), "block_score")
 
 
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Fingerprints, quality operators, near-dedup, language identification, URL filters, chats, pipeline."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -342,7 +343,45 @@ def test_near_dedup_of_odd_rows(spark, odd):
     assert near_dedup.near_duplicates(odd.limit(0)).count() == 0 and near_dedup.keep_one(odd.limit(0)).count() == 0
 
 
+def test_near_dedup_of_documents_with_clashing_columns(spark):
+    text = "one two three four five six seven"
+    names = ("node", "bands", "rep_node", "_rep_node", "first_id", "FIRST_ID2", "copies", "class_id", "comp", "h", "key")
+    docs = spark.createDataFrame([(3, text), (1, text), (1, text), (2, "else")], "doc_id long, text string")
+    docs = docs.select("*", *(F.lit(n).alias(n) for n in names))
+    kept = near_dedup.keep_one(docs)
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [1, 2]
+    assert {r["rep_node"] for r in kept.collect()} == {"rep_node"}
+    assert near_dedup.near_duplicates(docs).count() == 4
+
+
+def test_recall_by_band_of_similarity(spark):
+    """Planted near copies of known similarity: those of 0.8 or more are found, whatever their distance from it."""
+    rng = np.random.default_rng(21)
+    rows, pairs = [], []
+    for k in range(240):
+        words = [f"p{k}_{j}" for j in range(150)]
+        other = list(words)
+        for j in rng.choice(150, rng.integers(1, 5), replace=False):
+            other[j] = f"q{k}_{j}"
+        sets = [frozenset(tuple(w[i : i + 5]) for i in range(146)) for w in (words, other)]
+        pairs.append(len(sets[0] & sets[1]) / len(sets[0] | sets[1]))
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for low, high in ((0.8, 0.85), (0.85, 0.9), (0.9, 1.01)):
+        inside = [k for k, s in enumerate(pairs) if low <= s < high]
+        assert len(inside) >= 20 and np.mean([got[2 * k + 1] == 2 * k for k in inside]) >= 0.9
+    assert all(got[2 * k + 1] == 2 * k + 1 for k, s in enumerate(pairs) if s < 0.8)
+
+
 # --- language identification ----------------------------------------------------------------------
+def test_number_signs_are_no_letters(spark):
+    texts = ["² ½ ①", "Ⅷ", "12_3", "a", "日", "ª"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["lang_pred"] for r in language_id.identify(docs, None).collect()}
+    assert got == dict.fromkeys(range(len(texts)), "und")  # nothing learned
+    assert [bool(language_id.LETTER.search(t)) for t in texts] == [False, False, False, True, True, True]
+
+
 def test_gradients_are_right(monkeypatch):
     net = language_id.Network.drawn(["a", "b", "c"])
     rng = np.random.default_rng(0)
@@ -429,6 +468,86 @@ def test_boosting_against_python(spark):
     assert (forest[0].feature, forest[0].cut) == (1, 3) and forest[0].low < 0 < forest[0].high
 
 
+def boosted_by_hand(rows, features, trees, depth):
+    """The same greedy trees in plain Python: rows of (bins, label); returns each row's margin."""
+    margin = [0.0] * len(rows)
+    for _ in range(trees):
+        p = [1 / (1 + math.exp(-m)) for m in margin]
+        stack, add = [(0, range(len(rows)))], [0.0] * len(rows)
+        while stack:
+            level, some = stack.pop()
+            g = [p[i] - rows[i][1] for i in some]
+            h = [p[i] * (1 - p[i]) for i in some]
+            best = None
+            for f in range(features):
+                cuts = sorted({rows[i][0][f] for i in some})[:-1]
+                for cut in cuts:
+                    low = [k for k, i in enumerate(some) if rows[i][0][f] <= cut]
+                    if min(len(low), len(some) - len(low)) < url_filters.LEAST_ROWS:
+                        continue
+                    gl, hl = sum(g[k] for k in low), sum(h[k] for k in low)
+                    gain = gl**2 / (hl + 1) + (sum(g) - gl) ** 2 / (sum(h) - hl + 1) - sum(g) ** 2 / (sum(h) + 1)
+                    if gain > 1e-6 and (best is None or gain > best[0] + 1e-9):
+                        best = gain, f, cut
+            if best and level < depth:
+                for side in (True, False):
+                    stack.append((level + 1, [i for i in some if (rows[i][0][best[1]] <= best[2]) == side]))
+            else:
+                for i in some:
+                    add[i] = -url_filters.RATE * sum(g) / (sum(h) + 1)
+        margin = [m + a for m, a in zip(margin, add)]
+    return margin
+
+
+def test_a_forest_equals_plain_python(spark):
+    rng = np.random.default_rng(12)
+    bins = rng.integers(0, 5, (160, 3))
+    label = ((bins[:, 0] > 2) ^ (bins[:, 1] > 1) | (rng.random(160) < 0.1)).astype(int)
+    rows = [(tuple(map(int, b)), int(y)) for b, y in zip(bins, label)]
+    table = spark.createDataFrame([(*b, y) for b, y in rows], "a int, b int, c int, y long").withColumn("n", F.lit(1))
+    columns = [F.col(c) for c in "abc"]
+    forest = url_filters.boost(table, columns, trees=3, depth=3)
+    margin = sum((url_filters.tree_expr(t, columns) for t in forest), F.lit(0.0))
+    got = sorted((r["a"], r["b"], r["c"], r["m"]) for r in table.select("a", "b", "c", margin.alias("m")).collect())
+    want = sorted((*b, m) for (b, _), m in zip(rows, boosted_by_hand(rows, 3, 3, 3)))
+    assert np.allclose(np.array(got), np.array(want))
+
+
+def test_lexical_features_against_python(spark):
+    urls = ["http://a-1.Example.com/x//y9/?q=1&r=&s#f", "https://bb.org", None, "http://x.y/" + "z" * 50_000 + "?" + "a=1&" * 9_000]
+    rows = spark.createDataFrame([(u,) for u in urls], "url string")
+    got = {r["url"]: r for r in url_filters.lexical(rows).collect()}
+    for u in urls:
+        host, path, _ = rule_by_hand(u)
+        query = re.search(r"\?([^#]*)", u or "")
+        query = query.group(1) if query else ""
+        shares = [host.count(c) / len(host) for c in set(host)]
+        want = {
+            "url_chars": len(u or ""), "host_chars": len(host), "path_chars": len(path), "host_depth": host.count("."),
+            "path_depth": len([x for x in path.split("/") if x]), "digit_ratio": sum(c.isdigit() for c in u or "") / max(1, len(u or "")),
+            "host_digits": sum(c.isdigit() for c in host), "host_hyphens": host.count("-"), "host_entropy": -sum(s * math.log2(s) for s in shares),
+            "n_params": query.count("&") + 1 if query else 0, "query_chars": len(query),
+        }
+        for name, value in want.items():
+            assert abs(got[u][name] - value) < 1e-9, (u and u[:60], name)
+
+
+def test_labels_are_an_input_and_held_out_hosts_teach_nothing(spark):
+    pages = spark.read.parquet(f"{SF_MID}/pages.parquet").select("page_id", "url")
+    host, _ = url_filters.split_url(F.col("url"))
+    digits = F.length(F.regexp_replace(host, "[^0-9]", "")) > 0
+    labels = pages.select("url", F.when(digits, "block").otherwise("allow").alias("label"))
+    model = url_filters.train(labels)
+    counts = {(r["label"], r["verdict"]): r["n"] for r in url_filters.held_out_counts(labels, model).collect()}
+    right = sum(n for (a, b), n in counts.items() if a == b)
+    assert sum(counts.values()) > 20 and right >= 0.95 * sum(counts.values())
+    # Turned labels of held-out hosts change nothing that was learned.
+    turned = F.when(url_filters._held_out(host), F.when(F.col("label") == "block", "allow").otherwise("block")).otherwise(F.col("label"))
+    again = url_filters.train(labels.withColumn("label", turned))
+    assert again.forest == model.forest and again.edges == model.edges
+    assert sorted(map(tuple, again.suffixes.collect())) == sorted(map(tuple, model.suffixes.collect()))
+
+
 def test_urls_of_odd_rows(spark):
     urls = [None, "", "nourl", "http://A.B.NET", "http://A.B.NET/x", "://", "http://x.example.net/en/1?q=://a/", "h://[::1]:80/é#f", "http://é.ORG/fr/", "http://org/fr/"]
     rows = spark.createDataFrame([(i, u, "x") for i, u in enumerate([*urls, urls[4]])], "page_id long, url string, host string")
@@ -472,6 +591,14 @@ def test_snapshots_collapse_across_blocks(spark):
     assert chat_snapshots.format_conversations(df.limit(0)).count() == 0
 
 
+def test_lanes_of_many_turns_without_ids(spark):
+    """Rows without an id or a turn are one conversation; its running sums stay below 2^40."""
+    rows = spark.range(3000).select(F.lit(None).cast("long").alias("conv_id"), F.lit(None).cast("long").alias("turn"), F.lit("u").alias("role"), F.col("id").cast("string").alias("text"))
+    got = chat_snapshots.turn_prefixes(rows)
+    low, high = got.agg(F.min(F.least(*chat_snapshots.TOTAL)), F.max(F.greatest(*chat_snapshots.TOTAL))).first()
+    assert got.count() == 3000 and 0 <= low and high < 1 << 40
+
+
 # --- pipeline -------------------------------------------------------------------------------------
 def test_pipeline_stage_by_stage(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
