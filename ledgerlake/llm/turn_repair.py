@@ -34,6 +34,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -208,61 +209,101 @@ def ordered(rows: DataFrame) -> DataFrame:
     return common.saved(rows, "ordered")
 
 
-def _search(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """One block's best paths between all states, and its border roles."""
-    table = table.sort_by("at")
-    initials = table.column("initial").to_pylist()
-    faults = ["x" if f in "bd" else f for f in table.column("fault").to_pylist()]
-    paths = block_paths(tuple(i + f for i, f in zip(initials, faults)))
-    flat = [p for row in paths for p in row]
-    illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:]))
-    return pa.table(
-        {
-            "conv_id": table.column("conv_id").slice(0, 1),
-            "block": pa.array([key[-1].as_py()], pa.int64()),
-            "costs": pa.array([[None if p is None else p[0] for p in flat]], pa.list_(pa.int64())),
-            "audits": pa.array([[None if p is None else p[1] for p in flat]], pa.list_(pa.string())),
-            "first": [initials[0]],
-            "last": [initials[-1]],
-            "illegal": pa.array([illegal], pa.int64()),
-        }
-    )
+_BLOCKS = "block long, costs array<long>, audits array<string>, first string, last string, illegal long"
+_EDITS = "block long, edits string, illegal long, cost long, audit string"
 
 
-def _join(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """One conversation: a row for each block with its edits; the first has the totals too."""
-    table = table.sort_by("block")
-    tables = []
-    for costs, audits in zip(table.column("costs").to_pylist(), table.column("audits").to_pylist()):
-        flat = [None if c is None else (c, a) for c, a in zip(costs, audits)]
-        tables.append([flat[4 * s : 4 * s + 4] for s in range(4)])
-    cost, audits = join_blocks(tables)
-    first, last = table.column("first").to_pylist(), table.column("last").to_pylist()
-    illegal = sum(table.column("illegal").to_pylist()) + sum(a + b not in ("su", "ua", "au") for a, b in zip(last, first[1:]))
-    rest = [None] * (len(audits) - 1)
-    return pa.table(
-        {
-            "conv_id": table.column("conv_id"),
-            "block": table.column("block"),
-            "edits": pa.array(audits, pa.string()),
-            "illegal": pa.array([illegal, *rest], pa.int64()),
-            "cost": pa.array([cost, *rest], pa.int64()),
-            "audit": pa.array(["".join(audits), *rest], pa.string()),
-        }
-    )
+def _illegal(initials: list[str], others: list[str]) -> int:
+    """Neighbours that no conversation may have."""
+    return sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, others))
+
+
+def _runs(batches, keys: tuple[str, ...], columns: tuple[str, ...]):
+    """Runs of rows with equal keys, as (keys, columns' lists); rows come sorted. Only one run is held."""
+    here, held = None, None
+    for batch in batches:
+        for key, *row in zip(zip(*(batch.column(k).to_pylist() for k in keys)), *(batch.column(c).to_pylist() for c in columns)):
+            if key != here or held is None:
+                if held is not None:
+                    yield here, held
+                here, held = key, [[] for _ in columns]
+            for values, v in zip(held, row):
+                values.append(v)
+    if held is not None:
+        yield here, held
+
+
+def _rows_out(found, kinds: list[pa.Field], size: int = 4096):
+    """Record batches of some rows each."""
+    schema, held = pa.schema(kinds), []
+    for row in found:
+        held.append(row)
+        if len(held) >= size:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+            held = []
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+
+
+def _peeked(batches):
+    """The type of ``conv_id`` (None without rows) and the batches."""
+    first = next(iter(batches), None)
+    return (None, ()) if first is None else (first.schema.field("conv_id"), itertools.chain([first], batches))
+
+
+def _search(batches):
+    """Every block's best paths between all states, and its border roles."""
+    conv, batches = _peeked(iter(batches))
+    if conv is None:
+        return
+
+    def found():
+        for (c, b), (initials, faults) in _runs(batches, ("conv_id", "block"), ("initial", "fault")):
+            paths = block_paths(tuple(i + ("x" if f in "bd" else f) for i, f in zip(initials, faults)))
+            flat = [p for row in paths for p in row]
+            costs, audits = [p and p[0] for p in flat], [p and p[1] for p in flat]
+            yield c, b, costs, audits, initials[0], initials[-1], _illegal(initials, initials[1:])
+
+    text, number = pa.string(), pa.int64()
+    kinds = [("block", number), ("costs", pa.list_(number)), ("audits", pa.list_(text)), ("first", text), ("last", text), ("illegal", number)]
+    yield from _rows_out(found(), [conv, *(pa.field(*k) for k in kinds)])
+
+
+def _join(batches):
+    """Every conversation: a row for each block with its edits; the first has the totals too."""
+    conv, batches = _peeked(iter(batches))
+    if conv is None:
+        return
+
+    def found():
+        columns = ("block", "costs", "audits", "first", "last", "illegal")
+        for (c,), (blocks, costs, audits, first, last, illegal) in _runs(batches, ("conv_id",), columns):
+            tables = []
+            for cs, texts in zip(costs, audits):
+                flat = [None if x is None else (x, a) for x, a in zip(cs, texts)]
+                tables.append([flat[4 * s : 4 * s + 4] for s in range(4)])
+            cost, parts = join_blocks(tables)
+            totals = (sum(illegal) + _illegal(last, first[1:]), cost, "".join(parts))
+            for b, part in zip(blocks, parts):
+                yield c, b, part, *totals
+                totals = (None, None, None)
+
+    text, number = pa.string(), pa.int64()
+    kinds = [("block", number), ("edits", text), ("illegal", number), ("cost", number), ("audit", text)]
+    yield from _rows_out(found(), [conv, *(pa.field(*k) for k in kinds)])
 
 
 def edits(rows: DataFrame) -> DataFrame:
-    """``conv_id, block, edits, illegal, cost, audit`` for every block of ``ordered`` rows (written table)."""
+    """``conv_id, block, edits, illegal, cost, audit`` for every block of ``ordered`` rows (written table).
+
+    Blocks are dealt over the tasks by conversation and place, so a long conversation is searched by many.
+    """
     kind = rows.schema["conv_id"].dataType.simpleString()
     light = rows.select("conv_id", "block", "at", "fault", F.substring("role", 1, 1).alias("initial"))
-    blocks = light.groupBy("conv_id", "block").applyInArrow(
-        _search, f"conv_id {kind}, block long, costs array<long>, audits array<string>, first string, last string, illegal long"
-    )
-    found = blocks.groupBy("conv_id").applyInArrow(
-        _join, f"conv_id {kind}, block long, edits string, illegal long, cost long, audit string"
-    )
-    return common.saved(found, "edits")
+    light = light.repartition("conv_id", "block").sortWithinPartitions("conv_id", "block", "at")
+    blocks = light.mapInArrow(_search, f"conv_id {kind}, {_BLOCKS}")
+    blocks = blocks.repartition("conv_id").sortWithinPartitions("conv_id", "block")
+    return common.saved(blocks.mapInArrow(_join, f"conv_id {kind}, {_EDITS}"), "edits")
 
 
 class _Writer:
