@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import common
+from ledgerlake.operators.joins import salted_join
 
 MIN_DOCS, TOP = 10, 10
 SCALE = 1_000_000_000
@@ -58,6 +59,7 @@ def terms_of(text: bytes) -> list[bytes]:
 COUNTED = "lang string, source string, term binary, n long, docs long"
 
 
+@common.worker("divergence")
 def _count(batches):
     held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
 
@@ -273,7 +275,8 @@ def tiles(counts: DataFrame, min_docs: int = MIN_DOCS, rows: int = ROWS, columns
     langs = langs.withColumn("n_cb", _blocks(F.col("v"), columns))
     cb = F.pmod(F.xxhash64("term"), F.col("n_cb"))
     place = F.row_number().over(Window.partitionBy("lang", "cb").orderBy(F.desc("docs"), "term"))
-    placed = kept.join(langs.select("lang", "n_cb"), "lang").withColumn("cb", cb).withColumn("col", place).drop("docs", "n_cb")
+    # A language may hold most terms: they are dealt over several reducers, then over the blocks.
+    placed = salted_join(kept, langs.select("lang", "n_cb"), "lang", how="inner").withColumn("cb", cb).withColumn("col", place).drop("docs", "n_cb")
     placed = common.saved(placed, "columns")
     cells = terms.select("lang", "source", "term", "n").join(placed, ["lang", "term"])
     cells = common.saved(cells, "cells")
