@@ -8,7 +8,8 @@ connected components of all links. Shingles are 64-bit hashes; equal sets (by 12
    fullest ``HOT`` counters of all tasks together say which shingles are frequent. Every set is ordered by (counter, hash):
    any common order is exact, this one puts passages of many documents last.
 2. *Live nodes.* In that order two sets that link share a shingle among their first
-   ``n - ceil(0.8 n) + 1``. Only nodes that share such a shingle with another node go on.
+   ``n - ceil(0.8 n) + 1``, and k of them among the first ``n - ceil(0.8 n) + k``; k grows with the
+   size up to ``MOST_HEADS``. Only nodes that share so many with other nodes go on (one common passage is too little).
 3. *Groups.* Live nodes with the same smallest hash are a group; larger ones are dealt, by a hash of
    the node, over groups of about ``GROUP`` nodes. Links inside a group are found in one task.
    Then each component of a group is compared with the most central member of the groups that share a
@@ -16,7 +17,8 @@ connected components of all links. Shingles are 64-bit hashes; equal sets (by 12
 4. *Matrix.* For every (shingle, group): the largest number of shingles that a member has from this one
    on, the members' sizes and components. A node asks the groups that share one of its
    first shingles, can still hold the overlap that the sizes call for, and have a member of
-   another component (pairs are asked once, from the smaller component number). So nodes of one component never meet.
+   another component (pairs are asked once, from the smaller component), if it shares k of them with the
+   group. So nodes of one component never meet.
 5. *Opening.* Each group asked for is brought together with its queries once; a group of many queries is
    copied for every ``QUERIES`` of them. The overlap of the query with the union of the group's shingles
    bounds its overlap with any member. Only groups for which that bound suffices are opened: the
@@ -32,12 +34,10 @@ empty table gives no rows. Very long texts are cut whole. Other columns are igno
 
 from __future__ import annotations
 
-import functools
 import hashlib
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,63 +48,146 @@ from ledgerlake.operators.joins import salted_join
 WORDS = 5
 #: Sets link when ``ALL * common >= SHARE * union``.
 SHARE, ALL = 80, 100
-BUCKETS, TASK_HOT, HOT = 1 << 22, 4096, 1 << 16
+BUCKETS, TASK_HOT, HOT = 1 << 20, 4096, 1 << 16
+#: See ``common_heads``.
+MOST_HEADS, HEAD_STEP = 16, 16
 SKETCHES = 4
 GROUP, GROUP_SHINGLES, QUERIES = 32, 1 << 16, 256
-#: Word hashes a worker remembers at most.
-REMEMBERED = 150_000
+#: Bytes of texts hashed at once; a longer text is hashed so many bytes at a time.
+CHUNK = 1 << 20
+
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+#: A number for every byte; capitals have their small letter's, white space has 0.
+_BYTE = mix((np.arange(256, dtype=np.uint64) + np.uint64(1)) * _STEP)
+_BYTE[65:91] = _BYTE[97:123]
+_BYTE[_SPACE] = 0
+#: Odd multipliers of a word by its place in a shingle.
+_PLACE = mix(np.arange(11, 11 + WORDS, dtype=np.uint64)) | np.uint64(1)
+
+
+@common.remembered("shingle_join")
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number modulo 2^64, and of its inverse."""
+    out = []
+    for base in (int(_STEP), pow(int(_STEP), -1, 1 << 64)):
+        steps = np.full(CHUNK, base, np.uint64)
+        steps[0] = 1
+        out.append(np.cumprod(steps, dtype=np.uint64))
+    return out[0], out[1]
+
+
+def word_hashes(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and first byte of every word of UTF-8 bytes.
+
+    A word's bytes are the coefficients of a polynomial modulo 2^64. Running sums give it for
+    every word of a chunk at once; a word that a chunk's end cuts is put together from its parts.
+    """
+    power, inverse = _powers()
+    hashes, places = [], []
+    cut: tuple[int, int, int] | None = None  # hash, length and start of a word that goes on
+    for at in range(0, len(raw), CHUNK):
+        part = raw[at : at + CHUNK]
+        inside = ~_SPACE[part]
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(_BYTE[part] * power[: len(part)], out=sums[1:])
+        edges = np.flatnonzero(np.diff(inside.view(np.int8), prepend=np.int8(0), append=np.int8(0)))
+        starts, ends = edges[::2], edges[1::2]
+        h = (sums[ends] - sums[starts]) * inverse[starts]
+        size = (ends - starts).astype(np.uint64)
+        starts = starts + at
+        if cut is not None:
+            if inside[0]:
+                more = pow(int(_STEP), cut[1], 1 << 64) * int(h[0]) + cut[0]
+                h[0], size[0], starts[0] = more % (1 << 64), cut[1] + int(size[0]), cut[2]
+            else:
+                h, size, starts = (np.insert(x, 0, c) for x, c in zip((h, size, starts), cut))
+            cut = None
+        if inside[-1] and at + CHUNK < len(raw):
+            cut = (int(h[-1]), int(size[-1]), int(starts[-1]))
+            h, size, starts = h[:-1], size[:-1], starts[:-1]
+        hashes.append(mix(h + size * _STEP))
+        places.append(starts)
+    if not hashes:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    return np.concatenate(hashes), np.concatenate(places)
+
+
+def _together(texts: list[bytes]) -> list[np.ndarray]:
+    """The shingle sets of some texts, hashed as one run of bytes."""
+    raw = np.frombuffer(b"\n".join(texts), np.uint8)
+    hashes, places = word_hashes(raw)
+    firsts = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    of = np.searchsorted(firsts, places, "right") - 1
+    n_words = np.bincount(of, minlength=len(texts))[: len(texts)]
+    out, owner = np.empty(0, np.uint64), np.empty(0, np.int64)
+    if len(hashes) >= WORDS:
+        n = len(hashes) - WORDS + 1
+        total = np.full(n, WORDS, np.uint64)
+        for k, factor in enumerate(_PLACE):
+            total += hashes[k : k + n] * factor
+        whole = of[:n] == of[WORDS - 1 :]
+        out, owner = mix(total[whole]), of[:n][whole]
+    ends = np.cumsum(np.bincount(owner, minlength=len(texts)))
+    starts = ends - np.bincount(owner, minlength=len(texts))
+    sets = []
+    word_ends = np.cumsum(n_words)
+    for i, (a, b) in enumerate(zip(starts.tolist(), ends.tolist())):
+        if b > a:
+            some = np.sort(out[a:b])
+            new = np.empty(len(some), bool)
+            new[0] = True
+            np.not_equal(some[1:], some[:-1], out=new[1:])
+            sets.append(some if new.all() else some[new])
+        elif n_words[i]:  # fewer words than a shingle: all of them are one
+            own = hashes[word_ends[i] - n_words[i] : word_ends[i]]
+            sets.append(mix((own * _PLACE[: len(own)]).sum(dtype=np.uint64, keepdims=True) + np.uint64(len(own))))
+        else:
+            sets.append(np.empty(0, np.uint64))
+    return sets
+
+
+def shingle_sets(texts: list[bytes | None]) -> list[np.ndarray]:
+    """Sorted distinct shingle hashes of every text."""
+    raw = [t or b"" for t in texts]
+    return [s for some in common.slices(raw, [len(t) + 1 for t in raw], CHUNK) for s in _together(some)]
 
-_FOLD, _STEP = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
 
+def digest(shingles: np.ndarray) -> bytes:
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > REMEMBERED:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
 
+def least_overlap(n):
+    """The overlap that any link of a set of ``n`` has at least, and so the least size of what it links with."""
+    return -(-SHARE * n // ALL)
 
-@functools.lru_cache(maxsize=1)
-def _word_hashes() -> _WordHashes:
-    return _WordHashes()
 
+def common_heads(n):
+    """How many first shingles two linked sets share at least, if the smaller one has ``n``: 1 for small sets, then more."""
+    return min(MOST_HEADS, 1 + n // HEAD_STEP)
 
-def shingle_set(text: bytes | None) -> np.ndarray:
-    """Sorted distinct shingle hashes of a UTF-8 text."""
-    words = text.lower().split() if text else []
-    if not words:
-        return np.empty(0, np.uint64)
-    size = min(WORDS, len(words))
-    hashes = np.fromiter(map(_word_hashes().__getitem__, words), np.uint64, len(words))
-    n = len(words) - size + 1
-    out = np.full(n, size, np.uint64)
-    for k in range(size):
-        out = mix(out * _FOLD + hashes[k : k + n])
-    return np.unique(out)
 
+def head_size(n: int) -> int:
+    """First shingles of a set of ``n`` that are looked at.
 
-def digest(shingles: np.ndarray) -> bytes:
-    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
-
-
-def least_overlap(n):
-    """The smallest overlap with a set of at least the size ``n`` that a link of a set of ``n`` needs."""
-    return -(-SHARE * n // ALL)
+    Two sets that share ``o`` shingles share ``k`` of them among the first ``n - o + k`` of either, for every ``k`` up to ``o``.
+    """
+    return n - least_overlap(n) + common_heads(n)
 
 
 # --- 1. order -----------------------------------------------------------------------------------
 def _bucket(shingles: np.ndarray) -> np.ndarray:
-    return (shingles >> np.uint64(42)).astype(np.int64)  # the top bits: log2(BUCKETS) = 22
+    return (shingles >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64)
 
 
+@common.worker("shingle_join")
 def _measure(batches):
-    counters = np.zeros(BUCKETS, np.int32)
+    counters = np.zeros(BUCKETS, np.int64)
     schema = None
     for batch in batches:
-        sets = [shingle_set(t) for t in batch.column("text").to_pylist()]
-        for some in common.slices(sets, [len(s) for s in sets], 1 << 20):
-            np.add.at(counters, _bucket(np.concatenate(some)), 1)
+        sets = shingle_sets(batch.column("text").to_pylist())
+        for some in common.slices(sets, [len(s) for s in sets], 1 << 18):
+            counters += np.bincount(_bucket(np.concatenate(some)), minlength=BUCKETS)
         out = pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
@@ -121,9 +204,8 @@ def _measure(batches):
         top = np.argpartition(counters, -TASK_HOT)[-TASK_HOT:]
         top = top[counters[top] > 1].astype(np.int32)
         row = [pa.nulls(1, schema.field(0).type), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64())]
-        row += [pa.array([top], pa.list_(pa.int32())), pa.array([counters[top]], pa.list_(pa.int32()))]
+        row += [pa.array([top], pa.list_(pa.int32())), pa.array([counters[top].clip(max=2**31 - 1)], pa.list_(pa.int32()))]
         yield pa.RecordBatch.from_arrays(row, schema=schema)
-    _word_hashes().clear()
 
 
 def measured(docs: DataFrame) -> tuple[DataFrame, tuple[np.ndarray, np.ndarray]]:
@@ -138,21 +220,19 @@ def measured(docs: DataFrame) -> tuple[DataFrame, tuple[np.ndarray, np.ndarray]]
     return rows.where("n is not null").drop("buckets", "counts"), tuple(np.array(x, np.int64) for x in zip(*hot)) if hot else (np.empty(0, np.int64),) * 2
 
 
-def rare_first(shingles: np.ndarray, hot: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """The set by (counter, hash); shingles of counters outside ``hot`` come first."""
-    buckets, counts = hot
-    if not len(buckets):
+def rare_first(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The set by (counter, hash); ``counts`` is 0 for the counters that are not among the fullest."""
+    full = counts[_bucket(shingles)]
+    frequent = np.flatnonzero(full)
+    if not len(frequent):
         return shingles
-    of = _bucket(shingles)
-    at = np.minimum(np.searchsorted(buckets, of), len(buckets) - 1)
-    found = np.where(buckets[at] == of, counts[at], 0)
-    return shingles[np.argsort(found, kind="stable")]
+    last = frequent[np.argsort(full[frequent], kind="stable")]
+    return np.concatenate([shingles[full == 0], shingles[last]])
 
 
 def sketch(shingles: np.ndarray) -> list[int]:
-    """The smallest hash, and the smallest under other mixings."""
-    steps = np.arange(SKETCHES, dtype=np.uint64) * _STEP
-    out = [shingles[0], *(mix(shingles + step).min() for step in steps[1:])]
+    """The smallest hash, and the smallest after multiplication by odd numbers."""
+    out = [shingles[0], *((shingles * factor).min() for factor in _PLACE[: SKETCHES - 1])]
     return np.array(out).view(np.int64).tolist()
 
 
@@ -161,64 +241,84 @@ _SKETCH_COLUMNS = [f"m{k}" for k in range(SKETCHES)]
 
 
 def _prefixes(hot):
+    @common.worker("shingle_join")
     def run(batches):
+        counts = np.zeros(BUCKETS, np.int64)
+        counts[hot[0]] = hot[1]
         for batch in batches:
-            sets = [shingle_set(t) for t in batch.column("text").to_pylist()]
+            sets = shingle_sets(batch.column("text").to_pylist())
             full = [i for i, s in enumerate(sets) if len(s)]
             sketches = np.array([sketch(sets[i]) for i in full], np.int64).reshape(-1, SKETCHES)
-            heads = [rare_first(sets[i], hot)[: len(sets[i]) - least_overlap(len(sets[i])) + 1].view(np.int64) for i in full]
+            heads = [rare_first(sets[i], counts)[: head_size(len(sets[i]))].view(np.int64) for i in full]
             kept = batch.take(pa.array(full, pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [
+                    kept.column("row"),
                     kept.column("doc_id"),
-                    kept.column("hash"),
                     pa.array([digest(sets[i]) for i in full], pa.binary()),
                     pa.array([len(sets[i]) for i in full], pa.int32()),
                     *(pa.array(column) for column in sketches.T),
                     pa.array(heads, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "hash", "node", "n", *_SKETCH_COLUMNS, "head"],
+                ["row", "doc_id", "node", "n", *_SKETCH_COLUMNS, "head"],
             )
-        _word_hashes().clear()
 
     return run
 
 
+def _rows(docs: DataFrame) -> DataFrame:
+    """``row, doc_id, text``: texts as bytes; ``row`` is the same for rows with the same id and text."""
+    return docs.select(F.xxhash64("doc_id", "text").alias("row"), "doc_id", F.col("text").cast("binary").alias("text"))
+
+
 def nodes_of(docs: DataFrame, hot) -> DataFrame:
-    """One row for each distinct set: ``nid, node, n``, sketches, ``head`` and its first document (written table)."""
+    """One row for each distinct set: ``nid, node, n``, sketches, ``head``, its first id ``own`` and one of its rows (written table)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     columns = ", ".join(f"{c} long" for c in _SKETCH_COLUMNS)
-    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"), F.xxhash64("text").alias("hash"))
-    rows = rows.mapInArrow(_prefixes(hot), f"doc_id {kind}, hash long, node binary, n int, {columns}, head array<long>")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash")).alias("first")
+    rows = _rows(docs).mapInArrow(_prefixes(hot), f"row long, doc_id {kind}, node binary, n int, {columns}, head array<long>")
     same = [F.first(c).alias(c) for c in ("n", *_SKETCH_COLUMNS, "head")]
-    return common.saved(rows.groupBy("node").agg(first, *same).withColumn("nid", F.monotonically_increasing_id()), "nodes")
+    nodes = rows.groupBy("node").agg(F.min("doc_id").alias("own"), F.min("row").alias("row"), *same)
+    return common.saved(nodes.withColumn("nid", F.monotonically_increasing_id()), "nodes", settle=True)
+
+
+def _shares(n: Column) -> Column:
+    """``common_heads`` of the smallest set that one of ``n`` can link with."""
+    least = F.ceil(F.lit(SHARE) * n / F.lit(ALL))
+    return F.least(F.lit(MOST_HEADS), F.lit(1) + F.floor(least / HEAD_STEP))
 
 
 def shared_heads(nodes: DataFrame) -> DataFrame:
-    """``token, nid, n, rest``: first shingles that several nodes have, with the number of shingles from there on (written table)."""
+    """``token, nid, n, rest``: first shingles that several nodes have, with the number of shingles from there on (written table).
+
+    Nodes that share fewer of them than a link needs are left out, and then what they alone shared.
+    """
     rows = nodes.select("nid", "n", F.posexplode("head").alias("at", "token"))
-    rows = rows.select("token", "nid", "n", (F.col("n") - F.col("at")).alias("rest"))
-    several = rows.groupBy("token").agg(F.min("nid").alias("lo"), F.max("nid").alias("hi")).where("lo < hi").select("token")
-    return common.saved(rows.join(several, "token"), "heads")
+    # One exchange serves both the counts and the join: all columns pass through it, on both sides.
+    rows = rows.select("token", "nid", "n", (F.col("n") - F.col("at")).alias("rest")).repartition("token")
+    several = rows.groupBy("token").agg(F.min("nid").alias("lo"), F.max("nid").alias("hi"), F.max("n").alias("n_hi"), F.max("rest").alias("rest_hi"))
+    several = several.where("lo < hi and rest_hi <= n_hi").select("token")
+    rows = common.saved(rows.join(several, "token"), "heads", settle=True)
+    enough_shared = rows.groupBy("nid").agg(F.count("*").alias("c"), F.max("n").alias("n")).where(F.col("c") >= _shares(F.col("n")))
+    rows = rows.join(enough_shared.select("nid"), "nid", "left_semi")
+    return common.saved(rows.select("token", "nid", "n", "rest"), "live_heads")
 
 
+@common.worker("shingle_join")
 def _sets(batches):
     for batch in batches:
-        sets = [shingle_set(t) for t in batch.column("text").to_pylist()]
+        sets = shingle_sets(batch.column("text").to_pylist())
         ours = [i for i, (s, n) in enumerate(zip(sets, batch.column("node").to_pylist())) if digest(s) == n]
         yield pa.RecordBatch.from_arrays(
             [batch.column("nid").take(pa.array(ours, pa.int64())), pa.array([sets[i].tobytes() for i in ours], pa.binary())], ["nid", "hashes"]
         )
-    _word_hashes().clear()
 
 
 def live_sets(docs: DataFrame, live: DataFrame) -> DataFrame:
     """``nid, hashes`` (sorted, 8 bytes each) of the live nodes (written table)."""
-    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"), F.xxhash64("text").alias("hash"))
-    wanted = live.select("nid", "node", F.col("first.doc_id").alias("f"), F.col("first.hash").alias("h"))
-    rows = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("f")) & (F.col("hash") == F.col("h")))
-    return common.saved(rows.select("nid", "node", "text").mapInArrow(_sets, "nid long, hashes binary").dropDuplicates(["nid"]), "sets")
+    rows = _rows(docs).select("row", "text").join(live.select("row", "nid", "node"), "row")
+    # Repeated rows meet here; the join has already dealt them by this key.
+    rows = rows.dropDuplicates(["row", "nid"])
+    return common.saved(rows.select("nid", "node", "text").mapInArrow(_sets, "nid long, hashes binary"), "sets", settle=True)
 
 
 # --- 3. groups ------------------------------------------------------------------------------------
@@ -282,6 +382,7 @@ def _inside(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     )
 
 
+@common.worker("shingle_join")
 def _compare(batches):
     for batch in batches:
         keep = []
@@ -330,7 +431,12 @@ def _possible(n: Column, m: Column) -> Column:
 
 def asked(heads: DataFrame, groups: DataFrame, parts: DataFrame) -> DataFrame:
     """``nid, gid``: the groups that each node has to ask (written table)."""
-    of = groups.select("nid", "gid").join(parts, "nid")
+    # Components are compared by size, then by number: the many nodes of a large one ask nobody at a shingle
+    # that they share with smaller ones only.
+    sizes = parts.groupBy("comp").agg(F.count("*").alias("size"))
+    rank = F.col("size").cast("decimal(15,0)") * F.lit(str(1 << 63)).cast("decimal(20,0)") + F.col("comp").cast("decimal(20,0)")
+    ranked = salted_join(parts, sizes, "comp", how="inner").select("nid", rank.cast("decimal(38,0)").alias("comp"))
+    of = common.saved(groups.select("nid", "gid").join(ranked, "nid"), "ranked")
     rows = heads.join(of, "nid")
     tops = rows.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("top")).where("low < top").drop("low")
     # Shingles of several components only; written, as the join below needs it twice.
@@ -342,12 +448,15 @@ def asked(heads: DataFrame, groups: DataFrame, parts: DataFrame) -> DataFrame:
     met = queries.join(matrix, "token").where((F.col("comp") < F.col("g_top")) & (F.col("own") != F.col("gid")))
     n, lo, hi = F.col("n").cast("long"), F.col("g_lo").cast("long"), F.col("g_hi").cast("long")
     sizes = (ALL * hi >= SHARE * n) & (ALL * n >= SHARE * lo)
-    # At the first shingle that the query shares with a member, both still hold the overlap they need.
+    # At the first shingle that the query shares with a member, both still hold the overlap they need,
+    # and a member that links shares as many first shingles as the smaller of the two has to.
     room = (ALL + SHARE) * F.least("rest", "g_rest").cast("long") >= _possible(n, lo)
-    return common.saved(met.where(sizes & room).select("nid", "gid").distinct(), "asked")
+    counted = met.where(sizes).groupBy("nid", "gid").agg(F.count("*").alias("c"), F.max("n").alias("n"), F.max(room).alias("room"))
+    return common.saved(counted.where(F.col("room") & (F.col("c") >= _shares(F.col("n")))).select("nid", "gid"), "asked")
 
 
 # --- 5. opening ---------------------------------------------------------------------------------
+@common.worker("shingle_join")
 def _open(batches):
     """Rows come sorted by group: its members, then its queries. Yields links of different components."""
     here, members, ids, comps, sets = None, None, [], [], []
@@ -390,12 +499,12 @@ def join(docs: DataFrame) -> DataFrame:
     rows, hot = measured(docs)
     nodes = nodes_of(docs, hot)
     heads = shared_heads(nodes)
-    live = nodes.drop("head").join(heads.select("nid").distinct(), "nid")
+    live = common.saved(nodes.drop("head").join(heads.select("nid").distinct(), "nid"), "live")
     groups = grouped(live)
     sets = live_sets(docs, live)
     parts = first_components(groups, sets)
     parts = merged(parts, opened(asked(heads, groups, parts), groups, parts, sets))
-    named = nodes.select("nid", "node", F.col("first.doc_id").alias("own")).join(parts, "nid", "left")
+    named = nodes.select("nid", "node", "own").join(parts, "nid", "left")
     named = common.saved(named.select("node", "own", F.coalesce("comp", "nid").alias("comp")), "named")
     firsts = named.groupBy("comp").agg(F.min("own").alias("component_id"))
     ids = salted_join(named.select("node", "comp"), firsts, "comp").select("node", "component_id")
