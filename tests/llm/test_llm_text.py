@@ -255,6 +255,17 @@ def test_ids_leave_the_workers_and_decode_to_the_texts(spark, odd, lattices):
         assert r["text"] == lattices.model.normalize(texts[r["doc_id"]]).replace("\u2581", " ").removeprefix(" ") == lattices.model.decode(own)
 
 
+def test_units_searched_side_by_side_equal_one_by_one(lattices):
+    rng = np.random.default_rng(17)
+    chars = sorted(c for c in lattices.single if c != nbest_pieces.MARK)
+    units = {nbest_pieces.MARK * int(rng.integers(0, 3)) + "".join(rng.choice(chars, rng.integers(1, 30))) for _ in range(600)}
+    units |= {"-" * 60, nbest_pieces.MARK * 5, *(nbest_pieces.MARK + w for w in "the of international unbelievably".split())}
+    units = sorted(u for u in units if u)
+    lattices.learn(units)
+    for u in units:
+        assert lattices.known[u] == lattices.viterbi(u), u
+
+
 def test_one_pass_equals_segmenting_then_decoding(spark, odd):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
     more = odd.unionByName(spark.createDataFrame([(900, "-" * 700 + " _▁_ x"), (901, "a\nb\n\nc"), (902, "🙂" * 40)], odd.schema))
