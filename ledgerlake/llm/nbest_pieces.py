@@ -8,26 +8,30 @@ No place is expanded more than ``n`` times, so long units and ties stay linear i
 
 No piece has a space mark after another character (checked on loading), so a text's lattice is
 a chain of lattices, one for each run of marks and the word after it (a unit). Workers remember
-units. The Viterbi pass also keeps how much the second best path of a unit loses; only the
+units; new ones of a batch are searched side by side. The Viterbi pass also keeps how much the second best path of a unit loses; only the
 ``n - 1`` units that lose least can differ from the best path within the ``n`` best, so the A*
 search runs over those units alone, and their lists are combined.
 
 A character without a piece becomes its UTF-8 byte pieces (or the unknown piece, if the model
 has none) at a score below all pieces. Segmentations of equal score come in a fixed order, the
 Viterbi path first.
-``segment`` gives the ids, ``decode`` the texts, counts and digests of ids it is given.
+``segment`` gives the ids, ``decode`` the texts, counts and digests of ids it is given, and
+``segment_and_decode`` both at once: every distinct unit's ids are decoded when a worker first
+meets them, and a text is put together from its units' decoded texts.
 
 Null texts count as empty: one segmentation without pieces, score 0. A text with fewer than
-``n`` segmentations gives fewer rows. Repeated rows each give rows; other columns are ignored.
+``n`` segmentations gives fewer rows. Repeated rows each give rows; an empty table gives none; other
+columns are ignored.
 """
 
 from __future__ import annotations
 
-import functools
 import heapq
+import itertools
 import re
 import struct
 import zlib
+from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
@@ -45,11 +49,15 @@ REMEMBERED, LONGEST = 300_000, 64
 UNKNOWN_PENALTY = 10.0
 #: Ids (at most) that a worker hands on at once, unless one text has more.
 BATCH_IDS = 1 << 21
+#: Characters of texts cut into units at once, and of new units searched side by side.
+BATCH_CHARS, LEARN_CHARS = 1 << 20, 1 << 17
 MARK = "▁"
 UNIT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 #: (score, ids) of a path
 Path = tuple[float, tuple[int, ...]]
+#: Ids of a unit's best path (little-endian unsigned 32-bit), its score, the loss of the second best, the ids' text with its marks.
+Best = tuple[bytes, float, float, str]
 
 
 class Decoder:
@@ -57,16 +65,24 @@ class Decoder:
 
     def __init__(self, sp: sentencepiece.SentencePieceProcessor) -> None:
         table = [sp.id_to_piece(i) for i in range(sp.get_piece_size())]
-        self.table = pa.array(
-            [bytes([int(p[3:5], 16)]) if sp.is_byte(i) else p.encode() for i, p in enumerate(table)], pa.large_binary()
-        )
+        self.pieces = [bytes([int(p[3:5], 16)]) if sp.is_byte(i) else p.encode() for i, p in enumerate(table)]
+        self.table = pa.array(self.pieces, pa.large_binary())
 
-    def texts(self, ids: np.ndarray, ends: list[int]) -> list[str]:
-        """The texts of ``ids[ends[k]:ends[k + 1]]``."""
+    def joined(self, ids: bytes) -> str:
+        """The pieces of little-endian unsigned 32-bit ids one after another, marks included."""
+        pieces = map(self.pieces.__getitem__, struct.unpack(f"<{len(ids) // 4}I", ids))
+        return str(b"".join(pieces), "utf-8", "replace")
+
+    def marked(self, ids: np.ndarray, ends: list[int]) -> list[str]:
+        """The pieces of ``ids[ends[k]:ends[k + 1]]`` one after another, marks included."""
         joined = self.table.take(pa.array(ids))  # its data are the pieces of all ids, one after another
         at = np.frombuffer(joined.buffers()[1], np.int64)[: len(ids) + 1][ends].tolist()
         raw = memoryview(joined.buffers()[2] or b"")
-        return [str(raw[a:b], "utf-8", "replace").replace(MARK, " ").removeprefix(" ") for a, b in zip(at, at[1:])]
+        return [str(raw[a:b], "utf-8", "replace") for a, b in zip(at, at[1:])]
+
+    def texts(self, ids: np.ndarray, ends: list[int]) -> list[str]:
+        """The texts of ``ids[ends[k]:ends[k + 1]]``."""
+        return [t.replace(MARK, " ").removeprefix(" ") for t in self.marked(ids, ends)]
 
 
 class Lattices:
@@ -86,12 +102,15 @@ class Lattices:
         self.bytes = {sp.id_to_piece(i): i for i in range(sp.get_piece_size()) if sp.is_byte(i)}
         self.decoder = Decoder(sp)
         self.single = {p for p in self.pieces if len(p) == 1}
-        self.matcher = ahocorasick.Automaton()
-        for p, (score, i) in self.pieces.items():
-            self.matcher.add_word(p, (len(p), score, i))
+        #: Edges by number: length, score and id of a piece.
+        self.edge = [(len(p), score, i) for p, (score, i) in self.pieces.items()]
+        self.edge_length, self.edge_score, self.edge_id = (np.array(x) for x in zip(*self.edge))
+        self.matcher = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for k, p in enumerate(self.pieces):
+            self.matcher.add_word(p, k)
         self.matcher.make_automaton()
-        self.known: dict[str, tuple[bytes, float, float]] = {}
-        self.older: dict[str, tuple[bytes, float, float]] = {}
+        self.known: dict[str, Best] = {}
+        self.older: dict[str, Best] = {}
         self.lists: dict[tuple[str, int], list[Path]] = {}
 
     def fallback(self, char: str) -> tuple[int, ...]:
@@ -101,7 +120,8 @@ class Lattices:
 
     def edges(self, unit: str) -> list[tuple[int, tuple[int, float, int]]]:
         """The lattice's edges by end: last place covered and (length, score, id; -1: fallback)."""
-        found = list(self.matcher.iter(unit))
+        edge = self.edge
+        found = [(last, edge[k]) for last, k in self.matcher.iter(unit)]
         if not self.single.issuperset(unit):
             found += [(k, (1, self.unknown, -1)) for k, c in enumerate(unit) if c not in self.single]
             found.sort(key=lambda e: e[0])
@@ -110,8 +130,7 @@ class Lattices:
     def ids(self, unit: str, end: int, length: int, piece: int) -> tuple[int, ...]:
         return (piece,) if piece >= 0 else self.fallback(unit[end - length : end])
 
-    def viterbi(self, unit: str) -> tuple[bytes, float, float]:
-        """Ids of the best path (little-endian unsigned 32-bit), its score and the loss of the second best."""
+    def viterbi(self, unit: str) -> Best:
         low = -np.inf
         size = len(unit) + 1
         best, second, lengths, pieces = [0.0] + [low] * len(unit), [low] * size, [0] * size, [0] * size
@@ -133,7 +152,69 @@ class Lattices:
                 ids += reversed(self.fallback(unit[end - 1]))
             end -= lengths[end]
         ids.reverse()
-        return struct.pack(f"<{len(ids)}I", *ids), best[-1], loss
+        raw = struct.pack(f"<{len(ids)}I", *ids)
+        return raw, best[-1], loss, self.decoder.joined(raw)
+
+    def learn(self, units: list[str]) -> None:
+        """Remember the Viterbi paths of many units, searched side by side: all of a unit's places with one more
+        character at a time. What ``viterbi`` says of each, for units whose characters are all pieces."""
+        lengths = np.array([len(u) for u in units], np.int64)
+        starts = np.cumsum(lengths) - lengths
+        owner = np.repeat(np.arange(len(units)), lengths)
+        hits = np.fromiter(itertools.chain.from_iterable(self.matcher.iter("".join(units))), np.int64).reshape(-1, 2)
+        last, piece = hits.T
+        unit = owner[last]
+        inside = last + 1 - self.edge_length[piece] >= starts[unit]  # no piece of two units
+        last, piece, unit = last[inside], piece[inside], unit[inside]
+        # Unit u has the places starts[u] + u up to its length later; edges lead to a place from an earlier one.
+        to = last + unit + 1
+        level = last - starts[unit]
+        order = np.argsort(level * (len(owner) + len(units) + 1) + to, kind="stable")
+        to, piece, level = to[order], piece[order], level[order]
+        origin, score = to - self.edge_length[piece], self.edge_score[piece]
+        n_places = len(owner) + len(units)
+        best, second = np.full(n_places, -np.inf), np.full(n_places, -np.inf)
+        back = np.zeros(n_places, np.int64)
+        best[starts + np.arange(len(units))] = 0.0
+        bounds = np.flatnonzero(np.diff(level, prepend=-1, append=level[-1] + 1))
+        for a, b in zip(bounds, bounds[1:]):
+            total = best[origin[a:b]] + score[a:b]
+            place = to[a:b]
+            firsts = np.flatnonzero(np.diff(place, prepend=-1))
+            top = np.maximum.reduceat(total, firsts)
+            counts = np.diff(firsts, append=b - a)
+            chosen = np.minimum.reduceat(np.where(total == np.repeat(top, counts), np.arange(b - a), b - a), firsts)
+            best[place[firsts]], back[place[firsts]] = top, chosen + a
+            total[chosen] = -np.inf
+            second[place[firsts]] = np.maximum.reduceat(total, firsts)
+        here = starts + np.arange(len(units)) + lengths
+        score_of, loss = best[here], np.full(len(units), np.inf)
+        active, steps = np.arange(len(units)), []
+        begin = starts + np.arange(len(units))
+        while len(active):
+            at = here[active]
+            loss[active] = np.minimum(loss[active], best[at] - second[at])
+            steps.append((active, self.edge_id[piece[back[at]]]))
+            here[active] = origin[back[at]]
+            active = active[here[active] > begin[active]]
+        # Paths were read from their ends.
+        whose = np.concatenate([a for a, _ in reversed(steps)])
+        ids = np.concatenate([i for _, i in reversed(steps)])[np.argsort(whose, kind="stable")].astype("<u4")
+        ends = np.cumsum(np.bincount(whose, minlength=len(units))) * 4
+        raw, cuts = ids.tobytes(), ends.tolist()
+        found = (raw[a:b] for a, b in zip([0, *cuts], cuts))
+        self.known.update(zip(units, zip(found, score_of.tolist(), loss.tolist(), self.decoder.marked(ids, [0, *(ends // 4)]))))
+
+    def meet(self, texts: list[list[str]]) -> None:
+        """Before texts (their units) are segmented: learn the units that are new."""
+        if len(self.known) >= REMEMBERED:
+            self.older, self.known = self.known, {}
+        new = [u for u in set().union(*texts).difference(self.known, self.older) if len(u) <= LONGEST and self.single.issuperset(u)]
+        for some in common.slices(new, [len(u) for u in new], LEARN_CHARS):
+            self.learn(some)
+
+    def units(self, text: str) -> list[str]:
+        return UNIT.findall(self.model.normalize(text)) if text else []
 
     def nbest(self, unit: str, n: int) -> list[Path]:
         """The ``n`` best paths of a unit, best first: A* from its end with forward scores as heuristics.
@@ -178,7 +259,7 @@ class Lattices:
             place, parent, length, piece = expanded[parent]
         return tuple(ids)
 
-    def best(self, unit: str) -> tuple[bytes, float, float]:
+    def best(self, unit: str) -> Best:
         got = self.known.get(unit)
         if got is None:
             got = self.older.get(unit) or self.viterbi(unit)
@@ -200,9 +281,18 @@ class Lattices:
 
     def segmentations(self, text: str, n: int) -> list[tuple[float, bytes]]:
         """Scores and ids of the ``n`` best segmentations of a text, best first."""
-        units = UNIT.findall(self.model.normalize(text)) if text else []
+        units = self.units(text)
+        self.meet([units])
+        return [(score, b"".join(ids)) for score, ids, _, _ in self.chains(units, n)]
+
+    def chains(self, units: list[str], n: int) -> Iterator[tuple[float, list[bytes], list[int], list[Best]]]:
+        """The ``n`` best segmentations, best first: score, the units' ids, which units differ from the best, all units' ``Best``.
+
+        The list of ids is the caller's until the next one is asked for.
+        """
         if not units:
-            return [(0.0, b"")]
+            yield 0.0, [], [], []
+            return
         known = self.known
         got = [known.get(u) or self.best(u) for u in units]
         ids = [g[0] for g in got]
@@ -219,14 +309,25 @@ class Lattices:
             paths = [(0.0, ids[i])] + [p for p in paths if p[1] != ids[i]][: n - 1]
             ways = [(d + e, (*chosen, (i, p))) for d, chosen in ways for e, p in paths]
             ways = heapq.nsmallest(n, ways, key=lambda w: (-w[0], sum(len(p) for _, p in w[1])))
-        out = []
         for lost, chosen in ways[:n]:
             for i, p in chosen:
                 ids[i] = p
-            out.append((total + lost, b"".join(ids)))
+            yield total + lost, ids, [i for i, p in chosen if p != got[i][0]], got
             for i, _ in chosen:
                 ids[i] = got[i][0]
-        return out
+
+    def decoded_segmentations(self, units: list[str], n: int) -> Iterator[tuple[float, bytes, str]]:
+        """Score, ids and decoded text of the ``n`` best segmentations of a text (its units)."""
+        whole = ""
+        for rank, (score, ids, other, got) in enumerate(self.chains(units, n)):
+            if not rank:
+                whole = "".join([g[3] for g in got]).replace(MARK, " ").removeprefix(" ")
+            read = {i: self.decoder.joined(ids[i]) for i in other}
+            if all(got[i][3] == t for i, t in read.items()):
+                yield score, b"".join(ids), whole
+            else:
+                parts = [read.get(i, g[3]) for i, g in enumerate(got)]
+                yield score, b"".join(ids), "".join(parts).replace(MARK, " ").removeprefix(" ")
 
     def decode(self, ids) -> str:
         """The text of a segmentation."""
@@ -242,25 +343,28 @@ def _smallest(loss: np.ndarray, k: int) -> np.ndarray:
     return some[np.argsort(loss[some], kind="stable")][:k]
 
 
-@functools.lru_cache(maxsize=2)
+@common.remembered("pieces")
 def lattices(path: str) -> Lattices:
     """One instance a worker process and model."""
     return Lattices(path)
 
 
 def _segment(path: str, n: int):
+    @common.worker("pieces")
     def run(batches):
         found = lattices(path)
         for batch in batches:
             texts = common.texts_of(batch)
             for some in common.slices(range(len(texts)), [n * len(t) for t in texts], BATCH_IDS):
                 rows, rank, score, parts = [], [], [], []
-                for i in some:
-                    for k, (s, ids) in enumerate(found.segmentations(texts[i], n)):
+                cut = [found.units(texts[i]) for i in some]
+                found.meet(cut)
+                for i, units in zip(some, cut):
+                    for k, (s, ids, _, _) in enumerate(found.chains(units, n)):
                         rows.append(i)
                         rank.append(k + 1)
                         score.append(s)
-                        parts.append(ids)
+                        parts.append(b"".join(ids))
                 ends = np.cumsum([0, *(len(x) // 4 for x in parts)])
                 ids = pa.array(np.frombuffer(b"".join(parts), "<i4"), pa.int32())
                 yield pa.RecordBatch.from_arrays(
@@ -286,13 +390,14 @@ def segment(docs: DataFrame, model: str | None = None, n: int = BEST) -> DataFra
     return rows.withColumn("n_pieces", F.size("ids").cast("long"))
 
 
-@functools.lru_cache(maxsize=2)
+@common.remembered("pieces")
 def decoder(path: str) -> Decoder:
     """One instance a worker process and model."""
     return Decoder(sentencepiece.SentencePieceProcessor(model_file=path))
 
 
 def _decode(path: str):
+    @common.worker("pieces")
     def run(batches):
         found = decoder(path)
         for batch in batches:
@@ -331,6 +436,49 @@ def decode(segments: DataFrame, model: str | None = None) -> DataFrame:
     return segments.select("doc_id", "rank", "score", "ids").mapInArrow(_decode(path), schema)
 
 
+def _segment_and_decode(path: str, n: int):
+    @common.worker("pieces")
+    def run(batches):
+        found = lattices(path)
+        for batch in batches:
+            rows, rank, score, size, crc, text_crc = [], [], [], [], [], []
+            texts = common.texts_of(batch)
+            for some in common.slices(range(len(texts)), [len(t) for t in texts], BATCH_CHARS):
+                cut = [found.units(texts[i]) for i in some]
+                found.meet(cut)
+                for i, units in zip(some, cut):
+                    last, last_crc = None, 0
+                    for k, (s, ids, back) in enumerate(found.decoded_segmentations(units, n)):
+                        if back is not last:
+                            last, last_crc = back, zlib.crc32(back.encode("utf-8", "replace"))
+                        rows.append(i)
+                        rank.append(k + 1)
+                        score.append(s)
+                        size.append(len(ids) // 4)
+                        crc.append(zlib.crc32(ids))
+                        text_crc.append(last_crc)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id").take(pa.array(rows, pa.int64())),
+                    pa.array(rank, pa.int32()),
+                    pa.array(score, pa.float64()),
+                    *(pa.array(x, pa.int64()) for x in (size, crc, text_crc)),
+                ],
+                ["doc_id", "rank", "score", "n_pieces", "ids_crc32", "text_crc32"],
+            )
+
+    return run
+
+
+def segment_and_decode(docs: DataFrame, model: str | None = None, n: int = BEST) -> DataFrame:
+    """``doc_id, rank, score, n_pieces, ids_crc32, text_crc32``: digests of the ids and of the decoded text of
+    the ``n`` best segmentations of every text. A narrow pass; equal to ``decode(segment(docs))``."""
+    path = model or public_tokenizers.path(MODEL)
+    common.prepare_workers(docs.sparkSession)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, rank int, score double, n_pieces long, ids_crc32 long, text_crc32 long"
+    return docs.select("doc_id", "text").mapInArrow(_segment_and_decode(path, n), schema)
+
+
 def op10_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decode(segment(common.load(spark, sf_dir, "documents")))
-    return found.withColumn("text_crc32", F.crc32(F.col("text").cast("binary"))).drop("text")
+    return segment_and_decode(common.load(spark, sf_dir, "documents"))
