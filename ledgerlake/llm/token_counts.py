@@ -1,7 +1,8 @@
 """Token counts with overlap resynchronisation (operator 1).
 
 Texts up to ``chunk_chars`` characters are encoded whole. Longer ones are encoded as chunks
-that overlap, each with its tokens' offsets. Two neighbouring chunks are spliced at a position
+that overlap, each with its tokens' offsets (or, where the tokenizer allows to encode word by word, with its
+tokens' words' offsets, so that remembered words serve chunks as well). Two neighbouring chunks are spliced at a position
 of their overlap that is proven to be a stable token boundary:
 
 * a non-space character stands before it and a white space character at it. No token of the
@@ -29,13 +30,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import common
-from ledgerlake.llm.word_ids import load_tokenizer, word_ids
+from ledgerlake.llm.word_ids import WordIds, word_ids
 
 TOKENIZER = "word_bpe_49k.json"
 CHUNK_CHARS, OVERLAP_CHARS, GUARD = 16_384, 512, 4
 #: Text characters encoded at once by a worker.
 BATCH_CHARS = 1 << 20
 SPACES = " \t\n\r"
+#: The bytes that cut words, as ``bytes.split`` does.
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 
 #: tokens of a text: ids, start and end characters
 Tokens = tuple[np.ndarray, np.ndarray, np.ndarray]
@@ -46,6 +49,18 @@ def _tokens(ids, starts, ends) -> Tokens:
     return np.asarray(ids, np.int64), np.asarray(starts, np.int64), np.asarray(ends, np.int64)
 
 
+def _by_word(known: WordIds, text: str) -> Tokens:
+    """Tokens of a text with the start and end of their words."""
+    raw = text.encode("utf-8", "replace")
+    got = known.by_words([raw])[0]
+    data = np.frombuffer(raw, np.uint8)
+    edges = np.flatnonzero(np.diff((~_SPACE[data]).view(np.int8), prepend=np.int8(0), append=np.int8(0)))
+    chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    starts, ends = chars[edges].reshape(-1, 2).T
+    counts = np.fromiter(map(len, got), np.int64, len(got)) // 4
+    return _tokens(np.frombuffer(b"".join(got), "<u4"), np.repeat(starts, counts), np.repeat(ends, counts))
+
+
 @common.remembered("word_ids")
 def offset_encoder(path: str) -> Encode:
     """Encoder with character offsets for a ``.json`` (tokenizers) or ``.model`` (sentencepiece) file."""
@@ -64,7 +79,10 @@ def offset_encoder(path: str) -> Encode:
             return _tokens([p.id for p in got], chars[[p.begin for p in got]], chars[[p.end for p in got]])
 
         return encode
-    library = load_tokenizer(path)
+    known = word_ids(path)
+    if known.by_word:
+        return lambda text: _by_word(known, text)
+    library = known.library
 
     def encode(text: str) -> Tokens:
         got = library.encode(text, add_special_tokens=False)

@@ -125,9 +125,8 @@ class WordIds:
             some = whole[i : i + 1024]
             self.words.update(zip(some, self._library([w.decode("utf-8", "replace") for w in some])))
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        if not self.by_word:
-            return [x for t in texts for x in self._library([t.decode("utf-8", "replace")])]
+    def by_words(self, texts: list[bytes]) -> list[list[bytes]]:
+        """The ids of every word of the texts (cut at ASCII white space), for tokenizers that are ``by_word``."""
         if len(self.words) > WORDS or self.held > WORD_BYTES:
             self.older_words, self.words, self.held = self.words, {}, 0
         cut = [words_of(t) for t in texts]
@@ -136,7 +135,12 @@ class WordIds:
             self._learn(new)
             self.held += sum(map(len, new)) + sum(map(len, map(self.words.__getitem__, new)))
         get: Callable[[bytes], bytes] = self.words.__getitem__
-        return [b"".join(map(get, words)) for words in cut]
+        return [list(map(get, words)) for words in cut]
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        if not self.by_word:
+            return [x for t in texts for x in self._library([t.decode("utf-8", "replace")])]
+        return [b"".join(ids) for ids in self.by_words(texts)]
 
 
 @common.remembered("word_ids")
