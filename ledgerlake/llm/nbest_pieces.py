@@ -47,6 +47,8 @@ MODEL, BEST = "piece_bpe_32k.model", 4
 #: Units a worker remembers in each of two generations, and the longest unit remembered.
 REMEMBERED, LONGEST = 300_000, 64
 UNKNOWN_PENALTY = 10.0
+#: Stands for the ids of a character without a piece (no id is so large).
+_FALLBACK = 0xFFFFFFFF
 #: Ids (at most) that a worker hands on at once, unless one text has more.
 BATCH_IDS = 1 << 21
 #: Characters of texts cut into units at once, and of new units searched side by side.
@@ -104,7 +106,8 @@ class Lattices:
         self.single = {p for p in self.pieces if len(p) == 1}
         #: Edges by number: length, score and id of a piece.
         self.edge = [(len(p), score, i) for p, (score, i) in self.pieces.items()]
-        self.edge_length, self.edge_score, self.edge_id = (np.array(x) for x in zip(*self.edge))
+        # One more for a character without a piece.
+        self.edge_length, self.edge_score, self.edge_id = (np.array(x) for x in zip(*self.edge, (1, self.unknown, _FALLBACK)))
         self.matcher = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         for k, p in enumerate(self.pieces):
             self.matcher.add_word(p, k)
@@ -157,12 +160,17 @@ class Lattices:
 
     def learn(self, units: list[str]) -> None:
         """Remember the Viterbi paths of many units, searched side by side: all of a unit's places with one more
-        character at a time. What ``viterbi`` says of each, for units whose characters are all pieces."""
+        character at a time. What ``viterbi`` says of each."""
         lengths = np.array([len(u) for u in units], np.int64)
         starts = np.cumsum(lengths) - lengths
         owner = np.repeat(np.arange(len(units)), lengths)
-        hits = np.fromiter(itertools.chain.from_iterable(self.matcher.iter("".join(units))), np.int64).reshape(-1, 2)
-        last, piece = hits.T
+        together = "".join(units)
+        last, piece = np.fromiter(itertools.chain.from_iterable(self.matcher.iter(together)), np.int64).reshape(-1, 2).T
+        without = "".join(set(together).difference(self.single))
+        if without:  # their fallback is the edge after the last piece
+            codes = np.frombuffer(together.encode("utf-32-le", "surrogatepass"), "<u4")
+            bare = np.flatnonzero(np.isin(codes, np.frombuffer(without.encode("utf-32-le", "surrogatepass"), "<u4")))
+            last, piece = np.concatenate([last, bare]), np.concatenate([piece, np.full(len(bare), len(self.edge))])
         unit = owner[last]
         inside = last + 1 - self.edge_length[piece] >= starts[unit]  # no piece of two units
         last, piece, unit = last[inside], piece[inside], unit[inside]
@@ -194,22 +202,39 @@ class Lattices:
         while len(active):
             at = here[active]
             loss[active] = np.minimum(loss[active], best[at] - second[at])
-            steps.append((active, self.edge_id[piece[back[at]]]))
+            steps.append((active, self.edge_id[piece[back[at]]], origin[back[at]] - active))
             here[active] = origin[back[at]]
             active = active[here[active] > begin[active]]
         # Paths were read from their ends.
-        whose = np.concatenate([a for a, _ in reversed(steps)])
-        ids = np.concatenate([i for _, i in reversed(steps)])[np.argsort(whose, kind="stable")].astype("<u4")
-        ends = np.cumsum(np.bincount(whose, minlength=len(units))) * 4
+        whose, ids, chars = (np.concatenate(x) for x in zip(*reversed(steps)))
+        order = np.argsort(whose, kind="stable")
+        ids = ids[order].astype("<u4")
+        sizes = np.bincount(whose, minlength=len(units))
+        if without:
+            ids, sizes = self._with_fallbacks(ids, whose[order], together, chars[order], len(units))
+        ends = np.cumsum(sizes) * 4
         raw, cuts = ids.tobytes(), ends.tolist()
         found = (raw[a:b] for a, b in zip([0, *cuts], cuts))
         self.known.update(zip(units, zip(found, score_of.tolist(), loss.tolist(), self.decoder.marked(ids, [0, *(ends // 4)]))))
 
+    def _with_fallbacks(self, ids: np.ndarray, whose: np.ndarray, text: str, at: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids, and their number by unit, with each ``_FALLBACK`` replaced by the ids of its character (``at`` in ``text``)."""
+        marks = np.flatnonzero(ids == _FALLBACK)
+        parts = [self.fallback(text[k]) for k in at[marks].tolist()]
+        counts = np.ones(len(ids), np.int64)
+        counts[marks] = [len(p) for p in parts]
+        out = np.repeat(ids, counts)
+        out[out == _FALLBACK] = list(itertools.chain.from_iterable(parts))
+        return out, np.bincount(np.repeat(whose, counts), minlength=n)
+
     def meet(self, texts: list[list[str]]) -> None:
-        """Before texts (their units) are segmented: learn the units that are new."""
+        """Before texts (their units) are segmented: learn the units that are new, and bring older ones over."""
         if len(self.known) >= REMEMBERED:
             self.older, self.known = self.known, {}
-        new = [u for u in set().union(*texts).difference(self.known, self.older) if len(u) <= LONGEST and self.single.issuperset(u)]
+        new = set().union(*texts).difference(self.known)
+        back = self.older.keys() & new if self.older else set()
+        self.known.update((u, self.older[u]) for u in back)
+        new = [u for u in new - back if len(u) <= LONGEST]
         for some in common.slices(new, [len(u) for u in new], LEARN_CHARS):
             self.learn(some)
 
@@ -293,11 +318,13 @@ class Lattices:
         if not units:
             yield 0.0, [], [], []
             return
-        known = self.known
-        got = [known.get(u) or self.best(u) for u in units]
-        ids = [g[0] for g in got]
-        total = sum([g[1] for g in got])
-        loss = np.array([g[2] for g in got])
+        try:
+            got = list(map(self.known.__getitem__, units))
+        except KeyError:  # units too long to be remembered
+            got = [self.known.get(u) or self.best(u) for u in units]
+        ids, scores, losses, _ = map(list, zip(*got))
+        total = sum(scores)
+        loss = np.array(losses)
         k = min(n - 1, len(units))
         at = np.argsort(loss, kind="stable")[:k] if len(loss) <= 64 else _smallest(loss, k)
         # Combine the units that lose least; others stay on their best path.

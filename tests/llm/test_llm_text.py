@@ -1,6 +1,7 @@
 """Token counts, packing and N-best segmentation against the libraries and brute force."""
 
 import itertools
+import re
 import zlib
 
 import numpy as np
@@ -74,6 +75,15 @@ def test_splice_equals_whole_encoding(name, text):
     assert got.tolist() == encode(text)[0].tolist()
 
 
+def test_chunks_are_encoded_by_remembered_words():
+    text = "Unbelievably  ünbelievable<|endoftext|>\n\x0b日本's 12a\x1cb \u2003x "
+    ids, starts, ends = token_counts.offset_encoder(WORD_BPE)(text)
+    assert ids.tolist() == word_ids.load_tokenizer(WORD_BPE).encode(text, add_special_tokens=False).ids
+    places = [(m.start(), m.end()) for m in re.finditer(r"[^ \t\n\r\x0b\x0c]+", text)]
+    assert sorted(set(zip(starts.tolist(), ends.tolist()))) == [p for p in places if text[slice(*p)].strip()]
+    assert [len(x) for x in token_counts.offset_encoder(WORD_BPE)("")] == [0, 0, 0]
+
+
 def test_counts_of_no_rows(spark):
     assert token_counts.token_counts(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
@@ -266,6 +276,23 @@ def test_units_searched_side_by_side_equal_one_by_one(lattices):
         assert lattices.known[u] == lattices.viterbi(u), u
 
 
+def test_characters_without_a_piece_are_searched_side_by_side(lattices):
+    a, b = [chr(c) for c in range(0x13000, 0x13100) if chr(c) not in lattices.single][:2]
+    units = [f"▁{a}", b, f"a{a}b{b}{b}c", f"▁日本語{a}the", b * 60, "▁plain", "x" * 40 + a]
+    lattices.learn(units)
+    for u in units:
+        assert lattices.known[u] == lattices.viterbi(u), u
+
+
+def test_units_of_the_older_generation_come_back(lattices):
+    own = nbest_pieces.Lattices(public_tokenizers.path(nbest_pieces.MODEL))
+    own.meet([["▁the", "▁☃"]])
+    want = dict(own.known)
+    own.older, own.known = own.known, {}
+    own.meet([["▁the", "▁☃", "▁new"]])
+    assert want.items() <= own.known.items() and set(own.known) == {"▁the", "▁☃", "▁new"}
+
+
 def test_one_pass_equals_segmenting_then_decoding(spark, odd):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
     more = odd.unionByName(spark.createDataFrame([(900, "-" * 700 + " _▁_ x"), (901, "a\nb\n\nc"), (902, "🙂" * 40)], odd.schema))
