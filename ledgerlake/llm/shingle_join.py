@@ -13,7 +13,8 @@ connected components of all links. Shingles are 64-bit hashes; equal sets (by 12
 3. *Groups.* Live nodes with the same smallest hash are a group; larger ones are dealt, by a hash of
    the node, over groups of about ``GROUP`` nodes. Links inside a group are found in one task.
    Then each component of a group is compared with the most central member of the groups that share a
-   sketch with it, which joins the groups of a large cluster by few comparisons.
+   sketch with it, which joins the groups of a large cluster by few comparisons. Then nodes of components of more than
+   ``GROUP`` are grouped anew, by component: such a cluster of ``m`` nodes is some ``m / GROUP`` groups, however its nodes were dealt before.
 4. *Matrix.* For every (shingle, group): the largest number of shingles that a member has from this one
    on, the members' sizes and components. A node asks the groups that share one of its
    first shingles, can still hold the overlap that the sizes call for, and have a member of
@@ -24,6 +25,7 @@ connected components of all links. Shingles are 64-bit hashes; equal sets (by 12
    bounds its overlap with any member. Only groups for which that bound suffices are opened: the
    query's columns of the members' matrix give the exact overlaps.
 
+Texts and sets are moved only where a bitmap of the keys asked for (``possible``) does not rule them out.
 No candidate, group or query is capped: 2 to 5 lose no link. A task holds one group (about ``GROUP``
 members and ``GROUP_SHINGLES`` shingles, or one larger document) and one query.
 
@@ -53,6 +55,8 @@ BUCKETS, TASK_HOT, HOT = 1 << 20, 4096, 1 << 16
 MOST_HEADS, HEAD_STEP = 16, 16
 SKETCHES = 4
 GROUP, GROUP_SHINGLES, QUERIES = 32, 1 << 16, 256
+#: Bits of the bitmap of ``possible``, as a power of two; bits of one of its rows (Spark's bitmap functions' fixed value).
+BITMAP, BITMAP_ROW = 25, 15
 #: Bytes of texts hashed at once; a longer text is hashed so many bytes at a time.
 CHUNK = 1 << 20
 
@@ -313,9 +317,22 @@ def _sets(batches):
         )
 
 
+def possible(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows whose ``key`` may be among those of ``keys``, before they are shuffled for a join; none that is there is lost.
+
+    A bitmap of hashed keys (4 MB at most) goes to all tasks. The more keys, the more other rows pass.
+    """
+    place = F.pmod(F.xxhash64(key), F.lit(1 << BITMAP))
+    block, bit = F.shiftright(place, BITMAP_ROW), place.bitwiseAND(F.lit((1 << BITMAP_ROW) - 1))
+    bits = keys.select(block.alias("_block"), bit.alias("_bit")).groupBy("_block").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    byte = F.conv(F.hex(F.substring("_bits", (F.shiftright(bit, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    found = rows.withColumn("_block", block).join(F.broadcast(bits), "_block")
+    return found.where(F.getbit(byte, bit.bitwiseAND(F.lit(7)).cast("int")) == 1).drop("_block", "_bits")
+
+
 def live_sets(docs: DataFrame, live: DataFrame) -> DataFrame:
     """``nid, hashes`` (sorted, 8 bytes each) of the live nodes (written table)."""
-    rows = _rows(docs).select("row", "text").join(live.select("row", "nid", "node"), "row")
+    rows = possible(_rows(docs).select("row", "text"), live, "row").join(live.select("row", "nid", "node"), "row")
     # Repeated rows meet here; the join has already dealt them by this key.
     rows = rows.dropDuplicates(["row", "nid"])
     return common.saved(rows.select("nid", "node", "text").mapInArrow(_sets, "nid long, hashes binary"), "sets", settle=True)
@@ -404,7 +421,8 @@ def merged(parts: DataFrame, links: DataFrame) -> DataFrame:
 def first_components(groups: DataFrame, sets: DataFrame) -> DataFrame:
     """``nid, comp`` after links inside groups and links of components with central members (written table)."""
     several = groups.groupBy("gid").agg(F.count("*").alias("c")).where("c > 1").select("gid")
-    rows = groups.select("nid", "gid").join(several, "gid").join(sets, "nid")
+    rows = groups.select("nid", "gid").join(several, "gid")
+    rows = rows.join(possible(sets, rows, "nid"), "nid")
     found = rows.groupBy("gid").applyInArrow(_inside, "nid long, comp long, degree long")
     found = groups.join(found, "nid", "left").select(
         "nid", F.coalesce("comp", "nid").alias("comp"), F.coalesce("degree", F.lit(1)).alias("degree"), *_SKETCH_COLUMNS
@@ -417,27 +435,36 @@ def first_components(groups: DataFrame, sets: DataFrame) -> DataFrame:
     leaders = keyed.groupBy("k", "m").agg(F.max(order).alias("top"), F.count("*").alias("c")).where("c > 1")
     pairs = keyed.join(leaders.select("k", "m", (-F.col("top.col2")).alias("lead")), ["k", "m"]).where("nid <> lead")
     pairs = pairs.select(F.least("nid", "lead").alias("a"), F.greatest("nid", "lead").alias("b")).distinct()
-    x = sets.select(F.col("nid").alias("a"), F.col("hashes").alias("x"))
-    y = sets.select(F.col("nid").alias("b"), F.col("hashes").alias("y"))
+    pairs = common.saved(pairs, "star_pairs")
+    asked_for = possible(sets, pairs.select(F.explode(F.array("a", "b")).alias("nid")), "nid")
+    x = asked_for.select(F.col("nid").alias("a"), F.col("hashes").alias("x"))
+    y = asked_for.select(F.col("nid").alias("b"), F.col("hashes").alias("y"))
     links = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_compare, "a long, b long")
     return merged(found.select("nid", "comp"), links)
 
 
+def regrouped(groups: DataFrame, parts: DataFrame) -> DataFrame:
+    """``nid, comp, gid, size``: as before, but nodes of a component of more than ``GROUP`` nodes by that; the component's size (written table)."""
+    rows = parts.join(groups.select("nid", "n", "gid"), "nid")
+    size = rows.groupBy("comp").agg(F.count("*").alias("size"), F.sum("n").alias("s"))
+    count = F.greatest(F.ceil(F.col("size") / GROUP), F.ceil(F.col("s") / GROUP_SHINGLES)).cast("long")
+    size = size.select("comp", "size", F.least(F.col("size"), count).alias("parts"))
+    gid = F.when(F.col("size") > GROUP, F.xxhash64("comp", F.pmod(F.xxhash64("nid"), F.col("parts")))).otherwise(F.col("gid"))
+    return common.saved(salted_join(rows, size, "comp", how="inner").select("nid", "comp", gid.alias("gid"), "size"), "regrouped")
+
+
 # --- 4. matrix ----------------------------------------------------------------------------------
 def _possible(n: Column, m: Column) -> Column:
     """Overlap that a link of sets of these sizes needs, as ``SHARE * (n + m)`` against ``(ALL + SHARE) * overlap``."""
     return F.lit(SHARE) * (n + m)
 
 
-def asked(heads: DataFrame, groups: DataFrame, parts: DataFrame) -> DataFrame:
+def asked(heads: DataFrame, groups: DataFrame) -> DataFrame:
     """``nid, gid``: the groups that each node has to ask (written table)."""
     # Components are compared by size, then by number: the many nodes of a large one ask nobody at a shingle
     # that they share with smaller ones only.
-    sizes = parts.groupBy("comp").agg(F.count("*").alias("size"))
     rank = F.col("size").cast("decimal(15,0)") * F.lit(str(1 << 63)).cast("decimal(20,0)") + F.col("comp").cast("decimal(20,0)")
-    ranked = salted_join(parts, sizes, "comp", how="inner").select("nid", rank.cast("decimal(38,0)").alias("comp"))
-    of = common.saved(groups.select("nid", "gid").join(ranked, "nid"), "ranked")
-    rows = heads.join(of, "nid")
+    rows = heads.join(groups.select("nid", "gid", rank.cast("decimal(38,0)").alias("comp")), "nid")
     tops = rows.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("top")).where("low < top").drop("low")
     # Shingles of several components only; written, as the join below needs it twice.
     rows = common.saved(rows.join(tops, "token"), "open_heads")
@@ -480,16 +507,18 @@ def _open(batches):
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
-def opened(wanted: DataFrame, groups: DataFrame, parts: DataFrame, sets: DataFrame) -> DataFrame:
+def opened(wanted: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
     """``a, b``: components that the asked groups link."""
     copies = wanted.groupBy("gid").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("copies"))
-    of = parts.join(sets, "nid")
-    members = groups.select("nid", "gid").join(copies, "gid").join(of, "nid")
-    members = members.select("gid", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"), F.lit(False).alias("query"), "nid", "comp", "hashes")
-    queries = wanted.join(copies, "gid").join(of, "nid")
+    of = groups.select("nid", "comp")
+    members = groups.select("nid", "gid", "comp").join(copies, "gid")
+    members = members.select("gid", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"), F.lit(False).alias("query"), "nid", "comp")
     copy = F.pmod(F.xxhash64("nid"), F.col("copies")).cast("int")
-    queries = queries.select("gid", copy.alias("copy"), F.lit(True).alias("query"), "nid", "comp", "hashes")
-    rows = members.union(queries).repartition("gid", "copy").sortWithinPartitions("gid", "copy", "query")
+    queries = wanted.join(copies, "gid").join(of, "nid").select("gid", copy.alias("copy"), F.lit(True).alias("query"), "nid", "comp")
+    # Sets meet members and queries once, after these are known.
+    both = common.saved(members.union(queries), "meetings")
+    rows = both.join(possible(sets, both, "nid"), "nid").select("gid", "copy", "query", "nid", "comp", "hashes")
+    rows = rows.repartition("gid", "copy").sortWithinPartitions("gid", "copy", "query")
     return rows.mapInArrow(_open, "a long, b long").distinct()
 
 
@@ -503,7 +532,8 @@ def join(docs: DataFrame) -> DataFrame:
     groups = grouped(live)
     sets = live_sets(docs, live)
     parts = first_components(groups, sets)
-    parts = merged(parts, opened(asked(heads, groups, parts), groups, parts, sets))
+    groups = regrouped(groups, parts)
+    parts = merged(parts, opened(asked(heads, groups), groups, sets))
     named = nodes.select("nid", "node", "own").join(parts, "nid", "left")
     named = common.saved(named.select("node", "own", F.coalesce("comp", "nid").alias("comp")), "named")
     firsts = named.groupBy("comp").agg(F.min("own").alias("component_id"))

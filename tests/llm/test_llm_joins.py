@@ -291,6 +291,25 @@ def test_union_bounds_and_opened_groups_are_exact():
         assert members.linked(q).tolist() == want
 
 
+def test_only_rows_that_may_be_asked_for_are_moved(spark):
+    rows = spark.range(20_000).withColumn("x", F.col("id") * 3)
+    keys = spark.createDataFrame([(k,) for k in range(0, 20_000, 50)] + [(7,), (7,), (None,), (99_999,)], "id long")
+    got = [r["id"] for r in shingle_join.possible(rows, keys, "id").collect()]
+    assert len(got) == len(set(got)) < 420 and {7, *range(0, 20_000, 50)} <= set(got)
+    assert shingle_join.possible(rows, keys.limit(0), "id").columns == ["id", "x"]
+    assert shingle_join.possible(rows, keys.limit(0), "id").count() == 0
+
+
+def test_a_large_component_has_few_groups(spark):
+    n = 10 * shingle_join.GROUP
+    groups = spark.range(n + 3).select(F.col("id").alias("nid"), F.lit(60).alias("n"), F.col("id").alias("gid"))
+    parts = groups.select("nid", F.when(F.col("nid") < n, F.lit(5)).otherwise(F.lit(n)).cast("long").alias("comp"))
+    got = shingle_join.regrouped(groups, parts).collect()
+    assert sorted(r["nid"] for r in got) == list(range(n + 3))
+    assert len({r["gid"] for r in got if r["comp"] == 5}) <= 10 and {r["size"] for r in got} == {n, 3}
+    assert {r["gid"] for r in got if r["comp"] == n} == {n, n + 1, n + 2}
+
+
 def test_a_very_long_text_and_its_copy(spark):
     draw = random.Random(2)
     text = " ".join(f"w{draw.randrange(10**5)}" for _ in range(120_000))
