@@ -8,7 +8,7 @@ No place is expanded more than ``n`` times, so long units and ties stay linear i
 
 No piece has a space mark after another character (checked on loading), so a text's lattice is
 a chain of lattices, one for each run of marks and the word after it (a unit). Workers remember
-units; new ones of a batch are searched side by side. The Viterbi pass also keeps how much the second best path of a unit loses; only the
+units, in columns; new ones of a batch are matched and searched side by side. The Viterbi pass also keeps how much the second best path of a unit loses; only the
 ``n - 1`` units that lose least can differ from the best path within the ``n`` best, so the A*
 search runs over those units alone, and their lists are combined.
 
@@ -31,7 +31,8 @@ import itertools
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Mapping
+from typing import NamedTuple
 
 import ahocorasick
 import numpy as np
@@ -60,6 +61,90 @@ UNIT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 Path = tuple[float, tuple[int, ...]]
 #: Ids of a unit's best path (little-endian unsigned 32-bit), its score, the loss of the second best, the ids' text with its marks.
 Best = tuple[bytes, float, float, str]
+#: One way through a unit: what it loses against the best one, its ids, the ids' text with its marks.
+Way = tuple[float, bytes, str]
+
+
+class Memory(Mapping):
+    """Units and their ``Best``, in columns: nothing is an object of its own but the unit, and its text if that is another."""
+
+    def __init__(self, found: Mapping[str, Best] | None = None) -> None:
+        self.number: dict[str, int] = {}
+        self.ids, self.ends = np.empty(0, "<u4"), np.zeros(1, np.int64)
+        self.scores, self.losses, self.plain = np.empty(0), np.empty(0), np.empty(0, bool)
+        self.other: dict[int, str] = {}
+        if found:
+            self.remember(found.keys(), found.values())
+
+    def __len__(self) -> int:
+        return len(self.number)
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.number)
+
+    def __getitem__(self, unit: str) -> Best:
+        k = self.number[unit]
+        ids = self.ids[self.ends[k] : self.ends[k + 1]].tobytes()
+        return ids, float(self.scores[k]), float(self.losses[k]), self.other.get(k, unit)
+
+    def numbers(self, units: list[str]) -> np.ndarray:
+        """The units' numbers, -1 where not known."""
+        return np.fromiter(map(self.number.get, units, itertools.repeat(-1)), np.int64, len(units))
+
+    def rows(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids one after another, their number, score and loss of the units with these numbers."""
+        starts = self.ends[at]
+        sizes = self.ends[at + 1] - starts
+        ends = np.cumsum(sizes)
+        places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
+        return self.ids[places], sizes, self.scores[at], self.losses[at]
+
+    def texts(self, units: list[str], at: np.ndarray) -> dict[int, str]:
+        """By place, the decoded texts that are not the unit itself."""
+        return {i: self.other[k] for i in np.flatnonzero(~self.plain[at]).tolist() if (k := int(at[i])) in self.other}
+
+    def add(self, units: Iterable[str], ids: np.ndarray, sizes: np.ndarray, scores: np.ndarray, losses: np.ndarray, other: dict[int, str]) -> None:
+        """Units with their rows, and by place the decoded texts that are not the unit itself."""
+        first = len(self.scores)
+        self.number.update(zip(units, itertools.count(first)))
+        self.ids = np.concatenate([self.ids, ids])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+        self.scores, self.losses = np.concatenate([self.scores, scores]), np.concatenate([self.losses, losses])
+        plain = np.ones(len(sizes), bool)
+        plain[list(other)] = False
+        self.plain = np.concatenate([self.plain, plain])
+        self.other.update((first + i, t) for i, t in other.items())
+
+    def remember(self, units: Iterable[str], bests: Iterable[Best]) -> None:
+        units, (raw, scores, losses, texts) = list(units), zip(*bests)
+        ids = np.frombuffer(b"".join(raw), "<u4")
+        other = {i: t for i, (u, t) in enumerate(zip(units, texts)) if t != u}
+        self.add(units, ids, np.array([len(r) // 4 for r in raw]), np.array(scores), np.array(losses), other)
+
+    def forget(self, units: list[str]) -> None:
+        """The units that were added last."""
+        n = len(self.scores) - len(units)
+        for u in units:
+            self.other.pop(self.number.pop(u), None)
+        self.ids, self.ends = self.ids[: self.ends[n]].copy(), self.ends[: n + 1]
+        self.scores, self.losses, self.plain = self.scores[:n], self.losses[:n], self.plain[:n]
+
+
+class Met(NamedTuple):
+    """The units of some texts one after another: where each text's begin, the units, their scores and losses, the ids of
+    all, where each unit's ids begin (in bytes), and by place the decoded texts that are not the unit itself."""
+
+    bounds: list[int]
+    units: list[str]
+    scores: np.ndarray
+    losses: np.ndarray
+    ids: memoryview
+    ends: np.ndarray
+    other: dict[int, str]
+
+    def read(self, i: int) -> str:
+        """The decoded text of the unit at a place."""
+        return self.other.get(i, self.units[i])
 
 
 class Decoder:
@@ -87,6 +172,79 @@ class Decoder:
         return [t.replace(MARK, " ").removeprefix(" ") for t in self.marked(ids, ends)]
 
 
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+
+
+class Trie:
+    """Beginnings of pieces, for many places of a text at once, one more character at a time.
+
+    A beginning is a number; a hash table has the one with another character by (number, the character's number).
+    """
+
+    def __init__(self, pieces: list[str]) -> None:
+        chars = sorted(set("".join(pieces)))
+        self.codes = _codes("".join(chars))
+        self.width = len(chars) + 1
+        of = {c: k for k, c in enumerate(chars, 1)}
+        number, keys, self.depth = {"": 0}, {}, max(map(len, pieces))
+        for p in pieces:
+            for k in range(1, len(p) + 1):
+                if p[:k] not in number:
+                    number[p[:k]] = len(number)
+                    keys[number[p[: k - 1]] * self.width + of[p[k - 1]]] = number[p[:k]]
+        self.piece = np.full(len(number), -1, np.int64)
+        self.piece[[number[p] for p in pieces]] = np.arange(len(pieces))
+        # Open addressing: a key is in the first free slot from its hash on.
+        self.bits = 64 - (2 * len(keys)).bit_length() - 1
+        self.keys = np.full((1 << (64 - self.bits)) + len(keys), -1, np.int64)
+        self.next = np.full(len(self.keys), -1, np.int64)
+        left, values = np.array(list(keys)), np.array(list(keys.values()))
+        slot = self._slot(left)
+        while len(left):
+            _, firsts = np.unique(slot, return_index=True)
+            put = firsts[self.keys[slot[firsts]] == -1]
+            self.keys[slot[put]], self.next[slot[put]] = left[put], values[put]
+            rest = np.ones(len(left), bool)
+            rest[put] = False
+            left, values, slot = left[rest], values[rest], slot[rest] + 1
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(self.bits)).astype(np.int64)
+
+    def following(self, at: np.ndarray, char: np.ndarray) -> np.ndarray:
+        """The beginnings ``at`` with one more character, -1 if no piece begins so."""
+        keys = at * self.width + char
+        slot = self._slot(keys)
+        there = self.keys[slot]
+        out = np.where(there == keys, self.next[slot], -1)
+        open_ = np.flatnonzero((there != keys) & (there != -1))
+        while len(open_):
+            slot[open_] += 1
+            there = self.keys[slot[open_]]
+            out[open_] = np.where(there == keys[open_], self.next[slot[open_]], -1)
+            open_ = open_[(there != keys[open_]) & (there != -1)]
+        return out
+
+    def matches(self, codes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Last places and numbers of all pieces in a text, longer ones first; a piece that begins at a place ends before
+        that place's ``ends``."""
+        char = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+        char = np.where(self.codes[char] == codes, char + 1, 0)
+        place, state, found = np.arange(len(codes)), np.zeros(len(codes), np.int64), []
+        for k in range(self.depth):
+            state = self.following(state, char[place + k])
+            on = state >= 0
+            place, state = place[on], state[on]
+            piece = self.piece[state]
+            whole = piece >= 0
+            found.append((place[whole] + k, piece[whole]))
+            on = place + k + 1 < ends[place]
+            place, state = place[on], state[on]
+        last, piece = zip(*reversed(found))
+        return np.concatenate(last), np.concatenate(piece)
+
+
 class Lattices:
     """The vocabulary of one model and what this worker has met."""
 
@@ -112,9 +270,17 @@ class Lattices:
         for k, p in enumerate(self.pieces):
             self.matcher.add_word(p, k)
         self.matcher.make_automaton()
-        self.known: dict[str, Best] = {}
-        self.older: dict[str, Best] = {}
-        self.lists: dict[tuple[str, int], list[Path]] = {}
+        self.trie = Trie(list(self.pieces))
+        self.known, self.older = Memory(), Memory()
+        self.lists: dict[tuple[str, int], list[Way]] = {}
+
+    @property
+    def known(self) -> Memory:
+        return self._known
+
+    @known.setter
+    def known(self, found: Mapping[str, Best]) -> None:
+        self._known = found if isinstance(found, Memory) else Memory(found)
 
     def fallback(self, char: str) -> tuple[int, ...]:
         if not self.bytes:
@@ -165,15 +331,13 @@ class Lattices:
         starts = np.cumsum(lengths) - lengths
         owner = np.repeat(np.arange(len(units)), lengths)
         together = "".join(units)
-        last, piece = np.fromiter(itertools.chain.from_iterable(self.matcher.iter(together)), np.int64).reshape(-1, 2).T
+        codes = _codes(together)
+        last, piece = self.trie.matches(codes, np.repeat(starts + lengths, lengths))
         without = "".join(set(together).difference(self.single))
         if without:  # their fallback is the edge after the last piece
-            codes = np.frombuffer(together.encode("utf-32-le", "surrogatepass"), "<u4")
-            bare = np.flatnonzero(np.isin(codes, np.frombuffer(without.encode("utf-32-le", "surrogatepass"), "<u4")))
+            bare = np.flatnonzero(np.isin(codes, _codes(without)))
             last, piece = np.concatenate([last, bare]), np.concatenate([piece, np.full(len(bare), len(self.edge))])
         unit = owner[last]
-        inside = last + 1 - self.edge_length[piece] >= starts[unit]  # no piece of two units
-        last, piece, unit = last[inside], piece[inside], unit[inside]
         # Unit u has the places starts[u] + u up to its length later; edges lead to a place from an earlier one.
         to = last + unit + 1
         level = last - starts[unit]
@@ -212,34 +376,57 @@ class Lattices:
         sizes = np.bincount(whose, minlength=len(units))
         if without:
             ids, sizes = self._with_fallbacks(ids, whose[order], together, chars[order], len(units))
-        ends = np.cumsum(sizes) * 4
-        raw, cuts = ids.tobytes(), ends.tolist()
-        found = (raw[a:b] for a, b in zip([0, *cuts], cuts))
-        self.known.update(zip(units, zip(found, score_of.tolist(), loss.tolist(), self.decoder.marked(ids, [0, *(ends // 4)]))))
+        read = self.decoder.marked(ids, [0, *np.cumsum(sizes).tolist()])
+        other = {i: t for i, (u, t) in enumerate(zip(units, read)) if t != u}
+        self.known.add(units, ids, sizes, score_of, loss, other)
 
     def _with_fallbacks(self, ids: np.ndarray, whose: np.ndarray, text: str, at: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids, and their number by unit, with each ``_FALLBACK`` replaced by the ids of its character (``at`` in ``text``)."""
         marks = np.flatnonzero(ids == _FALLBACK)
-        parts = [self.fallback(text[k]) for k in at[marks].tolist()]
+        chars = [text[k] for k in at[marks].tolist()]
+        of = {c: self.fallback(c) for c in set(chars)}
+        parts = list(map(of.__getitem__, chars))
         counts = np.ones(len(ids), np.int64)
         counts[marks] = [len(p) for p in parts]
         out = np.repeat(ids, counts)
         out[out == _FALLBACK] = list(itertools.chain.from_iterable(parts))
         return out, np.bincount(np.repeat(whose, counts), minlength=n)
 
-    def meet(self, texts: list[list[str]]) -> None:
+    def meet(self, texts: list[list[str]]) -> Met:
         """Before texts (their units) are segmented: learn the units that are new, and bring older ones over."""
         if len(self.known) >= REMEMBERED:
-            self.older, self.known = self.known, {}
-        new = set().union(*texts).difference(self.known)
-        back = self.older.keys() & new if self.older else set()
-        self.known.update((u, self.older[u]) for u in back)
-        new = [u for u in new - back if len(u) <= LONGEST]
-        for some in common.slices(new, [len(u) for u in new], LEARN_CHARS):
-            self.learn(some)
+            self.older, self.known = self.known, Memory()
+        units = list(itertools.chain.from_iterable(texts))
+        at = self.known.numbers(units)
+        unknown = np.flatnonzero(at < 0)
+        long = []
+        if len(unknown):
+            some = [units[i] for i in unknown.tolist()]
+            new = list(dict.fromkeys(some))
+            if back := [u for u in new if u in self.older.number]:
+                old = self.older.numbers(back)
+                self.known.add(back, *self.older.rows(old), self.older.texts(back, old))
+                new = [u for u in new if u not in self.older.number]
+            short = [u for u in new if len(u) <= LONGEST]
+            for part in common.slices(short, [len(u) for u in short], LEARN_CHARS):
+                self.learn(part)
+            if long := [u for u in new if len(u) > LONGEST]:
+                self.known.remember(long, map(self.viterbi, long))
+            at[unknown] = self.known.numbers(some)
+        ids, sizes, scores, losses = self.known.rows(at)
+        other = self.known.texts(units, at)
+        if long:
+            self.known.forget(long)
+        bounds = np.cumsum([0, *map(len, texts)]).tolist()
+        return Met(bounds, units, scores, losses, memoryview(ids.tobytes()), np.concatenate([[0], np.cumsum(sizes) * 4]), other)
 
     def units(self, text: str) -> list[str]:
-        return UNIT.findall(self.model.normalize(text)) if text else []
+        if not text:
+            return []
+        whole = self.model.normalize(text)
+        if " " in whole or MARK * 2 in whole:
+            return UNIT.findall(whole)
+        return whole.replace(MARK, " " + MARK).removeprefix(" ").split(" ") if whole else []
 
     def nbest(self, unit: str, n: int) -> list[Path]:
         """The ``n`` best paths of a unit, best first: A* from its end with forward scores as heuristics.
@@ -284,20 +471,14 @@ class Lattices:
             place, parent, length, piece = expanded[parent]
         return tuple(ids)
 
-    def best(self, unit: str) -> Best:
-        got = self.known.get(unit)
-        if got is None:
-            got = self.older.get(unit) or self.viterbi(unit)
-            if len(unit) <= LONGEST:
-                if len(self.known) >= REMEMBERED:
-                    self.older, self.known = self.known, {}
-                self.known[unit] = got
-        return got
-
-    def listed(self, unit: str, n: int) -> list[Path]:
+    def listed(self, met: Met, i: int, n: int) -> list[Way]:
+        """The ``n`` best paths of the unit at a place, the Viterbi path first."""
+        unit = met.units[i]
         got = self.lists.get((unit, n))
         if got is None:
-            got = self.nbest(unit, n)
+            first, best = met.ids[met.ends[i] : met.ends[i + 1]].tobytes(), float(met.scores[i])
+            rest = [(s - best, np.array(p, "<u4").tobytes()) for s, p in self.nbest(unit, n)]
+            got = [(0.0, first, met.read(i)), *((d, p, self.decoder.joined(p)) for d, p in rest if p != first)][:n]
             if len(unit) <= LONGEST:
                 if len(self.lists) >= REMEMBERED // 4:
                     self.lists.clear()
@@ -306,61 +487,63 @@ class Lattices:
 
     def segmentations(self, text: str, n: int) -> list[tuple[float, bytes]]:
         """Scores and ids of the ``n`` best segmentations of a text, best first."""
-        units = self.units(text)
-        self.meet([units])
-        return [(score, b"".join(ids)) for score, ids, _, _ in self.chains(units, n)]
-
-    def chains(self, units: list[str], n: int) -> Iterator[tuple[float, list[bytes], list[int], list[Best]]]:
-        """The ``n`` best segmentations, best first: score, the units' ids, which units differ from the best, all units' ``Best``.
-
-        The list of ids is the caller's until the next one is asked for.
-        """
-        if not units:
-            yield 0.0, [], [], []
+        return [(score, ids) for score, ids, _ in self.chains(self.meet([self.units(text)]), 0, n)]
+
+    def chains(self, met: Met, text: int, n: int) -> Iterator[tuple[float, bytes, list[tuple[int, Way]]]]:
+        """The ``n`` best segmentations of a text, best first: score, ids, and the places of the units that may have
+        another way than in the best one, with their ways."""
+        a, b = met.bounds[text : text + 2]
+        if a == b:
+            yield 0.0, b"", []
             return
-        try:
-            got = list(map(self.known.__getitem__, units))
-        except KeyError:  # units too long to be remembered
-            got = [self.known.get(u) or self.best(u) for u in units]
-        ids, scores, losses, _ = map(list, zip(*got))
-        total = sum(scores)
-        loss = np.array(losses)
-        k = min(n - 1, len(units))
-        at = np.argsort(loss, kind="stable")[:k] if len(loss) <= 64 else _smallest(loss, k)
+        total = sum(met.scores[a:b].tolist())
+        loss = met.losses[a:b]
+        k = min(n - 1, b - a)
+        at = np.argsort(loss, kind="stable")[:k] if b - a <= 64 else _smallest(loss, k)
         # Combine the units that lose least; others stay on their best path.
-        ways: list[tuple[float, tuple[tuple[int, bytes], ...]]] = [(0.0, ())]
+        ways: list[tuple[float, int, tuple[tuple[int, Way], ...]]] = [(0.0, 0, ())]
         for i in at.tolist():
             if not np.isfinite(loss[i]):
                 continue
-            paths = [(s - got[i][1], np.array(p, "<u4").tobytes()) for s, p in self.listed(units[i], n)]
-            paths = [(0.0, ids[i])] + [p for p in paths if p[1] != ids[i]][: n - 1]
-            ways = [(d + e, (*chosen, (i, p))) for d, chosen in ways for e, p in paths]
-            ways = heapq.nsmallest(n, ways, key=lambda w: (-w[0], sum(len(p) for _, p in w[1])))
-        for lost, chosen in ways[:n]:
-            for i, p in chosen:
-                ids[i] = p
-            yield total + lost, ids, [i for i, p in chosen if p != got[i][0]], got
-            for i, _ in chosen:
-                ids[i] = got[i][0]
-
-    def decoded_segmentations(self, units: list[str], n: int) -> Iterator[tuple[float, bytes, str]]:
-        """Score, ids and decoded text of the ``n`` best segmentations of a text (its units)."""
-        whole = ""
-        for rank, (score, ids, other, got) in enumerate(self.chains(units, n)):
-            if not rank:
-                whole = "".join([g[3] for g in got]).replace(MARK, " ").removeprefix(" ")
-            read = {i: self.decoder.joined(ids[i]) for i in other}
-            if all(got[i][3] == t for i, t in read.items()):
-                yield score, b"".join(ids), whole
+            paths = self.listed(met, a + i, n)
+            ways = [(d + p[0], size + len(p[1]), (*chosen, (a + i, p))) for d, size, chosen in ways for p in paths]
+            ways = sorted(ways, key=_order)[:n]
+        for lost, _, chosen in ways[:n]:
+            parts, begin = [], met.ends[a]
+            for i, p in sorted(chosen):
+                parts += [met.ids[begin : met.ends[i]], p[1]]
+                begin = met.ends[i + 1]
+            yield total + lost, b"".join([*parts, met.ids[begin : met.ends[b]]]), list(chosen)
+
+    def decoded_segmentations(self, met: Met, text: int, n: int) -> Iterator[tuple[float, bytes, str]]:
+        """Score, ids and decoded text of the ``n`` best segmentations of a text."""
+        a, b = met.bounds[text : text + 2]
+        parts = [met.read(i) for i in range(a, b)] if met.other else met.units[a:b]
+        whole = _spaced(parts)
+        for score, ids, chosen in self.chains(met, text, n):
+            if all(p[2] == parts[i - a] for i, p in chosen):
+                yield score, ids, whole
             else:
-                parts = [read.get(i, g[3]) for i, g in enumerate(got)]
-                yield score, b"".join(ids), "".join(parts).replace(MARK, " ").removeprefix(" ")
+                read = parts.copy()
+                for i, p in chosen:
+                    read[i - a] = p[2]
+                yield score, ids, _spaced(read)
 
     def decode(self, ids) -> str:
         """The text of a segmentation."""
         return self.decoder.texts(np.asarray(ids, np.int64), [0, len(ids)])[0]
 
 
+def _spaced(parts: list[str]) -> str:
+    """A text from the decoded texts of its units."""
+    return "".join(parts).replace(MARK, " ").removeprefix(" ")
+
+
+def _order(way: tuple[float, int, tuple]) -> tuple[float, int]:
+    """The best score first, then the fewest ids."""
+    return -way[0], way[1]
+
+
 def _smallest(loss: np.ndarray, k: int) -> np.ndarray:
     """Places of the ``k`` smallest values, earlier ones first among equals."""
     if not k:
@@ -384,14 +567,13 @@ def _segment(path: str, n: int):
             texts = common.texts_of(batch)
             for some in common.slices(range(len(texts)), [n * len(t) for t in texts], BATCH_IDS):
                 rows, rank, score, parts = [], [], [], []
-                cut = [found.units(texts[i]) for i in some]
-                found.meet(cut)
-                for i, units in zip(some, cut):
-                    for k, (s, ids, _, _) in enumerate(found.chains(units, n)):
+                met = found.meet([found.units(texts[i]) for i in some])
+                for at, i in enumerate(some):
+                    for k, (s, ids, _) in enumerate(found.chains(met, at, n)):
                         rows.append(i)
                         rank.append(k + 1)
                         score.append(s)
-                        parts.append(b"".join(ids))
+                        parts.append(ids)
                 ends = np.cumsum([0, *(len(x) // 4 for x in parts)])
                 ids = pa.array(np.frombuffer(b"".join(parts), "<i4"), pa.int32())
                 yield pa.RecordBatch.from_arrays(
@@ -471,11 +653,10 @@ def _segment_and_decode(path: str, n: int):
             rows, rank, score, size, crc, text_crc = [], [], [], [], [], []
             texts = common.texts_of(batch)
             for some in common.slices(range(len(texts)), [len(t) for t in texts], BATCH_CHARS):
-                cut = [found.units(texts[i]) for i in some]
-                found.meet(cut)
-                for i, units in zip(some, cut):
+                met = found.meet([found.units(texts[i]) for i in some])
+                for at, i in enumerate(some):
                     last, last_crc = None, 0
-                    for k, (s, ids, back) in enumerate(found.decoded_segmentations(units, n)):
+                    for k, (s, ids, back) in enumerate(found.decoded_segmentations(met, at, n)):
                         if back is not last:
                             last, last_crc = back, zlib.crc32(back.encode("utf-8", "replace"))
                         rows.append(i)

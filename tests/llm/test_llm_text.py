@@ -293,6 +293,37 @@ def test_units_of_the_older_generation_come_back(lattices):
     assert want.items() <= own.known.items() and set(own.known) == {"▁the", "▁☃", "▁new"}
 
 
+def test_pieces_are_matched_at_all_places_at_once(lattices):
+    units = ["▁the", "▁☃international", "\n", "▁", "internationalization", "▁" + "-" * 70]
+    codes = np.frombuffer("".join(units).encode("utf-32-le"), "<u4")
+    ends = np.cumsum([len(u) for u in units])
+    last, piece = lattices.trie.matches(codes, np.repeat(ends, [len(u) for u in units]))
+    names = list(lattices.pieces)
+    want = sorted(
+        (int(e) - len(u) + b - 1, names.index(u[a:b]))
+        for u, e in zip(units, ends)
+        for a in range(len(u))
+        for b in range(a + 1, len(u) + 1)
+        if u[a:b] in lattices.pieces
+    )
+    assert sorted(zip(last.tolist(), piece.tolist())) == want
+
+
+def test_remembered_units_come_back_from_columns():
+    own = nbest_pieces.Lattices(public_tokenizers.path(nbest_pieces.MODEL))
+    long = "▁" + "xy" * nbest_pieces.LONGEST
+    texts = [["▁the", "▁☃", "▁the"], [], [long, "▁of", "\ud800"]]
+    for _ in range(2):  # new, then known units
+        met = own.meet(texts)
+        for k, units in enumerate(texts):
+            a, b = met.bounds[k : k + 2]
+            assert [(met.ids[met.ends[i] : met.ends[i + 1]].tobytes(), met.scores[i], met.losses[i], met.read(i)) for i in range(a, b)] == [
+                own.viterbi(u) for u in units
+            ]
+        assert set(own.known) == {"▁the", "▁☃", "▁of", "\ud800"}
+        assert own.known["▁☃"] == own.viterbi("▁☃") and "▁new" not in own.known
+
+
 def test_one_pass_equals_segmenting_then_decoding(spark, odd):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
     more = odd.unionByName(spark.createDataFrame([(900, "-" * 700 + " _▁_ x"), (901, "a\nb\n\nc"), (902, "🙂" * 40)], odd.schema))
