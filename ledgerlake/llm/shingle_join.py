@@ -16,10 +16,10 @@ connected components of all links. Shingles are 64-bit hashes; equal sets (by 12
    sketch with it, which joins the groups of a large cluster by few comparisons. Then nodes of components of more than
    ``GROUP`` are grouped anew, by component: such a cluster of ``m`` nodes is some ``m / GROUP`` groups, however its nodes were dealt before.
 4. *Matrix.* For every (shingle, group): the largest number of shingles that a member has from this one
-   on, the members' sizes and components. A node asks the groups that share one of its
-   first shingles, can still hold the overlap that the sizes call for, and have a member of
-   another component (pairs are asked once, from the smaller component), if it shares k of them with the
-   group. So nodes of one component never meet.
+   on, the members' sizes and components. Groups that share a first shingle and have members of different components and
+   fitting sizes meet there, once for all their nodes. Where they share k of them, each node (of the
+   smaller component, so pairs are asked once) is held against the list of shared ones: it asks the other group if it has k of
+   them itself and both still hold the overlap that the sizes call for. So nodes of one component never meet.
 5. *Opening.* Each group asked for is brought together with its queries once; a group of many queries is
    copied for every ``QUERIES`` of them. The overlap of the query with the union of the group's shingles
    bounds its overlap with any member. Only groups for which that bound suffices are opened: the
@@ -454,32 +454,77 @@ def regrouped(groups: DataFrame, parts: DataFrame) -> DataFrame:
 
 
 # --- 4. matrix ----------------------------------------------------------------------------------
-def _possible(n: Column, m: Column) -> Column:
-    """Overlap that a link of sets of these sizes needs, as ``SHARE * (n + m)`` against ``(ALL + SHARE) * overlap``."""
-    return F.lit(SHARE) * (n + m)
+_SIDE = ["gid", "low", "top", "g_lo", "g_hi", "g_rest"]
 
 
-def asked(heads: DataFrame, groups: DataFrame) -> DataFrame:
-    """``nid, gid``: the groups that each node has to ask (written table)."""
-    # Components are compared by size, then by number: the many nodes of a large one ask nobody at a shingle
+def group_pairs(heads: DataFrame, groups: DataFrame) -> DataFrame:
+    """``gid, other``: groups whose members may link with members of another one that have a higher rank, with the first
+    shingles that they share (``tokens``, the other's ``rests``), and of the other the sizes and the highest rank (written table).
+
+    The join is of groups, not of nodes: where many nodes share a shingle, each group of them is one row.
+    """
+    # Components are ranked by size, then by number: the many nodes of a large one ask nobody at a shingle
     # that they share with smaller ones only.
-    rank = F.col("size").cast("decimal(15,0)") * F.lit(str(1 << 63)).cast("decimal(20,0)") + F.col("comp").cast("decimal(20,0)")
-    rows = heads.join(groups.select("nid", "gid", rank.cast("decimal(38,0)").alias("comp")), "nid")
-    tops = rows.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("top")).where("low < top").drop("low")
-    # Shingles of several components only; written, as the join below needs it twice.
-    rows = common.saved(rows.join(tops, "token"), "open_heads")
-    matrix = rows.groupBy("token", "gid").agg(
-        F.min("n").alias("g_lo"), F.max("n").alias("g_hi"), F.max("rest").alias("g_rest"), F.max("comp").alias("g_top")
-    )
-    queries = rows.where("comp < top").select("token", "nid", "comp", "n", "rest", F.col("gid").alias("own"))
-    met = queries.join(matrix, "token").where((F.col("comp") < F.col("g_top")) & (F.col("own") != F.col("gid")))
-    n, lo, hi = F.col("n").cast("long"), F.col("g_lo").cast("long"), F.col("g_hi").cast("long")
-    sizes = (ALL * hi >= SHARE * n) & (ALL * n >= SHARE * lo)
-    # At the first shingle that the query shares with a member, both still hold the overlap they need,
-    # and a member that links shares as many first shingles as the smaller of the two has to.
-    room = (ALL + SHARE) * F.least("rest", "g_rest").cast("long") >= _possible(n, lo)
-    counted = met.where(sizes).groupBy("nid", "gid").agg(F.count("*").alias("c"), F.max("n").alias("n"), F.max(room).alias("room"))
-    return common.saved(counted.where(F.col("room") & (F.col("c") >= _shares(F.col("n")))).select("nid", "gid"), "asked")
+    rows = heads.join(groups.select("nid", "gid", _rank()), "nid").select("token", "gid", "n", "rest", "rank").repartition("token")
+    of = {"low": F.min("rank"), "top": F.max("rank"), "g_lo": F.min("n"), "g_hi": F.max("n"), "g_rest": F.max("rest")}
+    # One exchange serves this aggregate and both sides of the join: they use the same columns.
+    matrix = rows.groupBy("token", "gid").agg(*(c.alias(k) for k, c in of.items()))
+    x, y = (matrix.select("token", *(F.col(c).alias(f"{side}_{c}") for c in _SIDE)) for side in "xy")
+    up, down = F.col("x_low") < F.col("y_top"), F.col("y_low") < F.col("x_top")
+    sizes = (ALL * _long("y_g_hi") >= SHARE * _long("x_g_lo")) & (ALL * _long("x_g_hi") >= SHARE * _long("y_g_lo"))
+    met = x.join(y, "token").where((F.col("x_gid") < F.col("y_gid")) & sizes & (up | down))
+    shared = F.collect_list(F.struct("token", "x_g_rest", "y_g_rest", up.alias("up"), down.alias("down")))
+    ends = [f(f"{side}_{c}").alias(f"{side}_{c}") for side in "xy" for f, c in ((F.max, "top"), (F.min, "g_lo"), (F.max, "g_hi"))]
+    both = met.groupBy("x_gid", "y_gid").agg(shared.alias("shared"), *ends)
+
+    def asks(a: str, b: str, way: str) -> Column:
+        at = F.filter("shared", lambda t: t[way])
+        named = {"gid": F.col(f"{a}_gid"), "other": F.col(f"{b}_gid"), "top": F.col(f"{b}_top"), "lo": F.col(f"{b}_g_lo"), "hi": F.col(f"{b}_g_hi")}
+        named |= {"own_lo": F.col(f"{a}_g_lo"), "tokens": at["token"], "rests": at[f"{b}_g_rest"]}
+        return F.struct(*(c.alias(k) for k, c in named.items()))
+
+    pairs = both.select(F.explode(F.array(asks("x", "y", "up"), asks("y", "x", "down"))).alias("ask")).select("ask.*")
+    least = F.greatest(_shares(F.col("lo")), _shares(F.col("own_lo")))  # what members that link share at least
+    return common.saved(pairs.where(F.size("tokens") >= least), "group_pairs")
+
+
+def _long(name: str) -> Column:
+    return F.col(name).cast("long")
+
+
+def _rank() -> Column:
+    return F.struct("size", "comp").alias("rank")
+
+
+def _lists(column: pa.ListArray) -> list[np.ndarray]:
+    ends = column.offsets.to_numpy()
+    return np.split(column.values.to_numpy()[ends[0] : ends[-1]], ends[1:-1] - ends[0])
+
+
+@common.worker("shingle_join")
+def _askers(batches):
+    """Keeps the rows whose node shares enough first shingles with the other group, and still holds the overlap it needs there."""
+    for batch in batches:
+        lists = (_lists(batch.column(c)) for c in ("head", "tokens", "rests"))
+        keep = []
+        for n, lo, head, tokens, rests in zip(batch.column("n").to_pylist(), batch.column("lo").to_pylist(), *lists):
+            _, at, there = np.intersect1d(head, tokens, assume_unique=True, return_indices=True)
+            # At the first shingle that the node shares with a member, both still hold the overlap they need,
+            # and a member that links shares as many first shingles as the smaller of the two has to.
+            room = np.minimum(n - at, rests[there]).max(initial=0)
+            keep.append(len(at) >= common_heads(least_overlap(n)) and bool((ALL + SHARE) * int(room) >= SHARE * (n + lo)))
+        yield batch.select(["nid", "gid"]).filter(pa.array(keep, pa.bool_()))
+
+
+def asked(heads: DataFrame, groups: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``nid, gid``: the groups that each node has to ask (written table)."""
+    pairs = group_pairs(heads, groups)
+    own = possible(groups.select("nid", "gid", _rank()), pairs, "gid")
+    own = possible(nodes.select("nid", "n", "head"), own, "nid").join(own, "nid")
+    met = own.join(pairs, "gid").where(F.col("rank") < F.col("top"))
+    met = met.where((ALL * _long("hi") >= SHARE * _long("n")) & (ALL * _long("n") >= SHARE * _long("lo")))
+    met = met.select("nid", F.col("other").alias("gid"), "n", "lo", "head", "tokens", "rests")
+    return common.saved(met.mapInArrow(_askers, "nid long, gid long"), "asked")
 
 
 # --- 5. opening ---------------------------------------------------------------------------------
@@ -533,7 +578,7 @@ def join(docs: DataFrame) -> DataFrame:
     sets = live_sets(docs, live)
     parts = first_components(groups, sets)
     groups = regrouped(groups, parts)
-    parts = merged(parts, opened(asked(heads, groups), groups, sets))
+    parts = merged(parts, opened(asked(heads, groups, nodes), groups, sets))
     named = nodes.select("nid", "node", "own").join(parts, "nid", "left")
     named = common.saved(named.select("node", "own", F.coalesce("comp", "nid").alias("comp")), "named")
     firsts = named.groupBy("comp").agg(F.min("own").alias("component_id"))

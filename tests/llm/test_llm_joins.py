@@ -310,6 +310,24 @@ def test_a_large_component_has_few_groups(spark):
     assert {r["gid"] for r in got if r["comp"] == n} == {n, n + 1, n + 2}
 
 
+def test_nodes_that_share_a_shingle_meet_by_group(spark):
+    n, n_groups, tokens = 200, 10, list(range(12))
+    groups = spark.range(n).select(F.col("id").alias("nid"), (F.col("id") % n_groups).alias("gid"), F.lit(1).cast("long").alias("size"), F.col("id").alias("comp"))
+    # Every fourth node has too few of the shingles to link with any other; the last group has much larger sets.
+    size = F.when(F.col("gid") == n_groups - 1, 600).otherwise(60).alias("n")
+    head = F.when(F.col("nid") % 4 == 0, F.array(*(F.lit(t).cast("long") for t in tokens[:3]))).otherwise(F.array(*(F.lit(t).cast("long") for t in tokens)))
+    nodes = groups.select("nid", size, head.alias("head"))
+    heads = nodes.select("nid", "n", F.posexplode("head").alias("at", "token")).select("token", "nid", "n", (F.col("n") - F.col("at")).alias("rest"))
+    pairs = shingle_join.group_pairs(heads, groups).collect()
+    assert {(r["gid"], r["other"]) for r in pairs} == {(a, b) for a in range(n_groups - 1) for b in range(n_groups - 1) if a != b}
+    assert all(1 < len(r["tokens"]) == len(r["rests"]) <= len(tokens) for r in pairs)
+    got = [(r["nid"], r["gid"]) for r in shingle_join.asked(heads, groups, nodes).collect()]
+    tops = {g: max(x for x in range(n) if x % n_groups == g) for g in range(n_groups)}
+    want = {(x, g) for x in range(n) if x % 4 and x % n_groups < n_groups - 1 for g in range(n_groups - 1) if g != x % n_groups and x < tops[g]}
+    assert len(got) == len(set(got)) and set(got) == want
+    assert shingle_join.asked(heads.limit(0), groups, nodes).collect() == []
+
+
 def test_a_very_long_text_and_its_copy(spark):
     draw = random.Random(2)
     text = " ".join(f"w{draw.randrange(10**5)}" for _ in range(120_000))
