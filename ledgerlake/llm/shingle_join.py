@@ -313,7 +313,8 @@ def _sets(batches):
         sets = shingle_sets(batch.column("text").to_pylist())
         ours = [i for i, (s, n) in enumerate(zip(sets, batch.column("node").to_pylist())) if digest(s) == n]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("nid").take(pa.array(ours, pa.int64())), pa.array([sets[i].tobytes() for i in ours], pa.binary())], ["nid", "hashes"]
+            [*(batch.column(c).take(pa.array(ours, pa.int64())) for c in ("nid", "gid")), pa.array([sets[i].tobytes() for i in ours], pa.binary())],
+            ["nid", "gid", "hashes"],
         )
 
 
@@ -330,22 +331,22 @@ def possible(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return found.where(F.getbit(byte, bit.bitwiseAND(F.lit(7)).cast("int")) == 1).drop("_block", "_bits")
 
 
-def live_sets(docs: DataFrame, live: DataFrame) -> DataFrame:
-    """``nid, hashes`` (sorted, 8 bytes each) of the live nodes (written table)."""
-    rows = possible(_rows(docs).select("row", "text"), live, "row").join(live.select("row", "nid", "node"), "row")
+def live_sets(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """``nid, gid, hashes`` (sorted, 8 bytes each) of the live nodes, with their first groups (written table)."""
+    rows = possible(_rows(docs).select("row", "text"), groups, "row").join(groups.select("row", "nid", "gid", "node"), "row")
     # Repeated rows meet here; the join has already dealt them by this key.
     rows = rows.dropDuplicates(["row", "nid"])
-    return common.saved(rows.select("nid", "node", "text").mapInArrow(_sets, "nid long, hashes binary"), "sets", settle=True)
+    return common.saved(rows.select("nid", "gid", "node", "text").mapInArrow(_sets, "nid long, gid long, hashes binary"), "sets", settle=True)
 
 
 # --- 3. groups ------------------------------------------------------------------------------------
 def grouped(live: DataFrame) -> DataFrame:
-    """``nid, n, gid`` and sketches: groups of nodes with the same first sketch (written table)."""
+    """``nid, n, row, node, gid`` and sketches: groups of nodes with the same first sketch (written table)."""
     size = live.groupBy("m0").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
     parts = F.greatest(F.ceil(F.col("c") / GROUP), F.ceil(F.col("s") / GROUP_SHINGLES)).cast("long")
     size = size.select("m0", F.least(F.col("c"), parts).alias("parts"))
     gid = F.xxhash64("m0", F.pmod(F.xxhash64("nid"), F.col("parts")))
-    return common.saved(live.join(size, "m0").select("nid", "n", *_SKETCH_COLUMNS, gid.alias("gid")), "groups")
+    return common.saved(live.join(size, "m0").select("nid", "n", "row", "node", *_SKETCH_COLUMNS, gid.alias("gid")), "groups")
 
 
 class Members:
@@ -421,8 +422,7 @@ def merged(parts: DataFrame, links: DataFrame) -> DataFrame:
 def first_components(groups: DataFrame, sets: DataFrame) -> DataFrame:
     """``nid, comp`` after links inside groups and links of components with central members (written table)."""
     several = groups.groupBy("gid").agg(F.count("*").alias("c")).where("c > 1").select("gid")
-    rows = groups.select("nid", "gid").join(several, "gid")
-    rows = rows.join(possible(sets, rows, "nid"), "nid")
+    rows = possible(sets, several, "gid").join(several, "gid")  # dealt by group once, as the sets have it
     found = rows.groupBy("gid").applyInArrow(_inside, "nid long, comp long, degree long")
     found = groups.join(found, "nid", "left").select(
         "nid", F.coalesce("comp", "nid").alias("comp"), F.coalesce("degree", F.lit(1)).alias("degree"), *_SKETCH_COLUMNS
@@ -562,7 +562,7 @@ def opened(wanted: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
     queries = wanted.join(copies, "gid").join(of, "nid").select("gid", copy.alias("copy"), F.lit(True).alias("query"), "nid", "comp")
     # Sets meet members and queries once, after these are known.
     both = common.saved(members.union(queries), "meetings")
-    rows = both.join(possible(sets, both, "nid"), "nid").select("gid", "copy", "query", "nid", "comp", "hashes")
+    rows = both.join(possible(sets.drop("gid"), both, "nid"), "nid").select("gid", "copy", "query", "nid", "comp", "hashes")
     rows = rows.repartition("gid", "copy").sortWithinPartitions("gid", "copy", "query")
     return rows.mapInArrow(_open, "a long, b long").distinct()
 
@@ -575,7 +575,7 @@ def join(docs: DataFrame) -> DataFrame:
     heads = shared_heads(nodes)
     live = common.saved(nodes.drop("head").join(heads.select("nid").distinct(), "nid"), "live")
     groups = grouped(live)
-    sets = live_sets(docs, live)
+    sets = live_sets(docs, groups)
     parts = first_components(groups, sets)
     groups = regrouped(groups, parts)
     parts = merged(parts, opened(asked(heads, groups, nodes), groups, sets))

@@ -310,6 +310,16 @@ def test_a_large_component_has_few_groups(spark):
     assert {r["gid"] for r in got if r["comp"] == n} == {n, n + 1, n + 2}
 
 
+def test_sets_know_their_group(spark):
+    texts = [" ".join(f"w{k % 7}x{i}" for k in range(40)) for i in range(6)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts + texts[:2])], "doc_id long, text string")
+    nodes = shingle_join.nodes_of(docs, shingle_join.measured(docs)[1])
+    groups = shingle_join.grouped(nodes.drop("head"))
+    sets = {r["nid"]: (r["gid"], bytes(r["hashes"])) for r in shingle_join.live_sets(docs, groups).collect()}
+    assert {n: g for n, (g, _) in sets.items()} == {r["nid"]: r["gid"] for r in groups.collect()} and len(sets) == 6
+    assert {h for _, h in sets.values()} == {s.tobytes() for s in shingle_join.shingle_sets([t.encode() for t in texts])}
+
+
 def test_nodes_that_share_a_shingle_meet_by_group(spark):
     n, n_groups, tokens = 200, 10, list(range(12))
     groups = spark.range(n).select(F.col("id").alias("nid"), (F.col("id") % n_groups).alias("gid"), F.lit(1).cast("long").alias("size"), F.col("id").alias("comp"))
